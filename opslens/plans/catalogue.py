@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslens.operators import machine
+from opslens.operators import ecommerce, machine
+from opslens.plans import ecommerce as ecommerce_plan
+from opslens.plans import manufacturing
 from opslens.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +49,54 @@ def machine_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def negative_vibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return machine.negative_vibration_count(fixtures.machine_readings(spark, sf_dir))
+
+
+# --- manufacturing batch (E1) ----------------------------------------------
+
+def _bigint(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("bigint") for c in cols if c in df.columns})
+
+
+@register
+def conform_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = manufacturing.build(spark, fixtures.mfg_tables(spark, sf_dir))
+    return _bigint(run.conformed, "line_no", "anomaly_flag")
+
+
+@register
+def machine_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manufacturing.build(spark, fixtures.mfg_tables(spark, sf_dir)).rollup
+
+
+# --- ecommerce stream scoring and batch (E2) -------------------------------
+
+@register
+def customer_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recs = ecommerce.as_record(fixtures.ecommerce_records(spark, sf_dir))
+    return ecommerce.score_customer_records(recs).select(
+        "order_key", "customer_id", "customer_value_score", "customer_segment")
+
+
+@register
+def segment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (customer_scores(spark, sf_dir).groupBy("customer_segment")
+            .agg(F.count(F.lit(1)).alias("records")))
+
+
+@register
+def purchase_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ecommerce.clean_purchases(fixtures.ecommerce_processed(spark, sf_dir)).select(
+        "order_key", "customer_id", "cleaned_purchase_amount", "cleaned_time_to_decision",
+        "purchase_efficiency")
+
+
+@register
+def customer_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = {ecommerce_plan.DEFAULT_TABLE: fixtures.ecommerce_processed(spark, sf_dir)}
+    return ecommerce_plan.build(spark, tables).rollup
+
+
+@register
+def purchase_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = {ecommerce_plan.DEFAULT_TABLE: fixtures.ecommerce_processed(spark, sf_dir)}
+    return ecommerce_plan.build(spark, tables).sample

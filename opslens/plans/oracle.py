@@ -112,3 +112,78 @@ where energy_consumption is not null and predicted_remaining_life is not null an
 
 ORACLE["negative_vibration"] = with_views(["machine_readings"], """
 select count_if(vibration < 0) as negative_vibration_count from machine_readings""")
+
+_UNION = """
+select *, 'mfg_a' as source_table from mfg_a
+union all by name select *, 'mfg_b' as source_table from mfg_b
+union all by name select * exclude (humidity), 'mfg_c' as source_table from mfg_c"""
+
+ORACLE["conform_union"] = with_views(["mfg_a", "mfg_b", "mfg_c"], """
+select machine_id, ts, order_key, cast(line_no as bigint) as line_no, temperature, vibration,
+       cast(anomaly_flag as bigint) as anomaly_flag, downtime_risk, energy_consumption,
+       predicted_remaining_life, source_table
+from u""", extra=[("u", _UNION)])
+
+_MFG_AVG = ("order_key", "line_no", "temperature", "vibration", "anomaly_flag", "downtime_risk",
+            "energy_consumption", "predicted_remaining_life", "machine_efficiency")
+
+ORACLE["machine_rollup"] = with_views(["mfg_a", "mfg_b", "mfg_c"], f"""
+select machine_id, {", ".join(f"{exact_avg(c)} as avg_{c}" for c in _MFG_AVG)},
+       count_if(anomaly_flag > 0) as total_anomalies, count(*) as total_records,
+       count(distinct source_table) as source_tables_count
+from p group by machine_id""", extra=[("u", _UNION), ("p", f"""
+select *, {EFFICIENCY} as machine_efficiency from u
+where energy_consumption is not null and predicted_remaining_life is not null and machine_id is not null""")])
+
+
+def _strict_int(expr: str) -> str:
+    return f"case when regexp_full_match(trim({expr}), '[+-]?[0-9]+') then try_cast(trim({expr}) as bigint) end"
+
+
+_CUSTOMER_PARSED = f"""
+select order_key, customer_id,
+       try_cast(trim(replace(purchase_amount, '$', '')) as double) as amt,
+       {_strict_int("frequency_of_purchase")} as freq,
+       {_strict_int("brand_loyalty")} as loy,
+       {_strict_int("customer_satisfaction")} as sat
+from ecommerce_records"""
+_CUSTOMER_RAW = "(0.4E0*amt/1000 + 0.3E0*freq/10 + 0.15E0*loy/10 + 0.15E0*sat/10)"
+_CUSTOMER_SCORED = f"""
+select order_key, customer_id, {round2("raw")} as customer_value_score,
+       case when raw is null then 'ERROR' when raw > 0.6E0 then 'HIGH_VALUE'
+            when raw > 0.4E0 then 'MEDIUM_VALUE' else 'STANDARD' end as customer_segment
+from (select *, {_CUSTOMER_RAW} as raw from cp)"""
+
+ORACLE["customer_scores"] = with_views(["ecommerce_records"], "select * from cs",
+                                       extra=[("cp", _CUSTOMER_PARSED), ("cs", _CUSTOMER_SCORED)])
+ORACLE["segment_counts"] = with_views(["ecommerce_records"], """
+select customer_segment, count(*) as records from cs group by customer_segment""",
+                                      extra=[("cp", _CUSTOMER_PARSED), ("cs", _CUSTOMER_SCORED)])
+
+_CLEAN = """
+select *, case when cleaned_time_to_decision > 0 and cleaned_purchase_amount is not null
+               then cleaned_purchase_amount / cleaned_time_to_decision else 0.0E0 end as purchase_efficiency
+from (select *, try_cast(regexp_replace(purchase_amount, '[$,]', '', 'g') as double) as cleaned_purchase_amount,
+             coalesce(try_cast(time_to_decision as double), 0.0E0) as cleaned_time_to_decision
+      from ecommerce_processed)"""
+
+ORACLE["purchase_clean"] = with_views(["ecommerce_processed"], """
+select order_key, customer_id, cleaned_purchase_amount, cleaned_time_to_decision, purchase_efficiency
+from cl""", extra=[("cl", _CLEAN)])
+
+_CUSTOMER_ROLLUP = f"""
+select customer_id, {exact_sum("cleaned_purchase_amount")} as total_purchase_amount,
+       {exact_avg("cleaned_purchase_amount")} as avg_purchase_amount, count(*) as purchase_count,
+       {exact_avg("customer_satisfaction")} as avg_satisfaction,
+       {exact_avg("product_rating")} as avg_product_rating,
+       max(customer_satisfaction) as customer_value_score,
+       case when max(customer_satisfaction) > 0.8E0 then 'HIGH_VALUE'
+            when max(customer_satisfaction) > 0.5E0 then 'MEDIUM_VALUE' else 'STANDARD' end as customer_segment
+from cl group by customer_id"""
+
+ORACLE["customer_rollup"] = with_views(["ecommerce_processed"], "select * from cr",
+                                       extra=[("cl", _CLEAN), ("cr", _CUSTOMER_ROLLUP)])
+
+ORACLE["purchase_sample"] = with_views(["ecommerce_processed"], """
+select customer_id, purchase_amount, time_to_decision, purchase_efficiency
+from cl order by customer_id, order_key limit 5""", extra=[("cl", _CLEAN)])
