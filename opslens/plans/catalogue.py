@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from opslens.operators import ecommerce, machine
 from opslens.plans import ecommerce as ecommerce_plan
 from opslens.plans import manufacturing
-from opslens.sources import fixtures
+from opslens.session import scratch_path
+from opslens.sources import envelopes, fixtures
+from opslens.streaming import processors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,3 +102,97 @@ def customer_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def purchase_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {ecommerce_plan.DEFAULT_TABLE: fixtures.ecommerce_processed(spark, sf_dir)}
     return ecommerce_plan.build(spark, tables).sample
+
+
+# --- decoding and streaming (D1-D4, T1, T2, S3-S6, A5) ----------------------
+
+def _typed_machine(records: DataFrame, record_col: str = "record") -> list:
+    rec = F.col(record_col)
+    return [rec.getItem("event_id").try_cast("bigint").alias("event_id"),
+            rec.getItem("machine_id").try_cast("bigint").alias("machine_id"),
+            rec.getItem("ts").try_cast("timestamp_ntz").alias("ts"),
+            rec.getItem("temperature").try_cast("double").alias("temperature"),
+            rec.getItem("vibration").try_cast("double").alias("vibration"),
+            rec.getItem("anomaly_flag").try_cast("bigint").alias("anomaly_flag"),
+            rec.getItem("downtime_risk").try_cast("double").alias("downtime_risk")]
+
+
+@register
+def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = envelopes.decode_envelopes(fixtures.machine_envelopes(spark, sf_dir), allow_bare=True)
+    return decoded.select("key", *_typed_machine(decoded))
+
+
+@register
+def record_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = envelopes.decode_envelopes(fixtures.machine_envelopes(spark, sf_dir), allow_bare=True)
+    meta = envelopes.add_record_metadata(decoded)
+    return meta.agg(F.count(F.lit(1)).alias("records"),
+                    F.countDistinct("batch_id").alias("distinct_batch_ids"),
+                    F.count("processing_timestamp").alias("stamped_records"))
+
+
+@register
+def unscorable_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = envelopes.decode_envelopes(fixtures.perturbed_machine_envelopes(spark, sf_dir), allow_bare=True)
+    scored = machine.score_machine_records(decoded).where("keep")
+    rec = F.col("record")
+    return scored.select(rec.getItem("event_id").try_cast("bigint").alias("event_id"), "scorable",
+                         machine.SCORE)
+
+
+_STREAM_RUNS: dict[tuple[int, str], str] = {}
+
+
+def stream_run(spark: SparkSession, sf_dir: str) -> str:
+    """Run both stream processors over envelope files derived from the tables.
+
+    The envelope lines are written as text files (4 per stream) and drained
+    with an available-now trigger, one file per micro-batch. One run per
+    session and scale is shared by the stream queries.
+    """
+    key = (id(spark), sf_dir)
+    if key in _STREAM_RUNS:
+        return _STREAM_RUNS[key]
+    base = scratch_path(spark, "streams")
+    for domain, lines in (("manufacturing", fixtures.machine_envelopes(spark, sf_dir)),
+                          ("ecommerce", fixtures.customer_envelopes(spark, sf_dir))):
+        src = f"{base}/{domain}/source"
+        lines.select("value").repartition(4).write.mode("overwrite").text(src)
+        q = processors.start(spark, src, f"{base}/{domain}/out", f"{base}/{domain}/checkpoint", domain,
+                             max_files_per_trigger=1, **({"time_key": "ts"} if domain == "manufacturing" else {}))
+        q.awaitTermination()
+    _STREAM_RUNS[key] = base
+    return base
+
+
+@register
+def stream_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recs = processors.read_records(spark, f"{stream_run(spark, sf_dir)}/manufacturing/out")
+    return recs.select(*_typed_machine(recs), machine.SCORE)
+
+
+@register
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    alerts = processors.read_alerts(spark, f"{stream_run(spark, sf_dir)}/manufacturing/out")
+    return alerts.select(F.col("machine_id").try_cast("bigint").alias("machine_id"), "alert_type", "score",
+                         F.col("timestamp").try_cast("timestamp_ntz").alias("timestamp"), "recommended_action")
+
+
+@register
+def stream_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    recs = processors.read_records(spark, f"{stream_run(spark, sf_dir)}/ecommerce/out")
+    rec = F.col("record")
+    return recs.select(rec.getItem("order_key").try_cast("bigint").alias("order_key"),
+                       rec.getItem("customer_id").try_cast("bigint").alias("customer_id"),
+                       "customer_value_score", "customer_segment")
+
+
+@register
+def batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = stream_run(spark, sf_dir)
+    parts = [processors.read_stats(spark, f"{base}/{d}/out").withColumn("stream", F.lit(d))
+             for d in ("manufacturing", "ecommerce")]
+    both = parts[0].unionByName(parts[1])
+    return both.groupBy("stream").agg(*[F.sum(c).alias(c) for c in
+                                        ("total_records", "processed_count", "failed_records", "alert_count")])

@@ -187,3 +187,56 @@ ORACLE["customer_rollup"] = with_views(["ecommerce_processed"], "select * from c
 ORACLE["purchase_sample"] = with_views(["ecommerce_processed"], """
 select customer_id, purchase_amount, time_to_decision, purchase_efficiency
 from cl order by customer_id, order_key limit 5""", extra=[("cl", _CLEAN)])
+
+# --- decoding and streaming ------------------------------------------------
+
+_SPOILED = "({id} % 97 = 0 or {id} % 89 = 0 or {id} % 83 = 0)"
+_EVENTS_OK = f"select * from event_readings where not {_SPOILED.format(id='event_id')}"
+
+ORACLE["envelope_decode"] = with_views(["event_readings"], """
+select cast(machine_id as varchar) as key, event_id, machine_id, ts, temperature, vibration,
+       cast(anomaly_flag as bigint) as anomaly_flag, downtime_risk
+from ev""", extra=[("ev", _EVENTS_OK)])
+
+ORACLE["record_metadata"] = with_views(["event_readings"], """
+select count(*) as records, count(*) as distinct_batch_ids, count(*) as stamped_records from ev""",
+                                       extra=[("ev", _EVENTS_OK)])
+
+_PERTURBED = """
+select event_id, machine_id, ts,
+       case when event_id % 11 = 0 then null else temperature end as temperature,
+       vibration, case when event_id % 17 = 0 then null else anomaly_flag end as anomaly_flag,
+       case when event_id % 13 = 0 then 0.0E0 else downtime_risk end as downtime_risk,
+       event_id % 7 <> 0 as scorable
+from ev"""
+
+ORACLE["unscorable_routing"] = with_views(["event_readings"], f"""
+select event_id, scorable, case when scorable then {round2(PRIORITY)} end as maintenance_priority_score
+from pt where not scorable or {PRIORITY} is not null""", extra=[("ev", _EVENTS_OK), ("pt", _PERTURBED)])
+
+ORACLE["stream_machines"] = with_views(["event_readings"], f"""
+select event_id, machine_id, ts, temperature, vibration, cast(anomaly_flag as bigint) as anomaly_flag,
+       downtime_risk, {round2(PRIORITY)} as maintenance_priority_score
+from ev""", extra=[("ev", _EVENTS_OK)])
+
+ORACLE["stream_alerts"] = with_views(["event_readings"], f"""
+select machine_id, 'HIGH_MAINTENANCE_PRIORITY' as alert_type, {PRIORITY} as score, ts as timestamp,
+       'Schedule immediate maintenance' as recommended_action
+from ev where {PRIORITY} > 0.7E0""", extra=[("ev", _EVENTS_OK)])
+
+_RECORDS_OK = f"select * from ecommerce_records where not {_SPOILED.format(id='order_key')}"
+
+ORACLE["stream_customers"] = with_views(["ecommerce_records"], "select * from cs", extra=[
+    ("er_ok", _RECORDS_OK), ("cp", _CUSTOMER_PARSED.replace("from ecommerce_records", "from er_ok")),
+    ("cs", _CUSTOMER_SCORED)])
+
+ORACLE["batch_stats"] = with_views(["event_readings", "ecommerce_records"], f"""
+select 'manufacturing' as stream, count(*) as total_records,
+       count(*) filter (where not {_SPOILED.format(id='event_id')}) as processed_count,
+       count(*) filter (where {_SPOILED.format(id='event_id')}) as failed_records,
+       count(*) filter (where not {_SPOILED.format(id='event_id')} and {PRIORITY} > 0.7E0) as alert_count
+from event_readings
+union all
+select 'ecommerce', count(*), count(*) filter (where not {_SPOILED.format(id='order_key')}),
+       count(*) filter (where {_SPOILED.format(id='order_key')}), cast(null as bigint)
+from ecommerce_records""")

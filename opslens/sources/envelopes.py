@@ -24,11 +24,16 @@ def record_json(columns: Sequence[str | Column], include_nulls: bool = True) ->
     return F.to_json(F.struct(*[F.col(c) if isinstance(c, str) else c for c in columns]), opts)
 
 
-def encode_keyed_records(df: DataFrame, key_field: str, include_nulls: bool = True) -> DataFrame:
-    """Each row -> ``(key, value)``; key is the named field as text, else ``'default'``."""
+def encode_keyed_records(df: DataFrame, key_field: str, include_nulls: bool = True,
+                         keep: Sequence[str] = ()) -> DataFrame:
+    """Each row -> ``(key, value)``; key is the named field as text, else ``'default'``.
+
+    ``keep`` columns are passed through next to the pair and left out of the record.
+    """
+    fields = [c for c in df.columns if c not in keep]
     key = (F.coalesce(F.col(key_field).cast("string"), F.lit("default"))
-           if key_field in df.columns else F.lit("default"))
-    return df.select(key.alias("key"), record_json(df.columns, include_nulls).alias("value"))
+           if key_field in fields else F.lit("default"))
+    return df.select(*keep, key.alias("key"), record_json(fields, include_nulls).alias("value"))
 
 
 def base64_text(text: Column) -> Column:

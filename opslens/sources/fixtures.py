@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslens.sources.envelopes import base64_text, envelope, record_json
+from opslens.sources.envelopes import base64_text, encode_keyed_records, envelope
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,20 +111,49 @@ def spoil(envelope_data: Column, id_col: Column) -> Column:
 
 
 def _envelope_lines(df: DataFrame, id_col: str, key_field: str, bare: Column | None) -> DataFrame:
-    rid = F.col(id_col)
-    # every value as text, the way a CSV row reaches the stream
-    value = record_json([F.col(c).cast("string").alias(c) for c in df.columns], include_nulls=False)
+    # every value as text, the way a CSV row reaches the stream; null fields absent
+    text = df.select(F.col(id_col).alias("id"), *[F.col(c).cast("string").alias(c) for c in df.columns])
+    keyed = encode_keyed_records(text, key_field, include_nulls=False, keep=("id",))
+    return keyed.select("id", "key", _line(F.col("value"), F.col("id"), bare))
+
+
+def _line(value: Column, rid: Column, bare: Column | None) -> Column:
     line = envelope(spoil(base64_text(value), rid))
     if bare is not None:
         line = F.when(bare & ~spoiled(rid), value).otherwise(line)
-    return df.select(rid.alias("id"), F.col(key_field).cast("string").alias("key"), line.alias("value"))
+    return line.alias("value")
 
 
 def machine_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelope lines for the machine stream; every 5th event is sent bare."""
     er = event_readings(spark, sf_dir)
-    return _envelope_lines(er, "event_id", "machine_id", bare=F.col("event_id") % 5 == 0)
+    return _envelope_lines(er, "event_id", "machine_id", bare=F.col("id") % 5 == 0)
 
 
 def customer_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _envelope_lines(ecommerce_records(spark, sf_dir), "order_key", "customer_id", bare=None)
+
+
+def perturbed_machine_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Machine envelopes with routing cases chosen by id.
+
+    id % 7: ``vibration`` absent (unscorable, passes through); id % 11:
+    ``temperature`` is ``'hot'`` (scorable, unparsable, dropped); id % 13:
+    ``downtime_risk`` absent (defaults to 0); id % 17: ``anomaly_flag``
+    present but null (dropped).
+    """
+    er = event_readings(spark, sf_dir)
+    rid = F.col("event_id")
+    pairs = []
+    for c in er.columns:
+        v = F.col(c).cast("string")
+        if c == "temperature":
+            v = F.when(rid % 11 == 0, F.lit("hot")).otherwise(v)
+        if c == "anomaly_flag":
+            v = F.when(rid % 17 == 0, F.lit(None).cast("string")).otherwise(v)
+        pairs += [F.lit(c), v]
+    rec = F.map_filter(F.create_map(*pairs),
+                       lambda k, _: ~(((k == "vibration") & (rid % 7 == 0))
+                                      | ((k == "downtime_risk") & (rid % 13 == 0))))
+    return er.select(rid.alias("id"), F.col("machine_id").cast("string").alias("key"),
+                     _line(F.to_json(rec), rid, None))
