@@ -7,16 +7,19 @@ BIGINT, fractional outputs DOUBLE, so schemas line up across engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslens.operators import ecommerce, machine
+from opslens.operators import ecommerce, insight, machine, summary
+from opslens.plans import cross_domain as cross_domain_plan
 from opslens.plans import ecommerce as ecommerce_plan
 from opslens.plans import manufacturing
 from opslens.session import scratch_path
-from opslens.sources import envelopes, fixtures
+from opslens.sources import catalog, envelopes, fixtures, sinks
 from opslens.streaming import processors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,3 +199,83 @@ def batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = parts[0].unionByName(parts[1])
     return both.groupBy("stream").agg(*[F.sum(c).alias(c) for c in
                                         ("total_records", "processed_count", "failed_records", "alert_count")])
+
+
+# --- sinks and sources that need a path (S1, S10-S13, A6) -------------------
+
+@register
+def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "raw-csv")
+    recs = fixtures.ecommerce_records(spark, sf_dir)
+    recs.write.option("header", True).csv(path)
+    raw = sinks.read_raw_csv(spark, path)
+    return raw.select(*recs.columns, F.col("ingest_timestamp").isNotNull().alias("stamped"))
+
+
+@register
+def rollup_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "customer-aggregations")
+    sinks.write_table(customer_rollup(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@register
+def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S11 with the threshold lowered so the sf0.01 table takes the partitioned branch."""
+    path = scratch_path(spark, "machines-processed")
+    processed = machine.drop_incomplete(machine.with_efficiency(fixtures.machine_readings(spark, sf_dir)))
+    sinks.write_processed(processed, path, "machine_id", threshold=1_000)
+    back = spark.read.parquet(path)
+    return (back.groupBy(F.col("machine_id").cast("bigint").alias("machine_id"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+@register
+def table_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7/S8 over a scratch database of external tables on the test files."""
+    db = f"opslens_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, db)}'")
+    for name, source in (("ecommerce", "orders"), ("ecommerce_events", "events"), ("machines", "lineitem")):
+        spark.catalog.createTable(f"{db}.{name}", path=f"{sf_dir.rstrip('/')}/{source}.parquet", source="parquet")
+    found = {"all": catalog.discover_tables(spark, db),
+             "prefix": catalog.discover_tables(spark, db, pattern="ecommerce*", fallback=["ecommerce"])}
+    parts = [df.agg(F.lit(mode).alias("discovery"), F.lit(name).alias("table_name"),
+                    F.count(F.lit(1)).alias("rows"))
+             for mode, names in found.items()
+             for name, df in catalog.load_tagged(spark, names, database=db).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+# --- summaries and the cross-domain report (N1-N11, S12, S13, J1, X1-X4, E3) -
+
+def _ecommerce_inputs(spark: SparkSession, sf_dir: str):
+    return ({ecommerce_plan.DEFAULT_TABLE: fixtures.ecommerce_processed(spark, sf_dir)},
+            fixtures.ecommerce_records(spark, sf_dir))
+
+
+@register
+def machine_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.machine_summary(fixtures.machine_readings(spark, sf_dir))
+
+
+@register
+def customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables, records = _ecommerce_inputs(spark, sf_dir)
+    return cross_domain_plan.summaries(spark, fixtures.machine_readings(spark, sf_dir), tables, records)[1]
+
+
+@register
+def latest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S12 twice (a partial summary, then the full one), S13 picks the newer."""
+    path = scratch_path(spark, "mfg-summary")
+    readings = fixtures.machine_readings(spark, sf_dir)
+    sinks.write_summary(summary.machine_summary(readings.where(F.col("line_no") <= 3)), path)
+    sinks.write_summary(summary.machine_summary(readings), path)
+    return sinks.latest_summary(spark, path, insight.MFG_SUMMARY_SCHEMA)
+
+
+@register
+def cross_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables, records = _ecommerce_inputs(spark, sf_dir)
+    mfg, ecom = cross_domain_plan.summaries(spark, fixtures.machine_readings(spark, sf_dir), tables, records)
+    return insight.cross_domain(spark, mfg, ecom)

@@ -240,3 +240,79 @@ union all
 select 'ecommerce', count(*), count(*) filter (where not {_SPOILED.format(id='order_key')}),
        count(*) filter (where {_SPOILED.format(id='order_key')}), cast(null as bigint)
 from ecommerce_records""")
+
+# --- sinks, sources, summaries ---------------------------------------------
+
+ORACLE["csv_ingest"] = with_views(["ecommerce_records"], """
+select cast(order_key as varchar) as order_key, cast(customer_id as varchar) as customer_id, purchase_amount,
+       frequency_of_purchase, brand_loyalty, customer_satisfaction, true as stamped
+from ecommerce_records""")
+
+ORACLE["rollup_roundtrip"] = ORACLE["customer_rollup"]
+
+ORACLE["partitioned_roundtrip"] = with_views(["machine_readings"], """
+select machine_id, count(*) as rows from machine_readings
+where energy_consumption is not null and predicted_remaining_life is not null and machine_id is not null
+group by machine_id""")
+
+ORACLE["table_discovery"] = """
+select 'all' as discovery, 'ecommerce' as table_name, count(*) as rows from orders
+union all select 'all', 'ecommerce_events', count(*) from events
+union all select 'all', 'machines', count(*) from lineitem
+union all select 'prefix', 'ecommerce', count(*) from orders
+union all select 'prefix', 'ecommerce_events', count(*) from events"""
+
+_MS_SCORED = f"""
+select *, {PRIORITY} as raw, {EFFICIENCY} as eff,
+       (energy_consumption is not null and predicted_remaining_life is not null and machine_id is not null) as complete
+from machine_readings"""
+_MS_LATEST = """
+select machine_id, raw as latest from (
+  select machine_id, raw, row_number() over (partition by machine_id order by ts desc, raw desc) as rn from ms_s)
+where rn = 1"""
+_MS_PER = f"""
+select machine_id, count_if(raw > 0.7E0) as alerts, count(*) as readings, count_if(complete) as complete,
+       sum(case when complete then {fixed("eff")} end) as eff_sum,
+       count(case when complete then {fixed("eff")} end) as eff_n
+from ms_s group by machine_id"""
+_MS = """
+select count_if(p.machine_id is not null) as total_machines_analyzed,
+       count_if(p.machine_id is not null and l.latest > 0.7E0) as high_risk_machines,
+       count_if(p.machine_id is not null and l.latest > 0.4E0 and l.latest <= 0.7E0) as medium_risk_machines,
+       count_if(p.machine_id is not null and (l.latest is null or l.latest <= 0.4E0)) as low_risk_machines,
+       cast(sum(p.alerts) as bigint) as predicted_maintenance_events,
+       cast(sum(p.eff_sum) as double) / nullif(sum(p.eff_n), 0) / 500 as average_machine_efficiency,
+       cast(sum(p.complete) as double) / nullif(sum(p.readings), 0) as data_quality_score
+from ms_p p join ms_l l on p.machine_id = l.machine_id"""
+_MS_CTES = [("ms_s", _MS_SCORED), ("ms_l", _MS_LATEST), ("ms_p", _MS_PER), ("ms", _MS)]
+
+ORACLE["machine_summary"] = with_views(["machine_readings"], "select * from ms", extra=_MS_CTES)
+ORACLE["latest_summary"] = ORACLE["machine_summary"]
+
+_ES = f"""
+select (select count(*) from cr) as total_customers_analyzed,
+       (select count_if(customer_segment = 'HIGH_VALUE') from cr) as high_value_customers,
+       (select count_if(customer_segment = 'MEDIUM_VALUE') from cr) as medium_value_customers,
+       (select count_if(customer_segment = 'STANDARD') from cr) as standard_customers,
+       (select {exact_avg("cleaned_purchase_amount")} from cl) as average_purchase_amount,
+       (select purchase_category from (select purchase_category, count(*) as n from cl
+          where purchase_category is not null group by purchase_category
+          order by n desc, purchase_category limit 1)) as most_popular_category,
+       (select marketing_channel from (select marketing_channel, {exact_avg("cleaned_purchase_amount")} as a
+          from cl where marketing_channel is not null group by marketing_channel
+          order by a desc nulls last, marketing_channel limit 1)) as highest_roi_marketing_channel,
+       (select {exact_avg("customer_satisfaction")} from cl) as customer_satisfaction_index,
+       (select cast(count_if(customer_segment <> 'ERROR') as double) / nullif(count(*), 0) from cs)
+         as data_quality_score"""
+_ES_CTES = [("cl", _CLEAN), ("cr", _CUSTOMER_ROLLUP), ("cp", _CUSTOMER_PARSED), ("cs", _CUSTOMER_SCORED),
+            ("es", _ES)]
+
+ORACLE["customer_summary"] = with_views(["ecommerce_processed"], "select * from es", extra=_ES_CTES)
+
+ORACLE["cross_domain"] = with_views(["machine_readings", "ecommerce_processed"], """
+select m.average_machine_efficiency * 0.6E0 + e.customer_satisfaction_index / 10 * 0.4E0
+         as operational_excellence_score,
+       (1 - m.high_risk_machines / m.total_machines_analyzed) * 0.5E0
+         + (e.high_value_customers / e.total_customers_analyzed) * 0.5E0 as business_health_index,
+       m.data_quality_score * 0.5E0 + e.data_quality_score * 0.5E0 as data_quality_composite
+from ms m, es e""", extra=_MS_CTES + _ES_CTES)
