@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslens.functions.numeric import exact_avg, exact_sum
+from opslens.functions.numeric import to_fixed
 from opslens.functions.scores import etl_segment
 
 # Column types eligible for automatic averaging. ``decimal``
@@ -19,17 +19,33 @@ from opslens.functions.scores import etl_segment
 AVERAGED_TYPES = ("int", "bigint", "float", "double")
 
 
+def _fixed(c: str) -> str:
+    return f"__fixed_{c}"
+
+
+def _avg(c: str) -> F.Column:
+    """Exact average of a column pre-projected by ``_fixed``."""
+    f = F.col(_fixed(c))
+    return F.sum(f).cast("double") / F.nullif(F.count(f), F.lit(0))
+
+
 def machine_rollup(df: DataFrame, key: str = "machine_id", tag_col: str = "source_table") -> DataFrame:
     """A2-A4 by machine: ``avg_<c>`` of every numeric column, anomalies, rows, source tables.
 
-    ``anomaly_flag`` missing from every table counts as no anomalies.
+    ``anomaly_flag`` missing from every table counts as no anomalies. The
+    fixed-point value of each averaged column is projected once below the
+    aggregate, then summed and counted. ``source_tables_count`` is a single
+    distinct aggregate: Spark plans it as a partial aggregate on
+    (machine, table) and a second one on machine, both shuffling only
+    pre-aggregated rows.
     """
     numeric = [c for c, t in df.dtypes if t in AVERAGED_TYPES and c not in (key, tag_col)]
-    anomalies = (F.count_if(F.col("anomaly_flag") > 0) if "anomaly_flag" in df.columns
-                 else F.lit(0).cast("bigint"))
-    return df.groupBy(key).agg(
-        *[exact_avg(F.col(c)).alias(f"avg_{c}") for c in numeric],
-        anomalies.alias("total_anomalies"),
+    anomalous = (F.col("anomaly_flag") > 0) if "anomaly_flag" in df.columns else F.lit(False)
+    staged = df.select(key, tag_col, anomalous.alias("__anomalous"),
+                       *[to_fixed(F.col(c)).alias(_fixed(c)) for c in numeric])
+    return staged.groupBy(key).agg(
+        *[_avg(c).alias(f"avg_{c}") for c in numeric],
+        F.count_if("__anomalous").alias("total_anomalies"),
         F.count(F.lit(1)).alias("total_records"),
         F.countDistinct(tag_col).alias("source_tables_count"),
     )
@@ -43,14 +59,16 @@ def customer_rollup(df: DataFrame, key: str = "customer_id") -> DataFrame:
     and rating are cast to double first: ``max`` over text would compare
     lexicographically and averaging text fails under ANSI casts.
     """
-    amount = F.col("cleaned_purchase_amount")
     satisfaction = F.col("customer_satisfaction").try_cast("double")
-    rating = F.col("product_rating").try_cast("double")
-    return (df.groupBy(key).agg(
-                exact_sum(amount).alias("total_purchase_amount"),
-                exact_avg(amount).alias("avg_purchase_amount"),
+    staged = df.select(key, satisfaction.alias("__satisfaction"),
+                       to_fixed(F.col("cleaned_purchase_amount")).alias(_fixed("amount")),
+                       to_fixed(satisfaction).alias(_fixed("satisfaction")),
+                       to_fixed(F.col("product_rating").try_cast("double")).alias(_fixed("rating")))
+    return (staged.groupBy(key).agg(
+                F.sum(_fixed("amount")).cast("double").alias("total_purchase_amount"),
+                _avg("amount").alias("avg_purchase_amount"),
                 F.count(F.lit(1)).alias("purchase_count"),
-                exact_avg(satisfaction).alias("avg_satisfaction"),
-                exact_avg(rating).alias("avg_product_rating"),
-                F.max(satisfaction).alias("customer_value_score"))
+                _avg("satisfaction").alias("avg_satisfaction"),
+                _avg("rating").alias("avg_product_rating"),
+                F.max("__satisfaction").alias("customer_value_score"))
             .withColumn("customer_segment", etl_segment(F.col("customer_value_score"))))

@@ -158,13 +158,18 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
     if key in _STREAM_RUNS:
         return _STREAM_RUNS[key]
     base = scratch_path(spark, "streams")
+    started = []
     for domain, lines in (("manufacturing", fixtures.machine_envelopes(spark, sf_dir)),
                           ("ecommerce", fixtures.customer_envelopes(spark, sf_dir))):
         src = f"{base}/{domain}/source"
         lines.select("value").repartition(4).write.mode("overwrite").text(src)
-        q = processors.start(spark, src, f"{base}/{domain}/out", f"{base}/{domain}/checkpoint", domain,
-                             max_files_per_trigger=1, **({"time_key": "ts"} if domain == "manufacturing" else {}))
+        started.append(processors.start(
+            spark, src, f"{base}/{domain}/out", f"{base}/{domain}/checkpoint", domain,
+            max_files_per_trigger=1, **({"time_key": "ts"} if domain == "manufacturing" else {})))
+    for q in started:  # the two streams run concurrently, as two independent queries
         q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
     _STREAM_RUNS[key] = base
     return base
 
