@@ -6,9 +6,10 @@ and averages here go through fixed-point decimals: the per-row rounding is a
 pure function of the value and decimal addition is associative, so a result
 is the same on 8 threads or 1000 executors.
 
-Rounding to a few decimals is done decimal-first (double -> decimal with 4
-guard digits -> target scale, half-up), which agrees between Spark and other
-SQL engines where a plain ``round(double, n)`` does not.
+Rounding to a few decimals is done decimal-first (double -> decimal with 10
+decimal places -> target scale, half-up), which agrees between Spark and
+other SQL engines where a plain ``round(double, n)`` does not. The 10-place
+step only moves a value that lies within 5e-11 of a rounding tie.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType
 
-# Decimal places kept by exact sums and the guard digits used
-# when converting a double to a decimal.
+# Decimal places kept by exact sums, and the decimal places of
+# the first conversion step from double to decimal.
 SUM_SCALE = 6
-GUARD_DIGITS = 4
+GUARD_SCALE = 10
 
 
 def _col(c: Column | str) -> Column:
@@ -29,7 +30,7 @@ def _col(c: Column | str) -> Column:
 
 def to_fixed(c: Column | str, scale: int = SUM_SCALE) -> Column:
     """Double -> decimal(28, scale), half-up; NaN, infinity and overflow -> null."""
-    guarded = _col(c).try_cast(DecimalType(30, scale + GUARD_DIGITS))
+    guarded = _col(c).try_cast(DecimalType(30, GUARD_SCALE))
     return guarded.cast(DecimalType(28, scale))
 
 

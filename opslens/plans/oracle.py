@@ -73,7 +73,7 @@ def with_views(views: list[str], body: str, extra: list[tuple[str, str]] | None
 
 
 def fixed(expr: str, scale: int = 6) -> str:
-    return f"cast(try_cast({expr} as decimal(30,{scale + 4})) as decimal(28,{scale}))"
+    return f"cast(try_cast({expr} as decimal(30,10)) as decimal(28,{scale}))"
 
 
 def exact_sum(expr: str) -> str:
