@@ -19,6 +19,7 @@ shuffle: every step is a narrow transform of the batch.
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,6 +32,8 @@ from opslens.functions.scores import ALERT_THRESHOLD
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 ALERT_SCHEMA = ("machine_id string, alert_type string, score double, timestamp string, "
                 "recommended_action string")
+STATS_SCHEMA = ("epoch long, total_records long, processed_count long, failed_records long, "
+                "alert_count long")
 
 
 def _batch_path(out: str, sink: str, epoch_id: int) -> str:
@@ -89,8 +92,7 @@ def process_machine_batch(batch: DataFrame, epoch_id: int, out: str, *, write_cs
         spark = batch.sparkSession
         (spark.createDataFrame([(epoch_id, stats["total_records"], stats["processed_count"],
                                  stats["total_records"] - stats["processed_count"], stats["alert_count"])],
-                               "epoch long, total_records long, processed_count long, "
-                               "failed_records long, alert_count long")
+                               STATS_SCHEMA)
          .coalesce(1).write.mode("overwrite").json(_batch_path(out, "stats", epoch_id)))
     finally:
         staged.unpersist()
@@ -120,9 +122,7 @@ def process_customer_batch(batch: DataFrame, epoch_id: int, out: str, *, write_c
                 write_union_csv(records, _batch_path(out, "csv", epoch_id), stats["layouts"], added)
         spark = batch.sparkSession
         (spark.createDataFrame([(epoch_id, stats["total_records"], stats["processed_count"],
-                                 stats["total_records"] - stats["processed_count"], None)],
-                               "epoch long, total_records long, processed_count long, "
-                               "failed_records long, alert_count long")
+                                 stats["total_records"] - stats["processed_count"], None)], STATS_SCHEMA)
          .coalesce(1).write.mode("overwrite").json(_batch_path(out, "stats", epoch_id)))
     finally:
         staged.unpersist()
@@ -149,14 +149,29 @@ def start(spark: SparkSession, source_dir: str, out: str, checkpoint: str, domai
     return writer.start()
 
 
-def read_records(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.parquet(f"{out.rstrip('/')}/records")
+def _read_sink(spark: SparkSession, out: str, sink: str, fmt: str, schema: str | None) -> DataFrame | None:
+    """A sink folder as a DataFrame; None when no micro-batch has written to it yet."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    try:
+        return reader.format(fmt).load(f"{out.rstrip('/')}/{sink}")
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return None
+        raise
+
+
+def read_records(spark: SparkSession, out: str) -> DataFrame | None:
+    """Processed records of every micro-batch (None when no batch had a record)."""
+    return _read_sink(spark, out, "records", "parquet", None)
 
 
 def read_alerts(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.schema(ALERT_SCHEMA).json(f"{out.rstrip('/')}/alerts")
+    df = _read_sink(spark, out, "alerts", "json", ALERT_SCHEMA)
+    return df.select(*[c.split()[0] for c in ALERT_SCHEMA.split(", ")]) if df is not None \
+        else spark.createDataFrame([], ALERT_SCHEMA)
 
 
 def read_stats(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.schema("epoch long, total_records long, processed_count long, failed_records long, "
-                             "alert_count long").json(f"{out.rstrip('/')}/stats")
+    df = _read_sink(spark, out, "stats", "json", STATS_SCHEMA)
+    return df.select(*[c.split()[0] for c in STATS_SCHEMA.split(", ")]) if df is not None \
+        else spark.createDataFrame([], STATS_SCHEMA)
