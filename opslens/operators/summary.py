@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslens.functions.numeric import SUM_SCALE, exact_avg, safe_ratio, to_fixed
+from opslens.functions.numeric import safe_ratio, to_fixed
 from opslens.functions.scores import ALERT_THRESHOLD, EFFICIENCY_CAP, ERROR_SEGMENT, RISK_THRESHOLDS
 from opslens.operators.machine import ESSENTIALS, RAW_SCORE, score_readings, with_efficiency
 
@@ -60,13 +60,6 @@ def machine_summary(readings: DataFrame, *, key: str = "machine_id", time_col: s
     )
 
 
-def _top(df: DataFrame, group: str, measure: F.Column, out: str) -> DataFrame:
-    """The group with the largest measure, ties to the smallest name (a distributed top-1)."""
-    return (df.where(F.col(group).isNotNull()).groupBy(group).agg(measure.alias("_m"))
-            .orderBy(F.col("_m").desc_nulls_last(), F.col(group).asc()).limit(1)
-            .select(F.col(group).alias(out)))
-
-
 def customer_summary(processed: DataFrame, rollup: DataFrame, scored_records: DataFrame, *,
                      category_col: str = "purchase_category",
                      channel_col: str = "marketing_channel") -> DataFrame:
@@ -81,6 +74,13 @@ def customer_summary(processed: DataFrame, rollup: DataFrame, scored_records: Da
     * highest-ROI channel: no cost data exists, so the channel with the
       highest average amount per row, ties to the smallest name
     * data quality: scored records whose segment is not ``ERROR`` / all
+
+    The processed table is scanned once for all of its fields: one
+    grouping-sets aggregate gives exact decimal sums and counts per category,
+    per channel and overall (at most categories + channels + 1 rows), and one
+    global aggregate over that picks the top category and channel with
+    ``min_by`` on (-measure, name), which breaks ties to the smallest name.
+    The customer tiers need the per-customer rollup, a different shuffle.
     """
     spark = processed.sparkSession
     seg = F.col("customer_segment")
@@ -89,20 +89,34 @@ def customer_summary(processed: DataFrame, rollup: DataFrame, scored_records: Da
         F.count_if(seg == "HIGH_VALUE").alias("high_value_customers"),
         F.count_if(seg == "MEDIUM_VALUE").alias("medium_value_customers"),
         F.count_if(seg == "STANDARD").alias("standard_customers"))
-    means = processed.agg(
-        exact_avg(F.col("cleaned_purchase_amount")).alias("average_purchase_amount"),
-        exact_avg(F.col("customer_satisfaction").try_cast("double")).alias("customer_satisfaction_index"))
-    category = _top(processed, category_col, F.count(F.lit(1)), "most_popular_category")
-    channel = _top(processed, channel_col, exact_avg(F.col("cleaned_purchase_amount")),
-                   "highest_roi_marketing_channel")
+    amount = to_fixed(F.col("cleaned_purchase_amount"))
+    satisfaction = to_fixed(F.col("customer_satisfaction").try_cast("double"))
+    cells = (processed.groupingSets([[category_col], [channel_col], []], category_col, channel_col)
+             .agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("rows"),
+                  F.sum(amount).alias("amount_sum"), F.count(amount).alias("amount_n"),
+                  F.sum(satisfaction).alias("sat_sum"), F.count(satisfaction).alias("sat_n")))
+    gid, cat, chan = F.col("gid"), F.col(category_col), F.col(channel_col)
+    by_category, by_channel, overall = (gid == 1) & cat.isNotNull(), (gid == 2) & chan.isNotNull(), gid == 3
+    channel_avg = F.col("amount_sum").cast("double") / F.nullif(F.col("amount_n"), F.lit(0))
+
+    def overall_ratio(total: str, n: str) -> F.Column:
+        return (F.sum(F.when(overall, F.col(total))).cast("double")
+                / F.nullif(F.sum(F.when(overall, F.col(n))), F.lit(0)))
+
+    means = cells.agg(
+        overall_ratio("amount_sum", "amount_n").alias("average_purchase_amount"),
+        overall_ratio("sat_sum", "sat_n").alias("customer_satisfaction_index"),
+        F.min_by(cat, F.when(by_category, F.struct(-F.col("rows"), cat))).alias("most_popular_category"),
+        F.min_by(chan, F.when(by_channel, F.struct(channel_avg.isNull(), -channel_avg, chan)))
+        .alias("highest_roi_marketing_channel"))
     quality = scored_records.agg(
         safe_ratio(F.count_if(F.col("customer_segment") != ERROR_SEGMENT), F.count(F.lit(1)))
         .alias("data_quality_score"))
-    row = _one_row(spark, t=tiers, m=means, c=category, h=channel, q=quality)
+    row = _one_row(spark, t=tiers, m=means, q=quality)
     return row.select(
         "t.total_customers_analyzed", "t.high_value_customers", "t.medium_value_customers",
-        "t.standard_customers", "m.average_purchase_amount", "c.most_popular_category",
-        "h.highest_roi_marketing_channel", "m.customer_satisfaction_index", "q.data_quality_score")
+        "t.standard_customers", "m.average_purchase_amount", "m.most_popular_category",
+        "m.highest_roi_marketing_channel", "m.customer_satisfaction_index", "q.data_quality_score")
 
 
-__all__ = ["customer_summary", "machine_summary", "SUM_SCALE"]
+__all__ = ["customer_summary", "machine_summary"]

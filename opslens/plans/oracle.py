@@ -199,7 +199,7 @@ select cast(machine_id as varchar) as key, event_id, machine_id, ts, temperature
 from ev""", extra=[("ev", _EVENTS_OK)])
 
 ORACLE["record_metadata"] = with_views(["event_readings"], """
-select count(*) as records, count(*) as distinct_batch_ids, count(*) as stamped_records from ev""",
+select count(*) as records, count(*) as uuid_records, count(*) as stamped_records from ev""",
                                        extra=[("ev", _EVENTS_OK)])
 
 _PERTURBED = """

@@ -44,27 +44,36 @@ def mfg_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"mfg_a": mfg_a, "mfg_b": mfg_b, "mfg_c": mfg_c, "orders": table(spark, sf_dir, "orders")}
 
 
-def ecommerce_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Processor input: every measure is text; amounts carry ``$`` and commas."""
-    o = table(spark, sf_dir, "orders")
+def _ecommerce_columns() -> list[Column]:
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    return o.select(
+    return [
         key.alias("order_key"),
         cust.alias("customer_id"),
         F.concat(F.lit("$"), F.format_number(F.col("o_totalprice") / 400, 2)).alias("purchase_amount"),
         F.when(key % 50 == 0, F.lit("n/a")).otherwise((1 + key % 10).cast("string")).alias("frequency_of_purchase"),
         (1 + cust % 10).cast("string").alias("brand_loyalty"),
         (cust % 11).cast("string").alias("customer_satisfaction"),
-    )
+    ]
+
+
+def ecommerce_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processor input: every measure is text; amounts carry ``$`` and commas."""
+    return table(spark, sf_dir, "orders").select(*_ecommerce_columns())
 
 
 def ecommerce_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ETL input: fractional satisfaction for every third customer, text decision time."""
-    e = ecommerce_records(spark, sf_dir)
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    """ETL input: fractional satisfaction for every third customer, text decision time.
+
+    Order status and priority come from the same ``orders`` row (the order
+    key is unique), so the only join is to ``customer`` for the category: a
+    sort-merge join on the customer key at scale, with AQE splitting a hot
+    customer's partition.
+    """
+    o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    e = o.select(*_ecommerce_columns(), "o_orderstatus", "o_orderpriority")
     cust, key = F.col("customer_id"), F.col("order_key")
-    return (e.join(o, key == F.col("o_orderkey")).join(c, cust == F.col("c_custkey"))
+    return (e.join(c, cust == F.col("c_custkey"))
             .select(
                 key, cust, "purchase_amount",
                 F.when(cust % 3 == 0, (cust % 11) / F.lit(10.0))

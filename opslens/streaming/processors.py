@@ -130,22 +130,32 @@ def process_customer_batch(batch: DataFrame, epoch_id: int, out: str, *, write_c
 
 def start(spark: SparkSession, source_dir: str, out: str, checkpoint: str, domain: str, *,
           max_files_per_trigger: int | None = None, available_now: bool = True,
-          processing_time: str | None = None, **kwargs) -> StreamingQuery:
-    """S3: stream envelope lines (text files) from ``source_dir`` through a processor.
-
+          processing_time: str | None = None, source_format: str = "text",
+          source_options: dict[str, str] | None = None, **kwargs) -> StreamingQuery:
+    """S3: stream envelope lines through a processor.
+
+    The default source is text files under ``source_dir`` (one envelope per
+    line, rate-limited by ``max_files_per_trigger``). Any streaming source
+    with a ``value`` column works the same way, e.g. ``source_format="kafka"``
+    with its options, whose binary ``value`` is read as UTF-8 text.
     ``available_now`` drains what is there in as many micro-batches as the
     rate limit gives and stops; otherwise the query runs on ``processing_time``.
     The checkpoint records source offsets, so a restarted query resumes from
-    the last committed micro-batch.
+    the last committed micro-batch and replays it into the same output folder.
     """
     body = {"manufacturing": process_machine_batch, "ecommerce": process_customer_batch}[domain]
-    reader = spark.readStream.format("text")
+    reader = spark.readStream.format(source_format).options(**(source_options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    writer = (reader.load(source_dir).writeStream
+    stream = reader.load(source_dir) if source_dir else reader.load()
+    stream = stream.select(F.col("value").cast("string").alias("value"))
+    writer = (stream.writeStream
               .foreachBatch(lambda df, epoch_id: body(df, epoch_id, out, **kwargs))
               .option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "10 seconds")
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    else:
+        writer = writer.trigger(processingTime=processing_time or "10 seconds")
     return writer.start()
 
 
