@@ -37,13 +37,20 @@ def build(spark: SparkSession, readings: DataFrame, ecommerce_tables: Tables,
     return integrate(spark, mfg, ecom)
 
 
-def run(spark: SparkSession, target: str, manufacturing_tables: Tables, ecommerce_tables: Tables,
-        customer_records: DataFrame) -> DataFrame:
-    """Both ETL jobs, both summaries through storage, then the integrated insight (appended as JSON)."""
+def run(spark: SparkSession, target: str, manufacturing_tables: Tables | None, ecommerce_tables: Tables | None,
+        customer_records: DataFrame, *, manufacturing_database: str | None = None,
+        ecommerce_database: str | None = None) -> DataFrame:
+    """Both ETL jobs, both summaries through storage, then the integrated insight (appended as JSON).
+
+    Tables are given directly, or discovered in the two databases as the
+    ETL jobs do (every table / ``ecommerce*``).
+    """
     base = target.rstrip("/")
-    mrun = manufacturing.run(spark, f"{base}/manufacturing", manufacturing_tables)
-    ecommerce.run(spark, f"{base}/ecommerce", ecommerce_tables)
-    mfg, ecom = summaries(spark, mrun.conformed, ecommerce_tables, customer_records)
+    mrun = manufacturing.run(spark, f"{base}/manufacturing", manufacturing_tables, database=manufacturing_database)
+    erun = ecommerce.run(spark, f"{base}/ecommerce", ecommerce_tables, database=ecommerce_database)
+    scored = score_customer_records(as_record(customer_records))
+    mfg = machine_summary(mrun.conformed)
+    ecom = customer_summary(erun.processed, erun.rollup, scored)
     write_summary(mfg, f"{base}/manufacturing/summary")
     write_summary(ecom, f"{base}/ecommerce/summary")
     insight = integrate(spark,

@@ -57,25 +57,40 @@ def load_tagged(spark: SparkSession, tables: Iterable[str] | Mapping[str, DataFr
     return out
 
 
-def non_null_columns(df: DataFrame, probe_rows: int = 10_000) -> list[str]:
-    """columns holding at least one non-null value, in schema order.
-
-    Two jobs at most. A cheap probe over the first ``probe_rows`` rows settles
-    every column that has data there; only the columns still all-null are
-    checked over the whole table, and reading just those columns is cheap
-    (an all-null Parquet column is a run of definition levels).
+def _presence(name: str, df: DataFrame, columns: Sequence[str], limit: int | None) -> DataFrame:
+    """Rows ``(table, column, present)`` for ``columns`` of one table, from one aggregate."""
+    src = df.limit(limit) if limit else df
+    flags = src.agg(*[F.max(F.col(f"`{c}`").isNotNull()).alias(f"c{i}") for i, c in enumerate(columns)])
+    cells = [F.struct(F.lit(name).alias("table"), F.lit(c).alias("column"), F.col(f"c{i}").alias("present"))
+             for i, c in enumerate(columns)]
+    return flags.select(F.explode(F.array(*cells)).alias("x")).select("x.*")
+
+
+def non_null_columns_by_table(tables: Mapping[str, DataFrame], probe_rows: int = 10_000) -> dict[str, list[str]]:
+    """F6 for many tables: columns holding at least one non-null value, in schema order.
+
+    Two jobs at most for all tables together (the per-table aggregates are
+    unioned, so their stages run side by side). A cheap probe over the first
+    ``probe_rows`` rows of each table settles every column that has data
+    there; only the columns still all-null are checked over the whole table,
+    and reading just those columns is cheap (an all-null Parquet column is a
+    run of definition levels). Only one flag per column reaches the driver.
     """
-    cols = df.columns
-    if not cols:
-        return []
-    flags = [F.max(F.col(f"`{c}`").isNotNull()).alias(f"c{i}") for i, c in enumerate(cols)]
-    probe = df.limit(probe_rows).agg(*flags).first()
-    found = {c for i, c in enumerate(cols) if probe[f"c{i}"]}
-    rest = [c for c in cols if c not in found]
-    if rest:
-        full = df.agg(*[F.max(F.col(f"`{c}`").isNotNull()).alias(f"c{i}") for i, c in enumerate(rest)]).first()
-        found |= {c for i, c in enumerate(rest) if full[f"c{i}"]}
-    return [c for c in cols if c in found]
+    def run(parts: list[DataFrame]) -> set[tuple[str, str]]:
+        if not parts:
+            return set()
+        rows = reduce(DataFrame.unionByName, parts).collect()
+        return {(r["table"], r["column"]) for r in rows if r["present"]}
+
+    found = run([_presence(n, df, df.columns, probe_rows) for n, df in tables.items() if df.columns])
+    rest = {n: [c for c in df.columns if (n, c) not in found] for n, df in tables.items()}
+    found |= run([_presence(n, tables[n], cols, None) for n, cols in rest.items() if cols])
+    return {n: [c for c in df.columns if (n, c) in found] for n, df in tables.items()}
+
+
+def non_null_columns(df: DataFrame, probe_rows: int = 10_000) -> list[str]:
+    """F6 for one table (see ``non_null_columns_by_table``)."""
+    return non_null_columns_by_table({"t": df}, probe_rows)["t"]
 
 
 def conform(tables: Mapping[str, DataFrame], *, essentials: Sequence[str] = (),
@@ -89,16 +104,20 @@ def conform(tables: Mapping[str, DataFrame], *, essentials: Sequence[str] = (),
     union so drift in stored types cannot fail the union at run time. Tables
     are unioned by name, missing columns become null.
     """
-    parts: list[DataFrame] = []
+    usable: dict[str, DataFrame] = {}
     for name, df in tables.items():
         missing = [c for c in essentials if c not in df.columns]
         if missing:
             log.error("skipping table %s: missing essential columns %s", name, missing)
             continue
+        usable[name] = df
+    present = non_null_columns_by_table(usable) if prune_all_null else {}
+    parts: list[DataFrame] = []
+    for name, df in usable.items():
         keep = df.columns
         if prune_all_null:
-            present = set(non_null_columns(df)) | set(essentials)
-            keep = [c for c in df.columns if c in present]
+            kept = set(present[name]) | set(essentials)
+            keep = [c for c in df.columns if c in kept]
         cols = [F.col(f"`{c}`").cast(types[c]).alias(c) if types and c in types else F.col(f"`{c}`")
                 for c in keep]
         parts.append(df.select(*cols, F.lit(name).alias(tag_col)))
