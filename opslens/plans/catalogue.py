@@ -232,7 +232,9 @@ def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S11 with the threshold lowered so the sf0.01 table takes the partitioned branch."""
     path = scratch_path(spark, "machines-processed")
     processed = machine.drop_incomplete(machine.with_efficiency(fixtures.machine_readings(spark, sf_dir)))
-    sinks.write_processed(processed, path, "machine_id", threshold=1_000)
+    counts = processed.groupBy("machine_id").agg(F.count(F.lit(1)).alias("rows"))
+    sinks.write_processed(processed, path, "machine_id", key_counts=counts, threshold=1_000,
+                          rows_per_task=5_000)
     back = spark.read.parquet(path)
     return (back.groupBy(F.col("machine_id").cast("bigint").alias("machine_id"))
             .agg(F.count(F.lit(1)).alias("rows")))

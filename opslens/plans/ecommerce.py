@@ -45,7 +45,8 @@ def run(spark: SparkSession, target: str, tables: Iterable[str] | Mapping[str, D
     plan = build(spark, tables, database=database)
     agg_path = f"{target.rstrip('/')}/customer_aggregations"
     write_table(plan.rollup, agg_path)
-    rows = spark.read.parquet(agg_path).agg(F.sum("purchase_count")).first()[0] or 0
+    counts = spark.read.parquet(agg_path).select("customer_id", "purchase_count")
+    rows = counts.agg(F.sum("purchase_count")).first()[0] or 0
     write_processed(plan.processed, f"{target.rstrip('/')}/processed", "customer_id",
-                    rows=rows, threshold=threshold)
+                    rows=rows, key_counts=counts, count_col="purchase_count", threshold=threshold)
     return plan

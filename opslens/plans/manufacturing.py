@@ -47,7 +47,8 @@ def run(spark: SparkSession, target: str, tables: Iterable[str] | Mapping[str, D
     plan = build(spark, tables, database=database)
     agg_path = f"{target.rstrip('/')}/machine_aggregations"
     write_table(plan.rollup, agg_path)
-    rows = spark.read.parquet(agg_path).agg(F.sum("total_records")).first()[0] or 0
+    counts = spark.read.parquet(agg_path).select("machine_id", "total_records")
+    rows = counts.agg(F.sum("total_records")).first()[0] or 0
     write_processed(plan.processed, f"{target.rstrip('/')}/processed", "machine_id",
-                    rows=rows, threshold=threshold)
+                    rows=rows, key_counts=counts, count_col="total_records", threshold=threshold)
     return plan

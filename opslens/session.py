@@ -36,15 +36,20 @@ def build_session(master: str = "local[*]", app: str = "opslens",
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The session's checkpoint directory, set to a fresh local one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    else:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="opslens-ckpt-"))
+    if sc is None:
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="opslens-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="opslens-ckpt-"))
     return sc.getCheckpointDir()
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -9,6 +11,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 # Row-count gates of the batch jobs.
 PARTITION_THRESHOLD = 100_000
 CACHE_THRESHOLD = 500_000
+# Target rows per writer task of a partitioned write (ours, not the source's).
+ROWS_PER_WRITE_TASK = 2_000_000
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -16,23 +20,55 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "snappy").parquet(path)
 
 
+def _parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def write_processed(df: DataFrame, path: str, key: str, *, rows: int | None = None,
-                    threshold: int = PARTITION_THRESHOLD, max_records_per_file: int | None = None) -> bool:
+                    key_counts: DataFrame | None = None, count_col: str = "rows",
+                    threshold: int = PARTITION_THRESHOLD, rows_per_task: int = ROWS_PER_WRITE_TASK,
+                    max_records_per_file: int | None = None) -> bool:
     """Partition by ``key`` when the table has more than ``threshold`` rows.
 
     ``rows`` lets the caller pass a count it already knows (the rollup's row
-    total) instead of paying a full extra scan. A partitioned write is
-    preceded by a REBALANCE on the key: rows of one key land in one task,
-    but AQE splits a partition that is skewed (a hot key) across several
-    tasks instead of writing it from one. Returns whether it partitioned.
+    total) instead of paying a full extra scan. Returns whether it partitioned.
+
+    A partitioned write needs every row of a key in as few tasks as possible
+    (one file per key and task) without letting a hot key make one task
+    write a third of the table. With ``key_counts`` (exact rows per key, e.g.
+    the rollup) the write is spread over ``tasks`` = max(cluster
+    parallelism, rows / ``rows_per_task``) tasks by (key, salt): a key with
+    more than rows/tasks rows gets that many salt buckets, every other key a
+    single one. The salt is a hash of the row, so a retried task sends each
+    row where the first attempt did. The hot-key table that is broadcast has
+    fewer rows than ``tasks`` (each hot key holds more than rows/tasks rows).
+    Without counts the write is rebalanced by key with AQE, which also splits
+    skewed keys.
     """
     n = df.count() if rows is None else rows
-    writer_df = df.hint("rebalance", key) if n > threshold else df
-    writer = writer_df.write.mode("overwrite").option("compression", "snappy")
+    if n <= threshold:
+        writer = df.write
+    else:
+        if key_counts is not None:
+            tasks = max(_parallelism(df.sparkSession), math.ceil(n / rows_per_task))
+            per_task = max(1, math.ceil(n / tasks))
+            hot = (key_counts.where(F.col(count_col) > per_task)
+                   .select(F.col(key), F.ceil(F.col(count_col) / per_task).cast("int").alias("__buckets")))
+            salted = df.join(F.broadcast(hot), on=key, how="left")
+            salt = F.when(F.col("__buckets").isNotNull(),
+                          F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("__buckets"))
+                          ).otherwise(F.lit(0))
+            spread = (salted.withColumn("__salt", salt).repartition(tasks, key, "__salt")
+                      .select(*[F.col(f"`{c}`") for c in df.columns]))
+        else:
+            spread = df.hint("rebalance", key)
+        writer = spread.write.partitionBy(key)
+    writer = writer.mode("overwrite").option("compression", "snappy")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if n > threshold:
-        writer = writer.partitionBy(key)
     writer.parquet(path)
     return n > threshold
 

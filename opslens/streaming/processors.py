@@ -40,21 +40,16 @@ def _batch_path(out: str, sink: str, epoch_id: int) -> str:
     return f"{out.rstrip('/')}/{sink}/batch={epoch_id}"
 
 
-def key_layouts(kept: F.Column, record_col: str = "record") -> F.Column:
-    """Aggregate: the distinct sorted key lists of the kept records.
-
-    Bounded by the number of distinct record layouts, not by the row count.
-    """
-    return F.collect_set(F.when(kept, F.array_sort(F.map_keys(record_col)))).alias("layouts")
-
-
-def write_union_csv(records: DataFrame, path: str, layouts: list[list[str]], added: dict[str, F.Column],
+def write_union_csv(records: DataFrame, path: str, added: dict[str, F.Column],
                     record_col: str = "record") -> None:
     """CSV with header = sorted union of the batch's record keys and added fields.
 
-    Absent keys and nulls are written empty.
+    The distinct key names are found with a partial-aggregated distinct over
+    the exploded keys, so what reaches the driver is exactly the header (its
+    size is the output width, not the row count). Absent keys and nulls are
+    written empty.
     """
-    keys = {k for layout in layouts for k in layout}
+    keys = {r[0] for r in records.select(F.explode(F.map_keys(record_col)).alias("k")).distinct().collect()}
     columns = sorted(keys | set(added))
     rec = F.col(record_col)
     projected = [(added[k] if k in added else rec.getItem(k)).cast("string").alias(k) for k in columns]
@@ -74,7 +69,6 @@ def process_machine_batch(batch: DataFrame, epoch_id: int, out: str, *, write_cs
             F.count_if(F.col("decoded") & F.col("keep")).alias("processed_count"),
             F.count_if(F.col("decoded") & F.col("keep") & F.col("scorable")).alias("scored_count"),
             F.count_if(F.col("decoded") & F.col("keep") & (F.col(RAW_SCORE) > ALERT_THRESHOLD)).alias("alert_count"),
-            key_layouts(F.col("decoded") & F.col("keep")),
         ).first()
         records = staged.where(F.col("decoded") & F.col("keep"))
         if stats["processed_count"]:
@@ -85,7 +79,7 @@ def process_machine_batch(batch: DataFrame, epoch_id: int, out: str, *, write_cs
                          "batch_id": F.col("batch_id")}
                 if stats["scored_count"]:
                     added[SCORE] = F.col(SCORE)
-                write_union_csv(records, _batch_path(out, "csv", epoch_id), stats["layouts"], added)
+                write_union_csv(records, _batch_path(out, "csv", epoch_id), added)
         if stats["alert_count"]:
             (record_alerts(records, time_key=time_key).write.mode("overwrite")
              .json(_batch_path(out, "alerts", epoch_id)))
@@ -108,8 +102,7 @@ def process_customer_batch(batch: DataFrame, epoch_id: int, out: str, *, write_c
     staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = staged.agg(F.count(F.lit(1)).alias("total_records"),
-                           F.count_if("decoded").alias("processed_count"),
-                           key_layouts(F.col("decoded"))).first()
+                           F.count_if("decoded").alias("processed_count")).first()
         records = staged.where("decoded")
         if stats["processed_count"]:
             (records.select("record", "processing_timestamp", "customer_value_raw",
@@ -119,7 +112,7 @@ def process_customer_batch(batch: DataFrame, epoch_id: int, out: str, *, write_c
                 added = {"processing_timestamp": F.date_format("processing_timestamp", ISO_FORMAT),
                          "customer_value_score": F.col("customer_value_score"),
                          "customer_segment": F.col("customer_segment")}
-                write_union_csv(records, _batch_path(out, "csv", epoch_id), stats["layouts"], added)
+                write_union_csv(records, _batch_path(out, "csv", epoch_id), added)
         spark = batch.sparkSession
         (spark.createDataFrame([(epoch_id, stats["total_records"], stats["processed_count"],
                                  stats["total_records"] - stats["processed_count"], None)], STATS_SCHEMA)

@@ -42,3 +42,16 @@ def test_raw_csv_is_all_text(spark, tmp_path):
     assert [t for _, t in df.dtypes] == ["string", "string", "string", "timestamp"]
     row = df.first()
     assert (row.id, row.amount, row.note) == ("1", "$1,234.50", None) and row.ingest_timestamp is not None
+
+
+def test_hot_key_is_split_over_tasks(spark, tmp_path):
+    # key 0 holds half of all rows: it gets several files, every other key one
+    df = spark.range(4000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 50).alias("k"), "id")
+    counts = df.groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
+    assert sinks.write_processed(df, str(tmp_path / "p"), "k", key_counts=counts, threshold=10,
+                                 rows_per_task=250) is True
+    hot_files = [f for f in os.listdir(tmp_path / "p" / "k=0") if f.endswith(".parquet")]
+    cold_files = [f for f in os.listdir(tmp_path / "p" / "k=1") if f.endswith(".parquet")]
+    assert len(hot_files) > 1 and len(cold_files) == 1
+    back = spark.read.parquet(str(tmp_path / "p"))
+    assert back.count() == 4000 and back.where("k = 0").count() == 2000
