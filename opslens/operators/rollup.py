@@ -3,7 +3,9 @@
 Each rollup is one ``groupBy().agg()``: Spark plans a partial aggregate before
 the shuffle and a final one after it, so a key holding a third of all rows
 still arrives at its reducer as one partial row per map task, not as its raw
-rows. Sums and averages are exact fixed-point (see ``functions.numeric``).
+rows. Sums and averages are exact fixed point in integer arithmetic (see
+``functions.numeric``): each value's two BIGINT parts are projected once
+below the aggregate and summed.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslens.functions.numeric import to_fixed
+from opslens.functions.numeric import combine_parts, fixed_parts
 from opslens.functions.scores import etl_segment
 
 # Column types eligible for automatic averaging. ``decimal``
@@ -19,21 +21,26 @@ from opslens.functions.scores import etl_segment
 AVERAGED_TYPES = ("int", "bigint", "float", "double")
 
 
-def _fixed(c: str) -> str:
-    return f"__fixed_{c}"
+def _parts(name: str, value: F.Column) -> list[F.Column]:
+    """The two fixed-point parts of ``value`` as columns ``__w_<name>``, ``__f_<name>``."""
+    whole, frac = fixed_parts(value)
+    return [whole.alias(f"__w_{name}"), frac.alias(f"__f_{name}")]
 
 
-def _avg(c: str) -> F.Column:
-    """Exact average of a column pre-projected by ``_fixed``."""
-    f = F.col(_fixed(c))
-    return F.sum(f).cast("double") / F.nullif(F.count(f), F.lit(0))
+def _sum(name: str) -> F.Column:
+    return combine_parts(F.sum(f"__w_{name}"), F.sum(f"__f_{name}"))
+
+
+def _avg(name: str) -> F.Column:
+    """Exact average of a value projected by ``_parts``."""
+    return _sum(name) / F.nullif(F.count(f"__f_{name}"), F.lit(0))
 
 
 def machine_rollup(df: DataFrame, key: str = "machine_id", tag_col: str = "source_table") -> DataFrame:
     """A2-A4 by machine: ``avg_<c>`` of every numeric column, anomalies, rows, source tables.
 
     ``anomaly_flag`` missing from every table counts as no anomalies. The
-    fixed-point value of each averaged column is projected once below the
+    fixed-point parts of each averaged column are projected once below the
     aggregate, then summed and counted. ``source_tables_count`` is a single
     distinct aggregate: Spark plans it as a partial aggregate on
     (machine, table) and a second one on machine, both shuffling only
@@ -42,7 +49,7 @@ def machine_rollup(df: DataFrame, key: str = "machine_id", tag_col: str = "sourc
     numeric = [c for c, t in df.dtypes if t in AVERAGED_TYPES and c not in (key, tag_col)]
     anomalous = (F.col("anomaly_flag") > 0) if "anomaly_flag" in df.columns else F.lit(False)
     staged = df.select(key, tag_col, anomalous.alias("__anomalous"),
-                       *[to_fixed(F.col(c)).alias(_fixed(c)) for c in numeric])
+                       *[p for c in numeric for p in _parts(c, F.col(c))])
     return staged.groupBy(key).agg(
         *[_avg(c).alias(f"avg_{c}") for c in numeric],
         F.count_if("__anomalous").alias("total_anomalies"),
@@ -61,11 +68,11 @@ def customer_rollup(df: DataFrame, key: str = "customer_id") -> DataFrame:
     """
     satisfaction = F.col("customer_satisfaction").try_cast("double")
     staged = df.select(key, satisfaction.alias("__satisfaction"),
-                       to_fixed(F.col("cleaned_purchase_amount")).alias(_fixed("amount")),
-                       to_fixed(satisfaction).alias(_fixed("satisfaction")),
-                       to_fixed(F.col("product_rating").try_cast("double")).alias(_fixed("rating")))
+                       *_parts("amount", F.col("cleaned_purchase_amount")),
+                       *_parts("satisfaction", satisfaction),
+                       *_parts("rating", F.col("product_rating").try_cast("double")))
     return (staged.groupBy(key).agg(
-                F.sum(_fixed("amount")).cast("double").alias("total_purchase_amount"),
+                _sum("amount").alias("total_purchase_amount"),
                 _avg("amount").alias("avg_purchase_amount"),
                 F.count(F.lit(1)).alias("purchase_count"),
                 _avg("satisfaction").alias("avg_satisfaction"),

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslens.functions.numeric import safe_ratio, to_fixed
+from opslens.functions.numeric import combine_parts, fixed_parts, safe_ratio
 from opslens.functions.scores import ALERT_THRESHOLD, EFFICIENCY_CAP, ERROR_SEGMENT, RISK_THRESHOLDS
 from opslens.operators.machine import ESSENTIALS, RAW_SCORE, score_readings, with_efficiency
 
@@ -37,14 +37,15 @@ def machine_summary(readings: DataFrame, *, key: str = "machine_id", time_col: s
     complete = F.lit(True)
     for c in ESSENTIALS:
         complete = complete & F.col(c).isNotNull()
-    eff = F.when(complete, to_fixed(F.col("machine_efficiency")))
+    eff_whole, eff_frac = fixed_parts(F.when(complete, F.col("machine_efficiency")))
     per_machine = scored.groupBy(key).agg(
         F.max_by(RAW_SCORE, F.struct(time_col, RAW_SCORE)).alias("latest"),
         F.count_if(F.col(RAW_SCORE) > ALERT_THRESHOLD).alias("alerts"),
         F.count(F.lit(1)).alias("readings"),
         F.count_if(complete).alias("complete"),
-        F.sum(eff).alias("eff_sum"),
-        F.count(eff).alias("eff_n"),
+        F.sum(eff_whole).alias("eff_whole"),
+        F.sum(eff_frac).alias("eff_frac"),
+        F.count(eff_frac).alias("eff_n"),
     )
     known = F.col(key).isNotNull()
     latest = F.col("latest")
@@ -54,7 +55,8 @@ def machine_summary(readings: DataFrame, *, key: str = "machine_id", time_col: s
         F.count_if(known & (latest > mid) & (latest <= high)).alias("medium_risk_machines"),
         F.count_if(known & (latest.isNull() | (latest <= mid))).alias("low_risk_machines"),
         F.sum("alerts").alias("predicted_maintenance_events"),
-        (F.sum("eff_sum").cast("double") / F.nullif(F.sum("eff_n"), F.lit(0)) / EFFICIENCY_CAP)
+        (combine_parts(F.sum("eff_whole"), F.sum("eff_frac")) / F.nullif(F.sum("eff_n"), F.lit(0))
+         / EFFICIENCY_CAP)
         .alias("average_machine_efficiency"),
         safe_ratio(F.sum("complete"), F.sum("readings")).alias("data_quality_score"),
     )
@@ -76,7 +78,7 @@ def customer_summary(processed: DataFrame, rollup: DataFrame, scored_records: Da
     * data quality: scored records whose segment is not ``ERROR`` / all
 
     The processed table is scanned once for all of its fields: one
-    grouping-sets aggregate gives exact decimal sums and counts per category,
+    grouping-sets aggregate gives exact fixed-point sums and counts per category,
     per channel and overall (at most categories + channels + 1 rows), and one
     global aggregate over that picks the top category and channel with
     ``min_by`` on (-measure, name), which breaks ties to the smallest name.
@@ -89,23 +91,24 @@ def customer_summary(processed: DataFrame, rollup: DataFrame, scored_records: Da
         F.count_if(seg == "HIGH_VALUE").alias("high_value_customers"),
         F.count_if(seg == "MEDIUM_VALUE").alias("medium_value_customers"),
         F.count_if(seg == "STANDARD").alias("standard_customers"))
-    amount = to_fixed(F.col("cleaned_purchase_amount"))
-    satisfaction = to_fixed(F.col("customer_satisfaction").try_cast("double"))
+    a_whole, a_frac = fixed_parts(F.col("cleaned_purchase_amount"))
+    s_whole, s_frac = fixed_parts(F.col("customer_satisfaction").try_cast("double"))
     cells = (processed.groupingSets([[category_col], [channel_col], []], category_col, channel_col)
              .agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("rows"),
-                  F.sum(amount).alias("amount_sum"), F.count(amount).alias("amount_n"),
-                  F.sum(satisfaction).alias("sat_sum"), F.count(satisfaction).alias("sat_n")))
+                  F.sum(a_whole).alias("a_whole"), F.sum(a_frac).alias("a_frac"), F.count(a_frac).alias("a_n"),
+                  F.sum(s_whole).alias("s_whole"), F.sum(s_frac).alias("s_frac"), F.count(s_frac).alias("s_n")))
     gid, cat, chan = F.col("gid"), F.col(category_col), F.col(channel_col)
     by_category, by_channel, overall = (gid == 1) & cat.isNotNull(), (gid == 2) & chan.isNotNull(), gid == 3
-    channel_avg = F.col("amount_sum").cast("double") / F.nullif(F.col("amount_n"), F.lit(0))
+    channel_avg = combine_parts(F.col("a_whole"), F.col("a_frac")) / F.nullif(F.col("a_n"), F.lit(0))
 
-    def overall_ratio(total: str, n: str) -> F.Column:
-        return (F.sum(F.when(overall, F.col(total))).cast("double")
-                / F.nullif(F.sum(F.when(overall, F.col(n))), F.lit(0)))
+    def overall_mean(prefix: str) -> F.Column:
+        def part(p: str) -> F.Column:
+            return F.sum(F.when(overall, F.col(f"{prefix}_{p}")))
+        return combine_parts(part("whole"), part("frac")) / F.nullif(part("n"), F.lit(0))
 
     means = cells.agg(
-        overall_ratio("amount_sum", "amount_n").alias("average_purchase_amount"),
-        overall_ratio("sat_sum", "sat_n").alias("customer_satisfaction_index"),
+        overall_mean("a").alias("average_purchase_amount"),
+        overall_mean("s").alias("customer_satisfaction_index"),
         F.min_by(cat, F.when(by_category, F.struct(-F.col("rows"), cat))).alias("most_popular_category"),
         F.min_by(chan, F.when(by_channel, F.struct(channel_avg.isNull(), -channel_avg, chan)))
         .alias("highest_roi_marketing_channel"))

@@ -2,8 +2,8 @@
 
 The oracle sees only the base tables, so each domain view is inlined as a
 CTE. Exact sums use the same fixed-point rule as ``opslens.functions.numeric``
-(double -> decimal(30,10) -> decimal(28,6)) so both engines add the same
-decimals.
+(integer part and fraction in millionths, both summed as BIGINT) and scores
+the same decimal-first rounding, so both engines produce the same doubles.
 """
 
 from __future__ import annotations
@@ -76,12 +76,24 @@ def fixed(expr: str, scale: int = 6) -> str:
     return f"cast(try_cast({expr} as decimal(30,10)) as decimal(28,{scale}))"
 
 
+def parts(expr: str) -> tuple[str, str]:
+    v = f"(case when abs({expr}) < 9.0E15 then cast({expr} as double) end)"
+    whole = f"cast(floor({v}) as bigint)"
+    return whole, f"cast(floor(({v} - {whole}) * 1000000.0E0 + 0.5E0) as bigint)"
+
+
+def combine(sum_whole: str, sum_frac: str) -> str:
+    return f"(cast(cast({sum_whole} as bigint) as double) + cast(cast({sum_frac} as bigint) as double) / 1000000.0E0)"
+
+
 def exact_sum(expr: str) -> str:
-    return f"cast(sum({fixed(expr)}) as double)"
+    whole, frac = parts(expr)
+    return combine(f"sum({whole})", f"sum({frac})")
 
 
 def exact_avg(expr: str) -> str:
-    return f"cast(sum({fixed(expr)}) as double) / nullif(count({fixed(expr)}), 0)"
+    whole, frac = parts(expr)
+    return f"{combine(f'sum({whole})', f'sum({frac})')} / nullif(count({frac}), 0)"
 
 
 def round2(expr: str) -> str:
@@ -270,18 +282,18 @@ _MS_LATEST = """
 select machine_id, raw as latest from (
   select machine_id, raw, row_number() over (partition by machine_id order by ts desc, raw desc) as rn from ms_s)
 where rn = 1"""
+_EFF_W, _EFF_F = parts("case when complete then eff end")
 _MS_PER = f"""
 select machine_id, count_if(raw > 0.7E0) as alerts, count(*) as readings, count_if(complete) as complete,
-       sum(case when complete then {fixed("eff")} end) as eff_sum,
-       count(case when complete then {fixed("eff")} end) as eff_n
+       sum({_EFF_W}) as eff_whole, sum({_EFF_F}) as eff_frac, count({_EFF_F}) as eff_n
 from ms_s group by machine_id"""
-_MS = """
+_MS = f"""
 select count_if(p.machine_id is not null) as total_machines_analyzed,
        count_if(p.machine_id is not null and l.latest > 0.7E0) as high_risk_machines,
        count_if(p.machine_id is not null and l.latest > 0.4E0 and l.latest <= 0.7E0) as medium_risk_machines,
        count_if(p.machine_id is not null and (l.latest is null or l.latest <= 0.4E0)) as low_risk_machines,
        cast(sum(p.alerts) as bigint) as predicted_maintenance_events,
-       cast(sum(p.eff_sum) as double) / nullif(sum(p.eff_n), 0) / 500 as average_machine_efficiency,
+       {combine("sum(p.eff_whole)", "sum(p.eff_frac)")} / nullif(sum(p.eff_n), 0) / 500 as average_machine_efficiency,
        cast(sum(p.complete) as double) / nullif(sum(p.readings), 0) as data_quality_score
 from ms_p p join ms_l l on p.machine_id = l.machine_id"""
 _MS_CTES = [("ms_s", _MS_SCORED), ("ms_l", _MS_LATEST), ("ms_p", _MS_PER), ("ms", _MS)]
