@@ -150,31 +150,42 @@ def unscorable_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STREAM_RUNS: dict[tuple[int, str], str] = {}
 
 
-def stream_run(spark: SparkSession, sf_dir: str) -> str:
-    """Run both stream processors over envelope files derived from the tables.
+STREAM_DOMAINS = ("manufacturing", "ecommerce")
 
-    The envelope lines are written as text files (4 per stream) and drained
-    with an available-now trigger, one file per micro-batch. One run per
-    session and scale is shared by the stream queries.
-    """
-    key = (id(spark), sf_dir)
-    if key in _STREAM_RUNS:
-        return _STREAM_RUNS[key]
-    base = scratch_path(spark, "streams")
-    started = []
+
+def write_stream_sources(spark: SparkSession, sf_dir: str, base: str) -> None:
+    """Envelope lines derived from the tables, as text files (4 per stream)."""
     for domain, lines in (("manufacturing", fixtures.machine_envelopes(spark, sf_dir)),
                           ("ecommerce", fixtures.customer_envelopes(spark, sf_dir))):
-        src = f"{base}/{domain}/source"
-        lines.select("value").repartition(4).write.mode("overwrite").text(src)
-        started.append(processors.start(
-            spark, src, f"{base}/{domain}/out", f"{base}/{domain}/checkpoint", domain,
-            max_files_per_trigger=1, **({"time_key": "ts"} if domain == "manufacturing" else {})))
-    for q in started:  # the two streams run concurrently, as two independent queries
+        lines.select("value").repartition(4).write.mode("overwrite").text(f"{base}/{domain}/source")
+
+
+def process_streams(spark: SparkSession, base: str) -> None:
+    """Drain both sources with an available-now trigger, one file per micro-batch.
+
+    The two streams run concurrently, as two independent queries.
+    """
+    started = [processors.start(spark, f"{base}/{d}/source", f"{base}/{d}/out", f"{base}/{d}/checkpoint", d,
+                                max_files_per_trigger=1, **({"time_key": "ts"} if d == "manufacturing" else {}))
+               for d in STREAM_DOMAINS]
+    for q in started:
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
-    _STREAM_RUNS[key] = base
-    return base
+
+
+def stream_run(spark: SparkSession, sf_dir: str) -> str:
+    """Both stream processors over envelope files derived from the tables.
+
+    One run per session and scale is shared by the stream queries.
+    """
+    key = (id(spark), sf_dir)
+    if key not in _STREAM_RUNS:
+        base = scratch_path(spark, "streams")
+        write_stream_sources(spark, sf_dir, base)
+        process_streams(spark, base)
+        _STREAM_RUNS[key] = base
+    return _STREAM_RUNS[key]
 
 
 @register
