@@ -55,3 +55,9 @@ def test_customer_rollup_casts_text_satisfaction(spark):
     assert rows[1].total_purchase_amount == 30.0 and rows[1].purchase_count == 2
     assert rows[1].avg_satisfaction == 7.5 and rows[1].customer_segment == "HIGH_VALUE"
     assert rows[2].customer_segment == "MEDIUM_VALUE" and rows[2].avg_product_rating is None
+
+
+def test_machine_rollup_without_anomaly_flag_counts_zero(spark):
+    df = spark.createDataFrame([(1, 2.0, "t"), (1, 4.0, "u")], "machine_id bigint, temperature double, source_table string")
+    row = rollup.machine_rollup(df).first()
+    assert (row.total_anomalies, row.total_records, row.source_tables_count, row.avg_temperature) == (0, 2, 2, 3.0)

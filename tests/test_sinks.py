@@ -55,3 +55,26 @@ def test_hot_key_is_split_over_tasks(spark, tmp_path):
     assert len(hot_files) > 1 and len(cold_files) == 1
     back = spark.read.parquet(str(tmp_path / "p"))
     assert back.count() == 4000 and back.where("k = 0").count() == 2000
+
+
+def test_latest_summary_tie_keeps_lowest_path(spark, tmp_path):
+    path = tmp_path / "ties"
+    for name, n in (("b", 2), ("a", 1), ("c", 3)):
+        spark.createDataFrame([(n,)], "n long").coalesce(1).write.json(str(path / name))
+    files = sorted(path.glob("*/part-*.json"))
+    for f in files:
+        os.utime(f, (1_700_000_000, 1_700_000_000))
+    row = sinks.latest_summary(spark, f"{path}/*", "n long").first()
+    assert row.n == 1  # same modification time everywhere: the lowest path wins
+
+
+def test_raw_csv_streaming_form(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.createDataFrame([("1", "a"), ("2", "b")], "id string, v string").write.option("header", True).csv(path)
+    stream = sinks.read_raw_csv(spark, path, ["id", "v"], streaming=True)
+    assert stream.isStreaming
+    q = stream.writeStream.format("memory").queryName("raw_csv_stream").start()
+    q.processAllAvailable()
+    q.stop()
+    got = spark.sql("select id, v, ingest_timestamp is not null as stamped from raw_csv_stream").collect()
+    assert sorted((r.id, r.v, r.stamped) for r in got) == [("1", "a", True), ("2", "b", True)]
