@@ -153,20 +153,27 @@ _STREAM_RUNS: dict[tuple[int, str], str] = {}
 STREAM_DOMAINS = ("manufacturing", "ecommerce")
 
 
+# Source layout of the stream runs: files per stream and files per micro-batch.
+# A file is one task, so a micro-batch reads its files in parallel.
+STREAM_FILES = 16
+FILES_PER_TRIGGER = 4
+
+
 def write_stream_sources(spark: SparkSession, sf_dir: str, base: str) -> None:
-    """Envelope lines derived from the tables, as text files (4 per stream)."""
+    """Envelope lines derived from the tables, as text files."""
     for domain, lines in (("manufacturing", fixtures.machine_envelopes(spark, sf_dir)),
                           ("ecommerce", fixtures.customer_envelopes(spark, sf_dir))):
-        lines.select("value").repartition(4).write.mode("overwrite").text(f"{base}/{domain}/source")
+        lines.select("value").repartition(STREAM_FILES).write.mode("overwrite").text(f"{base}/{domain}/source")
 
 
 def process_streams(spark: SparkSession, base: str) -> None:
-    """Drain both sources with an available-now trigger, one file per micro-batch.
+    """Drain both sources with an available-now trigger, several files per micro-batch.
 
     The two streams run concurrently, as two independent queries.
     """
     started = [processors.start(spark, f"{base}/{d}/source", f"{base}/{d}/out", f"{base}/{d}/checkpoint", d,
-                                max_files_per_trigger=1, **({"time_key": "ts"} if d == "manufacturing" else {}))
+                                max_files_per_trigger=FILES_PER_TRIGGER,
+                                **({"time_key": "ts"} if d == "manufacturing" else {}))
                for d in STREAM_DOMAINS]
     for q in started:
         q.awaitTermination()
