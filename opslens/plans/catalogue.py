@@ -121,16 +121,21 @@ def _typed_machine(records: DataFrame, record_col: str = "record") -> list:
             rec.getItem("downtime_risk").try_cast("double").alias("downtime_risk")]
 
 
+def _stream_partitions(spark: SparkSession) -> int:
+    return sinks.parallelism(spark)
+
+
 @register
 def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = envelopes.decode_envelopes(fixtures.machine_envelopes(spark, sf_dir), allow_bare=True)
+    lines = fixtures.machine_envelopes(spark, sf_dir, _stream_partitions(spark))
+    decoded = envelopes.decode_envelopes(lines, allow_bare=True)
     return decoded.select("key", *_typed_machine(decoded))
 
 
 @register
 def record_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = envelopes.decode_envelopes(fixtures.machine_envelopes(spark, sf_dir), allow_bare=True)
-    meta = envelopes.add_record_metadata(decoded)
+    lines = fixtures.machine_envelopes(spark, sf_dir, _stream_partitions(spark))
+    meta = envelopes.add_record_metadata(envelopes.decode_envelopes(lines, allow_bare=True))
     # well-formedness per record instead of a distinct count, which would
     # shuffle every id of the stream just to re-check uuid() uniqueness
     return meta.agg(F.count(F.lit(1)).alias("records"),
@@ -140,7 +145,8 @@ def record_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def unscorable_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = envelopes.decode_envelopes(fixtures.perturbed_machine_envelopes(spark, sf_dir), allow_bare=True)
+    lines = fixtures.perturbed_machine_envelopes(spark, sf_dir, _stream_partitions(spark))
+    decoded = envelopes.decode_envelopes(lines, allow_bare=True)
     scored = machine.score_machine_records(decoded).where("keep")
     rec = F.col("record")
     return scored.select(rec.getItem("event_id").try_cast("bigint").alias("event_id"), "scorable",
@@ -161,9 +167,9 @@ FILES_PER_TRIGGER = 4
 
 def write_stream_sources(spark: SparkSession, sf_dir: str, base: str) -> None:
     """Envelope lines derived from the tables, as text files."""
-    for domain, lines in (("manufacturing", fixtures.machine_envelopes(spark, sf_dir)),
-                          ("ecommerce", fixtures.customer_envelopes(spark, sf_dir))):
-        lines.select("value").repartition(STREAM_FILES).write.mode("overwrite").text(f"{base}/{domain}/source")
+    for domain, lines in (("manufacturing", fixtures.machine_envelopes(spark, sf_dir, STREAM_FILES)),
+                          ("ecommerce", fixtures.customer_envelopes(spark, sf_dir, STREAM_FILES))):
+        lines.select("value").write.mode("overwrite").text(f"{base}/{domain}/source")
 
 
 def process_streams(spark: SparkSession, base: str) -> None:

@@ -119,8 +119,15 @@ def spoil(envelope_data: Column, id_col: Column) -> Column:
             .otherwise(envelope_data))
 
 
-def _envelope_lines(df: DataFrame, id_col: str, key_field: str, bare: Column | None) -> DataFrame:
+def _partitioned(df: DataFrame, partitions: int | None) -> DataFrame:
+    """A stream arrives in many partitions; the test tables are single files."""
+    return df.repartition(partitions) if partitions else df
+
+
+def _envelope_lines(df: DataFrame, id_col: str, key_field: str, bare: Column | None,
+                    partitions: int | None = None) -> DataFrame:
     # every value as text, the way a CSV row reaches the stream; null fields absent
+    df = _partitioned(df, partitions)
     text = df.select(F.col(id_col).alias("id"), *[F.col(c).cast("string").alias(c) for c in df.columns])
     keyed = encode_keyed_records(text, key_field, include_nulls=False, keep=("id",))
     return keyed.select("id", "key", _line(F.col("value"), F.col("id"), bare))
@@ -133,17 +140,18 @@ def _line(value: Column, rid: Column, bare: Column | None) -> Column:
     return line.alias("value")
 
 
-def machine_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def machine_envelopes(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Envelope lines for the machine stream; every 5th event is sent bare."""
     er = event_readings(spark, sf_dir)
-    return _envelope_lines(er, "event_id", "machine_id", bare=F.col("id") % 5 == 0)
+    return _envelope_lines(er, "event_id", "machine_id", bare=F.col("id") % 5 == 0, partitions=partitions)
 
 
-def customer_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _envelope_lines(ecommerce_records(spark, sf_dir), "order_key", "customer_id", bare=None)
+def customer_envelopes(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    return _envelope_lines(ecommerce_records(spark, sf_dir), "order_key", "customer_id", bare=None,
+                           partitions=partitions)
 
 
-def perturbed_machine_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def perturbed_machine_envelopes(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Machine envelopes with routing cases chosen by id.
 
     id % 7: ``vibration`` absent (unscorable, passes through); id % 11:
@@ -151,7 +159,7 @@ def perturbed_machine_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``downtime_risk`` absent (defaults to 0); id % 17: ``anomaly_flag``
     present but null (dropped).
     """
-    er = event_readings(spark, sf_dir)
+    er = _partitioned(event_readings(spark, sf_dir), partitions)
     rid = F.col("event_id")
     pairs = []
     for c in er.columns:

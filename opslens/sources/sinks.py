@@ -20,7 +20,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "snappy").parquet(path)
 
 
-def _parallelism(spark: SparkSession) -> int:
+def parallelism(spark: SparkSession) -> int:
+    """Default parallelism of the cluster (the shuffle partition setting under Spark Connect)."""
     try:
         return spark.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - Spark Connect
@@ -53,7 +54,7 @@ def write_processed(df: DataFrame, path: str, key: str, *, rows: int | None = No
         writer = df.write
     else:
         if key_counts is not None:
-            tasks = max(_parallelism(df.sparkSession), math.ceil(n / rows_per_task))
+            tasks = max(parallelism(df.sparkSession), math.ceil(n / rows_per_task))
             per_task = max(1, math.ceil(n / tasks))
             hot = (key_counts.where(F.col(count_col) > per_task)
                    .select(F.col(key), F.ceil(F.col(count_col) / per_task).cast("int").alias("__buckets")))
