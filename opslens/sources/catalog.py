@@ -57,38 +57,48 @@ def load_tagged(spark: SparkSession, tables: Iterable[str] | Mapping[str, DataFr
     return out
 
 
-def _presence(name: str, df: DataFrame, columns: Sequence[str], limit: int | None) -> DataFrame:
+def _presence(name: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows ``(table, column, present)`` for ``columns`` of one table, from one aggregate."""
-    src = df.limit(limit) if limit else df
-    flags = src.agg(*[F.max(F.col(f"`{c}`").isNotNull()).alias(f"c{i}") for i, c in enumerate(columns)])
+    flags = df.agg(*[F.max(F.col(f"`{c}`").isNotNull()).alias(f"c{i}") for i, c in enumerate(columns)])
     cells = [F.struct(F.lit(name).alias("table"), F.lit(c).alias("column"), F.col(f"c{i}").alias("present"))
              for i, c in enumerate(columns)]
     return flags.select(F.explode(F.array(*cells)).alias("x")).select("x.*")
 
 
-def non_null_columns_by_table(tables: Mapping[str, DataFrame], probe_rows: int = 10_000) -> dict[str, list[str]]:
-    """F6 for many tables: columns holding at least one non-null value, in schema order.
+def _probe(df: DataFrame, probe_rows: int) -> set[str]:
+    """Columns with a value among the first ``probe_rows`` rows.
 
-    Two jobs at most for all tables together (the per-table aggregates are
-    unioned, so their stages run side by side). A cheap probe over the first
-    ``probe_rows`` rows of each table settles every column that has data
-    there; only the columns still all-null are checked over the whole table,
-    and reading just those columns is cheap (an all-null Parquet column is a
-    run of definition levels). Only one flag per column reaches the driver.
+    A projection of null flags under a limit that is collected runs as an
+    incremental ``CollectLimit``: it reads one partition first and more only
+    if that one is short, instead of a task on every split of the table.
+    At most ``probe_rows`` rows of booleans reach the driver.
     """
-    def run(parts: list[DataFrame]) -> set[tuple[str, str]]:
-        if not parts:
-            return set()
-        rows = reduce(DataFrame.unionByName, parts).collect()
-        return {(r["table"], r["column"]) for r in rows if r["present"]}
+    cols = df.columns
+    rows = df.select(*[F.col(f"`{c}`").isNotNull().alias(f"c{i}") for i, c in enumerate(cols)]) \
+        .limit(probe_rows).collect()
+    return {c for i, c in enumerate(cols) if any(r[i] for r in rows)}
 
-    found = run([_presence(n, df, df.columns, probe_rows) for n, df in tables.items() if df.columns])
+
+def non_null_columns_by_table(tables: Mapping[str, DataFrame], probe_rows: int = 1_000) -> dict[str, list[str]]:
+    """F6 for many tables: columns holding at least one non-null value, in schema order.
+
+    A cheap probe of the first ``probe_rows`` rows of each table settles
+    every column that has data there. The columns still all-null are then
+    checked over their whole tables in one job for all tables (the
+    per-table aggregates are unioned, so their stages run side by side);
+    reading just those columns is cheap (an all-null Parquet column is a run
+    of definition levels). Only one flag per column reaches the driver.
+    """
+    found = {(n, c) for n, df in tables.items() if df.columns for c in _probe(df, probe_rows)}
     rest = {n: [c for c in df.columns if (n, c) not in found] for n, df in tables.items()}
-    found |= run([_presence(n, tables[n], cols, None) for n, cols in rest.items() if cols])
+    parts = [_presence(n, tables[n], cols) for n, cols in rest.items() if cols]
+    if parts:
+        rows = reduce(DataFrame.unionByName, parts).collect()
+        found |= {(r["table"], r["column"]) for r in rows if r["present"]}
     return {n: [c for c in df.columns if (n, c) in found] for n, df in tables.items()}
 
 
-def non_null_columns(df: DataFrame, probe_rows: int = 10_000) -> list[str]:
+def non_null_columns(df: DataFrame, probe_rows: int = 1_000) -> list[str]:
     """F6 for one table (see ``non_null_columns_by_table``)."""
     return non_null_columns_by_table({"t": df}, probe_rows)["t"]
 
