@@ -29,7 +29,6 @@ from pyspark.sql.types import DecimalType, DoubleType
 # places of the first conversion step of decimal-first rounding.
 SUM_UNITS = 1_000_000
 SUM_LIMIT = 9.0e15
-SUM_SCALE = 6
 GUARD_SCALE = 10
 
 
@@ -37,7 +36,7 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_fixed(c: Column | str, scale: int = SUM_SCALE) -> Column:
+def to_fixed(c: Column | str, scale: int) -> Column:
     """Double -> decimal(28, scale), half-up; NaN, infinity and overflow -> null."""
     guarded = _col(c).try_cast(DecimalType(30, GUARD_SCALE))
     return guarded.cast(DecimalType(28, scale))

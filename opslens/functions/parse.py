@@ -13,11 +13,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def field(record: Column, key: str) -> Column:
-    """Value of ``key`` in a map column (null when absent or null)."""
-    return record.getItem(key)
-
-
 def has_key(record: Column, key: str) -> Column:
     """True when the map holds ``key``, even with a null value."""
     return F.coalesce(F.map_contains_key(record, F.lit(key)), F.lit(False))
