@@ -203,7 +203,7 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
 
 @register
 def stream_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recs = processors.read_records(spark, f"{stream_run(spark, sf_dir)}/manufacturing/out")
+    recs = processors.read_records(spark, f"{stream_run(spark, sf_dir)}/manufacturing/out", "manufacturing")
     return recs.select(*_typed_machine(recs), machine.SCORE)
 
 
@@ -216,7 +216,7 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def stream_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recs = processors.read_records(spark, f"{stream_run(spark, sf_dir)}/ecommerce/out")
+    recs = processors.read_records(spark, f"{stream_run(spark, sf_dir)}/ecommerce/out", "ecommerce")
     rec = F.col("record")
     return recs.select(rec.getItem("order_key").try_cast("bigint").alias("order_key"),
                        rec.getItem("customer_id").try_cast("bigint").alias("customer_id"),

@@ -34,6 +34,12 @@ ALERT_SCHEMA = ("machine_id string, alert_type string, score double, timestamp s
                 "recommended_action string")
 STATS_SCHEMA = ("epoch long, total_records long, processed_count long, failed_records long, "
                 "alert_count long")
+RECORD_SCHEMAS = {
+    "manufacturing": ("record map<string,string>, processing_timestamp timestamp, batch_id string, "
+                      "scorable boolean, priority_raw double, maintenance_priority_score double"),
+    "ecommerce": ("record map<string,string>, processing_timestamp timestamp, customer_value_raw double, "
+                  "customer_value_score double, customer_segment string"),
+}
 
 
 def _batch_path(out: str, sink: str, epoch_id: int) -> str:
@@ -163,9 +169,13 @@ def _read_sink(spark: SparkSession, out: str, sink: str, fmt: str, schema: str |
         raise
 
 
-def read_records(spark: SparkSession, out: str) -> DataFrame | None:
-    """Processed records of every micro-batch (None when no batch had a record)."""
-    return _read_sink(spark, out, "records", "parquet", None)
+def read_records(spark: SparkSession, out: str, domain: str) -> DataFrame:
+    """Processed records of every micro-batch (empty when no batch had a record)."""
+    schema = RECORD_SCHEMAS[domain]
+    df = _read_sink(spark, out, "records", "parquet", None)
+    if df is None:
+        return spark.createDataFrame([], schema)
+    return df.select(*[c.split()[0] for c in schema.split(", ")])
 
 
 def read_alerts(spark: SparkSession, out: str) -> DataFrame:

@@ -25,7 +25,7 @@ def test_machine_stream_equals_batch(spark, tmp_path):
     lines = fixtures.machine_envelopes(spark, SF_SMALL)
     out = _run(spark, tmp_path, "manufacturing", lines)
     key = [F.col("record").getItem("event_id").alias("event_id"), F.col(machine.SCORE)]
-    streamed = processors.read_records(spark, out).select(*key)
+    streamed = processors.read_records(spark, out, "manufacturing").select(*key)
     batch = machine.score_machine_records(envelopes.decode_envelopes(lines, allow_bare=True)) \
         .where("keep").select(*key)
     assert streamed.count() == batch.count() > 0
@@ -48,9 +48,16 @@ def test_replayed_batch_is_idempotent(spark, tmp_path):
     lines = fixtures.customer_envelopes(spark, SF_SMALL).select("value")
     out = str(tmp_path / "out")
     processors.process_customer_batch(lines, 7, out)
-    first = processors.read_records(spark, out).count()
+    first = processors.read_records(spark, out, "ecommerce").count()
     processors.process_customer_batch(lines, 7, out)
-    assert processors.read_records(spark, out).count() == first == lines.count() - \
+    assert processors.read_records(spark, out, "ecommerce").count() == first == lines.count() - \
         fixtures.customer_envelopes(spark, SF_SMALL).where(fixtures.spoiled(F.col("id"))).count()
     stats = processors.read_stats(spark, out).first()
     assert stats.failed_records == stats.total_records - stats.processed_count
+
+
+def test_empty_outputs_read_as_empty(spark, tmp_path):
+    out = str(tmp_path / "nothing")
+    assert processors.read_records(spark, out, "manufacturing").count() == 0
+    assert processors.read_alerts(spark, out).count() == 0
+    assert processors.read_stats(spark, out).count() == 0
