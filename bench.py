@@ -2,7 +2,9 @@
 
 Each query is forced with a ``noop`` write (the whole plan runs, nothing is
 collected to the driver). One warm-up pass, then the median of
-$BENCH_RUNS timed runs per query. Prints one JSON line.
+$BENCH_RUNS timed runs per query, then the two stream processors and the two
+ETL runs with their writes. Prints one JSON line. With $BENCH_EVENT_LOG_DIR
+set, Spark's event log (stage and task times) is written there.
 """
 
 from __future__ import annotations
@@ -65,8 +67,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = build_session(f"local[{cpus}]", app="opslens-bench", shuffle_partitions=max(cpus, 8),
-                          **{"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    conf = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):  # stage and task times, read offline (no UI)
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
+    spark = build_session(f"local[{cpus}]", app="opslens-bench", shuffle_partitions=max(cpus, 8), **conf)
     spark.sparkContext.setLogLevel("ERROR")
 
     for name in HEADLINE:  # warm-up: JIT, codegen caches, file listing
