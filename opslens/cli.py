@@ -4,6 +4,7 @@
     python -m opslens.cli ecommerce-etl --database raw_shop --target /data/analytics/ecommerce
     python -m opslens.cli report --target /data/analytics --manufacturing-database raw_mfg \\
         --ecommerce-database raw_shop --records-table raw_shop.ecommerce_records
+    python -m opslens.cli produce --csv /raw/shop.csv --key Customer_ID --out /landing/shop
     python -m opslens.cli stream --domain manufacturing --source /landing/mfg --out /processed/mfg \\
         --checkpoint /checkpoints/mfg [--available-now]
 
@@ -18,7 +19,8 @@ import argparse
 from pyspark.sql import SparkSession
 
 from opslens.plans import cross_domain, ecommerce, manufacturing
-from opslens.sources.sinks import PARTITION_THRESHOLD
+from opslens.sources.envelopes import to_envelope_lines
+from opslens.sources.sinks import PARTITION_THRESHOLD, read_raw_csv
 from opslens.streaming import processors
 
 
@@ -42,6 +44,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--manufacturing-database", required=True)
     p.add_argument("--ecommerce-database", required=True)
     p.add_argument("--records-table", required=True)
+    p = sub.add_parser("produce")
+    p.add_argument("--csv", required=True)
+    p.add_argument("--key", required=True)
+    p.add_argument("--out", required=True)
     p = sub.add_parser("stream")
     p.add_argument("--domain", choices=("manufacturing", "ecommerce"), required=True)
     p.add_argument("--source", required=True)
@@ -61,6 +67,9 @@ def main(argv: list[str] | None = None) -> None:
         cross_domain.run(spark, args.target, None, None, spark.table(args.records_table),
                          manufacturing_database=args.manufacturing_database,
                          ecommerce_database=args.ecommerce_database)
+    elif args.command == "produce":
+        lines = to_envelope_lines(read_raw_csv(spark, args.csv), args.key)
+        lines.select("value").write.mode("append").text(args.out)
     else:
         query = processors.start(spark, args.source, args.out, args.checkpoint, args.domain,
                                  max_files_per_trigger=args.max_files_per_trigger,

@@ -46,6 +46,16 @@ def envelope(data: Column) -> Column:
     return F.to_json(F.struct(F.struct(data.alias("data")).alias("kinesis")))
 
 
+def to_envelope_lines(df: DataFrame, key_field: str, include_nulls: bool = True) -> DataFrame:
+    """The producer: rows -> keyed JSON records (S2) -> ``(key, envelope line)``.
+
+    A narrow projection, so it runs where the rows are read; written as text
+    files into a folder a file-source stream watches (or to a message topic).
+    """
+    keyed = encode_keyed_records(df, key_field, include_nulls)
+    return keyed.select("key", envelope(base64_text(F.col("value"))).alias("value"))
+
+
 def decode_envelopes(df: DataFrame, *, value_col: str = "value", allow_bare: bool = False,
                      record_col: str = "record", keep_failed: bool = False) -> DataFrame:
     """Envelope line -> ``map<string,string>`` record.
