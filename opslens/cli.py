@@ -1,6 +1,7 @@
 """Command-line entry points for ``spark-submit``.
 
-    spark-submit -m opslens.cli manufacturing-etl --database raw_mfg --target s3://bucket/analytics/manufacturing
+    spark-submit --py-files opslens.zip opslens/cli.py manufacturing-etl --database raw_mfg \
+        --target /warehouse/analytics/manufacturing
     python -m opslens.cli ecommerce-etl --database raw_shop --target /data/analytics/ecommerce
     python -m opslens.cli report --target /data/analytics --manufacturing-database raw_mfg \\
         --ecommerce-database raw_shop --records-table raw_shop.ecommerce_records
