@@ -1,7 +1,7 @@
 """Keyed stream records and their envelopes.
 
 A producer turns each row into ``(key, JSON text)``; the stream service wraps
-the text as ``{"kinesis": {"data": <base64>}}``. Decoding is all built-in
+the text as ``{ENVELOPE_KEY: {DATA_KEY: <base64>}}``. Decoding is all built-in
 expressions (``from_json``, ``try_to_binary``, ``try_validate_utf8``), so a
 malformed row becomes null and is filtered instead of failing the batch.
 """
@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from opslens.functions.parse import has_key
 
 RECORD_TYPE = "map<string,string>"
+# The envelope format, {"kinesis": {"data": "<base64 of the record JSON>"}}.
+ENVELOPE_KEY = "kinesis"
+DATA_KEY = "data"
 
 
 def record_json(columns: Sequence[str | Column], include_nulls: bool = True) -> Column:
@@ -43,7 +46,7 @@ def base64_text(text: Column) -> Column:
 
 def envelope(data: Column) -> Column:
     """Envelope line around already base64-encoded data."""
-    return F.to_json(F.struct(F.struct(data.alias("data")).alias("kinesis")))
+    return F.to_json(F.struct(F.struct(data.alias(DATA_KEY)).alias(ENVELOPE_KEY)))
 
 
 def to_envelope_lines(df: DataFrame, key_field: str, include_nulls: bool = True) -> DataFrame:
@@ -72,10 +75,10 @@ def decode_envelopes(df: DataFrame, *, value_col: str = "value", allow_bare: boo
     the whole decode inlined, evaluating it twice per row.
     """
     staged = df.withColumn("_outer", F.from_json(F.col(value_col), RECORD_TYPE))
-    staged = staged.withColumn("_inner", F.from_json(F.col("_outer").getItem("kinesis"), RECORD_TYPE))
+    staged = staged.withColumn("_inner", F.from_json(F.col("_outer").getItem(ENVELOPE_KEY), RECORD_TYPE))
     outer, inner = F.col("_outer"), F.col("_inner")
-    is_envelope = has_key(outer, "kinesis") & has_key(inner, "data")
-    data = F.regexp_replace(inner.getItem("data"), r"[\r\n]", "")
+    is_envelope = has_key(outer, ENVELOPE_KEY) & has_key(inner, DATA_KEY)
+    data = F.regexp_replace(inner.getItem(DATA_KEY), r"[\r\n]", "")
     payload = F.try_validate_utf8(F.try_to_binary(data, F.lit("base64")).cast("string"))
     record = F.when(is_envelope, F.from_json(payload, RECORD_TYPE))
     if allow_bare:
