@@ -11,12 +11,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
 
 from opslens.functions.numeric import combine_parts, fixed_parts, safe_ratio
 from opslens.functions.scores import ALERT_THRESHOLD, EFFICIENCY_CAP, ERROR_SEGMENT, RISK_THRESHOLDS
 from opslens.operators.machine import ESSENTIALS, RAW_SCORE, score_readings, with_efficiency
 
 
+def _time_micros(dtype: DataType, ts: F.Column) -> F.Column:
+    """Microseconds since the epoch, independent of the session time zone."""
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(ts)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, ts.cast("timestamp_ntz"))
+
+
 def _one_row(spark, **fields: DataFrame) -> DataFrame:
     """Single-row DataFrame whose struct columns are scalar subqueries (<= 1 row each)."""
     return spark.range(1).select(*[df.select(F.struct("*")).scalar().alias(name) for name, df in fields.items()])
@@ -27,19 +36,27 @@ def machine_summary(readings: DataFrame, *, key: str = "machine_id", time_col: s
 
     * machines analysed: distinct non-null machines
     * high / medium / low risk: tier of each machine's latest unrounded score
-      (latest by time, ties to the higher score): > 0.7, > 0.4, else low
+      (latest by time, ties to the higher score): > 0.7, > 0.4, else low.
+      Readings without a time do not count as latest.
     * predicted maintenance events: readings above the alert threshold
     * average machine efficiency: mean efficiency of complete readings / 500
     * data quality: complete readings / all readings
     """
     high, mid = RISK_THRESHOLDS
     scored = score_readings(with_efficiency(readings))
+    # The latest reading's tier as one BIGINT, time * 4 + tier: the maximum is the
+    # latest reading, and on a time tie the higher tier (the tier grows with the
+    # score). A plain max over a long keeps the aggregate hash-based; ordering by a
+    # (time, score) struct would force a sort-based aggregate over all rows.
+    raw = F.col(RAW_SCORE)
+    tier_code = F.when(raw > high, 2).when(raw > mid, 1).otherwise(0)
+    latest_key = _time_micros(scored.schema[time_col].dataType, F.col(time_col)) * 4 + tier_code
     complete = F.lit(True)
     for c in ESSENTIALS:
         complete = complete & F.col(c).isNotNull()
     eff_whole, eff_frac = fixed_parts(F.when(complete, F.col("machine_efficiency")))
     per_machine = scored.groupBy(key).agg(
-        F.max_by(RAW_SCORE, F.struct(time_col, RAW_SCORE)).alias("latest"),
+        F.max(latest_key).alias("latest_key"),
         F.count_if(F.col(RAW_SCORE) > ALERT_THRESHOLD).alias("alerts"),
         F.count(F.lit(1)).alias("readings"),
         F.count_if(complete).alias("complete"),
@@ -48,12 +65,12 @@ def machine_summary(readings: DataFrame, *, key: str = "machine_id", time_col: s
         F.count(eff_frac).alias("eff_n"),
     )
     known = F.col(key).isNotNull()
-    latest = F.col("latest")
+    latest_tier = F.coalesce(F.pmod(F.col("latest_key"), F.lit(4)), F.lit(0))
     return per_machine.agg(
         F.count_if(known).alias("total_machines_analyzed"),
-        F.count_if(known & (latest > high)).alias("high_risk_machines"),
-        F.count_if(known & (latest > mid) & (latest <= high)).alias("medium_risk_machines"),
-        F.count_if(known & (latest.isNull() | (latest <= mid))).alias("low_risk_machines"),
+        F.count_if(known & (latest_tier == 2)).alias("high_risk_machines"),
+        F.count_if(known & (latest_tier == 1)).alias("medium_risk_machines"),
+        F.count_if(known & (latest_tier == 0)).alias("low_risk_machines"),
         F.sum("alerts").alias("predicted_maintenance_events"),
         (combine_parts(F.sum("eff_whole"), F.sum("eff_frac")) / F.nullif(F.sum("eff_n"), F.lit(0))
          / EFFICIENCY_CAP)

@@ -72,3 +72,22 @@ def test_stream_record_routing(spark):
     assert got["6"] == (True, True, python_priority(10, 1, 0, 0))
     alerts = machine.record_alerts(out).collect()
     assert [a.machine_id for a in alerts] == ["1"]
+
+
+@pytest.mark.parametrize("ts_type", ["timestamp", "timestamp_ntz"])
+def test_machine_summary_latest_tier(spark, ts_type):
+    from opslens.operators.summary import machine_summary
+
+    rows = [  # machine, ts, temperature, vibration, anomaly, risk, energy, life
+        (1, "2024-01-02 00:00:00", 10.0, 1.0, 0, 0.0, 1.0, 1.0),   # latest, low score
+        (1, "2024-01-02 00:00:00", 90.0, 9.0, 1, 0.9, 1.0, 1.0),   # latest too, high score: wins the tie
+        (2, "2024-01-01 00:00:00", 90.0, 9.0, 1, 0.9, 1.0, 1.0),   # earlier, high
+        (2, "2024-01-03 00:00:00", 10.0, 1.0, 0, 0.0, None, 1.0),  # latest, low
+        (3, "2024-01-01 00:00:00", 50.0, 2.0, 0, 0.9, 1.0, 1.0),   # medium (0.15 + 0.05 + 0.27)
+    ]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("ts", F.col("ts").cast(ts_type))
+    row = machine_summary(df).first()
+    assert (row.total_machines_analyzed, row.high_risk_machines, row.medium_risk_machines,
+            row.low_risk_machines) == (3, 1, 1, 1)
+    assert row.predicted_maintenance_events == 2
+    assert row.data_quality_score == pytest.approx(4 / 5)

@@ -33,3 +33,34 @@ def test_plan_is_lean(spark, name):
         if scan and "lineitem.parquet" in line:
             cols = [c for c in scan.group(1).split(",") if c.strip()]
             assert len(cols) < LINEITEM_COLUMNS, f"{name}: unpruned lineitem scan"
+
+
+def plan_of(spark, name) -> str:
+    return executed_plan(E.queries()[name](spark, SF_SMALL))
+
+
+def test_sample_is_a_distributed_top_k(spark):
+    assert "TakeOrderedAndProject" in plan_of(spark, "purchase_sample")
+
+
+def test_decode_drops_failures_without_a_second_decode(spark):
+    plan = plan_of(spark, "envelope_decode")
+    assert "Generate explode" in plan
+    assert not any("Filter" in line and "from_json" in line for line in plan.splitlines())
+
+
+@pytest.mark.parametrize("name", ["machine_rollup", "machine_summary", "customer_summary"])
+def test_aggregates_hash_based_and_pre_aggregated(spark, name):
+    """Every shuffle carries aggregated rows; no aggregate falls back to sorting its input."""
+    plan = plan_of(spark, name).split("== Initial Plan ==")[0]
+    assert "SortAggregate" not in plan
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            below = next(x for x in lines[i + 1:] if x.strip().lstrip("+-: ").strip())
+            assert "Aggregate" in below, f"{name}: raw rows shuffled"
+
+
+def test_customer_summary_scans_processed_table_once_for_its_fields(spark):
+    plan = plan_of(spark, "customer_summary")
+    assert plan.count("Expand") >= 1  # one grouping-sets aggregate for category, channel and overall
