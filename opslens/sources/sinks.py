@@ -57,8 +57,10 @@ def write_processed(df: DataFrame, path: str, key: str, *, rows: int | None = No
             tasks = max(parallelism(df.sparkSession), math.ceil(n / rows_per_task))
             per_task = max(1, math.ceil(n / tasks))
             hot = (key_counts.where(F.col(count_col) > per_task)
-                   .select(F.col(key), F.ceil(F.col(count_col) / per_task).cast("int").alias("__buckets")))
-            salted = df.join(F.broadcast(hot), on=key, how="left")
+                   .select(F.col(key).alias("__hot_key"),
+                           F.ceil(F.col(count_col) / per_task).cast("int").alias("__buckets")))
+            # null-safe, so a hot null key is split like any other
+            salted = df.join(F.broadcast(hot), df[key].eqNullSafe(hot["__hot_key"]), "left")
             salt = F.when(F.col("__buckets").isNotNull(),
                           F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("__buckets"))
                           ).otherwise(F.lit(0))

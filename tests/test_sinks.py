@@ -78,3 +78,14 @@ def test_raw_csv_streaming_form(spark, tmp_path):
     q.stop()
     got = spark.sql("select id, v, ingest_timestamp is not null as stamped from raw_csv_stream").collect()
     assert sorted((r.id, r.v, r.stamped) for r in got) == [("1", "a", True), ("2", "b", True)]
+
+
+def test_partitioned_write_keeps_null_keys(spark, tmp_path):
+    df = spark.range(300).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 5)
+                                 .cast("bigint").alias("k"), "id")
+    counts = df.groupBy("k").agg(F.count(F.lit(1)).alias("rows"))
+    sinks.write_processed(df, str(tmp_path / "p"), "k", key_counts=counts, threshold=10, rows_per_task=20)
+    back = spark.read.parquet(str(tmp_path / "p"))
+    assert back.count() == 300 and back.where("k is null").count() == 100
+    null_dir = tmp_path / "p" / "k=__HIVE_DEFAULT_PARTITION__"
+    assert len([f for f in os.listdir(null_dir) if f.endswith(".parquet")]) > 1  # the hot null key is split
