@@ -1,8 +1,8 @@
 """Cross-domain insight.
 
 Both summaries are optional single rows. They are paired as two scalar
-subqueries on a one-row anchor, so a missing summary reads as null (an
-empty object) and Spark itself enforces that each side has at most one
+subqueries on a one-row anchor; a missing summary becomes a struct of nulls
+(written as an empty object), and Spark itself enforces that each side has at most one
 row. The formulas follow the source's operator order exactly.
 """
 
@@ -53,19 +53,25 @@ def cross_domain_scores(pair: DataFrame) -> list[Column]:
             quality.cast("double").alias("data_quality_composite")]
 
 
+def _empty(schema: StructType) -> Column:
+    """A struct whose fields are all null: serialised as ``{}``, the empty object."""
+    return F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def pair_summaries(spark: SparkSession, mfg: DataFrame | None, ecom: DataFrame | None) -> DataFrame:
-    """One row with struct columns ``mfg`` and ``ecom`` (null when missing or empty)."""
+    """One row with struct columns ``mfg`` and ``ecom``; a missing or empty summary is ``{}``."""
     def side(df: DataFrame | None, name: str, schema: StructType) -> Column:
         if df is None:
-            return F.lit(None).cast(schema).alias(name)
-        return df.select(F.struct("*")).scalar().alias(name)
+            return _empty(schema).alias(name)
+        row = df.select(F.struct("*")).scalar()
+        return F.coalesce(row, _empty(StructType(df.schema.fields))).alias(name)
     return spark.range(1).select(side(mfg, "mfg", MFG_SUMMARY_SCHEMA), side(ecom, "ecom", ECOM_SUMMARY_SCHEMA))
 
 
 def integrate(spark: SparkSession, mfg: DataFrame | None, ecom: DataFrame | None) -> DataFrame:
     """``timestamp``, both summaries nested, and ``cross_domain_insights``.
 
-    A missing summary is an empty (null) struct; the scores use defaults.
+    A missing summary is written as an empty object; the scores use defaults.
     """
     pair = pair_summaries(spark, mfg, ecom)
     return pair.select(
