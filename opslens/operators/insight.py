@@ -2,8 +2,8 @@
 
 Both summaries are optional single rows. They are paired as two scalar
 subqueries on a one-row anchor; a missing summary becomes a struct of nulls
-(written as an empty object), and Spark itself enforces that each side has at most one
-row. The formulas follow the source's operator order exactly.
+(written as an empty object), and Spark itself enforces that each side has
+at most one row. The formulas follow the source's operator order exactly.
 """
 
 from __future__ import annotations
