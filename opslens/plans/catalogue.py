@@ -121,20 +121,16 @@ def _typed_machine(records: DataFrame, record_col: str = "record") -> list:
             rec.getItem("downtime_risk").try_cast("double").alias("downtime_risk")]
 
 
-def _stream_partitions(spark: SparkSession) -> int:
-    return sinks.parallelism(spark)
-
-
 @register
 def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = fixtures.machine_envelopes(spark, sf_dir, _stream_partitions(spark))
+    lines = fixtures.machine_envelopes(spark, sf_dir, sinks.parallelism(spark))
     decoded = envelopes.decode_envelopes(lines, allow_bare=True)
     return decoded.select("key", *_typed_machine(decoded))
 
 
 @register
 def record_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = fixtures.machine_envelopes(spark, sf_dir, _stream_partitions(spark))
+    lines = fixtures.machine_envelopes(spark, sf_dir, sinks.parallelism(spark))
     meta = envelopes.add_record_metadata(envelopes.decode_envelopes(lines, allow_bare=True))
     # well-formedness per record instead of a distinct count, which would
     # shuffle every id of the stream just to re-check uuid() uniqueness
@@ -145,7 +141,7 @@ def record_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def unscorable_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = fixtures.perturbed_machine_envelopes(spark, sf_dir, _stream_partitions(spark))
+    lines = fixtures.perturbed_machine_envelopes(spark, sf_dir, sinks.parallelism(spark))
     decoded = envelopes.decode_envelopes(lines, allow_bare=True)
     scored = machine.score_machine_records(decoded).where("keep")
     rec = F.col("record")
@@ -153,16 +149,12 @@ def unscorable_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          machine.SCORE)
 
 
-_STREAM_RUNS: dict[tuple[int, str], str] = {}
-
-
 STREAM_DOMAINS = ("manufacturing", "ecommerce")
-
-
 # Source layout of the stream runs: files per stream and files per micro-batch.
 # A file is one task, so a micro-batch reads its files in parallel.
 STREAM_FILES = 16
 FILES_PER_TRIGGER = 4
+_STREAM_RUNS: dict[tuple[int, str], str] = {}
 
 
 def write_stream_sources(spark: SparkSession, sf_dir: str, base: str) -> None:
@@ -227,10 +219,9 @@ def stream_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = stream_run(spark, sf_dir)
     parts = [processors.read_stats(spark, f"{base}/{d}/out").withColumn("stream", F.lit(d))
-             for d in ("manufacturing", "ecommerce")]
-    both = parts[0].unionByName(parts[1])
-    return both.groupBy("stream").agg(*[F.sum(c).alias(c) for c in
-                                        ("total_records", "processed_count", "failed_records", "alert_count")])
+             for d in STREAM_DOMAINS]
+    counts = ("total_records", "processed_count", "failed_records", "alert_count")
+    return reduce(DataFrame.unionByName, parts).groupBy("stream").agg(*[F.sum(c).alias(c) for c in counts])
 
 
 # --- sinks and sources that need a path (S1, S10-S13, A6) -------------------
@@ -295,7 +286,9 @@ def machine_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables, records = _ecommerce_inputs(spark, sf_dir)
-    return cross_domain_plan.summaries(spark, fixtures.machine_readings(spark, sf_dir), tables, records)[1]
+    run = ecommerce_plan.build(spark, tables)
+    scored = ecommerce.score_customer_records(ecommerce.as_record(records))
+    return summary.customer_summary(run.processed, run.rollup, scored)
 
 
 @register
