@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DataType, TimestampType
 
 from opslens.functions.numeric import combine_parts, fixed_parts, safe_ratio
 from opslens.functions.scores import ALERT_THRESHOLD, EFFICIENCY_CAP, ERROR_SEGMENT, RISK_THRESHOLDS

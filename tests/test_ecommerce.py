@@ -1,6 +1,5 @@
 """Customer scoring, cleaning and rollup on literal rows."""
 
-import pytest
 from decimal import ROUND_HALF_UP, Decimal
 from pyspark.sql import functions as F
 
