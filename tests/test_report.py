@@ -63,3 +63,25 @@ def test_produce_then_stream(spark, tmp_path):
     got = processors.read_records(spark, str(tmp_path / "out"), "ecommerce")
     assert got.count() == recs.count()
     assert got.where("customer_segment = 'ERROR'").count() > 0  # the 'n/a' and comma rows
+
+
+def test_cli_report_discovers_both_databases(spark, tmp_path):
+    import uuid
+
+    from opslens import cli
+
+    mfg_db, shop_db = f"mfg_{uuid.uuid4().hex[:8]}", f"shop_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {mfg_db} LOCATION '{tmp_path}/mfg_db'")
+    spark.sql(f"CREATE DATABASE {shop_db} LOCATION '{tmp_path}/shop_db'")
+    for name, df in fixtures.mfg_tables(spark, SF_SMALL).items():
+        df.write.saveAsTable(f"{mfg_db}.{name}")
+    fixtures.ecommerce_processed(spark, SF_SMALL).write.saveAsTable(f"{shop_db}.ecommerce")
+    fixtures.ecommerce_records(spark, SF_SMALL).write.saveAsTable(f"{shop_db}.records")
+    cli.main(["report", "--target", str(tmp_path / "out"), "--manufacturing-database", mfg_db,
+              "--ecommerce-database", shop_db, "--records-table", f"{shop_db}.records"])
+    docs = [json.loads(line) for p in (tmp_path / "out" / "integrated").glob("part-*.json") for line in p.open()]
+    assert len(docs) == 1
+    insights = docs[0]["cross_domain_insights"]
+    assert 0.0 < insights["data_quality_composite"] <= 1.0
+    assert docs[0]["ecommerce_metrics"]["total_customers_analyzed"] == \
+        fixtures.ecommerce_processed(spark, SF_SMALL).select("customer_id").distinct().count()
