@@ -44,3 +44,15 @@ def test_strict_int_matches_python_int(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "x string")
     got = [r.v for r in df.select(parse.parse_int(F.col("x")).alias("v")).collect()]
     assert got == [py(t) for t in texts]
+
+
+KEYS = ("Purchase_Amount", "purchase_amount", "PurchaseAmount")
+record = st.dictionaries(st.sampled_from(KEYS + ("other",)), st.one_of(st.none(), st.sampled_from(["", "1", "$2.50"])))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(record, min_size=1, max_size=20))
+def test_first_present_matches_nested_get(spark, records):
+    df = spark.createDataFrame([(r,) for r in records], "m map<string,string>")
+    got = [r.v for r in df.select(parse.first_present(F.col("m"), KEYS).alias("v")).collect()]
+    assert got == [r.get(KEYS[0], r.get(KEYS[1], r.get(KEYS[2], "0"))) for r in records]
