@@ -41,12 +41,17 @@ def build(spark: SparkSession, tables: Iterable[str] | Mapping[str, DataFrame] |
 
 def run(spark: SparkSession, target: str, tables: Iterable[str] | Mapping[str, DataFrame] | None = None, *,
         database: str | None = None, threshold: int = PARTITION_THRESHOLD) -> EcommerceRun:
-    """Build and write: ``<target>/customer_aggregations`` and ``<target>/processed``."""
+    """Build and write: ``<target>/customer_aggregations`` and ``<target>/processed``.
+
+    The returned run's ``rollup`` is the stored table (one row per customer),
+    so later steps reuse it instead of recomputing it from the source.
+    """
     plan = build(spark, tables, database=database)
     agg_path = f"{target.rstrip('/')}/customer_aggregations"
     write_table(plan.rollup, agg_path)
-    counts = spark.read.parquet(agg_path).select("customer_id", "purchase_count")
+    stored = spark.read.parquet(agg_path)
+    counts = stored.select("customer_id", "purchase_count")
     rows = counts.agg(F.sum("purchase_count")).first()[0] or 0
     write_processed(plan.processed, f"{target.rstrip('/')}/processed", "customer_id",
                     rows=rows, key_counts=counts, count_col="purchase_count", threshold=threshold)
-    return plan
+    return EcommerceRun(plan.processed, stored, plan.sample)

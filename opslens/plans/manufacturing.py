@@ -43,12 +43,16 @@ def build(spark: SparkSession, tables: Iterable[str] | Mapping[str, DataFrame] |
 
 def run(spark: SparkSession, target: str, tables: Iterable[str] | Mapping[str, DataFrame] | None = None, *,
         database: str | None = None, threshold: int = PARTITION_THRESHOLD) -> ManufacturingRun:
-    """Build and write: ``<target>/machine_aggregations`` and ``<target>/processed``."""
+    """Build and write: ``<target>/machine_aggregations`` and ``<target>/processed``.
+
+    The returned run's ``rollup`` is the stored table, so later steps reuse it.
+    """
     plan = build(spark, tables, database=database)
     agg_path = f"{target.rstrip('/')}/machine_aggregations"
     write_table(plan.rollup, agg_path)
-    counts = spark.read.parquet(agg_path).select("machine_id", "total_records")
+    stored = spark.read.parquet(agg_path)
+    counts = stored.select("machine_id", "total_records")
     rows = counts.agg(F.sum("total_records")).first()[0] or 0
     write_processed(plan.processed, f"{target.rstrip('/')}/processed", "machine_id",
                     rows=rows, key_counts=counts, count_col="total_records", threshold=threshold)
-    return plan
+    return ManufacturingRun(plan.conformed, plan.processed, stored, plan.negative_vibration)
