@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampType
 
 from opslens.functions.numeric import combine_parts, fixed_parts, safe_ratio
-from opslens.functions.scores import ALERT_THRESHOLD, EFFICIENCY_CAP, ERROR_SEGMENT, RISK_THRESHOLDS
+from opslens.functions.scores import ALERT_THRESHOLD, EFFICIENCY_CAP, ERROR_SEGMENT, RISK_THRESHOLDS, etl_segment
 from opslens.operators.machine import ESSENTIALS, RAW_SCORE, score_readings, with_efficiency
 
 
@@ -79,15 +79,16 @@ def machine_summary(readings: DataFrame, *, key: str = "machine_id", time_col: s
     )
 
 
-def customer_summary(processed: DataFrame, rollup: DataFrame, scored_records: DataFrame, *,
+def customer_summary(processed: DataFrame, scored_records: DataFrame, *, key: str = "customer_id",
                      category_col: str = "purchase_category",
                      channel_col: str = "marketing_channel") -> DataFrame:
     """N6-N11.
 
-    ``processed`` is the cleaned ETL table, ``rollup`` its per-customer rollup
-    with the ETL segment, ``scored_records`` the stream-scored records.
+    ``processed`` is the cleaned ETL table, ``scored_records`` the
+    stream-scored records.
 
-    * customers analysed and the three segment counts: from the rollup
+    * customers analysed and the three segment counts: each customer's ETL
+      segment (P12 on the maximum satisfaction, as in the rollup A1)
     * average purchase amount and satisfaction index: over processed rows
     * most popular category: most rows, ties to the smallest name
     * highest-ROI channel: no cost data exists, so the channel with the
@@ -95,27 +96,26 @@ def customer_summary(processed: DataFrame, rollup: DataFrame, scored_records: Da
     * data quality: scored records whose segment is not ``ERROR`` / all
 
     The processed table is scanned once for all of its fields: one
-    grouping-sets aggregate gives exact fixed-point sums and counts per category,
-    per channel and overall (at most categories + channels + 1 rows), and one
-    global aggregate over that picks the top category and channel with
-    ``min_by`` on (-measure, name), which breaks ties to the smallest name.
-    The customer tiers need the per-customer rollup, a different shuffle.
+    grouping-sets aggregate by customer, by category, by channel and overall
+    gives each customer's maximum satisfaction and exact fixed-point sums and
+    counts (customers + categories + channels + 1 rows), and one global
+    aggregate over that counts the segments and picks the top category and
+    channel with ``min_by`` on (-measure, name), which breaks ties to the
+    smallest name.
     """
     spark = processed.sparkSession
-    seg = F.col("customer_segment")
-    tiers = rollup.agg(
-        F.count(F.lit(1)).alias("total_customers_analyzed"),
-        F.count_if(seg == "HIGH_VALUE").alias("high_value_customers"),
-        F.count_if(seg == "MEDIUM_VALUE").alias("medium_value_customers"),
-        F.count_if(seg == "STANDARD").alias("standard_customers"))
+    satisfaction = F.col("customer_satisfaction").try_cast("double")
     a_whole, a_frac = fixed_parts(F.col("cleaned_purchase_amount"))
-    s_whole, s_frac = fixed_parts(F.col("customer_satisfaction").try_cast("double"))
-    cells = (processed.groupingSets([[category_col], [channel_col], []], category_col, channel_col)
-             .agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("rows"),
+    s_whole, s_frac = fixed_parts(satisfaction)
+    cells = (processed.groupingSets([[category_col], [channel_col], [], [key]], category_col, channel_col, key)
+             .agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("rows"), F.max(satisfaction).alias("max_sat"),
                   F.sum(a_whole).alias("a_whole"), F.sum(a_frac).alias("a_frac"), F.count(a_frac).alias("a_n"),
                   F.sum(s_whole).alias("s_whole"), F.sum(s_frac).alias("s_frac"), F.count(s_frac).alias("s_n")))
+    # grouping_id bits, in column order: category 4, channel 2, customer 1 (set when rolled up)
     gid, cat, chan = F.col("gid"), F.col(category_col), F.col(channel_col)
-    by_category, by_channel, overall = (gid == 1) & cat.isNotNull(), (gid == 2) & chan.isNotNull(), gid == 3
+    by_category, by_channel, overall, by_customer = (gid == 3) & cat.isNotNull(), (gid == 5) & chan.isNotNull(), \
+        gid == 7, gid == 6
+    segment = etl_segment(F.col("max_sat"))
     channel_avg = combine_parts(F.col("a_whole"), F.col("a_frac")) / F.nullif(F.col("a_n"), F.lit(0))
 
     def overall_mean(prefix: str) -> F.Column:
@@ -124,19 +124,20 @@ def customer_summary(processed: DataFrame, rollup: DataFrame, scored_records: Da
         return combine_parts(part("whole"), part("frac")) / F.nullif(part("n"), F.lit(0))
 
     means = cells.agg(
+        F.count_if(by_customer).alias("total_customers_analyzed"),
+        F.count_if(by_customer & (segment == "HIGH_VALUE")).alias("high_value_customers"),
+        F.count_if(by_customer & (segment == "MEDIUM_VALUE")).alias("medium_value_customers"),
+        F.count_if(by_customer & (segment == "STANDARD")).alias("standard_customers"),
         overall_mean("a").alias("average_purchase_amount"),
-        overall_mean("s").alias("customer_satisfaction_index"),
         F.min_by(cat, F.when(by_category, F.struct(-F.col("rows"), cat))).alias("most_popular_category"),
         F.min_by(chan, F.when(by_channel, F.struct(channel_avg.isNull(), -channel_avg, chan)))
-        .alias("highest_roi_marketing_channel"))
+        .alias("highest_roi_marketing_channel"),
+        overall_mean("s").alias("customer_satisfaction_index"))
     quality = scored_records.agg(
         safe_ratio(F.count_if(F.col("customer_segment") != ERROR_SEGMENT), F.count(F.lit(1)))
         .alias("data_quality_score"))
-    row = _one_row(spark, t=tiers, m=means, q=quality)
-    return row.select(
-        "t.total_customers_analyzed", "t.high_value_customers", "t.medium_value_customers",
-        "t.standard_customers", "m.average_purchase_amount", "m.most_popular_category",
-        "m.highest_roi_marketing_channel", "m.customer_satisfaction_index", "q.data_quality_score")
+    row = _one_row(spark, m=means, q=quality)
+    return row.select("m.*", "q.data_quality_score")
 
 
 __all__ = ["customer_summary", "machine_summary"]

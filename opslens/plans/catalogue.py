@@ -288,7 +288,7 @@ def customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables, records = _ecommerce_inputs(spark, sf_dir)
     run = ecommerce_plan.build(spark, tables)
     scored = ecommerce.score_customer_records(ecommerce.as_record(records))
-    return summary.customer_summary(run.processed, run.rollup, scored)
+    return summary.customer_summary(run.processed, scored)
 
 
 @register

@@ -28,7 +28,7 @@ def summaries(spark: SparkSession, readings: DataFrame, ecommerce_tables: Tables
     """Manufacturing summary over typed readings; ecommerce summary over the E2 chain."""
     erun = ecommerce.build(spark, ecommerce_tables)
     scored = score_customer_records(as_record(customer_records))
-    return machine_summary(readings), customer_summary(erun.processed, erun.rollup, scored)
+    return machine_summary(readings), customer_summary(erun.processed, scored)
 
 
 def build(spark: SparkSession, readings: DataFrame, ecommerce_tables: Tables,
@@ -50,7 +50,7 @@ def run(spark: SparkSession, target: str, manufacturing_tables: Tables | None, e
     erun = ecommerce.run(spark, f"{base}/ecommerce", ecommerce_tables, database=ecommerce_database)
     scored = score_customer_records(as_record(customer_records))
     mfg = machine_summary(mrun.conformed)
-    ecom = customer_summary(erun.processed, erun.rollup, scored)
+    ecom = customer_summary(erun.processed, scored)
     write_summary(mfg, f"{base}/manufacturing/summary")
     write_summary(ecom, f"{base}/ecommerce/summary")
     insight = integrate(spark,

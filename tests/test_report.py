@@ -24,8 +24,7 @@ def test_report_run_matches_in_memory(spark, tmp_path):
 
     mfg = summary.machine_summary(manufacturing.build(spark, mfg_tables).conformed)
     erun = ecommerce.build(spark, ecom_tables)
-    ecom = summary.customer_summary(erun.processed, erun.rollup,
-                                    ecom_ops.score_customer_records(ecom_ops.as_record(records)))
+    ecom = summary.customer_summary(erun.processed, ecom_ops.score_customer_records(ecom_ops.as_record(records)))
     expected = insight.cross_domain(spark, mfg, ecom).first().asDict()
     assert doc["cross_domain_insights"] == pytest.approx(expected)
     assert doc["manufacturing_metrics"]["total_machines_analyzed"] == mfg.first().total_machines_analyzed
