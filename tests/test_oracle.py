@@ -5,9 +5,11 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from opslens.plans.catalogue import QUERIES
+from opslens.plans.oracle import ORACLE
 from tools.compare import TABLES, digest
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -19,14 +21,15 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(ORACLE[name])
     o_cols = [d[0] for d in cur.description]
     o_rows = cur.fetchall()
     assert sorted(df.columns) == sorted(o_cols)
