@@ -2,4 +2,38 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from opslens.llm import urlfilter as U
+
+
+def _alone(term: str) -> str:
+    return f"regexp_matches(low, '(^|[^a-z0-9]){term}($|[^a-z0-9])')"
+
+
+def _fits(host: str, path: str) -> str:
+    return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
+
+
+def url_filter_sql() -> str:
+    """Rules by longest match, then one strict or two different soft terms standing alone."""
+    by_length = sorted(U.RULES, key=lambda r: -len(r[0] + r[1]))
+    rule = " ".join(f"WHEN {_fits(h, p)} THEN '{h}{p}'" for h, p, _ in by_length)
+    verdict = " ".join(f"WHEN {_fits(h, p)} THEN '{v}'" for h, p, v in by_length)
+    soft = " + ".join(f"{_alone(t)}::BIGINT" for t in U.SOFT)
+    # a strict hit is counted by cutting the text at everything that is not a letter or digit or one of the terms
+    strict = " + ".join(
+        f"length(regexp_extract_all(regexp_replace(low, '([^a-z0-9])', '\\1\\1', 'g'), "
+        f"'(^|[^a-z0-9]){t.replace('-', '--')}($|[^a-z0-9])'))" for t in U.STRICT)
+    return f"""
+WITH u AS (SELECT page_id, coalesce(translate(url, '{U.UPPER}', '{U.LOWER}'), '') AS low,
+                  CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+           FROM pages),
+h AS (SELECT page_id, low, translate(regexp_extract(rest, '^[^/?#]*'), '{U.UPPER}', '{U.LOWER}') AS host,
+             regexp_extract(rest, '^[^/?#]*(/[^?#]*)?', 1) AS path FROM u),
+t AS (SELECT *, ({strict})::BIGINT AS n_strict, ({soft})::BIGINT AS n_soft FROM h)
+SELECT page_id, host, path, CASE {rule} END AS rule,
+       CASE {verdict} WHEN n_strict >= 1 OR n_soft >= 2 THEN 'block' ELSE 'allow' END AS verdict,
+       n_strict, n_soft
+FROM t"""
+
+
+ORACLE: dict[str, str] = {"op7_url_vocabulary": url_filter_sql()}

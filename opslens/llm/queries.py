@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opslens.llm import simhash
+from opslens.llm import mixing, simhash, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,3 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @register
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+@register
+def op7_url_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@register
+def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies")
