@@ -2,11 +2,11 @@
 
 Every document of a source gets the same expected number of copies: the
 source's target words over its words, between 0 and ``cap``. The whole part is
-taken as it is. The fractional parts are rounded by the pivotal method: two
-open documents of a source trade expected *words* (so their sum is kept) in a
-random direction with odds that keep each one's expectation, until one of the
-two has a whole number of copies. Only the other stays open, so a sequence of
-documents leaves at most one open document.
+taken as it is. The fractional parts are rounded by the pivotal method: an
+open document and a partner, the pool of the smaller open documents of its
+source, trade expected *words* (so their sum is kept) in a random direction,
+with odds that keep each one's expectation, until one side is whole. A
+sequence of documents leaves at most one open document, mostly a short one.
 
 The trades form a reduction tree. Documents are dealt by a hash into groups of
 about ``group_rows``; each group leaves at most one open document per source,
@@ -89,33 +89,38 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, budget:
 
 
 def pivot(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> int:
-    """Round ``p`` in place to 0 or 1, keeping sum(p * size), but for one entry whose index is returned (or -1)."""
-    open_ = -1
-    draws = rng.random(len(p)).tolist()
-    for j in range(len(p)):
-        if not 0.0 < p[j] < 1.0:
-            continue
-        if open_ < 0:
-            open_ = j
+    """Round ``p`` in place to 0 or 1, keeping sum(p * size), but for one entry whose index is returned (or -1).
+
+    Documents come in falling size. Each one's partner is the pool of all
+    smaller open documents, which gives or takes the words in proportion, so
+    a long document can be rounded against many short ones.
+    """
+    for i in range(len(p)):
+        if not 0.0 < p[i] < 1.0:
             continue
-        i = open_
-        room_i, has_j = (1.0 - p[i]) * size[i], p[j] * size[j]
-        has_i, room_j = p[i] * size[i], (1.0 - p[j]) * size[j]
-        up, down = min(room_i, has_j), min(has_i, room_j)
-        if draws[j] * (up + down) < down:     # words go from j to i
-            p[i] = 1.0 if room_i <= has_j else p[i] + up / size[i]
-            p[j] = 0.0 if has_j <= room_i else p[j] - up / size[j]
-        else:                                 # words go from i to j
-            p[i] = 0.0 if has_i <= room_j else p[i] - down / size[i]
-            p[j] = 1.0 if room_j <= has_i else p[j] + down / size[j]
-        open_ = next((x for x in (i, j) if 0.0 < p[x] < 1.0), -1)
-    return open_
+        rest = p[i + 1:]
+        still = (rest > 0.0) & (rest < 1.0)
+        q, s = rest[still], size[i + 1:][still]
+        pool, space = float(q @ s), float((1.0 - q) @ s)
+        if not len(q):
+            return i
+        needs, has = (1.0 - p[i]) * size[i], p[i] * size[i]
+        up, down = min(needs, pool), min(has, space)
+        if rng.random() * (up + down) < down:   # words go from the pool to i
+            p[i] = 1.0 if needs <= pool else p[i] + up / size[i]
+            rest[still] = q * (1.0 - up / pool) if needs < pool else 0.0
+        else:                                   # words go from i to the pool
+            p[i] = 0.0 if has <= space else p[i] - down / size[i]
+            rest[still] = 1.0 - (1.0 - q) * (1.0 - down / space) if has < space else 1.0
+        if 0.0 < p[i] < 1.0:
+            return i                            # the whole pool became whole
+    return -1
 
 
 def _level(rows: DataFrame, level: int, last: bool, seed: int) -> DataFrame:
     """One level of the tree over (group, slot); ``open`` marks the documents that go on."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        # long documents trade first, so what stays open at the end is short and its rounding costs few words
+        # long documents trade first, so that what stays open at the end is short
         pdf = pdf.sort_values(["source", "size", "deal", "doc_id", "p"], ascending=[True, False, True, True, True],
                               na_position="last", ignore_index=True)
         rng = np.random.default_rng([seed, level, int(key[0]), int(key[1])])
