@@ -36,4 +36,19 @@ SELECT page_id, host, path, CASE {rule} END AS rule,
 FROM t"""
 
 
-ORACLE: dict[str, str] = {"op7_url_vocabulary": url_filter_sql()}
+def warc_sql() -> str:
+    """Equal payloads by digest; SHA-1 in base32, five bits at a time."""
+    chars = " || ".join(
+        f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(hex, {10 * part + 1}, 10))::BIGINT) >> {35 - 5 * k}) & 31)::INT + 1, 1)"
+        for part in range(4) for k in range(8))
+    return f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes, {chars} AS payload_digest,
+             min(page_id) OVER (PARTITION BY hex) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d"""
+
+
+ORACLE: dict[str, str] = {"op2_warc_revisits": warc_sql(), "op7_url_vocabulary": url_filter_sql()}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opslens.llm import licenses, mixing, simhash, urlfilter
+from opslens.llm import licenses, mixing, simhash, urlfilter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,3 +40,8 @@ def op10_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op5_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@register
+def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.deduplicated_pages(table(spark, sf_dir, "pages"))
