@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opslens.llm import licenses, mixing, simhash, urlfilter, warc
+from opslens.llm import licenses, mixing, pii, simhash, urlfilter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,3 +45,8 @@ def op5_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.deduplicated_pages(table(spark, sf_dir, "pages"))
+
+
+@register
+def op1_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
