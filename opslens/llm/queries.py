@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opslens.llm import licenses, mixing, pii, simhash, urlfilter, warc
+from opslens.llm import licenses, mixing, pii, simhash, toxicity, urlfilter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -50,3 +50,8 @@ def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op1_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
+@register
+def op3_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
