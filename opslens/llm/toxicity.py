@@ -127,7 +127,7 @@ def word_hashes(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     down = np.multiply.accumulate(down)
     mixed = (s.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
     mixed ^= mixed >> np.uint64(29)
-    total = np.concatenate(([0], np.cumsum(mixed * powers, dtype=np.uint64))).astype(np.uint64)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed * powers, dtype=np.uint64)))
     h = (total[ends] - total[starts]) * down[starts]
     h ^= (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
     h ^= h >> np.uint64(32)
