@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opslens.llm import licenses, mixing, pii, simhash, toxicity, urlfilter, warc
+from opslens.llm import licenses, mixing, permindex, pii, simhash, toxicity, urlfilter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,3 +55,8 @@ def op1_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permindex.search(table(spark, sf_dir, "embeddings"), query_mod=100, k=10)
