@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opslens.llm import licenses, mixing, permindex, pii, simhash, toxicity, urlfilter, warc
+from opslens.llm import licenses, mixing, permindex, pii, simhash, suffixdedup, toxicity, urlfilter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,3 +60,8 @@ def op3_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permindex.search(table(spark, sf_dir, "embeddings"), query_mod=100, k=10)
+
+
+@register
+def op9_bucket_pointer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.remove_repeats(table(spark, sf_dir, "documents"), min_length=400)
