@@ -144,7 +144,7 @@ def _level(rows: DataFrame, level: int, last: bool, seed: int) -> DataFrame:
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *,
         weights: Sequence[float] = WEIGHTS, budget: float = 1.5, cap: float = 2.0, seed: int = 42,
         group_rows: int = 4096, fan_in: int = 16) -> DataFrame:
-    """One row per input row: doc_id, text_hash, size, source_size, target, copies, taken.
+    """One row per input row: doc_id, text_hash, source, size, source_size, target, copies, taken.
 
     ``copies`` is the whole number of times the mix takes the document and
     ``taken`` = copies * size. Null texts have size 0, take 0 words and get no
@@ -179,5 +179,26 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     for more in done[1:]:
         result = result.unionByName(more)
     copies = (F.col("base") + F.col("p")).cast("bigint")
-    return result.select("doc_id", "text_hash", "size", "source_size", "target", copies.alias("copies"),
+    return result.select("doc_id", "text_hash", "source", "size", "source_size", "target", copies.alias("copies"),
                          (copies * F.col("size")).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    copy_col: str = "copy", **settings) -> DataFrame:
+    """The mix itself: every document as often as the mix takes it, numbered from 1 in ``copy_col``.
+
+    Rows equal in id, text and source are interchangeable: one of them stands
+    for the copies of all.
+    """
+    chosen = mix(docs, id_col, text_col, source_col, **settings).groupBy("doc_id", "text_hash", "source").agg(
+        F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
+    chosen = scratch_table(chosen.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
+                                         F.col("source").alias("__source"), "__copies", "__rows"), "mix-copies")
+    marked = docs.withColumn("__text_hash", F.xxhash64(col(text_col)))
+    if not chosen.where("__rows > 1").isEmpty():
+        marked = marked.dropDuplicates([id_col, source_col, "__text_hash"])
+    taken = marked.join(chosen.where("__copies > 0"), col(id_col).cast("bigint").eqNullSafe(F.col("__id"))
+                        & (F.col("__text_hash") == F.col("__hash"))
+                        & col(source_col).cast("string").eqNullSafe(F.col("__source")))
+    numbered = taken.withColumn(copy_col, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))))
+    return numbered.select(*[col(c) for c in docs.columns], col(copy_col))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opslens.llm import licenses, mixing, permindex, pii, simhash, suffixdedup, toxicity, urlfilter, warc
+from opslens.llm import decontam, licenses, mixing, permindex, pii, simhash, suffixdedup, toxicity, urlfilter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,3 +65,8 @@ def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_bucket_pointer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.remove_repeats(table(spark, sf_dir, "documents"), min_length=400)
+
+
+@register
+def op6_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

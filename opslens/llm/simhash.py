@@ -231,3 +231,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comps = fingerprint_components(fps, F.col("doc_id"), max_bits)
     return fps.join(comps, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("rep").alias("component_id"))
+
+
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 4,
+                         max_bits: int = 4) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id (then text hash; null ids last).
+
+    Rows that repeat both id and text are one document. All columns stay, in order.
+    """
+    keys = {"__id": col(id_col), "__text_hash": F.xxhash64(col(text_col))}
+    fps = scratch_table(fingerprints(docs, keys, text_col, shingle), "simhash-fps")
+    order = F.struct(F.col("__id").isNull().alias("no_id"), "__id", "__text_hash")
+    comps = fingerprint_components(fps, order, max_bits)
+    keepers = scratch_table(
+        fps.join(comps, "fp").where(order.eqNullSafe(F.col("rep"))).groupBy("__id", "__text_hash")
+        .agg(F.count(F.lit(1)).alias("__rows")).select(F.col("__id").alias("__keep_id"), F.col("__text_hash").alias("__keep_hash"),
+                                                       "__rows"), "simhash-keepers")
+    marked = docs.withColumns({"__text_hash": keys["__text_hash"]})
+    kept = marked.join(keepers, col(id_col).eqNullSafe(F.col("__keep_id")) &
+                       (F.col("__text_hash") == F.col("__keep_hash")), "left_semi")
+    if not keepers.where("__rows > 1").isEmpty():
+        kept = kept.dropDuplicates([id_col, "__text_hash"])
+    return kept.drop("__text_hash")
