@@ -92,28 +92,27 @@ def pivot(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> int:
     """Round ``p`` in place to 0 or 1, keeping sum(p * size), but for one entry whose index is returned (or -1).
 
     Documents come in falling size. Each one's partner is the pool of all
-    smaller open documents, which gives or takes the words in proportion, so
-    a long document can be rounded against many short ones.
+    smaller open documents, whose probabilities move together, so a long
+    document can be rounded against many short ones. Both directions lie on
+    one line and the odds make the move fair, so every expectation is kept.
     """
     for i in range(len(p)):
-        if not 0.0 < p[i] < 1.0:
-            continue
-        rest = p[i + 1:]
-        still = (rest > 0.0) & (rest < 1.0)
-        q, s = rest[still], size[i + 1:][still]
-        pool, space = float(q @ s), float((1.0 - q) @ s)
-        if not len(q):
-            return i
-        needs, has = (1.0 - p[i]) * size[i], p[i] * size[i]
-        up, down = min(needs, pool), min(has, space)
-        if rng.random() * (up + down) < down:   # words go from the pool to i
-            p[i] = 1.0 if needs <= pool else p[i] + up / size[i]
-            rest[still] = q * (1.0 - up / pool) if needs < pool else 0.0
-        else:                                   # words go from i to the pool
-            p[i] = 0.0 if has <= space else p[i] - down / size[i]
-            rest[still] = 1.0 - (1.0 - q) * (1.0 - down / space) if has < space else 1.0
-        if 0.0 < p[i] < 1.0:
-            return i                            # the whole pool became whole
+        while 0.0 < p[i] < 1.0:
+            rest = p[i + 1:]
+            still = (rest > 0.0) & (rest < 1.0)
+            q = rest[still]
+            if not len(q):
+                return i
+            words = float(size[i + 1:][still].sum())
+            low, high = float(q.min()), float((1.0 - q).min())
+            needs, has = (1.0 - p[i]) * size[i] / words, p[i] * size[i] / words
+            take, give = min(needs, low), min(has, high)
+            if rng.random() * (take + give) < give:   # words go from the pool to i
+                p[i] = 1.0 if needs <= low else p[i] + take * words / size[i]
+                rest[still] = np.where((q <= low) & (take >= low), 0.0, q - take)
+            else:                                     # words go from i to the pool
+                p[i] = 0.0 if has <= high else p[i] - give * words / size[i]
+                rest[still] = np.where((1.0 - q <= high) & (give >= high), 1.0, q + give)
     return -1
 
 
