@@ -42,6 +42,7 @@ SLICE_CHARS = 1 << 21
 BROADCAST_LABELS = 2_000_000
 MARGIN = 3.0          # of a word's log ratio, beyond which it counts as an expression of a class
 FEATURES = ("mean_char", "max_char", "excess_char", "top_char", "log_words", "max_word", "top_word", "mean_word")
+LENGTH = FEATURES.index("log_words")
 HASH_BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
 
@@ -313,21 +314,39 @@ def text_features(texts: list[str | None], model: Model) -> np.ndarray:
     return out
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Logistic weights (constant last) on the features; without both classes a fixed cut on the top word."""
+def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[np.ndarray, float]:
+    """(logistic weights on the features, constant last; longest text seen, as log words).
+
+    More evidence never lowers a score: evidence weights are held at 0 or
+    above, the weight of the text's length at 0 or below (longer texts have
+    larger extremes by chance). Without both classes it is a fixed cut.
+    """
     w = np.zeros(x.shape[1] + 1)
     if not len(y) or y.min() == y.max():
-        w[1], w[-1] = 1.0, -MARGIN - 2.0
-        return w
-    a = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    for _ in range(60):
+        w[FEATURES.index("max_char")], w[-1] = 1.0, -MARGIN - 2.0
+        return w, 0.0
+    longest = float(x[:, LENGTH].max())
+    scale = np.maximum(x.std(axis=0), 1e-9)
+    a = np.concatenate([x / scale, np.ones((len(x), 1))], axis=1)
+    sign = np.ones(len(w))
+    sign[LENGTH] = -1.0
+    sign[-1] = 0.0
+    for _ in range(300):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        hess = (a * (p * (1 - p) + 1e-6)[:, None]).T @ a + ridge * np.eye(len(w))
-        step = np.linalg.solve(hess, a.T @ (p - y) + ridge * w)
-        w -= step
-        if np.abs(step).max() < 1e-7:
+        grad = a.T @ (p - y) + ridge * w
+        free = (sign == 0) | (w * sign > 0) | (grad * sign < 0)
+        part = a[:, free]
+        hess = (part * (p * (1 - p) + 1e-6)[:, None]).T @ part + (ridge + 1e-6) * np.eye(int(free.sum()))
+        step = np.zeros(len(w))
+        step[free] = np.linalg.solve(hess, grad[free])
+        new = w - step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
+        new = np.where((sign != 0) & (new * sign < 0), 0.0, new)
+        done = np.abs(new - w).max() < 1e-7
+        w = new
+        if done:
             break
-    return w
+    w[:-1] /= scale
+    return w, longest
 
 
 def fold(id_col: Column) -> Column:
@@ -375,7 +394,7 @@ def features_of(known: DataFrame, model: Model) -> DataFrame:
     return known.mapInArrow(run, f"doc_id {kind}, fold int, label int, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
-def calibrate(features: DataFrame, calibration_rows: int) -> np.ndarray:
+def calibrate(features: DataFrame, calibration_rows: int) -> tuple[np.ndarray, float]:
     """The curve from at most ``calibration_rows`` labelled rows of the calibration fold, chosen by a hash."""
     sample = (features.where((F.col("fold") == CALIBRATION) & F.col("label").isNotNull())
               .orderBy(F.xxhash64("doc_id"), *FEATURES).limit(calibration_rows).toPandas())
@@ -394,8 +413,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """
     known, model = fit_documents(docs, labels, id_col, text_col, label_id, label_col)
     features = scratch_table(features_of(known, model), "toxicity-features")
-    w = calibrate(features, calibration_rows)
-    z = sum((F.col(f) * float(v) for f, v in zip(FEATURES, w, strict=False)), F.lit(float(w[-1])))
+    w, longest = calibrate(features, calibration_rows)
+    values = [F.least(F.col(f), F.lit(longest)) if i == LENGTH else F.col(f) for i, f in enumerate(FEATURES)]
+    z = sum((f * float(v) for f, v in zip(values, w, strict=False)), F.lit(float(w[-1])))
     score = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
     return features.select("doc_id", (F.col("fold") == HELD_OUT).alias("held_out"), score.alias("score"),
                            F.col("mean_char").alias("mean_log_ratio")).select(
@@ -407,12 +427,14 @@ def keep_ordinary(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """``docs`` without the documents predicted toxic; all columns and their order stay."""
     known, model = fit_documents(docs, labels, id_col, text_col)
     calibration = known.where((F.col("fold") == CALIBRATION) & F.col("label").isNotNull())
-    w = calibrate(scratch_table(features_of(calibration, model), "toxicity-features"), calibration_rows)
+    w, longest = calibrate(scratch_table(features_of(calibration, model), "toxicity-features"), calibration_rows)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
     def toxic(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            yield pd.Series(text_features(batch.tolist(), shared.value) @ w[:-1] + w[-1] >= 0)
+            x = text_features(batch.tolist(), shared.value)
+            x[:, LENGTH] = np.minimum(x[:, LENGTH], longest)
+            yield pd.Series(x @ w[:-1] + w[-1] >= 0)
 
     return docs.where(~toxic(col(text_col)))
