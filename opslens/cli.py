@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 
 from opslens.plans import cross_domain, ecommerce, manufacturing
 from opslens.sources.envelopes import to_envelope_lines
-from opslens.sources.sinks import PARTITION_THRESHOLD, read_raw_csv
+from opslens.sources.sinks import BUCKETS, read_raw_csv
 from opslens.streaming import processors
 
 
@@ -39,12 +39,18 @@ def main(argv: list[str] | None = None) -> None:
         p = sub.add_parser(name)
         p.add_argument("--database", required=True)
         p.add_argument("--target", required=True)
-        p.add_argument("--threshold", type=int, default=PARTITION_THRESHOLD)
+        p.add_argument("--buckets", type=int, default=BUCKETS, help="folders of the processed table")
+        p.add_argument("--strict", action="store_true", help="fail instead of skipping a table")
     p = sub.add_parser("report")
     p.add_argument("--target", required=True)
     p.add_argument("--manufacturing-database", required=True)
     p.add_argument("--ecommerce-database", required=True)
     p.add_argument("--records-table", required=True)
+    p.add_argument("--time-column", default="timestamp")
+    p.add_argument("--category-column", default="purchase_category")
+    p.add_argument("--channel-column", default="marketing_channel")
+    p.add_argument("--buckets", type=int, default=BUCKETS)
+    p.add_argument("--strict", action="store_true")
     p = sub.add_parser("produce")
     p.add_argument("--csv", required=True)
     p.add_argument("--key", required=True)
@@ -61,13 +67,15 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = _session()
     if args.command == "manufacturing-etl":
-        manufacturing.run(spark, args.target, database=args.database, threshold=args.threshold)
+        manufacturing.run(spark, args.target, database=args.database, buckets=args.buckets, strict=args.strict)
     elif args.command == "ecommerce-etl":
-        ecommerce.run(spark, args.target, database=args.database, threshold=args.threshold)
+        ecommerce.run(spark, args.target, database=args.database, buckets=args.buckets, strict=args.strict)
     elif args.command == "report":
         cross_domain.run(spark, args.target, None, None, spark.table(args.records_table),
                          manufacturing_database=args.manufacturing_database,
-                         ecommerce_database=args.ecommerce_database)
+                         ecommerce_database=args.ecommerce_database, time_col=args.time_column,
+                         category_col=args.category_column, channel_col=args.channel_column, buckets=args.buckets,
+                         strict=args.strict)
     elif args.command == "produce":
         lines = to_envelope_lines(read_raw_csv(spark, args.csv), args.key)
         lines.select("value").write.mode("append").text(args.out)

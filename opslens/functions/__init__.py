@@ -1,15 +1 @@
 """Column-expression builders; every function returns a ``Column``."""
-
-from opslens.functions.numeric import (combine_parts, exact_avg, exact_sum, fixed_parts, round_half_up,
-                                       safe_ratio, to_fixed)
-from opslens.functions.parse import (double_or_zero, first_present, has_key, parse_double,
-                                     parse_int, parse_money_etl, parse_money_stream)
-from opslens.functions.scores import (customer_value, etl_segment, machine_efficiency,
-                                      maintenance_priority, stream_segment, tier)
-
-__all__ = [
-    "combine_parts", "customer_value", "double_or_zero", "etl_segment", "exact_avg", "exact_sum",
-    "first_present", "fixed_parts", "has_key", "machine_efficiency", "maintenance_priority", "parse_double",
-    "parse_int", "parse_money_etl", "parse_money_stream", "round_half_up", "safe_ratio",
-    "stream_segment", "tier", "to_fixed",
-]

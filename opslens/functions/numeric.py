@@ -1,21 +1,10 @@
-"""Exact, order-independent numeric helpers.
-
-Double sums depend on the order rows arrive in, so the same data can give
-different last bits on a different partitioning or in another engine. Sums
-and averages here are fixed point in integer arithmetic: each value is split
-into its integer part and its fraction in millionths (both BIGINT, a pure
-function of the value), the two are summed as integers, which is
-associative, and combined into a double once per group. The result is the
-same on 8 threads or 1000 executors, and it runs as plain long arithmetic
-inside whole-stage codegen (a decimal conversion per value costs about four
-times as much). Overflow needs a group whose integer parts add up past
-9.2e18, or more than 9.2e12 rows in one group; values with magnitude 9e15
-or more, NaN and infinities are left out (null), like nulls.
+"""Numeric helpers: rounding that two engines agree on, and a safe division.
 
 Rounding to a few decimals is done decimal-first (double -> decimal with 10
 decimal places -> target scale, half-up), which agrees between Spark and
 other SQL engines where a plain ``round(double, n)`` does not. The 10-place
-step only moves a value that lies within 5e-11 of a rounding tie.
+step only moves a value that lies within 5e-11 of a rounding tie. NaN,
+infinities and magnitudes from 1e20 (whole numbers already) stay as they are.
 """
 
 from __future__ import annotations
@@ -24,11 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType
 
-# Units per 1 of the fraction kept by exact sums, the largest
-# magnitude summed (below 2**53, so the integer part is exact), and the decimal
-# places of the first conversion step of decimal-first rounding.
-SUM_UNITS = 1_000_000
-SUM_LIMIT = 9.0e15
+# Decimal places of the first conversion step of decimal-first rounding.
 GUARD_SCALE = 10
 
 
@@ -36,41 +21,16 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_fixed(c: Column | str, scale: int) -> Column:
-    """Double -> decimal(28, scale), half-up; NaN, infinity and overflow -> null."""
-    guarded = _col(c).try_cast(DecimalType(30, GUARD_SCALE))
-    return guarded.cast(DecimalType(28, scale))
-
-
 def round_half_up(c: Column | str, scale: int = 2) -> Column:
     """Decimal-first rounding of a double, returned as a double."""
-    return to_fixed(c, scale).cast(DoubleType())
-
-
-def fixed_parts(c: Column | str) -> tuple[Column, Column]:
-    """(integer part, fraction in millionths rounded half-up), both BIGINT; null when not summable."""
-    x = _col(c).cast(DoubleType())
-    v = F.when(F.abs(x) < SUM_LIMIT, x)          # NaN and infinities fail the test -> null
-    whole = F.floor(v)                           # BIGINT in Spark
-    frac = F.floor((v - whole) * float(SUM_UNITS) + 0.5)
-    return whole.cast("bigint"), frac.cast("bigint")
-
-
-def combine_parts(sum_whole: Column, sum_frac: Column) -> Column:
-    """Summed parts -> double (one rounding for the fraction, one for the addition)."""
-    return sum_whole.cast(DoubleType()) + sum_frac.cast(DoubleType()) / float(SUM_UNITS)
-
-
-def exact_sum(c: Column | str) -> Column:
-    """Sum as a double, computed in fixed point (null when no summable value)."""
-    whole, frac = fixed_parts(c)
-    return combine_parts(F.sum(whole), F.sum(frac))
+    value = _col(c).cast(DoubleType())
+    guarded = value.try_cast(DecimalType(30, GUARD_SCALE))
+    return F.coalesce(guarded.cast(DecimalType(28, scale)).cast(DoubleType()), value)
 
 
-def exact_avg(c: Column | str) -> Column:
-    """Average = exact sum / number of summed values (null for none)."""
-    whole, frac = fixed_parts(c)
-    return combine_parts(F.sum(whole), F.sum(frac)) / F.nullif(F.count(frac), F.lit(0))
+def above(c: Column, threshold: float) -> Column:
+    """``c > threshold`` with NaN above nothing (Spark orders NaN above every number)."""
+    return ~F.isnan(c) & (c > threshold)
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

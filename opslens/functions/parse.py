@@ -53,3 +53,10 @@ def parse_money_etl(text: Column) -> Column:
 def double_or_zero(text: Column) -> Column:
     """Parse to double; null or invalid -> 0."""
     return F.coalesce(text.try_cast("double"), F.lit(0.0))
+
+
+def json_number(text: Column, key: str) -> Column:
+    """The field's value as a double when its JSON token is a number, else null."""
+    value = F.try_variant_get(F.try_parse_json(text), f"$.{key}", "variant")
+    is_number = F.schema_of_variant(value).rlike("^(DECIMAL|DOUBLE|FLOAT|BIGINT)")
+    return F.when(is_number, F.try_variant_get(F.try_parse_json(text), f"$.{key}", "double"))

@@ -65,7 +65,8 @@ def tier(value: Column, thresholds: tuple[float, float], labels: tuple[str, str,
 
 
 def stream_segment(score: Column) -> Column:
-    return tier(score, STREAM_SEGMENT_THRESHOLDS, SEGMENTS)
+    """Segment of a stream score; NaN is above no threshold."""
+    return tier(F.when(~F.isnan(score), score), STREAM_SEGMENT_THRESHOLDS, SEGMENTS)
 
 
 def etl_segment(max_satisfaction: Column) -> Column:

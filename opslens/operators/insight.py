@@ -15,18 +15,23 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 # Defaults used when a summary (or a field of it) is missing.
 DEFAULT_TOTAL_MACHINES = 100
 DEFAULT_TOTAL_CUSTOMERS = 1000
+# Weights and divisor of the three scores.
+EFFICIENCY_WEIGHT, SATISFACTION_WEIGHT, SATISFACTION_SCALE = 0.6, 0.4, 10
+MACHINE_WEIGHT, CUSTOMER_WEIGHT = 0.5, 0.5
 # The summary fields (source output contract).
 MFG_SUMMARY_SCHEMA = StructType([
     StructField("total_machines_analyzed", LongType()), StructField("high_risk_machines", LongType()),
     StructField("medium_risk_machines", LongType()), StructField("low_risk_machines", LongType()),
     StructField("predicted_maintenance_events", LongType()),
-    StructField("average_machine_efficiency", DoubleType()), StructField("data_quality_score", DoubleType())])
+    StructField("average_machine_efficiency", DoubleType()), StructField("data_quality_score", DoubleType()),
+    StructField("timestamp", DoubleType())])
 ECOM_SUMMARY_SCHEMA = StructType([
     StructField("total_customers_analyzed", LongType()), StructField("high_value_customers", LongType()),
     StructField("medium_value_customers", LongType()), StructField("standard_customers", LongType()),
     StructField("average_purchase_amount", DoubleType()), StructField("most_popular_category", StringType()),
     StructField("highest_roi_marketing_channel", StringType()),
-    StructField("customer_satisfaction_index", DoubleType()), StructField("data_quality_score", DoubleType())])
+    StructField("customer_satisfaction_index", DoubleType()), StructField("data_quality_score", DoubleType()),
+    StructField("timestamp", DoubleType())])
 
 
 def cross_domain_scores(pair: DataFrame) -> list[Column]:
@@ -40,14 +45,14 @@ def cross_domain_scores(pair: DataFrame) -> list[Column]:
         value = F.col(f"{side}.{field}") if field in present[side] else F.lit(None)
         return F.coalesce(value, F.lit(default))
 
-    opex = (get("mfg", "average_machine_efficiency", 0.0) * 0.6
-            + get("ecom", "customer_satisfaction_index", 0.0) / 10 * 0.4)
+    opex = (get("mfg", "average_machine_efficiency", 0.0) * EFFICIENCY_WEIGHT
+            + get("ecom", "customer_satisfaction_index", 0.0) / SATISFACTION_SCALE * SATISFACTION_WEIGHT)
     # plain ANSI division: a zero total raises, as the source's division does
-    health = ((F.lit(1) - get("mfg", "high_risk_machines", 0) / get("mfg", "total_machines_analyzed",
-                                                                     DEFAULT_TOTAL_MACHINES)) * 0.5
-              + (get("ecom", "high_value_customers", 0) / get("ecom", "total_customers_analyzed",
-                                                               DEFAULT_TOTAL_CUSTOMERS)) * 0.5)
-    quality = get("mfg", "data_quality_score", 0.0) * 0.5 + get("ecom", "data_quality_score", 0.0) * 0.5
+    at_risk = get("mfg", "high_risk_machines", 0) / get("mfg", "total_machines_analyzed", DEFAULT_TOTAL_MACHINES)
+    valued = get("ecom", "high_value_customers", 0) / get("ecom", "total_customers_analyzed", DEFAULT_TOTAL_CUSTOMERS)
+    health = (F.lit(1) - at_risk) * MACHINE_WEIGHT + valued * CUSTOMER_WEIGHT
+    quality = (get("mfg", "data_quality_score", 0.0) * MACHINE_WEIGHT
+               + get("ecom", "data_quality_score", 0.0) * CUSTOMER_WEIGHT)
     return [opex.cast("double").alias("operational_excellence_score"),
             health.cast("double").alias("business_health_index"),
             quality.cast("double").alias("data_quality_composite")]

@@ -10,14 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslens.functions.numeric import round_half_up
-from opslens.functions.parse import has_key, parse_double, parse_int
+from opslens.functions.numeric import above, round_half_up
+from opslens.functions.parse import has_key, json_number, parse_double, parse_int
 from opslens.functions.scores import (ALERT_ACTION, ALERT_THRESHOLD, ALERT_TYPE,
                                       machine_efficiency, maintenance_priority)
 
 SCORE = "maintenance_priority_score"
 RAW_SCORE = "priority_raw"
 ESSENTIALS = ("machine_id", "energy_consumption", "predicted_remaining_life")
+# The column of ``decode_envelopes`` that holds a record's own JSON text.
+JSON_TEXT = "record_json"
 SCORING_KEYS = ("temperature", "vibration", "anomaly_flag")
 
 
@@ -45,8 +47,8 @@ def alert_projection(machine_id: Column, score: Column, timestamp: Column) -> li
 
 def high_priority_alerts(scored: DataFrame, *, raw_col: str = RAW_SCORE,
                          time_col: str = "ts", threshold: float = ALERT_THRESHOLD) -> DataFrame:
-    """Alerts for rows whose unrounded score exceeds the threshold."""
-    return (scored.where(F.col(raw_col) > threshold)
+    """Alerts for rows whose unrounded score exceeds the threshold (F3, P15); a NaN score does not."""
+    return (scored.where(above(F.col(raw_col), threshold))
             .select(*alert_projection(F.col("machine_id"), F.col(raw_col), F.col(time_col))))
 
 
@@ -88,7 +90,11 @@ def score_machine_records(decoded: DataFrame, record_col: str = "record") -> Dat
     risk = F.when(has_key(rec, "downtime_risk"), parse_double(rec.getItem("downtime_risk"))).otherwise(F.lit(0.0))
     temperature = parse_double(rec.getItem("temperature"))
     vibration = parse_double(rec.getItem("vibration"))
-    anomaly = parse_int(rec.getItem("anomaly_flag"))
+    flag = rec.getItem("anomaly_flag")
+    anomaly = parse_int(flag)
+    if JSON_TEXT in decoded.columns:  # a JSON number such as 1.0 counts as its whole part, the text "1.0" does not
+        number = json_number(F.col(JSON_TEXT), "anomaly_flag")
+        anomaly = F.when(anomaly.isNull() & flag.try_cast("double").isNotNull(), number.try_cast("bigint")).otherwise(anomaly)
     raw = F.when(scorable, maintenance_priority(temperature, vibration, anomaly, risk))
     return (decoded
             .withColumn("scorable", scorable)
@@ -101,5 +107,5 @@ def record_alerts(scored_records: DataFrame, record_col: str = "record",
                   time_key: str = "timestamp", threshold: float = ALERT_THRESHOLD) -> DataFrame:
     """Alerts of scored stream records (F3, P15); fields come from the record map."""
     rec = F.col(record_col)
-    return (scored_records.where(F.col("keep") & (F.col(RAW_SCORE) > threshold))
+    return (scored_records.where(F.col("keep") & above(F.col(RAW_SCORE), threshold))
             .select(*alert_projection(rec.getItem("machine_id"), F.col(RAW_SCORE), rec.getItem(time_key))))

@@ -3,17 +3,17 @@
 Each rollup is one ``groupBy().agg()``: Spark plans a partial aggregate before
 the shuffle and a final one after it, so a key holding a third of all rows
 still arrives at its reducer as one partial row per map task, not as its raw
-rows. Sums and averages are exact fixed point in integer arithmetic (see
-``functions.numeric``): each value's two BIGINT parts are projected once
-below the aggregate and summed.
+rows. Sums and averages are Spark's own over doubles.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslens.functions.numeric import combine_parts, fixed_parts
 from opslens.functions.scores import etl_segment
 
 # Column types eligible for automatic averaging. ``decimal``
@@ -21,40 +21,32 @@ from opslens.functions.scores import etl_segment
 AVERAGED_TYPES = ("int", "bigint", "float", "double")
 
 
-def _parts(name: str, value: F.Column) -> list[F.Column]:
-    """The two fixed-point parts of ``value`` as columns ``__w_<name>``, ``__f_<name>``."""
-    whole, frac = fixed_parts(value)
-    return [whole.alias(f"__w_{name}"), frac.alias(f"__f_{name}")]
-
-
-def _sum(name: str) -> F.Column:
-    return combine_parts(F.sum(f"__w_{name}"), F.sum(f"__f_{name}"))
+def tables_seen(tag_col: str, tables: Sequence[str] | None) -> Column:
+    """How many source tables a key's rows come from.
 
-
-def _avg(name: str) -> F.Column:
-    """Exact average of a value projected by ``_parts``."""
-    return _sum(name) / F.nullif(F.count(f"__f_{name}"), F.lit(0))
+    With the table names known (they are, when the union is planned) it is a
+    sum of one flag per table and needs no shuffle of its own.
+    """
+    if not tables:
+        return F.countDistinct(tag_col)
+    return reduce(lambda a, b: a + b, [
+        F.coalesce(F.max((F.col(tag_col) == t).cast("bigint")), F.lit(0).cast("bigint")) for t in tables])
 
 
-def machine_rollup(df: DataFrame, key: str = "machine_id", tag_col: str = "source_table") -> DataFrame:
+def machine_rollup(df: DataFrame, key: str = "machine_id", tag_col: str = "source_table",
+                   tables: Sequence[str] | None = None) -> DataFrame:
     """A2-A4 by machine: ``avg_<c>`` of every numeric column, anomalies, rows, source tables.
 
-    ``anomaly_flag`` missing from every table counts as no anomalies. The
-    fixed-point parts of each averaged column are projected once below the
-    aggregate, then summed and counted. ``source_tables_count`` is a single
-    distinct aggregate: Spark plans it as a partial aggregate on
-    (machine, table) and a second one on machine, both shuffling only
-    pre-aggregated rows.
+    ``anomaly_flag`` missing from every table counts as no anomalies.
     """
     numeric = [c for c, t in df.dtypes if t in AVERAGED_TYPES and c not in (key, tag_col)]
     anomalous = (F.col("anomaly_flag") > 0) if "anomaly_flag" in df.columns else F.lit(False)
-    staged = df.select(key, tag_col, anomalous.alias("__anomalous"),
-                       *[p for c in numeric for p in _parts(c, F.col(c))])
-    return staged.groupBy(key).agg(
-        *[_avg(c).alias(f"avg_{c}") for c in numeric],
-        F.count_if("__anomalous").alias("total_anomalies"),
+    # The output column names.
+    return df.groupBy(key).agg(
+        *[F.avg(F.col(f"`{c}`").cast("double")).alias(f"avg_{c}") for c in numeric],
+        F.count_if(anomalous).alias("total_anomalies"),
         F.count(F.lit(1)).alias("total_records"),
-        F.countDistinct(tag_col).alias("source_tables_count"),
+        tables_seen(tag_col, tables).alias("source_tables_count"),
     )
 
 
@@ -66,16 +58,14 @@ def customer_rollup(df: DataFrame, key: str = "customer_id") -> DataFrame:
     and rating are cast to double first: ``max`` over text would compare
     lexicographically and averaging text fails under ANSI casts.
     """
+    amount = F.col("cleaned_purchase_amount")
     satisfaction = F.col("customer_satisfaction").try_cast("double")
-    staged = df.select(key, satisfaction.alias("__satisfaction"),
-                       *_parts("amount", F.col("cleaned_purchase_amount")),
-                       *_parts("satisfaction", satisfaction),
-                       *_parts("rating", F.col("product_rating").try_cast("double")))
-    return (staged.groupBy(key).agg(
-                _sum("amount").alias("total_purchase_amount"),
-                _avg("amount").alias("avg_purchase_amount"),
+    # The output column names.
+    return (df.groupBy(key).agg(
+                F.sum(amount).alias("total_purchase_amount"),
+                F.avg(amount).alias("avg_purchase_amount"),
                 F.count(F.lit(1)).alias("purchase_count"),
-                _avg("satisfaction").alias("avg_satisfaction"),
-                _avg("rating").alias("avg_product_rating"),
-                F.max("__satisfaction").alias("customer_value_score"))
+                F.avg(satisfaction).alias("avg_satisfaction"),
+                F.avg(F.col("product_rating").try_cast("double")).alias("avg_product_rating"),
+                F.max(satisfaction).alias("customer_value_score"))
             .withColumn("customer_segment", etl_segment(F.col("customer_value_score"))))

@@ -11,9 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, TimestampType
+from pyspark.sql.types import DataType, StringType, TimestampType
 
-from opslens.functions.numeric import combine_parts, fixed_parts, safe_ratio
+from opslens.functions.numeric import above, safe_ratio
 from opslens.functions.scores import ALERT_THRESHOLD, EFFICIENCY_CAP, ERROR_SEGMENT, RISK_THRESHOLDS, etl_segment
 from opslens.operators.machine import ESSENTIALS, RAW_SCORE, score_readings, with_efficiency
 
@@ -22,6 +22,8 @@ def _time_micros(dtype: DataType, ts: F.Column) -> F.Column:
     """Microseconds since the epoch, independent of the session time zone."""
     if isinstance(dtype, TimestampType):
         return F.unix_micros(ts)
+    if isinstance(dtype, StringType):
+        ts = ts.try_cast("timestamp_ntz")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_diff("MICROSECOND", epoch, ts.cast("timestamp_ntz"))
 
@@ -49,20 +51,19 @@ def machine_summary(readings: DataFrame, *, key: str = "machine_id", time_col: s
     # score). A plain max over a long keeps the aggregate hash-based; ordering by a
     # (time, score) struct would force a sort-based aggregate over all rows.
     raw = F.col(RAW_SCORE)
-    tier_code = F.when(raw > high, 2).when(raw > mid, 1).otherwise(0)
+    tier_code = F.when(above(raw, high), 2).when(above(raw, mid), 1).otherwise(0)
     latest_key = _time_micros(scored.schema[time_col].dataType, F.col(time_col)) * 4 + tier_code
     complete = F.lit(True)
     for c in ESSENTIALS:
         complete = complete & F.col(c).isNotNull()
-    eff_whole, eff_frac = fixed_parts(F.when(complete, F.col("machine_efficiency")))
+    efficiency = F.when(complete, F.col("machine_efficiency"))
     per_machine = scored.groupBy(key).agg(
         F.max(latest_key).alias("latest_key"),
-        F.count_if(F.col(RAW_SCORE) > ALERT_THRESHOLD).alias("alerts"),
+        F.count_if(above(F.col(RAW_SCORE), ALERT_THRESHOLD)).alias("alerts"),
         F.count(F.lit(1)).alias("readings"),
         F.count_if(complete).alias("complete"),
-        F.sum(eff_whole).alias("eff_whole"),
-        F.sum(eff_frac).alias("eff_frac"),
-        F.count(eff_frac).alias("eff_n"),
+        F.sum(efficiency).alias("eff_sum"),
+        F.count(efficiency).alias("eff_n"),
     )
     known = F.col(key).isNotNull()
     latest_tier = F.coalesce(F.pmod(F.col("latest_key"), F.lit(4)), F.lit(0))
@@ -72,9 +73,7 @@ def machine_summary(readings: DataFrame, *, key: str = "machine_id", time_col: s
         F.count_if(known & (latest_tier == 1)).alias("medium_risk_machines"),
         F.count_if(known & (latest_tier == 0)).alias("low_risk_machines"),
         F.sum("alerts").alias("predicted_maintenance_events"),
-        (combine_parts(F.sum("eff_whole"), F.sum("eff_frac")) / F.nullif(F.sum("eff_n"), F.lit(0))
-         / EFFICIENCY_CAP)
-        .alias("average_machine_efficiency"),
+        (safe_ratio(F.sum("eff_sum"), F.sum("eff_n")) / EFFICIENCY_CAP).alias("average_machine_efficiency"),
         safe_ratio(F.sum("complete"), F.sum("readings")).alias("data_quality_score"),
     )
 
@@ -95,35 +94,41 @@ def customer_summary(processed: DataFrame, scored_records: DataFrame, *, key: st
       highest average amount per row, ties to the smallest name
     * data quality: scored records whose segment is not ``ERROR`` / all
 
-    The processed table is scanned once for all of its fields: one
-    grouping-sets aggregate by customer, by category, by channel and overall
-    gives each customer's maximum satisfaction and exact fixed-point sums and
-    counts (customers + categories + channels + 1 rows), and one global
-    aggregate over that counts the segments and picks the top category and
+    A table without a category or channel column has no top category or
+    channel. Rows without a customer count for the means, not as a customer.
+
+    The processed table is scanned once for all of its fields: one aggregate
+    by (customer, category, channel) reduces the rows, grouping sets over
+    those cells give customers, categories, channels and the whole, and one
+    global aggregate counts the segments and picks the top category and
     channel with ``min_by`` on (-measure, name), which breaks ties to the
     smallest name.
     """
     spark = processed.sparkSession
-    satisfaction = F.col("customer_satisfaction").try_cast("double")
-    a_whole, a_frac = fixed_parts(F.col("cleaned_purchase_amount"))
-    s_whole, s_frac = fixed_parts(satisfaction)
-    cells = (processed.groupingSets([[category_col], [channel_col], [], [key]], category_col, channel_col, key)
-             .agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("rows"), F.max(satisfaction).alias("max_sat"),
-                  F.sum(a_whole).alias("a_whole"), F.sum(a_frac).alias("a_frac"), F.count(a_frac).alias("a_n"),
-                  F.sum(s_whole).alias("s_whole"), F.sum(s_frac).alias("s_frac"), F.count(s_frac).alias("s_n")))
+
+    def column(name: str) -> F.Column:
+        return F.col(name) if name in processed.columns else F.lit(None).cast("string")
+
+    amount, satisfaction = F.col("cleaned_purchase_amount"), F.col("customer_satisfaction").try_cast("double")
+    cells = processed.groupBy(F.col(key).alias("who"), column(category_col).alias("cat"),
+                              column(channel_col).alias("chan")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max(satisfaction).alias("max_sat"),
+        F.sum(amount).alias("a_sum"), F.count(amount).alias("a_n"),
+        F.sum(satisfaction).alias("s_sum"), F.count(satisfaction).alias("s_n"))
+    sets = (cells.groupingSets([["cat"], ["chan"], [], ["who"]], "cat", "chan", "who")
+            .agg(F.grouping_id().alias("gid"), *[F.sum(c).alias(c) for c in ("rows", "a_sum", "a_n", "s_sum", "s_n")],
+                 F.max("max_sat").alias("max_sat")))
     # grouping_id bits, in column order: category 4, channel 2, customer 1 (set when rolled up)
-    gid, cat, chan = F.col("gid"), F.col(category_col), F.col(channel_col)
-    by_category, by_channel, overall, by_customer = (gid == 3) & cat.isNotNull(), (gid == 5) & chan.isNotNull(), \
-        gid == 7, gid == 6
+    gid, cat, chan = F.col("gid"), F.col("cat"), F.col("chan")
+    by_category, by_channel, overall = (gid == 3) & cat.isNotNull(), (gid == 5) & chan.isNotNull(), gid == 7
+    by_customer = (gid == 6) & F.col("who").isNotNull()
     segment = etl_segment(F.col("max_sat"))
-    channel_avg = combine_parts(F.col("a_whole"), F.col("a_frac")) / F.nullif(F.col("a_n"), F.lit(0))
+    channel_avg = safe_ratio(F.col("a_sum"), F.col("a_n"))
 
     def overall_mean(prefix: str) -> F.Column:
-        def part(p: str) -> F.Column:
-            return F.sum(F.when(overall, F.col(f"{prefix}_{p}")))
-        return combine_parts(part("whole"), part("frac")) / F.nullif(part("n"), F.lit(0))
+        return safe_ratio(F.sum(F.when(overall, F.col(f"{prefix}_sum"))), F.sum(F.when(overall, F.col(f"{prefix}_n"))))
 
-    means = cells.agg(
+    means = sets.agg(
         F.count_if(by_customer).alias("total_customers_analyzed"),
         F.count_if(by_customer & (segment == "HIGH_VALUE")).alias("high_value_customers"),
         F.count_if(by_customer & (segment == "MEDIUM_VALUE")).alias("medium_value_customers"),

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opslens.functions.numeric import round_half_up
 from opslens.operators import ecommerce, insight, machine, summary
 from opslens.plans import cross_domain as cross_domain_plan
 from opslens.plans import ecommerce as ecommerce_plan
@@ -32,6 +33,25 @@ def register(fn: Query) -> Query:
     return fn
 
 
+# Decimals to which sums and averages are compared: double sums depend on the
+# order of the rows, so their last bits differ between engines.
+COMPARED_DECIMALS = 6
+
+
+def _compared(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: round_half_up(F.col(c), COMPARED_DECIMALS) for c in cols})
+
+
+def _kind(score) -> F.Column:
+    """finite, nan, inf or none: what a comparison of hashes cannot be trusted with."""
+    return (F.when(score.isNull(), "none").when(F.isnan(score), "nan").when(F.abs(score) == float("inf"), "inf")
+            .otherwise("finite"))
+
+
+def _finite(score) -> F.Column:
+    return F.when(_kind(score) == "finite", score)
+
+
 @register
 def machine_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = machine.score_readings(fixtures.machine_readings(spark, sf_dir))
@@ -71,16 +91,19 @@ def conform_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def machine_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manufacturing.build(spark, fixtures.mfg_tables(spark, sf_dir)).rollup
+    rollup = manufacturing.build(spark, fixtures.mfg_tables(spark, sf_dir)).rollup
+    return _compared(rollup, *[c for c in rollup.columns if c.startswith("avg_")])
 
 
 # --- ecommerce stream scoring and batch (E2) -------------------------------
 
 @register
 def customer_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recs = ecommerce.as_record(fixtures.ecommerce_records(spark, sf_dir))
+    recs = ecommerce.as_record(fixtures.odd_amounts(fixtures.ecommerce_records(spark, sf_dir)))
+    score = F.col("customer_value_score")
     return ecommerce.score_customer_records(recs).select(
-        "order_key", "customer_id", "customer_value_score", "customer_segment")
+        "order_key", "customer_id", _finite(score).alias("customer_value_score"), _kind(score).alias("score_kind"),
+        "customer_segment")
 
 
 @register
@@ -99,7 +122,8 @@ def purchase_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def customer_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {ecommerce_plan.DEFAULT_TABLE: fixtures.ecommerce_processed(spark, sf_dir)}
-    return ecommerce_plan.build(spark, tables).rollup
+    return _compared(ecommerce_plan.build(spark, tables).rollup, "total_purchase_amount", "avg_purchase_amount",
+                     "avg_satisfaction", "avg_product_rating")
 
 
 @register
@@ -110,27 +134,24 @@ def purchase_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- decoding and streaming (D1-D4, T1, T2, S3-S6, A5) ----------------------
 
-def _typed_machine(records: DataFrame, record_col: str = "record") -> list:
-    rec = F.col(record_col)
-    return [rec.getItem("event_id").try_cast("bigint").alias("event_id"),
-            rec.getItem("machine_id").try_cast("bigint").alias("machine_id"),
-            rec.getItem("ts").try_cast("timestamp_ntz").alias("ts"),
-            rec.getItem("temperature").try_cast("double").alias("temperature"),
-            rec.getItem("vibration").try_cast("double").alias("vibration"),
-            rec.getItem("anomaly_flag").try_cast("bigint").alias("anomaly_flag"),
-            rec.getItem("downtime_risk").try_cast("double").alias("downtime_risk")]
+EVENT_TYPES = {"event_id": "bigint", "machine_id": "bigint", "ts": "timestamp_ntz", "temperature": "double",
+               "vibration": "double", "anomaly_flag": "bigint", "downtime_risk": "double"}
+
+
+def _typed_machine(record_col: str = "record") -> list:
+    return [F.col(record_col).getItem(c).try_cast(t).alias(c) for c, t in EVENT_TYPES.items()]
 
 
 @register
 def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = fixtures.machine_envelopes(spark, sf_dir, sinks.parallelism(spark))
+    lines = fixtures.machine_envelopes(spark, sf_dir)
     decoded = envelopes.decode_envelopes(lines, allow_bare=True)
-    return decoded.select("key", *_typed_machine(decoded))
+    return decoded.select("key", *_typed_machine())
 
 
 @register
 def record_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = fixtures.machine_envelopes(spark, sf_dir, sinks.parallelism(spark))
+    lines = fixtures.machine_envelopes(spark, sf_dir)
     meta = envelopes.add_record_metadata(envelopes.decode_envelopes(lines, allow_bare=True))
     # well-formedness per record instead of a distinct count, which would
     # shuffle every id of the stream just to re-check uuid() uniqueness
@@ -141,37 +162,36 @@ def record_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def unscorable_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = fixtures.perturbed_machine_envelopes(spark, sf_dir, sinks.parallelism(spark))
-    decoded = envelopes.decode_envelopes(lines, allow_bare=True)
+    lines = fixtures.perturbed_machine_envelopes(spark, sf_dir)
+    decoded = envelopes.decode_envelopes(lines, allow_bare=True, json_col=machine.JSON_TEXT)
     scored = machine.score_machine_records(decoded).where("keep")
-    rec = F.col("record")
-    return scored.select(rec.getItem("event_id").try_cast("bigint").alias("event_id"), "scorable",
-                         machine.SCORE)
+    score = F.col(machine.SCORE)
+    return scored.select(F.col("record").getItem("event_id").try_cast("bigint").alias("event_id"), "scorable",
+                         _finite(score).alias(machine.SCORE), _kind(score).alias("score_kind"))
 
 
 STREAM_DOMAINS = ("manufacturing", "ecommerce")
-# Source layout of the stream runs: files per stream and files per micro-batch.
-# A file is one task, so a micro-batch reads its files in parallel.
-STREAM_FILES = 16
-FILES_PER_TRIGGER = 4
-_STREAM_RUNS: dict[tuple[int, str], str] = {}
+# Fields of the records that the streams carry here.
+STREAM_COLUMNS = {"manufacturing": tuple(EVENT_TYPES),
+                  "ecommerce": ("order_key", "customer_id", "purchase_amount", "frequency_of_purchase", "brand_loyalty",
+                                "customer_satisfaction")}
+# Lines per source file: the number of files, and so a batch's parallelism, follows the data.
+LINES_PER_FILE = 25_000
+_STREAM_RUNS: dict[tuple[str, str], str] = {}
 
 
 def write_stream_sources(spark: SparkSession, sf_dir: str, base: str) -> None:
     """Envelope lines derived from the tables, as text files."""
-    for domain, lines in (("manufacturing", fixtures.machine_envelopes(spark, sf_dir, STREAM_FILES)),
-                          ("ecommerce", fixtures.customer_envelopes(spark, sf_dir, STREAM_FILES))):
-        lines.select("value").write.mode("overwrite").text(f"{base}/{domain}/source")
+    for domain, lines in (("manufacturing", fixtures.machine_envelopes(spark, sf_dir)),
+                          ("ecommerce", fixtures.customer_envelopes(spark, sf_dir))):
+        (lines.select("value").write.mode("overwrite").option("maxRecordsPerFile", LINES_PER_FILE)
+         .text(f"{base}/{domain}/source"))
 
 
 def process_streams(spark: SparkSession, base: str) -> None:
-    """Drain both sources with an available-now trigger, several files per micro-batch.
-
-    The two streams run concurrently, as two independent queries.
-    """
+    """Drain both sources with an available-now trigger; the two streams run concurrently, as two queries."""
     started = [processors.start(spark, f"{base}/{d}/source", f"{base}/{d}/out", f"{base}/{d}/checkpoint", d,
-                                max_files_per_trigger=FILES_PER_TRIGGER,
-                                **({"time_key": "ts"} if d == "manufacturing" else {}))
+                                columns=STREAM_COLUMNS[d], **({"time_key": "ts"} if d == "manufacturing" else {}))
                for d in STREAM_DOMAINS]
     for q in started:
         q.awaitTermination()
@@ -182,9 +202,9 @@ def process_streams(spark: SparkSession, base: str) -> None:
 def stream_run(spark: SparkSession, sf_dir: str) -> str:
     """Both stream processors over envelope files derived from the tables.
 
-    One run per session and scale is shared by the stream queries.
+    One run per application and scale is shared by the stream queries.
     """
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STREAM_RUNS:
         base = scratch_path(spark, "streams")
         write_stream_sources(spark, sf_dir, base)
@@ -193,10 +213,26 @@ def stream_run(spark: SparkSession, sf_dir: str) -> str:
     return _STREAM_RUNS[key]
 
 
+def _stream_records(spark: SparkSession, sf_dir: str, domain: str) -> DataFrame:
+    """The CSV record sink of one stream (S4, S5), read back."""
+    return processors.read_records(spark, f"{stream_run(spark, sf_dir)}/{domain}/out", domain, STREAM_COLUMNS[domain])
+
+
 @register
 def stream_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recs = processors.read_records(spark, f"{stream_run(spark, sf_dir)}/manufacturing/out", "manufacturing")
-    return recs.select(*_typed_machine(recs), machine.SCORE)
+    recs = _stream_records(spark, sf_dir, "manufacturing")
+    return recs.select(*[F.col(c).try_cast(t).alias(c) for c, t in EVENT_TYPES.items()],
+                       F.col(machine.SCORE).try_cast("double").alias(machine.SCORE))
+
+
+@register
+def stream_machines_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of the machine stream's CSV output, and that the added cells are filled."""
+    recs = _stream_records(spark, sf_dir, "manufacturing")
+    return recs.select(*[F.col(c) for c in ("event_id", "machine_id", "anomaly_flag", processors.OTHER_FIELDS)],
+                       F.col("batch_id").rlike(UUID_PATTERN).alias("has_batch_id"),
+                       F.col("processing_timestamp").try_cast("timestamp").isNotNull().alias("has_time"),
+                       F.round(F.col("temperature").cast("double"), 6).alias("temperature"))
 
 
 @register
@@ -208,11 +244,17 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def stream_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recs = processors.read_records(spark, f"{stream_run(spark, sf_dir)}/ecommerce/out", "ecommerce")
-    rec = F.col("record")
-    return recs.select(rec.getItem("order_key").try_cast("bigint").alias("order_key"),
-                       rec.getItem("customer_id").try_cast("bigint").alias("customer_id"),
-                       "customer_value_score", "customer_segment")
+    recs = _stream_records(spark, sf_dir, "ecommerce")
+    return recs.select(*[F.col(c).try_cast("bigint").alias(c) for c in ("order_key", "customer_id")],
+                       F.col("customer_value_score").try_cast("double").alias("customer_value_score"), "customer_segment")
+
+
+@register
+def stream_customers_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of the customer stream's CSV output; amounts hold ``$`` and commas."""
+    recs = _stream_records(spark, sf_dir, "ecommerce")
+    return recs.select(*STREAM_COLUMNS["ecommerce"], "customer_segment", processors.OTHER_FIELDS,
+                       F.col("processing_timestamp").try_cast("timestamp").isNotNull().alias("has_time"))
 
 
 @register
@@ -228,9 +270,13 @@ def batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 over cells with quotes, blanks, commas and line breaks."""
     path = scratch_path(spark, "raw-csv")
-    recs = fixtures.ecommerce_records(spark, sf_dir)
-    recs.write.option("header", True).csv(path)
+    key = F.col("order_key")
+    note = (F.when(key % 3 == 0, F.concat(F.lit('  said "'), key, F.lit('", twice "" ')))
+            .when(key % 3 == 1, F.concat(F.lit("one,\ntwo "), key)))
+    recs = fixtures.ecommerce_records(spark, sf_dir).withColumn("note", note)
+    sinks.write_csv(recs, path)
     raw = sinks.read_raw_csv(spark, path)
     return raw.select(*recs.columns, F.col("ingest_timestamp").isNotNull().alias("stamped"))
 
@@ -244,31 +290,34 @@ def rollup_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S11 with the threshold lowered so the sf0.01 table takes the partitioned branch."""
+    """Every column of the processed machine table, written in buckets and read back."""
     path = scratch_path(spark, "machines-processed")
-    processed = machine.drop_incomplete(machine.with_efficiency(fixtures.machine_readings(spark, sf_dir)))
-    counts = processed.groupBy("machine_id").agg(F.count(F.lit(1)).alias("rows"))
-    sinks.write_processed(processed, path, "machine_id", key_counts=counts, threshold=1_000,
-                          rows_per_task=5_000)
-    back = spark.read.parquet(path)
-    return (back.groupBy(F.col("machine_id").cast("bigint").alias("machine_id"))
-            .agg(F.count(F.lit(1)).alias("rows")))
+    sinks.write_processed(machine.drop_incomplete(machine.with_efficiency(fixtures.machine_readings(spark, sf_dir))),
+                          path, "machine_id")
+    return _bigint(sinks.read_processed(spark, path), "line_no", "anomaly_flag")
 
 
 @register
 def table_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S7/S8 over a scratch database of external tables on the test files."""
+    """S7/S8 over a scratch database of external tables on the test files.
+
+    The database is dropped again: the plans already know their files, and
+    dropping an external table leaves them.
+    """
     db = f"opslens_{uuid.uuid4().hex[:10]}"
     spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, db)}'")
-    for name, source in (("ecommerce", "orders"), ("ecommerce_events", "events"), ("machines", "lineitem")):
-        spark.catalog.createTable(f"{db}.{name}", path=f"{sf_dir.rstrip('/')}/{source}.parquet", source="parquet")
-    found = {"all": catalog.discover_tables(spark, db),
-             "prefix": catalog.discover_tables(spark, db, pattern="ecommerce*", fallback=["ecommerce"])}
-    parts = [df.agg(F.lit(mode).alias("discovery"), F.lit(name).alias("table_name"),
-                    F.count(F.lit(1)).alias("rows"))
-             for mode, names in found.items()
-             for name, df in catalog.load_tagged(spark, names, database=db).items()]
-    return reduce(DataFrame.unionByName, parts)
+    try:
+        for name, source in (("ecommerce", "orders"), ("ecommerce_events", "events"), ("machines", "lineitem")):
+            spark.catalog.createTable(f"{db}.{name}", path=f"{sf_dir.rstrip('/')}/{source}.parquet", source="parquet")
+        found = {"all": catalog.discover_tables(spark, db),
+                 "prefix": catalog.discover_tables(spark, db, pattern="ecommerce*", fallback=["ecommerce"])}
+        parts = [df.agg(F.lit(mode).alias("discovery"), F.lit(name).alias("table_name"),
+                        F.count(F.lit(1)).alias("rows"))
+                 for mode, names in found.items()
+                 for name, df in catalog.load_tagged(spark, names, database=db).items()]
+        return reduce(DataFrame.unionByName, parts)
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")
 
 
 # --- summaries and the cross-domain report (N1-N11, S12, S13, J1, X1-X4, E3) -
@@ -278,9 +327,14 @@ def _ecommerce_inputs(spark: SparkSession, sf_dir: str):
             fixtures.ecommerce_records(spark, sf_dir))
 
 
+MFG_MEANS = ("average_machine_efficiency", "data_quality_score")
+ECOM_MEANS = ("average_purchase_amount", "customer_satisfaction_index", "data_quality_score")
+SCORES = ("operational_excellence_score", "business_health_index", "data_quality_composite")
+
+
 @register
 def machine_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.machine_summary(fixtures.machine_readings(spark, sf_dir))
+    return _compared(summary.machine_summary(fixtures.machine_readings(spark, sf_dir)), *MFG_MEANS)
 
 
 @register
@@ -288,7 +342,7 @@ def customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables, records = _ecommerce_inputs(spark, sf_dir)
     run = ecommerce_plan.build(spark, tables)
     scored = ecommerce.score_customer_records(ecommerce.as_record(records))
-    return summary.customer_summary(run.processed, scored)
+    return _compared(summary.customer_summary(run.processed, scored), *ECOM_MEANS)
 
 
 @register
@@ -298,11 +352,28 @@ def latest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = fixtures.machine_readings(spark, sf_dir)
     sinks.write_summary(summary.machine_summary(readings.where(F.col("line_no") <= 3)), path)
     sinks.write_summary(summary.machine_summary(readings), path)
-    return sinks.latest_summary(spark, path, insight.MFG_SUMMARY_SCHEMA)
+    return _compared(sinks.latest_summary(spark, path, insight.MFG_SUMMARY_SCHEMA).drop("timestamp"), *MFG_MEANS)
 
 
 @register
 def cross_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables, records = _ecommerce_inputs(spark, sf_dir)
-    mfg, ecom = cross_domain_plan.summaries(spark, fixtures.machine_readings(spark, sf_dir), tables, records)
-    return insight.cross_domain(spark, mfg, ecom)
+    mfg, ecom = cross_domain_plan.summaries(spark, fixtures.machine_readings(spark, sf_dir), tables, records,
+                                            time_col="ts")
+    return _compared(insight.cross_domain(spark, mfg, ecom), *SCORES)
+
+
+@register
+def integrated_insight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 as a chain: both ETL jobs and their writes, summaries through storage (S12, S13), J1, X1-X4."""
+    tables, records = _ecommerce_inputs(spark, sf_dir)
+    whole = cross_domain_plan.run(spark, scratch_path(spark, "insight"), fixtures.mfg_tables(spark, sf_dir), tables,
+                                  records, time_col="ts")
+    stamped = [F.col(c).isNotNull().alias(f"has_{n}") for n, c in (
+        ("timestamp", "timestamp"), ("mfg_timestamp", "manufacturing_metrics.timestamp"),
+        ("ecom_timestamp", "ecommerce_metrics.timestamp"))]
+    flat = whole.select(
+        *stamped, "cross_domain_insights.*",
+        *[F.col(f"manufacturing_metrics.{f}").alias(f"mfg_{f}") for f in insight.MFG_SUMMARY_SCHEMA.fieldNames() if f != "timestamp"],
+        *[F.col(f"ecommerce_metrics.{f}").alias(f"ecom_{f}") for f in insight.ECOM_SUMMARY_SCHEMA.fieldNames() if f != "timestamp"])
+    return _compared(flat, *SCORES, *[f"mfg_{c}" for c in MFG_MEANS], *[f"ecom_{c}" for c in ECOM_MEANS])

@@ -18,39 +18,40 @@ from opslens.operators.ecommerce import as_record, score_customer_records
 from opslens.operators.insight import ECOM_SUMMARY_SCHEMA, MFG_SUMMARY_SCHEMA, integrate
 from opslens.operators.summary import customer_summary, machine_summary
 from opslens.plans import ecommerce, manufacturing
-from opslens.sources.sinks import latest_summary, write_summary
+from opslens.sources.sinks import BUCKETS, latest_summary, write_summary
 
 Tables = Iterable[str] | Mapping[str, DataFrame]
 
 
 def summaries(spark: SparkSession, readings: DataFrame, ecommerce_tables: Tables,
-              customer_records: DataFrame) -> tuple[DataFrame, DataFrame]:
+              customer_records: DataFrame, *, time_col: str = "timestamp") -> tuple[DataFrame, DataFrame]:
     """Manufacturing summary over typed readings; ecommerce summary over the E2 chain."""
     erun = ecommerce.build(spark, ecommerce_tables)
     scored = score_customer_records(as_record(customer_records))
-    return machine_summary(readings), customer_summary(erun.processed, scored)
-
-
-def build(spark: SparkSession, readings: DataFrame, ecommerce_tables: Tables,
-          customer_records: DataFrame) -> DataFrame:
-    mfg, ecom = summaries(spark, readings, ecommerce_tables, customer_records)
-    return integrate(spark, mfg, ecom)
+    return machine_summary(readings, time_col=time_col), customer_summary(erun.processed, scored)
 
 
 def run(spark: SparkSession, target: str, manufacturing_tables: Tables | None, ecommerce_tables: Tables | None,
         customer_records: DataFrame, *, manufacturing_database: str | None = None,
-        ecommerce_database: str | None = None) -> DataFrame:
+        ecommerce_database: str | None = None, time_col: str = "timestamp", category_col: str = "purchase_category",
+        channel_col: str = "marketing_channel", buckets: int = BUCKETS, strict: bool = False) -> DataFrame:
     """Both ETL jobs, both summaries through storage, then the integrated insight (appended as JSON).
 
     Tables are given directly, or discovered in the two databases as the
-    ETL jobs do (every table / ``ecommerce*``).
+    ETL jobs do (every table / ``ecommerce*``). ``time_col`` is the readings'
+    time column; a shop table without the category or channel column has no
+    top category or channel. The ecommerce summary reads the processed table
+    the job stored; the manufacturing summary reads the conformed tables,
+    because its data quality counts the incomplete readings the job drops.
     """
     base = target.rstrip("/")
-    mrun = manufacturing.run(spark, f"{base}/manufacturing", manufacturing_tables, database=manufacturing_database)
-    erun = ecommerce.run(spark, f"{base}/ecommerce", ecommerce_tables, database=ecommerce_database)
+    mrun = manufacturing.run(spark, f"{base}/manufacturing", manufacturing_tables, database=manufacturing_database,
+                             buckets=buckets, strict=strict)
+    erun = ecommerce.run(spark, f"{base}/ecommerce", ecommerce_tables, database=ecommerce_database, buckets=buckets,
+                         strict=strict)
     scored = score_customer_records(as_record(customer_records))
-    mfg = machine_summary(mrun.conformed)
-    ecom = customer_summary(erun.processed, scored)
+    mfg = machine_summary(mrun.conformed, time_col=time_col)
+    ecom = customer_summary(erun.processed, scored, category_col=category_col, channel_col=channel_col)
     write_summary(mfg, f"{base}/manufacturing/summary")
     write_summary(ecom, f"{base}/ecommerce/summary")
     insight = integrate(spark,

@@ -1,26 +1,26 @@
 """The ecommerce batch job as one lazy DataFrame chain.
 
 discover ``ecommerce*`` (S8) -> tagged scans (S9) -> union (U1) -> clean
-(P3, P6) -> efficiency (P13) -> rollup + segment (A1, P12) -> sample (S14)
--> writes (S10, S11). The source job caches the cleaned table below 500,000
-rows; here reuse is left to Spark (each write re-reads the pruned scan),
-which is also what a 100 TB run must do.
+(P3, P6) -> efficiency (P13) -> processed table (S11) -> rollup + segment
+(A1, P12) and sample (S14) from it -> rollup write (S10).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from opslens.operators.ecommerce import clean_purchases, purchase_sample
 from opslens.operators.rollup import customer_rollup
 from opslens.sources.catalog import conform, discover_tables, load_tagged
-from opslens.sources.sinks import PARTITION_THRESHOLD, write_processed, write_table
+from opslens.sources.sinks import BUCKETS, read_processed, write_processed, write_table
 
 DEFAULT_TABLE = "ecommerce"
+# Domain types of the known measures; the two text columns are parsed by the cleaning rules.
+TYPES = {"purchase_amount": "string", "time_to_decision": "string", "customer_satisfaction": "double",
+         "product_rating": "double"}
 
 
 @dataclass
@@ -28,30 +28,33 @@ class EcommerceRun:
     processed: DataFrame
     rollup: DataFrame
     sample: DataFrame
+    skipped: dict[str, str] = field(default_factory=dict)
 
 
 def build(spark: SparkSession, tables: Iterable[str] | Mapping[str, DataFrame] | None = None, *,
-          database: str | None = None) -> EcommerceRun:
+          database: str | None = None, strict: bool = False) -> EcommerceRun:
+    """The lazy E2 plan; ``skipped`` names tables that cannot be read (an error with ``strict``)."""
     if tables is None:
         tables = discover_tables(spark, database, pattern=f"{DEFAULT_TABLE}*", fallback=[DEFAULT_TABLE])
-    loaded = load_tagged(spark, tables, database=database)
-    processed = clean_purchases(conform(loaded))
-    return EcommerceRun(processed, customer_rollup(processed), purchase_sample(processed))
+    skipped: dict[str, str] = {}
+    loaded = load_tagged(spark, tables, database=database, skipped=skipped)
+    if strict and skipped:
+        raise LookupError(f"tables cannot be read: {skipped}")
+    processed = clean_purchases(conform(loaded, types=TYPES))
+    return EcommerceRun(processed, customer_rollup(processed), purchase_sample(processed), skipped)
 
 
 def run(spark: SparkSession, target: str, tables: Iterable[str] | Mapping[str, DataFrame] | None = None, *,
-        database: str | None = None, threshold: int = PARTITION_THRESHOLD) -> EcommerceRun:
-    """Build and write: ``<target>/customer_aggregations`` and ``<target>/processed``.
+        database: str | None = None, buckets: int = BUCKETS, strict: bool = False) -> EcommerceRun:
+    """Build and write: ``<target>/processed``, and ``<target>/customer_aggregations`` from it.
 
-    The returned run's ``rollup`` is the stored table (one row per customer),
-    so later steps reuse it instead of recomputing it from the source.
+    The returned run holds the stored tables, so later steps read those
+    instead of the source.
     """
-    plan = build(spark, tables, database=database)
-    agg_path = f"{target.rstrip('/')}/customer_aggregations"
-    write_table(plan.rollup, agg_path)
-    stored = spark.read.parquet(agg_path)
-    counts = stored.select("customer_id", "purchase_count")
-    rows = counts.agg(F.sum("purchase_count")).first()[0] or 0
-    write_processed(plan.processed, f"{target.rstrip('/')}/processed", "customer_id",
-                    rows=rows, key_counts=counts, count_col="purchase_count", threshold=threshold)
-    return EcommerceRun(plan.processed, stored, plan.sample)
+    plan = build(spark, tables, database=database, strict=strict)
+    base = target.rstrip("/")
+    write_processed(plan.processed, f"{base}/processed", "customer_id", buckets=buckets)
+    processed = read_processed(spark, f"{base}/processed")
+    write_table(customer_rollup(processed), f"{base}/customer_aggregations")
+    return EcommerceRun(processed, spark.read.parquet(f"{base}/customer_aggregations"), purchase_sample(processed),
+                        plan.skipped)

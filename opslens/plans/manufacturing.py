@@ -2,23 +2,28 @@
 
 discover (S7) -> tagged scans (S9) -> profile/skip/conform/union (F6, F7, U1)
 -> efficiency (P14) -> drop incomplete (F4) -> rollup (A2-A4) -> writes
-(S10, S11). The only actions are metadata (table list, all-null probe) and
-the writes themselves; the partitioning gate (A6) reuses the rollup's row
-total instead of a separate count over the data.
+(S10, S11). The only actions are metadata (table list, all-null flags), the
+writes themselves and the negative-vibration report (F5).
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from opslens.operators.machine import ESSENTIALS, drop_incomplete, negative_vibration_count, with_efficiency
 from opslens.operators.rollup import machine_rollup
 from opslens.sources.catalog import conform, discover_tables, load_tagged
-from opslens.sources.sinks import PARTITION_THRESHOLD, write_processed, write_table
+from opslens.sources.sinks import BUCKETS, write_processed, write_table
+
+log = logging.getLogger(__name__)
+
+# Domain types of the known measures; tables may store them as text or other numbers.
+TYPES = {"temperature": "double", "vibration": "double", "anomaly_flag": "bigint", "downtime_risk": "double",
+         "energy_consumption": "double", "predicted_remaining_life": "double"}
 
 
 @dataclass
@@ -27,32 +32,43 @@ class ManufacturingRun:
     processed: DataFrame
     rollup: DataFrame
     negative_vibration: DataFrame
+    skipped: dict[str, str] = field(default_factory=dict)
+    negative_vibration_rows: int | None = None
 
 
 def build(spark: SparkSession, tables: Iterable[str] | Mapping[str, DataFrame] | None = None, *,
-          database: str | None = None, prune_all_null: bool = True) -> ManufacturingRun:
-    """The lazy E1 plan over ``tables`` (names or frames), or every table of ``database``."""
+          database: str | None = None, prune_all_null: bool = True, strict: bool = False) -> ManufacturingRun:
+    """The lazy E1 plan over ``tables`` (names or frames), or every table of ``database``.
+
+    ``skipped`` of the result names the tables left out and why; with
+    ``strict`` such a table fails the job.
+    """
     if tables is None:
         tables = discover_tables(spark, database)
-    loaded = load_tagged(spark, tables, database=database)
-    conformed = conform(loaded, essentials=ESSENTIALS, prune_all_null=prune_all_null)
+    skipped: dict[str, str] = {}
+    loaded = load_tagged(spark, tables, database=database, skipped=skipped)
+    if strict and skipped:
+        raise LookupError(f"tables cannot be read: {skipped}")
+    conformed = conform(loaded, essentials=ESSENTIALS, prune_all_null=prune_all_null, types=TYPES, strict=strict,
+                        skipped=skipped)
     processed = drop_incomplete(with_efficiency(conformed))
-    return ManufacturingRun(conformed, processed, machine_rollup(processed),
-                            negative_vibration_count(conformed))
+    used = [name for name in loaded if name not in skipped]
+    return ManufacturingRun(conformed, processed, machine_rollup(processed, tables=used),
+                            negative_vibration_count(conformed), skipped)
 
 
 def run(spark: SparkSession, target: str, tables: Iterable[str] | Mapping[str, DataFrame] | None = None, *,
-        database: str | None = None, threshold: int = PARTITION_THRESHOLD) -> ManufacturingRun:
+        database: str | None = None, buckets: int = BUCKETS, strict: bool = False) -> ManufacturingRun:
     """Build and write: ``<target>/machine_aggregations`` and ``<target>/processed``.
 
-    The returned run's ``rollup`` is the stored table, so later steps reuse it.
+    The returned run's ``rollup`` is the stored table; ``negative_vibration_rows``
+    is the reported count (null without the column).
     """
-    plan = build(spark, tables, database=database)
+    plan = build(spark, tables, database=database, strict=strict)
     agg_path = f"{target.rstrip('/')}/machine_aggregations"
+    write_processed(plan.processed, f"{target.rstrip('/')}/processed", "machine_id", buckets=buckets)
     write_table(plan.rollup, agg_path)
-    stored = spark.read.parquet(agg_path)
-    counts = stored.select("machine_id", "total_records")
-    rows = counts.agg(F.sum("total_records")).first()[0] or 0
-    write_processed(plan.processed, f"{target.rstrip('/')}/processed", "machine_id",
-                    rows=rows, key_counts=counts, count_col="total_records", threshold=threshold)
-    return ManufacturingRun(plan.conformed, plan.processed, stored, plan.negative_vibration)
+    negative = plan.negative_vibration.first()[0]
+    log.info("readings with negative vibration: %s", negative)
+    return ManufacturingRun(plan.conformed, plan.processed, spark.read.parquet(agg_path), plan.negative_vibration,
+                            plan.skipped, negative)

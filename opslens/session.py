@@ -3,7 +3,8 @@
 Scratch data (stream checkpoints, round-trip tables, summaries) always goes
 under the cluster's checkpoint directory, which on a real cluster is a shared
 file system. A private temporary folder is only created when the session has
-none configured, which is the local/test case.
+none configured and runs in a single process, as in tests; on a cluster that
+would lose files silently, so there it is an error.
 """
 
 from __future__ import annotations
@@ -34,22 +35,26 @@ def build_session(master: str = "local[*]", app: str = "opslens",
     return builder.getOrCreate()
 
 
+def _private_folder(master: str) -> str:
+    """A temporary folder for a single-process session; an error anywhere else."""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master!r}")
+    return tempfile.mkdtemp(prefix="opslens-ckpt-")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's checkpoint directory, set to a fresh local one only if unset."""
+    """The session's checkpoint directory; a fresh local one only if unset and not on a cluster."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
-        sc = None
-    current = sc.getCheckpointDir() if sc is not None else None
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if sc is None:
         if not configured:
-            configured = tempfile.mkdtemp(prefix="opslens-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", configured)
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder under Spark Connect") from None
         return configured
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="opslens-ckpt-"))
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    sc.setCheckpointDir(configured or _private_folder(sc.master))
     return sc.getCheckpointDir()
 
 

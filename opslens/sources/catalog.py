@@ -1,7 +1,7 @@
 """Catalog discovery and conformed multi-table scans.
 
 Only metadata goes through the driver here: table names, schemas and, for
-all-null column pruning, one small row of per-column flags. The data itself
+all-null column pruning, one flag per column. The data itself
 stays in one lazy plan: every table scan is unioned by name and Catalyst
 prunes columns and pushes filters into each scan.
 """
@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 log = logging.getLogger(__name__)
 
@@ -37,23 +38,24 @@ def discover_tables(spark: SparkSession, database: str, pattern: str | None = No
 
 
 def load_tagged(spark: SparkSession, tables: Iterable[str] | Mapping[str, DataFrame], *,
-                database: str | None = None, tag_col: str = "source_table") -> dict[str, DataFrame]:
-    """Read each table and tag its rows with the table name.
+                database: str | None = None, skipped: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Each table as a lazy DataFrame (``conform`` tags the rows with the table name).
 
     ``tables`` is either names (resolved in ``database``) or name -> DataFrame.
-    A table that cannot be resolved is logged and skipped. Reads are lazy, so
-    there is nothing to parallelise on the driver: the scans run as one job
-    when the result is used.
+    A table that cannot be resolved is skipped; the reason goes to the log and
+    to ``skipped``. Reads are lazy, so there is nothing to parallelise on the
+    driver: the scans run as one job when the result is used.
     """
-    frames = dict(tables) if isinstance(tables, Mapping) else None
+    if isinstance(tables, Mapping):
+        return dict(tables)
     out: dict[str, DataFrame] = {}
-    for name in (frames or tables):
+    for name in tables:
         try:
-            df = frames[name] if frames is not None else spark.table(f"{database}.{name}" if database else name)
+            out[name] = spark.table(f"{database}.{name}" if database else name)
         except AnalysisException as exc:
             log.error("skipping table %s: %s", name, exc)
-            continue
-        out[name] = df
+            if skipped is not None:
+                skipped[name] = f"cannot be read: {str(exc).splitlines()[0]}"
     return out
 
 
@@ -65,62 +67,71 @@ def _presence(name: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return flags.select(F.explode(F.array(*cells)).alias("x")).select("x.*")
 
 
-def _probe(df: DataFrame, probe_rows: int) -> set[str]:
-    """Columns with a value among the first ``probe_rows`` rows.
+def non_null_columns_by_table(tables: Mapping[str, DataFrame]) -> dict[str, list[str]]:
+    """F6 for many tables: columns holding at least one non-null value, in schema order.
 
-    A projection of null flags under a limit that is collected runs as an
-    incremental ``CollectLimit``: it reads one partition first and more only
-    if that one is short, instead of a task on every split of the table.
-    At most ``probe_rows`` rows of booleans reach the driver.
+    One job for all tables: the per-table aggregates are unioned, so their
+    scans run side by side, and an all-null Parquet column is cheap to read (a
+    run of definition levels). Only one flag per column reaches the driver.
     """
-    cols = df.columns
-    rows = df.select(*[F.col(f"`{c}`").isNotNull().alias(f"c{i}") for i, c in enumerate(cols)]) \
-        .limit(probe_rows).collect()
-    return {c for i, c in enumerate(cols) if any(r[i] for r in rows)}
+    parts = [_presence(n, df, df.columns) for n, df in tables.items() if df.columns]
+    rows = reduce(DataFrame.unionByName, parts).collect() if parts else []
+    found = {(r["table"], r["column"]) for r in rows if r["present"]}
+    return {n: [c for c in df.columns if (n, c) in found] for n, df in tables.items()}
 
 
-def non_null_columns_by_table(tables: Mapping[str, DataFrame], probe_rows: int = 1_000) -> dict[str, list[str]]:
-    """F6 for many tables: columns holding at least one non-null value, in schema order.
+def non_null_columns(df: DataFrame) -> list[str]:
+    """F6 for one table (see ``non_null_columns_by_table``)."""
+    return non_null_columns_by_table({"t": df})["t"]
 
-    A cheap probe of the first ``probe_rows`` rows of each table settles
-    every column that has data there. The columns still all-null are then
-    checked over their whole tables in one job for all tables (the
-    per-table aggregates are unioned, so their stages run side by side);
-    reading just those columns is cheap (an all-null Parquet column is a run
-    of definition levels). Only one flag per column reaches the driver.
+
+def usable_tables(tables: Mapping[str, DataFrame], essentials: Sequence[str], *, strict: bool = False,
+                  skipped: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """the tables that have every essential column.
+
+    The others are skipped with a reason in the log and in ``skipped``, or
+    fail the job with ``strict``.
     """
-    found = {(n, c) for n, df in tables.items() if df.columns for c in _probe(df, probe_rows)}
-    rest = {n: [c for c in df.columns if (n, c) not in found] for n, df in tables.items()}
-    parts = [_presence(n, tables[n], cols) for n, cols in rest.items() if cols]
-    if parts:
-        rows = reduce(DataFrame.unionByName, parts).collect()
-        found |= {(r["table"], r["column"]) for r in rows if r["present"]}
-    return {n: [c for c in df.columns if (n, c) in found] for n, df in tables.items()}
+    out: dict[str, DataFrame] = {}
+    for name, df in tables.items():
+        missing = [c for c in essentials if c not in df.columns]
+        if not missing:
+            out[name] = df
+            continue
+        if strict:
+            raise LookupError(f"table {name} lacks the essential columns {missing}")
+        log.error("skipping table %s: missing essential columns %s", name, missing)
+        if skipped is not None:
+            skipped[name] = f"missing essential columns {missing}"
+    return out
 
 
-def non_null_columns(df: DataFrame, probe_rows: int = 1_000) -> list[str]:
-    """F6 for one table (see ``non_null_columns_by_table``)."""
-    return non_null_columns_by_table({"t": df}, probe_rows)["t"]
+def _drifting(tables: Mapping[str, DataFrame], known: Mapping[str, str]) -> set[str]:
+    """Columns whose stored types mix numbers with something else between tables."""
+    kinds: dict[str, set[str]] = {}
+    for df in tables.values():
+        for field in df.schema.fields:
+            numeric = isinstance(field.dataType, NumericType)
+            kinds.setdefault(field.name, set()).add("number" if numeric else field.dataType.simpleString())
+    return {c for c, k in kinds.items() if len(k - {"void"}) > 1 and c not in known}
 
 
 def conform(tables: Mapping[str, DataFrame], *, essentials: Sequence[str] = (),
             prune_all_null: bool = False, types: Mapping[str, str] | None = None,
-            tag_col: str = "source_table") -> DataFrame:
+            tag_col: str = "source_table", strict: bool = False, skipped: dict[str, str] | None = None) -> DataFrame:
     """One DataFrame from same-domain tables with schema drift.
 
-    A table lacking an essential column is skipped (F7). With
-    ``prune_all_null`` columns without any value are dropped, essentials
-    always kept (F6). Known columns are cast to their domain type before the
-    union so drift in stored types cannot fail the union at run time. Tables
-    are unioned by name, missing columns become null.
+    A table lacking an essential column is skipped (F7, see
+    ``usable_tables``). With ``prune_all_null`` columns without any value are
+    dropped, essentials always kept (F6). Known columns are cast to their
+    domain type (``try_cast``: a value that does not parse becomes null), and
+    other columns that are a number in one table and something else in
+    another become text, so drift in stored types cannot fail the union at
+    run time. Tables are unioned by name, missing columns become null.
     """
-    usable: dict[str, DataFrame] = {}
-    for name, df in tables.items():
-        missing = [c for c in essentials if c not in df.columns]
-        if missing:
-            log.error("skipping table %s: missing essential columns %s", name, missing)
-            continue
-        usable[name] = df
+    usable = usable_tables(tables, essentials, strict=strict, skipped=skipped)
+    types = types or {}
+    text = _drifting(usable, types)
     present = non_null_columns_by_table(usable) if prune_all_null else {}
     parts: list[DataFrame] = []
     for name, df in usable.items():
@@ -128,8 +139,8 @@ def conform(tables: Mapping[str, DataFrame], *, essentials: Sequence[str] = (),
         if prune_all_null:
             kept = set(present[name]) | set(essentials)
             keep = [c for c in df.columns if c in kept]
-        cols = [F.col(f"`{c}`").cast(types[c]).alias(c) if types and c in types else F.col(f"`{c}`")
-                for c in keep]
+        cols = [F.col(f"`{c}`").try_cast(types[c]).alias(c) if c in types
+                else F.col(f"`{c}`").cast("string").alias(c) if c in text else F.col(f"`{c}`") for c in keep]
         parts.append(df.select(*cols, F.lit(name).alias(tag_col)))
     if not parts:
         raise LookupError("no table could be conformed")

@@ -60,7 +60,8 @@ def to_envelope_lines(df: DataFrame, key_field: str, include_nulls: bool = True)
 
 
 def decode_envelopes(df: DataFrame, *, value_col: str = "value", allow_bare: bool = False,
-                     record_col: str = "record", keep_failed: bool = False) -> DataFrame:
+                     record_col: str = "record", keep_failed: bool = False,
+                     json_col: str | None = None) -> DataFrame:
     """Envelope line -> ``map<string,string>`` record.
 
     ``allow_bare`` accepts a line that is not an envelope as the record itself
@@ -81,12 +82,15 @@ def decode_envelopes(df: DataFrame, *, value_col: str = "value", allow_bare: boo
     data = F.regexp_replace(inner.getItem(DATA_KEY), r"[\r\n]", "")
     payload = F.try_validate_utf8(F.try_to_binary(data, F.lit("base64")).cast("string"))
     record = F.when(is_envelope, F.from_json(payload, RECORD_TYPE))
+    own = F.when(is_envelope, payload)
     if allow_bare:
-        record = record.otherwise(outer)
+        record, own = record.otherwise(outer), own.otherwise(F.col(value_col))
+    if json_col:  # the record's own JSON text, for rules that depend on a token's type
+        staged = staged.withColumn(json_col, own)
     if keep_failed:
         out = staged.withColumn(record_col, record).withColumn("decoded", F.col(record_col).isNotNull())
     else:
-        out = (staged.select(*[F.col(f"`{c}`") for c in df.columns],
+        out = (staged.select(*[F.col(f"`{c}`") for c in [*df.columns, *([json_col] if json_col else [])]],
                              F.explode(F.array_compact(F.array(record))).alias(record_col))
                .withColumn("decoded", F.lit(True)))
     return out.drop("_outer", "_inner")

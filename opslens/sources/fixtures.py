@@ -36,12 +36,19 @@ def machine_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mfg_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Three same-domain tables with drift, plus ``orders`` that must be skipped."""
+    """Four same-domain tables with drift, plus ``orders`` that must be skipped.
+
+    ``mfg_b`` lacks a column, ``mfg_c`` has one without values, ``mfg_d``
+    stores its numbers as text, some of it not a number.
+    """
     mr = machine_readings(spark, sf_dir)
     mfg_a = mr.where(F.col("line_no") <= 3)
-    mfg_b = mr.where(F.col("line_no").isin(4, 5)).drop("vibration")
+    mfg_b = mr.where(F.col("line_no") == 4).drop("vibration")
     mfg_c = mr.where(F.col("line_no") >= 6).withColumn("humidity", F.lit(None).cast("double"))
-    return {"mfg_a": mfg_a, "mfg_b": mfg_b, "mfg_c": mfg_c, "orders": table(spark, sf_dir, "orders")}
+    energy = F.when(F.col("order_key") % 10 == 0, F.lit("n/a")).otherwise(F.col("energy_consumption").cast("string"))
+    mfg_d = (mr.where(F.col("line_no") == 5).drop("vibration").withColumn("energy_consumption", energy)
+             .withColumns({c: F.col(c).cast("string") for c in ("predicted_remaining_life", "anomaly_flag")}))
+    return {"mfg_a": mfg_a, "mfg_b": mfg_b, "mfg_c": mfg_c, "mfg_d": mfg_d, "orders": table(spark, sf_dir, "orders")}
 
 
 def _ecommerce_columns() -> list[Column]:
@@ -119,15 +126,8 @@ def spoil(envelope_data: Column, id_col: Column) -> Column:
             .otherwise(envelope_data))
 
 
-def _partitioned(df: DataFrame, partitions: int | None) -> DataFrame:
-    """A stream arrives in many partitions; the test tables are single files."""
-    return df.repartition(partitions) if partitions else df
-
-
-def _envelope_lines(df: DataFrame, id_col: str, key_field: str, bare: Column | None,
-                    partitions: int | None = None) -> DataFrame:
+def _envelope_lines(df: DataFrame, id_col: str, key_field: str, bare: Column | None) -> DataFrame:
     # every value as text, the way a CSV row reaches the stream; null fields absent
-    df = _partitioned(df, partitions)
     text = df.select(F.col(id_col).alias("id"), *[F.col(c).cast("string").alias(c) for c in df.columns])
     keyed = encode_keyed_records(text, key_field, include_nulls=False, keep=("id",))
     return keyed.select("id", "key", _line(F.col("value"), F.col("id"), bare))
@@ -140,37 +140,44 @@ def _line(value: Column, rid: Column, bare: Column | None) -> Column:
     return line.alias("value")
 
 
-def machine_envelopes(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+def machine_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelope lines for the machine stream; every 5th event is sent bare."""
-    er = event_readings(spark, sf_dir)
-    return _envelope_lines(er, "event_id", "machine_id", bare=F.col("id") % 5 == 0, partitions=partitions)
+    return _envelope_lines(event_readings(spark, sf_dir), "event_id", "machine_id", bare=F.col("id") % 5 == 0)
+
 
+def customer_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _envelope_lines(ecommerce_records(spark, sf_dir), "order_key", "customer_id", bare=None)
 
-def customer_envelopes(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
-    return _envelope_lines(ecommerce_records(spark, sf_dir), "order_key", "customer_id", bare=None,
-                           partitions=partitions)
 
+def odd_amounts(records: DataFrame) -> DataFrame:
+    """Records with an amount of ``nan`` (key % 61) or ``$inf`` (key % 67)."""
+    key = F.col("order_key")
+    return records.withColumn("purchase_amount", F.when(key % 61 == 0, F.lit("nan")).when(key % 67 == 0, F.lit("$inf"))
+                              .otherwise(F.col("purchase_amount")))
 
-def perturbed_machine_envelopes(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+
+def perturbed_machine_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Machine envelopes with routing cases chosen by id.
 
-    id % 7: ``vibration`` absent (unscorable, passes through); id % 11:
-    ``temperature`` is ``'hot'`` (scorable, unparsable, dropped); id % 13:
-    ``downtime_risk`` absent (defaults to 0); id % 17: ``anomaly_flag``
-    present but null (dropped).
+    id % 7: ``vibration`` absent (unscorable, passes through); id % 13:
+    ``downtime_risk`` absent (defaults to 0). ``temperature``: id % 11 is
+    ``'hot'`` (scorable, unparsable, dropped), id % 19 ``'nan'``, id % 23
+    ``'inf'``. ``anomaly_flag``: id % 17 is null (dropped), id % 31 the text
+    ``'1.0'`` (dropped), id % 29 the JSON number 1.0 (counts as 1).
     """
-    er = _partitioned(event_readings(spark, sf_dir), partitions)
+    er = event_readings(spark, sf_dir)
     rid = F.col("event_id")
     pairs = []
     for c in er.columns:
         v = F.col(c).cast("string")
         if c == "temperature":
-            v = F.when(rid % 11 == 0, F.lit("hot")).otherwise(v)
+            v = F.when(rid % 11 == 0, F.lit("hot")).when(rid % 19 == 0, F.lit("nan")).when(rid % 23 == 0, F.lit("inf")).otherwise(v)
         if c == "anomaly_flag":
-            v = F.when(rid % 17 == 0, F.lit(None).cast("string")).otherwise(v)
+            v = (F.when(rid % 17 == 0, F.lit(None).cast("string")).when(rid % 31 == 0, F.lit("1.0"))
+                 .when(rid % 29 == 0, F.lit("@number")).otherwise(v))
         pairs += [F.lit(c), v]
     rec = F.map_filter(F.create_map(*pairs),
                        lambda k, _: ~(((k == "vibration") & (rid % 7 == 0))
                                       | ((k == "downtime_risk") & (rid % 13 == 0))))
-    return er.select(rid.alias("id"), F.col("machine_id").cast("string").alias("key"),
-                     _line(F.to_json(rec), rid, None))
+    text = F.replace(F.to_json(rec), F.lit('"@number"'), F.lit("1.0"))
+    return er.select(rid.alias("id"), F.col("machine_id").cast("string").alias("key"), _line(text, rid, None))

@@ -1,18 +1,19 @@
-"""Writers: rollup tables, size-dependent partitioned tables, summaries, CSV ingest."""
+"""Writers and readers: rollup and processed tables, summaries, CSV."""
 
 from __future__ import annotations
 
-import math
+from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-# The row-count gate of the partitioned write (the source's
-# second gate, caching below 500,000 rows, is left to the caller).
-PARTITION_THRESHOLD = 100_000
-# Target rows per writer task of a partitioned write (ours, not the source's).
-ROWS_PER_WRITE_TASK = 2_000_000
+# The partition column of processed tables and its default number of values.
+BUCKET_COLUMN = "key_bucket"
+BUCKETS = 64
+# CSV as written by common tools: a quote inside a cell is doubled, blanks and line breaks are kept.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -20,75 +21,63 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "snappy").parquet(path)
 
 
-def parallelism(spark: SparkSession) -> int:
-    """Default parallelism of the cluster (the shuffle partition setting under Spark Connect)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - Spark Connect
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def write_processed(df: DataFrame, path: str, key: str, *, rows: int | None = None,
-                    key_counts: DataFrame | None = None, count_col: str = "rows",
-                    threshold: int = PARTITION_THRESHOLD, rows_per_task: int = ROWS_PER_WRITE_TASK,
-                    max_records_per_file: int | None = None) -> bool:
-    """Partition by ``key`` when the table has more than ``threshold`` rows.
-
-    ``rows`` lets the caller pass a count it already knows (the rollup's row
-    total) instead of paying a full extra scan. Returns whether it partitioned.
-
-    A partitioned write needs every row of a key in as few tasks as possible
-    (one file per key and task) without letting a hot key make one task
-    write a third of the table. With ``key_counts`` (exact rows per key, e.g.
-    the rollup) the write is spread over ``tasks`` = max(cluster
-    parallelism, rows / ``rows_per_task``) tasks by (key, salt): a key with
-    more than rows/tasks rows gets that many salt buckets, every other key a
-    single one. The salt is a hash of the row, so a retried task sends each
-    row where the first attempt did. The hot-key table that is broadcast has
-    fewer rows than ``tasks`` (each hot key holds more than rows/tasks rows).
-    Without counts the write is rebalanced by key with AQE, which also splits
-    skewed keys.
+def key_bucket(key: str, buckets: int = BUCKETS):
+    """The bucket of a key (null has one too); a reader prunes folders with the same expression."""
+    return F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(buckets)).cast("int")
+
+
+def write_processed(df: DataFrame, path: str, key: str, *, buckets: int = BUCKETS) -> None:
+    """The table in ``buckets`` folders by a hash of the key, sorted by key inside its files.
+
+    The layout is the same at every size: the number of folders is the
+    parameter, not the number of keys or rows. A filter on the key prunes to
+    one folder (``key_bucket``) and, by file and row-group statistics, to few
+    row groups. ``REBALANCE`` lets AQE size the writer tasks from the data and
+    split a bucket that a hot key makes large over several tasks and files.
+    """
+    bucketed = df.withColumn(BUCKET_COLUMN, key_bucket(key, buckets))
+    (bucketed.hint("rebalance", BUCKET_COLUMN).sortWithinPartitions(BUCKET_COLUMN, key)
+     .write.mode("overwrite").option("compression", "snappy").partitionBy(BUCKET_COLUMN).parquet(path))
+
+
+def read_processed(spark: SparkSession, path: str) -> DataFrame:
+    """A processed table without its layout column."""
+    return spark.read.parquet(path).drop(BUCKET_COLUMN)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Headed CSV of text columns; null is an empty cell, nothing is trimmed, quotes are doubled."""
+    text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    (text.write.mode("overwrite").options(**CSV_OPTIONS, emptyValue="", nullValue="",
+                                          ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path))
+
+
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str], *, multi_line: bool = True,
+             streaming: bool = False) -> DataFrame:
+    """Headed CSV with every value as text.
+
+    Files are checked against ``columns``: a file with other names or another
+    order fails instead of putting values under the wrong names. With
+    ``multi_line`` a cell may hold line breaks and a file is read by one task;
+    without it large files are split and a line break ends the row.
     """
-    n = df.count() if rows is None else rows
-    if n <= threshold:
-        writer = df.write
-    else:
-        if key_counts is not None:
-            tasks = max(parallelism(df.sparkSession), math.ceil(n / rows_per_task))
-            per_task = max(1, math.ceil(n / tasks))
-            hot = (key_counts.where(F.col(count_col) > per_task)
-                   .select(F.col(key).alias("__hot_key"),
-                           F.ceil(F.col(count_col) / per_task).cast("int").alias("__buckets")))
-            # null-safe, so a hot null key is split like any other
-            salted = df.join(F.broadcast(hot), df[key].eqNullSafe(hot["__hot_key"]), "left")
-            salt = F.when(F.col("__buckets").isNotNull(),
-                          F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("__buckets"))
-                          ).otherwise(F.lit(0))
-            spread = (salted.withColumn("__salt", salt).repartition(tasks, key, "__salt")
-                      .select(*[F.col(f"`{c}`") for c in df.columns]))
-        else:
-            spread = df.hint("rebalance", key)
-        writer = spread.write.partitionBy(key)
-    writer = writer.mode("overwrite").option("compression", "snappy")
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.parquet(path)
-    return n > threshold
-
-
-def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = None, *,
+    schema = StructType([StructField(c, StringType(), True) for c in columns])
+    reader = spark.readStream if streaming else spark.read
+    return (reader.schema(schema).options(**CSV_OPTIONS, mode="PERMISSIVE", enforceSchema=False,
+                                          multiLine=multi_line).csv(path))
+
+
+def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, *, multi_line: bool = True,
                  streaming: bool = False) -> DataFrame:
     """Headed CSV with every value as text, plus ``ingest_timestamp``.
 
     With ``columns`` the schema is fixed up front (no inference pass over the
-    data); otherwise the header names are taken with every column as string.
+    data); otherwise the header of the folder is taken. See ``read_csv``.
     """
     if columns is None:
-        columns = spark.read.option("header", True).csv(path).columns
-    schema = StructType([StructField(c, StringType(), True) for c in columns])
-    reader = spark.readStream if streaming else spark.read
-    df = reader.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    return df.withColumn("ingest_timestamp", F.current_timestamp())
+        columns = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    return read_csv(spark, path, columns, multi_line=multi_line, streaming=streaming).withColumn(
+        "ingest_timestamp", F.current_timestamp())
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
@@ -97,19 +86,34 @@ def write_summary(summary: DataFrame, path: str) -> None:
     stamped.coalesce(1).write.mode("append").json(path)
 
 
+def _missing(exc: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(exc)
+
+
 def latest_summary(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """The summary object with the newest modification time.
+    """The newest summary object, by modification time of its file, then its own ``timestamp``, then path.
 
-    A tie on time keeps the lowest path, as a strict "newer than" scan over a
-    sorted listing would. An empty or missing folder gives no row.
+    Only file names and times are listed; of the files just the newest (or
+    those that tie for it) is read. A folder that does not exist gives no
+    row; any other failure is raised.
     """
-    reader = spark.read.schema(schema) if schema is not None else spark.read
+    empty = spark.createDataFrame([], schema if schema is not None else "timestamp double")
     try:
-        df = reader.json(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        if schema is None:
-            return spark.createDataFrame([], "timestamp double")
-        return spark.createDataFrame([], schema)
-    ranked = df.select("*", F.col("_metadata.file_modification_time").alias("_mtime"),
-                       F.col("_metadata.file_path").alias("_path"))
-    return ranked.orderBy(F.col("_mtime").desc(), F.col("_path").asc()).limit(1).drop("_mtime", "_path")
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path).select(
+            "path", "modificationTime")
+        newest = files.agg(F.max("modificationTime")).first()[0]
+    except AnalysisException as exc:
+        if _missing(exc):
+            return empty
+        raise
+    if newest is None:
+        return empty
+    paths = [r["path"] for r in files.where(F.col("modificationTime") == F.lit(newest)).collect()]
+    given = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    read_as = given
+    if given is not None and "timestamp" not in given.fieldNames():
+        read_as = StructType([*given.fields, StructField("timestamp", DoubleType())])
+    df = (spark.read.schema(read_as) if read_as is not None else spark.read).json(paths)
+    order = [F.col("timestamp").desc_nulls_last()] if "timestamp" in df.columns else []
+    ranked = df.select("*", F.col("_metadata.file_path").alias("_path")).orderBy(*order, F.col("_path").asc()).limit(1)
+    return ranked.drop("_path") if given is None else ranked.select(*given.fieldNames())

@@ -1,130 +1,134 @@
 """The machine and customer stream processors.
 
-Each processor is a ``foreachBatch`` body over a stream of envelope lines.
-A micro-batch is decoded and scored once, persisted, and then written to
-every sink from the persisted rows:
+Each processor is a ``foreachBatch`` body over a stream of envelope lines. A
+micro-batch is decoded and scored by narrow transforms and written to
 
-* ``records/batch=<epoch>``  the processed records (Parquet, typed + the record map)
-* ``csv/batch=<epoch>``      the same records as headed CSV, columns = sorted
-                             union of the batch's keys (S4/S5)
+* ``csv/batch=<epoch>``      the processed records (S4/S5): declared columns, added
+                             fields, and one JSON column for any other field
 * ``alerts/batch=<epoch>``   machine alerts as JSON, only when there are any (S6)
-* ``stats/batch=<epoch>``    per-batch counts (A5)
+* ``stats/batch=<epoch>``    per-batch counts (A5), observed while the records are written
+
+The layout is fixed by the declared columns, so nothing about a batch's
+fields has to reach the driver. ``union_header`` asks for a header made of
+the batch's own fields instead; their names are then collected, which suits
+producers with few fields.
 
 Outputs are keyed by the micro-batch id and written with overwrite, so a
 batch replayed after a failure replaces its own output instead of adding a
-second copy. Records are independent, so there is no state, watermark or
-shuffle: every step is a narrow transform of the batch.
+second copy. Records are independent: there is no state, watermark or shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from opslens.functions.numeric import above
+from opslens.functions.scores import ALERT_THRESHOLD
 from opslens.operators.ecommerce import score_customer_records
-from opslens.operators.machine import RAW_SCORE, SCORE, record_alerts, score_machine_records
+from opslens.operators.machine import JSON_TEXT, RAW_SCORE, SCORE, record_alerts, score_machine_records
 from opslens.sources.envelopes import add_record_metadata, decode_envelopes
-from opslens.functions.scores import ALERT_THRESHOLD
+from opslens.sources.sinks import read_csv, write_csv
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 ALERT_SCHEMA = ("machine_id string, alert_type string, score double, timestamp string, "
                 "recommended_action string")
 STATS_SCHEMA = ("epoch long, total_records long, processed_count long, failed_records long, "
                 "alert_count long")
-RECORD_SCHEMAS = {
-    "manufacturing": ("record map<string,string>, processing_timestamp timestamp, batch_id string, "
-                      "scorable boolean, priority_raw double, maintenance_priority_score double"),
-    "ecommerce": ("record map<string,string>, processing_timestamp timestamp, customer_value_raw double, "
-                  "customer_value_score double, customer_segment string"),
+# The record fields of the two domains, and the fields a processor adds.
+RECORD_COLUMNS = {
+    "manufacturing": ("machine_id", "timestamp", "temperature", "vibration", "anomaly_flag", "downtime_risk",
+                      "energy_consumption", "predicted_remaining_life", "ingest_timestamp"),
+    "ecommerce": ("Customer_ID", "Purchase_Amount", "Frequency_of_Purchase", "Brand_Loyalty", "Customer_Satisfaction",
+                  "ingest_timestamp"),
+}
+ADDED_COLUMNS = {
+    "manufacturing": ("processing_timestamp", "batch_id", SCORE),
+    "ecommerce": ("processing_timestamp", "customer_value_score", "customer_segment"),
 }
+OTHER_FIELDS = "other_fields"
+# Default size of a micro-batch, by bytes for file sources and by messages for Kafka.
+MAX_BYTES_PER_TRIGGER = 1 << 30
+MAX_OFFSETS_PER_TRIGGER = 5_000_000
+RATE_OPTIONS = ("maxFilesPerTrigger", "maxBytesPerTrigger", "maxOffsetsPerTrigger")
 
 
 def _batch_path(out: str, sink: str, epoch_id: int) -> str:
     return f"{out.rstrip('/')}/{sink}/batch={epoch_id}"
 
 
-def write_union_csv(records: DataFrame, path: str, added: dict[str, F.Column],
-                    record_col: str = "record") -> None:
-    """CSV with header = sorted union of the batch's record keys and added fields.
+def csv_columns(domain: str, columns: Sequence[str] | None = None) -> list[str]:
+    """Columns of the record sink in order."""
+    return [*(columns or RECORD_COLUMNS[domain]), *ADDED_COLUMNS[domain], OTHER_FIELDS]
 
-    The distinct key names are found with a partial-aggregated distinct over
-    the exploded keys, so what reaches the driver is exactly the header (its
-    size is the output width, not the row count). Absent keys and nulls are
-    written empty.
-    """
+
+def declared_layout(columns: Sequence[str], added: dict[str, Column], record_col: str = "record") -> list[Column]:
+    """Declared fields, added fields, and the rest of the record as one JSON object (null when there is none)."""
+    rec = F.col(record_col)
+    rest = F.map_filter(rec, lambda k, _: ~k.isin(*columns, *added))
+    return [*[rec.getItem(c).alias(c) for c in columns], *[v.alias(k) for k, v in added.items()],
+            F.when(F.size(rest) > 0, F.to_json(rest)).alias(OTHER_FIELDS)]
+
+
+def union_layout(records: DataFrame, added: dict[str, Column], record_col: str = "record") -> list[Column]:
+    """Sorted union of the batch's record fields and the added ones; the field names reach the driver."""
     keys = {r[0] for r in records.select(F.explode(F.map_keys(record_col)).alias("k")).distinct().collect()}
-    columns = sorted(keys | set(added))
     rec = F.col(record_col)
-    projected = [(added[k] if k in added else rec.getItem(k)).cast("string").alias(k) for k in columns]
-    (records.select(*projected).write.mode("overwrite")
-     .option("header", True).option("emptyValue", "").option("nullValue", "").csv(path))
+    return [(added[k] if k in added else rec.getItem(k)).alias(k) for k in sorted(keys | set(added))]
 
 
-def process_machine_batch(batch: DataFrame, epoch_id: int, out: str, *, write_csv: bool = True,
-                          time_key: str = "timestamp") -> None:
-    """T1 on one micro-batch: D1-D4, F1-F3, P5, P7, P9, P15 -> records, CSV, alerts, stats."""
+def _write_stats(spark: SparkSession, out: str, epoch_id: int, total: int, processed: int, alerts: int | None) -> None:
+    row = spark.createDataFrame([(epoch_id, total, processed, total - processed, alerts)], STATS_SCHEMA)
+    row.coalesce(1).write.mode("overwrite").json(_batch_path(out, "stats", epoch_id))
+
+
+def process_machine_batch(batch: DataFrame, epoch_id: int, out: str, *, columns: Sequence[str] | None = None,
+                          union_header: bool = False, time_key: str = "timestamp") -> None:
+    """T1 on one micro-batch: D1-D4, F1-F3, P5, P7, P9, P15 -> records, alerts, stats."""
     staged = score_machine_records(add_record_metadata(
-        decode_envelopes(batch, allow_bare=True, keep_failed=True)))
+        decode_envelopes(batch, allow_bare=True, keep_failed=True, json_col=JSON_TEXT))).drop(JSON_TEXT)
     staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
+    good = F.col("decoded") & F.col("keep")
     try:
-        stats = staged.agg(
-            F.count(F.lit(1)).alias("total_records"),
-            F.count_if(F.col("decoded") & F.col("keep")).alias("processed_count"),
-            F.count_if(F.col("decoded") & F.col("keep") & F.col("scorable")).alias("scored_count"),
-            F.count_if(F.col("decoded") & F.col("keep") & (F.col(RAW_SCORE) > ALERT_THRESHOLD)).alias("alert_count"),
-        ).first()
-        records = staged.where(F.col("decoded") & F.col("keep"))
-        if stats["processed_count"]:
-            (records.select("record", "processing_timestamp", "batch_id", "scorable", RAW_SCORE, SCORE)
-             .write.mode("overwrite").parquet(_batch_path(out, "records", epoch_id)))
-            if write_csv:
-                added = {"processing_timestamp": F.date_format("processing_timestamp", ISO_FORMAT),
-                         "batch_id": F.col("batch_id")}
-                if stats["scored_count"]:
-                    added[SCORE] = F.col(SCORE)
-                write_union_csv(records, _batch_path(out, "csv", epoch_id), added)
-        if stats["alert_count"]:
-            (record_alerts(records, time_key=time_key).write.mode("overwrite")
+        seen = Observation()
+        records = staged.observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(good).alias("processed"),
+                                 F.count_if(good & above(F.col(RAW_SCORE), ALERT_THRESHOLD)).alias("alerts")).where(good)
+        added = {"processing_timestamp": F.date_format("processing_timestamp", ISO_FORMAT),
+                 "batch_id": F.col("batch_id"), SCORE: F.col(SCORE)}
+        layout = (union_layout(staged.where(good), added) if union_header
+                  else declared_layout(columns or RECORD_COLUMNS["manufacturing"], added))
+        write_csv(records.select(*layout), _batch_path(out, "csv", epoch_id))
+        counts = seen.get
+        if counts["alerts"]:
+            (record_alerts(staged.where(good), time_key=time_key).write.mode("overwrite")
              .json(_batch_path(out, "alerts", epoch_id)))
-        spark = batch.sparkSession
-        (spark.createDataFrame([(epoch_id, stats["total_records"], stats["processed_count"],
-                                 stats["total_records"] - stats["processed_count"], stats["alert_count"])],
-                               STATS_SCHEMA)
-         .coalesce(1).write.mode("overwrite").json(_batch_path(out, "stats", epoch_id)))
+        _write_stats(batch.sparkSession, out, epoch_id, counts["total"], counts["processed"], counts["alerts"])
     finally:
         staged.unpersist()
 
 
-def process_customer_batch(batch: DataFrame, epoch_id: int, out: str, *, write_csv: bool = True) -> None:
-    """T2 on one micro-batch: D1, D3, D4, P1, P2, P4, P8-P11 -> records, CSV, stats.
+def process_customer_batch(batch: DataFrame, epoch_id: int, out: str, *, columns: Sequence[str] | None = None,
+                           union_header: bool = False) -> None:
+    """T2 on one micro-batch: D1, D3, D4, P1, P2, P4, P8-P11 -> records, stats.
 
     An undecodable envelope is dropped (counted as failed); a decoded record
     whose fields do not parse is kept with the ``ERROR`` segment.
     """
     staged = score_customer_records(decode_envelopes(batch, allow_bare=False, keep_failed=True))
-    staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = staged.agg(F.count(F.lit(1)).alias("total_records"),
-                           F.count_if("decoded").alias("processed_count")).first()
-        records = staged.where("decoded")
-        if stats["processed_count"]:
-            (records.select("record", "processing_timestamp", "customer_value_raw",
-                            "customer_value_score", "customer_segment")
-             .write.mode("overwrite").parquet(_batch_path(out, "records", epoch_id)))
-            if write_csv:
-                added = {"processing_timestamp": F.date_format("processing_timestamp", ISO_FORMAT),
-                         "customer_value_score": F.col("customer_value_score"),
-                         "customer_segment": F.col("customer_segment")}
-                write_union_csv(records, _batch_path(out, "csv", epoch_id), added)
-        spark = batch.sparkSession
-        (spark.createDataFrame([(epoch_id, stats["total_records"], stats["processed_count"],
-                                 stats["total_records"] - stats["processed_count"], None)], STATS_SCHEMA)
-         .coalesce(1).write.mode("overwrite").json(_batch_path(out, "stats", epoch_id)))
-    finally:
-        staged.unpersist()
+    seen = Observation()
+    records = staged.observe(seen, F.count(F.lit(1)).alias("total"), F.count_if("decoded").alias("processed")).where("decoded")
+    added = {"processing_timestamp": F.date_format("processing_timestamp", ISO_FORMAT),
+             "customer_value_score": F.col("customer_value_score"), "customer_segment": F.col("customer_segment")}
+    layout = (union_layout(staged.where("decoded"), added) if union_header
+              else declared_layout(columns or RECORD_COLUMNS["ecommerce"], added))
+    write_csv(records.select(*layout), _batch_path(out, "csv", epoch_id))
+    counts = seen.get
+    _write_stats(batch.sparkSession, out, epoch_id, counts["total"], counts["processed"], None)
 
 
 def start(spark: SparkSession, source_dir: str, out: str, checkpoint: str, domain: str, *,
@@ -134,18 +138,25 @@ def start(spark: SparkSession, source_dir: str, out: str, checkpoint: str, domai
     """S3: stream envelope lines through a processor.
 
     The default source is text files under ``source_dir`` (one envelope per
-    line, rate-limited by ``max_files_per_trigger``). Any streaming source
-    with a ``value`` column works the same way, e.g. ``source_format="kafka"``
-    with its options, whose binary ``value`` is read as UTF-8 text.
-    ``available_now`` drains what is there in as many micro-batches as the
-    rate limit gives and stops; otherwise the query runs on ``processing_time``.
-    The checkpoint records source offsets, so a restarted query resumes from
-    the last committed micro-batch and replays it into the same output folder.
+    line). Any streaming source with a ``value`` column works the same way,
+    e.g. ``source_format="kafka"`` with its options, whose binary ``value`` is
+    read as UTF-8 text. A micro-batch is limited by size (bytes of files, or
+    Kafka messages) unless a rate option is given, so a backlog is never one
+    batch. ``available_now`` drains what is there in as many micro-batches as
+    that gives and stops; otherwise the query runs on ``processing_time``. The
+    checkpoint records source offsets, so a restarted query resumes from the
+    last committed micro-batch and replays it into the same output folder.
     """
     body = {"manufacturing": process_machine_batch, "ecommerce": process_customer_batch}[domain]
-    reader = spark.readStream.format(source_format).options(**(source_options or {}))
+    options = dict(source_options or {})
     if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        options["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    if not any(o in options for o in RATE_OPTIONS):
+        if source_format == "kafka":
+            options["maxOffsetsPerTrigger"] = str(MAX_OFFSETS_PER_TRIGGER)
+        else:
+            options["maxBytesPerTrigger"] = str(MAX_BYTES_PER_TRIGGER)
+    reader = spark.readStream.format(source_format).options(**options)
     stream = reader.load(source_dir) if source_dir else reader.load()
     stream = stream.select(F.col("value").cast("string").alias("value"))
     writer = (stream.writeStream
@@ -158,33 +169,31 @@ def start(spark: SparkSession, source_dir: str, out: str, checkpoint: str, domai
     return writer.start()
 
 
-def _read_sink(spark: SparkSession, out: str, sink: str, fmt: str, schema: str | None) -> DataFrame | None:
-    """A sink folder as a DataFrame; None when no micro-batch has written to it yet."""
-    reader = spark.read.schema(schema) if schema else spark.read
+def _read_sink(spark: SparkSession, out: str, sink: str, schema: str) -> DataFrame:
+    """A JSON sink folder as a DataFrame; empty when no micro-batch has written to it yet."""
+    names = [c.split()[0] for c in schema.split(", ")]
     try:
-        return reader.format(fmt).load(f"{out.rstrip('/')}/{sink}")
+        return spark.read.schema(schema).json(f"{out.rstrip('/')}/{sink}").select(*names)
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return None
+        if "PATH_NOT_FOUND" in str(exc):
+            return spark.createDataFrame([], schema)
         raise
 
 
-def read_records(spark: SparkSession, out: str, domain: str) -> DataFrame:
-    """Processed records of every micro-batch (empty when no batch had a record)."""
-    schema = RECORD_SCHEMAS[domain]
-    df = _read_sink(spark, out, "records", "parquet", None)
-    if df is None:
-        return spark.createDataFrame([], schema)
-    return df.select(*[c.split()[0] for c in schema.split(", ")])
+def read_records(spark: SparkSession, out: str, domain: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Processed records of every micro-batch as text columns (empty when no batch was written)."""
+    names = csv_columns(domain, columns)
+    try:
+        return read_csv(spark, f"{out.rstrip('/')}/csv", names).select(*names)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in names))
+        raise
 
 
 def read_alerts(spark: SparkSession, out: str) -> DataFrame:
-    df = _read_sink(spark, out, "alerts", "json", ALERT_SCHEMA)
-    return df.select(*[c.split()[0] for c in ALERT_SCHEMA.split(", ")]) if df is not None \
-        else spark.createDataFrame([], ALERT_SCHEMA)
+    return _read_sink(spark, out, "alerts", ALERT_SCHEMA)
 
 
 def read_stats(spark: SparkSession, out: str) -> DataFrame:
-    df = _read_sink(spark, out, "stats", "json", STATS_SCHEMA)
-    return df.select(*[c.split()[0] for c in STATS_SCHEMA.split(", ")]) if df is not None \
-        else spark.createDataFrame([], STATS_SCHEMA)
+    return _read_sink(spark, out, "stats", STATS_SCHEMA)

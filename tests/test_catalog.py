@@ -22,9 +22,9 @@ def test_conform_skips_prunes_and_unions(spark):
     assert [(r.machine_id, r.vibration, r.source_table) for r in rows] == [(1, 0.5, "a"), (2, None, "b")]
 
 
-def test_non_null_columns_probe_and_full_scan(spark):
+def test_non_null_columns_over_the_whole_table(spark):
     df = spark.range(30000).selectExpr("id", "case when id = 29999 then 1 end as late", "cast(null as int) as never")
-    assert catalog.non_null_columns(df, probe_rows=100) == ["id", "late"]
+    assert catalog.non_null_columns(df) == ["id", "late"]
 
 
 def test_union_casts_drifting_types(spark):
@@ -45,16 +45,17 @@ def test_discovery(spark, tmp_path):
     spark.range(1).createOrReplaceTempView("ecommerce_temp")
     assert catalog.discover_tables(spark, db) == ["ecommerce", "ecommerce_web", "machines"]
     assert catalog.discover_tables(spark, db, pattern="ecommerce*") == ["ecommerce", "ecommerce_web"]
-    loaded = catalog.load_tagged(spark, ["machines", "missing"], database=db)
-    assert list(loaded) == ["machines"]
+    skipped = {}
+    loaded = catalog.load_tagged(spark, ["machines", "missing"], database=db, skipped=skipped)
+    assert list(loaded) == ["machines"] and list(skipped) == ["missing"]
 
 
 def test_manufacturing_run_writes(spark, tmp_path):
     rows = [(i % 3, 1.0 + i, 10.0 * i, i % 2) for i in range(20)]
     df = spark.createDataFrame(rows, "machine_id bigint, energy_consumption double, "
                                "predicted_remaining_life double, anomaly_flag int")
-    plan = manufacturing.run(spark, str(tmp_path / "mfg"), {"t1": df}, threshold=10)
+    plan = manufacturing.run(spark, str(tmp_path / "mfg"), {"t1": df}, buckets=4)
     agg = spark.read.parquet(str(tmp_path / "mfg" / "machine_aggregations"))
     assert agg.count() == 3 and sum(r.total_records for r in agg.collect()) == 20
-    assert (tmp_path / "mfg" / "processed" / "machine_id=0").is_dir()
+    assert all(p.name.startswith(("key_bucket=", "_", ".")) for p in (tmp_path / "mfg" / "processed").iterdir())
     assert plan.rollup.count() == 3

@@ -6,13 +6,13 @@ import pytest
 
 from opslens.operators import insight
 
-MFG = {"total_machines_analyzed": 100, "high_risk_machines": 15, "medium_risk_machines": 35,
-       "low_risk_machines": 50, "predicted_maintenance_events": 12, "average_machine_efficiency": 0.87,
+# The fields that X1-X3 read in the source's two constant summaries.
+MFG = {"total_machines_analyzed": 100, "high_risk_machines": 15, "average_machine_efficiency": 0.87,
        "data_quality_score": 0.95}
-ECOM = {"total_customers_analyzed": 1000, "high_value_customers": 150, "medium_value_customers": 350,
-        "standard_customers": 500, "average_purchase_amount": 128.75, "most_popular_category": "Electronics",
-        "highest_roi_marketing_channel": "Social Media", "customer_satisfaction_index": 8.3,
+ECOM = {"total_customers_analyzed": 1000, "high_value_customers": 150, "customer_satisfaction_index": 8.3,
         "data_quality_score": 0.96}
+# Own values for fields that are only carried along.
+CARRIED = {"predicted_maintenance_events": 3, "most_popular_category": "hats", "timestamp": 1.75e9}
 
 GOLDEN = [  # (mfg present, ecom present) -> (opex, health, quality)
     (True, True, (0.854, 0.5, 0.955)),
@@ -23,7 +23,7 @@ GOLDEN = [  # (mfg present, ecom present) -> (opex, health, quality)
 
 
 def summary_df(spark, values, schema):
-    return spark.createDataFrame([tuple(values[f.name] for f in schema.fields)], schema)
+    return spark.createDataFrame([tuple(values.get(f.name, CARRIED.get(f.name)) for f in schema.fields)], schema)
 
 
 @pytest.mark.parametrize("has_mfg,has_ecom,expected", GOLDEN)
@@ -46,6 +46,7 @@ def test_integrated_document(spark):
     mfg = summary_df(spark, MFG, insight.MFG_SUMMARY_SCHEMA)
     doc = json.loads(insight.integrate(spark, mfg, None).toJSON().first())
     assert doc["manufacturing_metrics"]["high_risk_machines"] == 15
+    assert doc["manufacturing_metrics"]["timestamp"] == 1.75e9 and doc["manufacturing_metrics"]["predicted_maintenance_events"] == 3
     assert doc["ecommerce_metrics"] == {}  # a missing summary is an empty object
     assert doc["cross_domain_insights"]["data_quality_composite"] == pytest.approx(0.475)
     assert doc["timestamp"] > 1.6e9

@@ -1,4 +1,4 @@
-"""Property tests: exact sums do not depend on partitioning; strict integer parsing."""
+"""Property tests: rounding, strict integer parsing, alias resolution."""
 
 import math
 
@@ -8,27 +8,17 @@ from pyspark.sql import functions as F
 
 from opslens.functions import numeric, parse
 
-finite = st.floats(min_value=-1e9, max_value=1e9, allow_nan=False, allow_infinity=False)
-
-
-def python_exact_sum(values):
-    whole = [math.floor(x) for x in values]
-    frac = [math.floor((x - w) * 1_000_000.0 + 0.5) for x, w in zip(values, whole)]
-    return float(sum(whole)) + float(sum(frac)) / 1_000_000.0
-
-
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(finite, min_size=1, max_size=60))
-def test_exact_sum_is_partition_invariant(spark, values):
+@given(st.lists(st.floats(allow_nan=True, allow_infinity=True), min_size=1, max_size=40))
+def test_rounding_keeps_what_has_no_decimals(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    results = set()
-    for parts in (1, 3, 7):
-        row = df.repartition(parts).agg(numeric.exact_sum("x").alias("s"), numeric.exact_avg("x").alias("a")).first()
-        results.add((row.s, row.a))
-    assert len(results) == 1
-    (s, a), = results
-    assert s == python_exact_sum(values)
-    assert a == python_exact_sum(values) / len(values)
+    for got, x in zip([r.v for r in df.select(numeric.round_half_up("x").alias("v")).collect()], values, strict=True):
+        if math.isnan(x):
+            assert math.isnan(got)
+        elif math.isinf(x) or abs(x) >= 1e20:
+            assert got == x
+        else:
+            assert abs(got - x) <= 0.005 + abs(x) * 1e-15 + 1e-9
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

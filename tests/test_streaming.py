@@ -11,11 +11,15 @@ from opslens.sources import envelopes, fixtures
 from opslens.streaming import processors
 
 
-def _run(spark, tmp_path, domain, lines):
+COLUMNS = {"manufacturing": ("event_id", "machine_id", "ts", "temperature", "vibration", "anomaly_flag", "downtime_risk"),
+           "ecommerce": ("order_key", "customer_id")}
+
+
+def _run(spark, tmp_path, domain, lines, **more):
     src, out = str(tmp_path / "src"), str(tmp_path / "out")
     lines.select("value").repartition(3).write.text(src)
     q = processors.start(spark, src, out, str(tmp_path / "ckpt"), domain, max_files_per_trigger=1,
-                         **({"time_key": "ts"} if domain == "manufacturing" else {}))
+                         columns=COLUMNS[domain], **more, **({"time_key": "ts"} if domain == "manufacturing" else {}))
     q.awaitTermination()
     assert q.exception() is None
     return out
@@ -25,7 +29,8 @@ def test_machine_stream_equals_batch(spark, tmp_path):
     lines = fixtures.machine_envelopes(spark, SF_SMALL)
     out = _run(spark, tmp_path, "manufacturing", lines)
     key = [F.col("record").getItem("event_id").alias("event_id"), F.col(machine.SCORE)]
-    streamed = processors.read_records(spark, out, "manufacturing").select(*key)
+    streamed = processors.read_records(spark, out, "manufacturing", COLUMNS["manufacturing"]).select(
+        "event_id", F.col(machine.SCORE).cast("double").alias(machine.SCORE))
     batch = machine.score_machine_records(envelopes.decode_envelopes(lines, allow_bare=True)) \
         .where("keep").select(*key)
     assert streamed.count() == batch.count() > 0
@@ -36,7 +41,7 @@ def test_machine_stream_equals_batch(spark, tmp_path):
 
 
 def test_union_header_csv(spark, tmp_path):
-    out = _run(spark, tmp_path, "manufacturing", fixtures.machine_envelopes(spark, SF_SMALL))
+    out = _run(spark, tmp_path, "manufacturing", fixtures.machine_envelopes(spark, SF_SMALL), union_header=True)
     first = sorted(glob.glob(f"{out}/csv/batch=*/part-*.csv"))[0]
     with open(first, newline="") as fh:
         header = next(csv.reader(fh))
@@ -47,10 +52,11 @@ def test_union_header_csv(spark, tmp_path):
 def test_replayed_batch_is_idempotent(spark, tmp_path):
     lines = fixtures.customer_envelopes(spark, SF_SMALL).select("value")
     out = str(tmp_path / "out")
-    processors.process_customer_batch(lines, 7, out)
-    first = processors.read_records(spark, out, "ecommerce").count()
-    processors.process_customer_batch(lines, 7, out)
-    assert processors.read_records(spark, out, "ecommerce").count() == first == lines.count() - \
+    keep = {"columns": COLUMNS["ecommerce"]}
+    processors.process_customer_batch(lines, 7, out, **keep)
+    first = processors.read_records(spark, out, "ecommerce", **keep).count()
+    processors.process_customer_batch(lines, 7, out, **keep)
+    assert processors.read_records(spark, out, "ecommerce", **keep).count() == first == lines.count() - \
         fixtures.customer_envelopes(spark, SF_SMALL).where(fixtures.spoiled(F.col("id"))).count()
     stats = processors.read_stats(spark, out).first()
     assert stats.failed_records == stats.total_records - stats.processed_count
@@ -84,3 +90,36 @@ def test_restart_from_checkpoint_processes_only_new_files(spark, tmp_path):
     assert after_first == first.count()
     assert stats[0] == lines.count()
     assert processors.read_records(spark, out, "ecommerce").count() == stats[1]
+
+
+def test_other_fields_and_hostile_cells_survive(spark, tmp_path):
+    """Undeclared fields are kept as JSON; quotes, blanks and line breaks come back as sent."""
+    import base64
+    import json
+    recs = [{"customer_id": "1", "purchase_amount": ' "x"\n', "colour": "red, \"dark\""}, {"customer_id": " 2 "}]
+    lines = [(json.dumps({"kinesis": {"data": base64.b64encode(json.dumps(r).encode()).decode()}}),) for r in recs]
+    out = str(tmp_path / "o")
+    processors.process_customer_batch(spark.createDataFrame(lines, "value string"), 0, out, columns=("customer_id", "purchase_amount"))
+    got = {r.customer_id: r for r in processors.read_records(spark, out, "ecommerce", ("customer_id", "purchase_amount")).collect()}
+    assert got["1"].purchase_amount == ' "x"\n' and json.loads(got["1"].other_fields) == {"colour": 'red, "dark"'}
+    assert got[" 2 "].other_fields is None and got[" 2 "].purchase_amount is None
+
+
+def test_a_backlog_is_never_one_batch(spark, tmp_path, monkeypatch):
+    """Without a rate option the micro-batch is limited by bytes."""
+    monkeypatch.setattr(processors, "MAX_BYTES_PER_TRIGGER", 1)
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    fixtures.customer_envelopes(spark, SF_SMALL).select("value").repartition(3).write.text(src)
+    q = processors.start(spark, src, out, str(tmp_path / "ckpt"), "ecommerce")
+    q.awaitTermination()
+    assert processors.read_stats(spark, out).count() == 3
+
+
+def test_number_tokens_and_nan(spark, tmp_path):
+    """A JSON number flag counts as its whole part, the same text does not; NaN raises no alert."""
+    base = '{"machine_id":"%s","temperature":"%s","vibration":"1","anomaly_flag":%s}'
+    lines = [(base % ("a", "9000", "1.0"),), (base % ("b", "9000", '"1.0"'),), (base % ("c", "nan", "1"),), (base % ("d", "9000", "true"),)]
+    out = str(tmp_path / "o")
+    processors.process_machine_batch(spark.createDataFrame(lines, "value string"), 0, out)
+    kept = {r.machine_id for r in processors.read_records(spark, out, "manufacturing").collect()}
+    assert kept == {"a", "c"} and [r.machine_id for r in processors.read_alerts(spark, out).collect()] == ["a"]
