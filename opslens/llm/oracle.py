@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from opslens.llm import licenses as L
 from opslens.llm import urlfilter as U
 
 
@@ -51,4 +52,44 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM d"""
 
 
-ORACLE: dict[str, str] = {"op2_warc_revisits": warc_sql(), "op7_url_vocabulary": url_filter_sql()}
+def _places(source: str, rules: str) -> str:
+    """Word intervals of all matches: marks around each match, counted off against the words before them."""
+    return f"""
+SELECT doc_id, rule_no, level, label, min(pos) AS s, max(pos) AS e FROM (
+  SELECT *, i - row_number() OVER m AS pos, (row_number() OVER m + 1) // 2 AS nth FROM (
+    SELECT doc_id, rule_no, level, label, generate_subscripts(t, 1) AS i, unnest(t) AS tok FROM (
+      SELECT doc_id, rule_no, level, label, string_split_regex(trim(regexp_replace(
+               spaced, '(' || rx || ')', ' ' || chr(1) || ' \\1 ' || chr(2) || ' ', 'g')), ' +') AS t
+      FROM {source}, {rules} WHERE regexp_matches(spaced, rx)))
+  WHERE tok IN (chr(1), chr(2)) WINDOW m AS (PARTITION BY doc_id, rule_no ORDER BY i))
+GROUP BY doc_id, rule_no, level, label, nth"""
+
+
+def license_sql() -> str:
+    """All rules on all texts, containment over all pairs of a text's detections."""
+    rules = ", ".join(f"({i}, {r.level}, '{r.label}', '{L.pattern(r.signature)}')" for i, r in enumerate(L.rules()))
+    base = ", ".join(f"({i}, 0, '{label}', '{L.pattern(phrase)}')" for i, (phrase, label) in enumerate(L.BASE))
+    sure = " ".join(f"WHEN {i} THEN {c}E0" for i, c in enumerate(L.CONFIDENCE))
+    return f"""
+WITH rules(rule_no, level, label, rx) AS (VALUES {rules}), phrases(rule_no, level, label, rx) AS (VALUES {base}),
+w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{L.UPPER}', '{L.LOWER}'),
+                                        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+d AS (SELECT doc_id, len(words) AS n_words, ' ' || array_to_string(words, '  ') || ' ' AS spaced FROM w),
+found AS ({_places("d", "rules")}),
+kept AS (SELECT doc_id, level, label FROM found d WHERE NOT EXISTS (
+  SELECT 1 FROM found e WHERE e.doc_id = d.doc_id AND e.level <= d.level AND e.s <= d.s AND e.e >= d.e
+    AND (e.s < d.s OR e.e > d.e OR e.level < d.level OR e.rule_no < d.rule_no))),
+places AS ({_places("d", "phrases")}),
+b AS (SELECT doc_id, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word,
+             string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY doc_id),
+l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (
+        SELECT doc_id, label FROM kept UNION ALL SELECT doc_id, label FROM places) GROUP BY doc_id),
+best AS (SELECT doc_id, min(level) AS level FROM kept GROUP BY doc_id)
+SELECT doc_id, n_words::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       greatest(CASE best.level {sure} ELSE 0.0E0 END, CASE WHEN n_base > 0 THEN {L.BASE_CONFIDENCE}E0 ELSE 0.0E0 END) AS score
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
+
+ORACLE: dict[str, str] = {"op2_warc_revisits": warc_sql(), "op5_license_rules": license_sql(),
+                         "op7_url_vocabulary": url_filter_sql()}
