@@ -1,0 +1,21 @@
+"""Scratch folders: shared on a cluster, private only in a single process."""
+
+import pytest
+
+from opslens import session
+
+
+@pytest.mark.parametrize("master", ["local", "local[*]", "local[8]"])
+def test_single_process_gets_a_private_folder(master):
+    assert "opslens-ckpt-" in session._private_folder(master)
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "k8s://https://host", "local-cluster[3,2,3000]"])
+def test_a_cluster_without_a_shared_folder_is_an_error(master):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session._private_folder(master)
+
+
+def test_scratch_paths_are_unique_and_below_the_root(spark):
+    a, b = session.scratch_path(spark, "x"), session.scratch_path(spark, "x")
+    assert a != b and a.startswith(session.checkpoint_root(spark).rstrip("/"))

@@ -14,7 +14,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-import __spark_entry__ as E  # noqa: E402
+from opslens.plans.catalogue import QUERIES  # noqa: E402
 from opslens.session import build_session  # noqa: E402
 
 KEEP = re.compile(r"(Scan|Exchange|Aggregate|Join|Expand|Generate|Subquery|Union|Window|Sort|Limit|"
@@ -40,7 +40,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     parts = ["# Executed physical plans\n",
              f"Generated by `tools/plans.py` at `{sf_dir}`; operator lines only, ids removed.\n"]
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
