@@ -9,10 +9,12 @@ the mix adds ``copy``, the number of each repetition.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from opslens.llm import decontam, mixing, pii, simhash, toxicity
-from opslens.llm.common import scratch_table
+from opslens.llm.common import scratch_table, ship_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,12 +46,22 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
+def _shipped(stage):
+    """The stage, with the package sent to the workers before its first task."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("near_dedup", drop_near_duplicates),
-    ("decontamination", drop_benchmark_passages),
-    ("pii", redact_pii),
-    ("mixing", mix_sources),
+    ("toxicity", _shipped(drop_toxic)),
+    ("near_dedup", _shipped(drop_near_duplicates)),
+    ("decontamination", _shipped(drop_benchmark_passages)),
+    ("pii", _shipped(redact_pii)),
+    ("mixing", _shipped(mix_sources)),
 ]
 
 # The trained models, the CGK walk and the pivotal rounding have no SQL form;

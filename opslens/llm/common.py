@@ -2,11 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opslens.session import scratch_path
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Tasks import it, and a worker finds neither the driver's ``sys.path`` nor
+    its working directory. Nothing to do when the package itself came as an
+    archive (``--py-files``).
+    """
+    sc = spark.sparkContext
+    package = Path(__file__).resolve().parents[1]
+    if sc.applicationId in _SHIPPED or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="opslens-")) / "opslens.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
+
 
 def col(name: str) -> Column:
     """A column by its exact name, dots included."""
