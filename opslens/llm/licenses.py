@@ -10,7 +10,7 @@ look-around is needed:
     {n}       up to n words of any kind
 
 Three gates keep the regexes away from almost all text: a cheap regex for the
-few stems every rule needs, the set of keywords found in the text, and per
+few word beginnings every rule needs, the set of keywords found in the text, and per
 rule the keywords it demands. What is found becomes word intervals. A
 detection is dropped when an interval of the same or a higher priority (a
 lower level) contains it; among equal intervals the earlier rule wins. One
@@ -31,7 +31,10 @@ from opslens.llm.common import col
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"          # after lower-casing A-Z
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same words before it
+# Before it, the same words: everything but the ASCII characters that are no letter or digit. Listed one by one,
+# which Java matches by a bit set, several times faster than ranges.
+SEPARATORS = "".join(f"\\x{i:02X}" for i in range(128) if not chr(i).isalnum())
+RAW_WORD = f"[^{SEPARATORS}]+"
 
 # The base phrases of the contract and their labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -186,9 +189,9 @@ def pattern(signature: str) -> str:
     return _words(signature)
 
 
-# Stems of which every rule and base phrase needs at least one.
-STEMS = (r"(?i)licen[sc]|public|rights|rechte|reserved|copyright|permission|redistribution|warranty|unencumbered"
-         r"|proprietary|spdx|wtfpl|gpl|[^a-z0-9]cc|^cc|creative|bsd|under|terms|mpl|same|gnu|cc0|event")
+# Word beginnings of which every rule and base phrase needs at least one.
+STEMS = (f"(?:^|[{SEPARATORS}])" r"(?i:unlicen|licen[sc]|public|rights|rechte|reserved|copyright|permission"
+         r"|redistribution|warranty|unencumbered|proprietary|spdx|wtfpl|[al]?gpl|cc|creative|0?bsd|mpl|gnu|perl|liable)")
 
 
 def keyword_list(found: list[Rule]) -> list[str]:
