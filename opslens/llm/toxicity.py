@@ -11,10 +11,13 @@ texts, and their log-likelihoods are compared per character and per word:
 * Words: absolute-discounted counts per class over a shared uniform backoff.
 
 Counting is distributed: a batch emits its distinct 5-grams and words with
-class counts, which Spark adds up. What reaches driver and tasks is bounded by
-construction: at most 2**25 possible 5-grams, and the words that make up at
-least ``1 / WORD_SHARE`` of a class (so at most WORD_SHARE per class); rarer
-words are judged by their characters. A logistic curve over the normalised
+class counts, which Spark adds up. Every counted word keeps its ratio. Those
+that make up at least ``1 / WORD_SHARE`` of a class (so at most WORD_SHARE per
+class) are broadcast; the others stay a Spark table, and the words of a
+document that the broadcast does not hold are joined to it by shuffle. The
+broadcast decides where a word is looked up, never what it counts. What reaches
+the driver is bounded: these words and at most 2**25 possible 5-grams. A
+logistic curve over the normalised
 log-likelihood ratios is fitted on a fold of the labelled rows that is not
 counted, at most ``calibration_rows`` of them.
 """
@@ -26,7 +29,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -211,12 +213,27 @@ def shared_model(seen: np.ndarray) -> np.ndarray:
 
 
 class Model(NamedTuple):
-    """Log ratios toxic / ordinary: of seen 5-grams, of unseen ones by context, and of kept words."""
+    """Log ratios toxic / ordinary: of seen 5-grams, of unseen ones by context, and of the broadcast words.
+
+    ``more``: whether further words are in the Spark table beside it.
+    """
     grams: np.ndarray
     ratio: np.ndarray
     unseen: np.ndarray
     words: np.ndarray
     word_ratio: np.ndarray
+    more: bool = False
+
+
+def word_weights(word_stats: list[tuple[float, float, float, float]]) -> list[tuple[float, float, float]]:
+    """Per class: (discount, words, probability of a word that the class has not seen)."""
+    kinds = max(1.0, max(s[1] for s in word_stats))
+    out = []
+    for total, types, once, twice in word_stats:
+        d = _discount(once, twice)
+        freed = d * types / total if total else 1.0   # what discounting takes from all words of the class
+        out.append((d, max(total, 1.0), max(freed, 1e-9) / kinds))
+    return out
 
 
 def build_model(grams: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, words: np.ndarray, word_toxic: np.ndarray,
@@ -233,20 +250,16 @@ def build_model(grams: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, word
         p = np.maximum(n - d, 0) / np.maximum(total[context], 1) + back[context] * shared
         logs.append(np.log(p))
         unseen.append(np.log(back))
-    kinds = max(1.0, max(s[1] for s in word_stats))
-    ps = []
-    for n, (total, _, once, twice) in zip((word_toxic, word_ordinary), word_stats, strict=True):
-        d = _discount(once, twice)
-        known = np.maximum(n - d, 0) / max(total, 1.0)
-        ps.append(known + max(1.0 - known.sum(), 1e-9) / kinds)
+    ps = [np.maximum(n - d, 0) / total + back
+          for n, (d, total, back) in zip((word_toxic, word_ordinary), word_weights(word_stats), strict=True)]
     order = np.argsort(words)
     return Model(grams.astype(np.int32), (logs[0] - logs[1]).astype(np.float32),
                  (unseen[0] - unseen[1]).astype(np.float32), words[order],
                  np.log(ps[0] / ps[1])[order].astype(np.float32))
 
 
-def train(texts: DataFrame) -> Model:
-    """Count all texts and build the model; see the module text for what bounds the collected tables."""
+def train(texts: DataFrame) -> tuple[Model, DataFrame]:
+    """(model, (key, ratio) of the words that it does not hold), counted on all texts; see the module text."""
     counts = scratch_table(gram_and_word_counts(texts), "toxicity-counts")
     g = counts.where("kind = 0").select("key", "toxic", "ordinary").orderBy("key").toPandas()
     words = counts.where("kind = 1")
@@ -254,11 +267,16 @@ def train(texts: DataFrame) -> Model:
         F.sum, lambda c: F.count_if(F.col(c) > 0), lambda c: F.count_if(F.col(c) == 1),
         lambda c: F.count_if(F.col(c) == 2))]).first()
     values = [float(v or 0) for v in stats]
-    kept = words.where((F.col("toxic") * WORD_SHARE >= max(values[0], 1.0)) |
-                       (F.col("ordinary") * WORD_SHARE >= max(values[4], 1.0))).toPandas()
-    return build_model(g["key"].to_numpy(np.int64), g["toxic"].to_numpy(np.float64), g["ordinary"].to_numpy(np.float64),
-                       kept["key"].to_numpy(np.int64), kept["toxic"].to_numpy(np.float64),
-                       kept["ordinary"].to_numpy(np.float64), [tuple(values[:4]), tuple(values[4:])])
+    word_stats = [tuple(values[:4]), tuple(values[4:])]
+    often = ((F.col("toxic") * WORD_SHARE >= max(values[0], 1.0)) | (F.col("ordinary") * WORD_SHARE >= max(values[4], 1.0)))
+    kept = words.where(often).toPandas()
+    p = [F.greatest(F.col(c) - F.lit(d), F.lit(0.0)) / F.lit(total) + F.lit(back)
+         for c, (d, total, back) in zip(("toxic", "ordinary"), word_weights(word_stats), strict=True)]
+    rare = words.where(~often).select("key", F.log(p[0] / p[1]).cast("float").cast("double").alias("ratio"))
+    model = build_model(g["key"].to_numpy(np.int64), g["toxic"].to_numpy(np.float64), g["ordinary"].to_numpy(np.float64),
+                        kept["key"].to_numpy(np.int64), kept["toxic"].to_numpy(np.float64),
+                        kept["ordinary"].to_numpy(np.float64), word_stats)
+    return model._replace(more=not rare.isEmpty()), rare
 
 
 def _dense(model: Model) -> np.ndarray:
@@ -281,9 +299,22 @@ def _top(values: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
     return first, np.bincount(d[rank < 3], weights=v[rank < 3], minlength=n)
 
 
+class Words(NamedTuple):
+    """Word evidence of texts: by text the number of words and the up to three largest known ratios; words to look up."""
+    n: np.ndarray                                              # words of each text
+    top: list[list[float]]                                     # largest ratios of broadcast words
+    asked: list[tuple[list[int], list[int]]]                   # (words that are not broadcast, how often each)
+
+
 def text_features(texts: list[str | None], model: Model) -> np.ndarray:
-    """One row of FEATURES per text; zeros for texts without letters or digits."""
+    """One row of FEATURES per text; zeros for texts without letters or digits. Words outside the model count 0."""
+    return text_evidence(texts, model)[0]
+
+
+def text_evidence(texts: list[str | None], model: Model) -> tuple[np.ndarray, Words]:
+    """(rows of FEATURES, what the words outside the model need to be added by ``with_rare_words``)."""
     dense, out = _dense(model), np.zeros((len(texts), len(FEATURES)))
+    words = Words(np.zeros(len(texts)), [[] for _ in texts], [([], []) for _ in texts])
     for group in slices(texts):
         sym = symbolise([texts[i] for i in group])
         n = len(group)
@@ -296,10 +327,11 @@ def text_features(texts: list[str | None], model: Model) -> np.ndarray:
         total = np.concatenate(([0.0], np.cumsum(r)))
         char = total[np.minimum(ends + 1, len(r))] - total[starts]   # with the boundary behind the word
         doc = sym.doc[starts]
-        word = np.zeros(len(h))
+        word, known = np.zeros(len(h)), np.zeros(len(h), bool)
         if len(model.words):
             at = np.minimum(np.searchsorted(model.words, h), len(model.words) - 1)
-            word = np.where(model.words[at] == h, model.word_ratio[at], 0.0)
+            known = model.words[at] == h
+            word = np.where(known, model.word_ratio[at], 0.0)
         n_words = np.bincount(doc, minlength=n).astype(np.float64)
         n_chars = np.bincount(sym.doc, weights=sym.scored, minlength=n)
         safe = np.maximum(n_words, 1)
@@ -311,7 +343,28 @@ def text_features(texts: list[str | None], model: Model) -> np.ndarray:
             top_word, np.bincount(doc, weights=word, minlength=n) / safe], axis=1)
         rows[n_words == 0] = 0.0
         out[group] = rows
-    return out
+        words.n[group] = n_words
+        if model.more:
+            _ask(words, group, doc, h, word, known)
+    return out, words
+
+
+def _ask(words: Words, group: list[int], doc: np.ndarray, h: np.ndarray, word: np.ndarray, known: np.ndarray) -> None:
+    """Enter the largest known ratios and the distinct unknown words of a group of texts."""
+    d, v = doc[known], word[known]
+    order = np.lexsort((-v, d))
+    d, v = d[order], v[order]
+    first = np.arange(len(d)) - np.searchsorted(d, d) < 3
+    for i, value in zip(d[first].tolist(), v[first].tolist(), strict=True):
+        words.top[group[i]].append(value)
+    d, key = doc[~known], h[~known]
+    order = np.lexsort((key, d))
+    d, key = d[order], key[order]
+    new = np.nonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (key[1:] != key[:-1]))))[0] if len(d) else order
+    count = np.diff(np.append(new, len(d)))
+    edge = np.searchsorted(d[new], np.arange(len(group) + 1))
+    for i, (a, b) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)):
+        words.asked[group[i]] = key[new[a:b]].tolist(), count[a:b].tolist()
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[np.ndarray, float]:
@@ -372,26 +425,64 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
 
 
 def fit_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  label_id: str = "doc_id", label_col: str = "toxic") -> tuple[DataFrame, Model]:
-    """(labelled documents, model counted on them)."""
+                  label_id: str = "doc_id", label_col: str = "toxic") -> tuple[DataFrame, Model, DataFrame]:
+    """(labelled documents, model counted on them, ratios of the words that the model does not hold)."""
     known = labelled(docs, labels, id_col, text_col, label_id, label_col)
     y = F.when(F.col("fold") == CALIBRATION, -1).otherwise(F.coalesce("label", F.lit(-1))).cast("int")
-    return known, train(known.select("text", y.alias("y")))
+    return known, *train(known.select("text", y.alias("y")))
 
 
-def features_of(known: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, fold, label, FEATURES) per document."""
+def features_of(known: DataFrame, model: Model, rare: DataFrame) -> DataFrame:
+    """(doc_id, fold, label, digest, FEATURES) per document."""
     shared = known.sparkSession.sparkContext.broadcast(model)
     kind = known.schema["doc_id"].dataType.simpleString()
+    own = ["row", "doc_id", "fold", "label", "digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = text_features(batch.column("text").to_pylist(), shared.value)
+            x, words = text_evidence(batch.column("text").to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("doc_id", "fold", "label")] + [pa.array(x[:, i]) for i in range(x.shape[1])],
-                names=["doc_id", "fold", "label", *FEATURES])
+                [batch.column(c) for c in own] + [pa.array(x[:, i]) for i in range(x.shape[1])]
+                + [pa.array(words.n), pa.array(words.top, pa.list_(pa.float64())),
+                   pa.array([k for k, _ in words.asked], pa.list_(pa.int64())),
+                   pa.array([n for _, n in words.asked], pa.list_(pa.int64()))],
+                names=[*own, *FEATURES, "n_words", "top", "asked", "times"])
 
-    return known.mapInArrow(run, f"doc_id {kind}, fold int, label int, " + ", ".join(f"{f} double" for f in FEATURES))
+    src = known.withColumn("row", F.monotonically_increasing_id()).withColumn("digest", digest(F.col("text")))
+    found = scratch_table(src.mapInArrow(run, f"row bigint, doc_id {kind}, fold int, label int, digest binary, "
+                                         + ", ".join(f"{f} double" for f in FEATURES)
+                                         + ", n_words double, top array<double>, asked array<bigint>, times array<bigint>"),
+                          "toxicity-evidence")
+    if model.more:
+        found = with_rare_words(found, rare)
+    return found.select("doc_id", "fold", "label", "digest", *FEATURES)
+
+
+def digest(text: Column) -> Column:
+    """Names a text; null is the empty text."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
+def with_rare_words(found: DataFrame, rare: DataFrame) -> DataFrame:
+    """Word features over all words: the asked words meet the (key, ratio) table by a join on the word.
+
+    A document's state is bounded by its own words. A word in very many
+    documents is a skewed join side that AQE can split.
+    """
+    asked = (found.where(F.size("asked") > 0).select("row", F.explode(F.arrays_zip("asked", "times")).alias("a"))
+             .select("row", F.col("a.asked").alias("key"), F.col("a.times").alias("times")))
+    met = asked.join(rare, "key").groupBy("row").agg(
+        F.sum(F.col("times") * F.col("ratio")).alias("rare_sum"), F.sum("times").alias("met"),
+        F.flatten(F.collect_list(F.array_repeat("ratio", F.least("times", F.lit(3)).cast("int")))).alias("ratios"))
+    unknown = F.aggregate("times", F.lit(0).cast("bigint"), lambda a, n: a + n)
+    rest = found.select(*[c for c in found.columns if c not in ("asked", "times")], unknown.alias("unknown")).join(met, "row", "left")
+    none = F.array().cast("array<double>")
+    zeros = F.array_repeat(F.lit(0.0), F.least(F.lit(3), F.col("unknown") - F.coalesce("met", F.lit(0))).cast("int"))
+    top = F.slice(F.sort_array(F.concat("top", F.coalesce("ratios", none), zeros), asc=False), 1, 3)
+    return rest.withColumn("top", top).withColumns({
+        "max_word": F.coalesce(F.get("top", F.lit(0)), F.lit(0.0)),
+        "top_word": F.aggregate("top", F.lit(0.0), lambda a, v: a + v),
+        "mean_word": F.col("mean_word") + F.coalesce("rare_sum", F.lit(0.0)) / F.greatest("n_words", F.lit(1.0))})
 
 
 def calibrate(features: DataFrame, calibration_rows: int) -> tuple[np.ndarray, float]:
@@ -401,6 +492,11 @@ def calibrate(features: DataFrame, calibration_rows: int) -> tuple[np.ndarray, f
     return fit_curve(sample[list(FEATURES)].to_numpy(np.float64), sample["label"].to_numpy(np.float64))
 
 
+def _logit(w: np.ndarray, longest: float) -> Column:
+    values = [F.least(F.col(f), F.lit(longest)) if i == LENGTH else F.col(f) for i, f in enumerate(FEATURES)]
+    return sum((f * float(v) for f, v in zip(values, w, strict=False)), F.lit(float(w[-1])))
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     label_id: str = "doc_id", label_col: str = "toxic", calibration_rows: int = 100_000) -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted, mean_log_ratio.
@@ -411,12 +507,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     0 and the curve is fixed. Repeated rows come back repeated, other columns
     are not read.
     """
-    known, model = fit_documents(docs, labels, id_col, text_col, label_id, label_col)
-    features = scratch_table(features_of(known, model), "toxicity-features")
+    known, model, rare = fit_documents(docs, labels, id_col, text_col, label_id, label_col)
+    features = scratch_table(features_of(known, model, rare).drop("digest"), "toxicity-features")
     w, longest = calibrate(features, calibration_rows)
-    values = [F.least(F.col(f), F.lit(longest)) if i == LENGTH else F.col(f) for i, f in enumerate(FEATURES)]
-    z = sum((f * float(v) for f, v in zip(values, w, strict=False)), F.lit(float(w[-1])))
-    score = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
+    score = 1 / (1 + F.exp(-F.greatest(F.least(_logit(w, longest), F.lit(30.0)), F.lit(-30.0))))
     return features.select("doc_id", (F.col("fold") == HELD_OUT).alias("held_out"), score.alias("score"),
                            F.col("mean_char").alias("mean_log_ratio")).select(
         "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "mean_log_ratio")
@@ -424,17 +518,15 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 def keep_ordinary(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   calibration_rows: int = 100_000) -> DataFrame:
-    """``docs`` without the documents predicted toxic; all columns and their order stay."""
-    known, model = fit_documents(docs, labels, id_col, text_col)
-    calibration = known.where((F.col("fold") == CALIBRATION) & F.col("label").isNotNull())
-    w, longest = calibrate(scratch_table(features_of(calibration, model), "toxicity-features"), calibration_rows)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("boolean")
-    def toxic(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            x = text_features(batch.tolist(), shared.value)
-            x[:, LENGTH] = np.minimum(x[:, LENGTH], longest)
-            yield pd.Series(x @ w[:-1] + w[-1] >= 0)
-
-    return docs.where(~toxic(col(text_col)))
+    """``docs`` without the documents predicted toxic; all columns and their order stay.
+
+    Equal texts score the same, so documents go by the digest of their text: a
+    checked number of digests is broadcast, more are joined by shuffle.
+    """
+    known, model, rare = fit_documents(docs, labels, id_col, text_col)
+    features = scratch_table(features_of(known, model, rare), "toxicity-features")
+    w, longest = calibrate(features, calibration_rows)
+    toxic = scratch_table(features.where(_logit(w, longest) >= 0).select("digest").distinct(), "toxicity-found")
+    if toxic.count() <= BROADCAST_LABELS:
+        toxic = F.broadcast(toxic)
+    return docs.join(toxic, digest(col(text_col)) == toxic["digest"], "left_anti")

@@ -124,3 +124,19 @@ def test_filter_and_empty_tables(corpus, docs_of):
     assert wrong < 0.05 * len(truth) and 2000 in ids and 2002 not in ids
     assert T.score_documents(docs_of([]), labels).count() == 0
     assert T.score_documents(docs.limit(20), labels.limit(0)).count() == 20
+
+
+def test_rare_words_count_whatever_is_broadcast(corpus, monkeypatch):
+    """A word below the share of the broadcast keeps its ratio: fewer broadcast words change no score."""
+    rows, docs, labels, _ = corpus
+    docs = docs.where("doc_id is not null")
+
+    def scores():
+        return sorted((r.doc_id, r.score, r.predicted) for r in T.score_documents(docs, labels).collect())
+
+    whole, kept = scores(), sorted(r.doc_id for r in T.keep_ordinary(docs, labels).collect())
+    monkeypatch.setattr(T, "WORD_SHARE", 20)
+    few = scores()
+    assert [(i, p) for i, _, p in few] == [(i, p) for i, _, p in whole]
+    assert [s for _, s, _ in few] == pytest.approx([s for _, s, _ in whole], rel=1e-3, abs=1e-4)
+    assert sorted(r.doc_id for r in T.keep_ordinary(docs, labels).collect()) == kept
