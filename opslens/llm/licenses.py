@@ -11,7 +11,7 @@ look-around is needed:
 
 Three gates keep the regexes away from almost all text: a cheap regex for the
 few word beginnings every rule needs, the set of keywords found in the text, and per
-rule the keywords it demands. What is found becomes word intervals. A
+rule the keywords it demands, which are read off its signature: words that every match holds. What is found becomes word intervals. A
 detection is dropped when an interval of the same or a higher priority (a
 lower level) contains it; among equal intervals the earlier rule wins. One
 sweep over the sorted detections decides this.
@@ -22,6 +22,7 @@ its own text.
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -52,122 +53,154 @@ class Rule(NamedTuple):
     signature: str
 
 
-# label, keywords, signatures of the name, identifiers as words
+# label, signatures of the name, identifiers as words
 LICENSES = (
-    ("apache-2.0", "apache", ("apache software? licen[sc]e version? v?2 0?", "apache 2 0 licen[sc]e"), "apache 2 0"),
-    ("apache-1.1", "apache", ("apache software? licen[sc]e version? 1 1",), "apache 1 1"),
-    ("apache", "apache", ("apache software? licen[sc]e", "apache licen[sc]ed"), ""),
-    ("mit", "mit", ("mit licen[sc]e", "mit x11? licen[sc]e", "mit style licen[sc]e", "expat mit? licen[sc]e"), "mit"),
-    ("bsd-2-clause", "bsd", ("bsd 2 clause licen[sc]e?", "(two|simplified) clause? bsd licen[sc]e",
+    ("apache-2.0", ("apache software? licen[sc]e version? v?2 0?", "apache 2 0 licen[sc]e"), "apache 2 0"),
+    ("apache-1.1", ("apache software? licen[sc]e version? 1 1",), "apache 1 1"),
+    ("apache", ("apache software? licen[sc]e", "apache licen[sc]ed"), ""),
+    ("mit", ("mit licen[sc]e", "mit x11? licen[sc]e", "mit style licen[sc]e", "expat mit? licen[sc]e"), "mit"),
+    ("bsd-2-clause", ("bsd 2 clause licen[sc]e?", "(two|simplified) clause? bsd licen[sc]e",
                              "simplified bsd licen[sc]e", "freebsd licen[sc]e"), "bsd 2 clause"),
-    ("bsd-3-clause", "bsd", ("bsd 3 clause licen[sc]e?", "three clause bsd licen[sc]e",
+    ("bsd-3-clause", ("bsd 3 clause licen[sc]e?", "three clause bsd licen[sc]e",
                              "(new|modified|revised) bsd licen[sc]e"), "bsd 3 clause"),
-    ("bsd-4-clause", "bsd", ("bsd 4 clause licen[sc]e?", "(original|old) bsd licen[sc]e"), "bsd 4 clause"),
-    ("0bsd", "0bsd|bsd", ("zero clause bsd licen[sc]e?", "0bsd licen[sc]e?"), "0bsd"),
-    ("bsd", "bsd", ("bsd licen[sc]e", "bsd style licen[sc]e"), ""),
-    ("gpl-3.0", "gpl|general", ("gnu? general public licen[sc]e version? v?3 0?", "gnu? gpl version? v?3 0?", "gplv3"),
+    ("bsd-4-clause", ("bsd 4 clause licen[sc]e?", "(original|old) bsd licen[sc]e"), "bsd 4 clause"),
+    ("0bsd", ("zero clause bsd licen[sc]e?", "0bsd licen[sc]e?"), "0bsd"),
+    ("bsd", ("bsd licen[sc]e", "bsd style licen[sc]e"), ""),
+    ("gpl-3.0", ("gnu? general public licen[sc]e version? v?3 0?", "gnu? gpl version? v?3 0?", "gplv3"),
      "gpl 3 0 (only|or)? later?"),
-    ("gpl-2.0", "gpl|general", ("gnu? general public licen[sc]e version? v?2 0?", "gnu? gpl version? v?2 0?", "gplv2"),
+    ("gpl-2.0", ("gnu? general public licen[sc]e version? v?2 0?", "gnu? gpl version? v?2 0?", "gplv2"),
      "gpl 2 0 (only|or)? later?"),
-    ("gpl", "gpl|gnu", ("gnu general public licen[sc]e", "gnu gpl", "gpl licen[sc]ed?"), ""),
-    ("lgpl-3.0", "lgpl|lesser", ("gnu? lesser general public licen[sc]e version? v?3 0?", "lgpl version? v?3 0?", "lgplv3"),
+    ("gpl", ("gnu general public licen[sc]e", "gnu gpl", "gpl licen[sc]ed?"), ""),
+    ("lgpl-3.0", ("gnu? lesser general public licen[sc]e version? v?3 0?", "lgpl version? v?3 0?", "lgplv3"),
      "lgpl 3 0 (only|or)? later?"),
-    ("lgpl-2.1", "lgpl|lesser", ("gnu? lesser general public licen[sc]e version? v?2 1", "lgpl version? v?2 1"),
+    ("lgpl-2.1", ("gnu? lesser general public licen[sc]e version? v?2 1", "lgpl version? v?2 1"),
      "lgpl 2 1 (only|or)? later?"),
-    ("lgpl-2.0", "lgpl|library", ("gnu? library general public licen[sc]e version? v?2 0?", "lgpl version? v?2 0"), "lgpl 2 0"),
-    ("lgpl", "lgpl|lesser", ("gnu? lesser general public licen[sc]e", "gnu lgpl"), ""),
-    ("agpl-3.0", "agpl|affero", ("gnu? affero general public licen[sc]e version? v?3? 0?", "gnu? agpl version? v?3 0?", "agplv3"),
+    ("lgpl-2.0", ("gnu? library general public licen[sc]e version? v?2 0?", "lgpl version? v?2 0"), "lgpl 2 0"),
+    ("lgpl", ("gnu? lesser general public licen[sc]e", "gnu lgpl"), ""),
+    ("agpl-3.0", ("gnu? affero general public licen[sc]e version? v?3? 0?", "gnu? agpl version? v?3 0?", "agplv3"),
      "agpl 3 0 (only|or)? later?"),
-    ("gfdl", "gfdl|documentation", ("gnu? free documentation licen[sc]e version? 1? [0-9]?",), "gfdl 1 [123]"),
-    ("mpl-2.0", "mozilla|mpl", ("mozilla public licen[sc]e version? v?2 0?", "mpl v?2 0?"), "mpl 2 0"),
-    ("mpl-1.1", "mozilla|mpl", ("mozilla public licen[sc]e version? v?1 1", "mpl 1 1"), "mpl 1 1"),
-    ("mpl", "mozilla", ("mozilla public licen[sc]e",), ""),
-    ("epl-2.0", "eclipse|epl", ("eclipse public licen[sc]e version? v?2 0?",), "epl 2 0"),
-    ("epl-1.0", "eclipse|epl", ("eclipse public licen[sc]e version? v?1 0?",), "epl 1 0"),
-    ("cddl-1.0", "cddl|distribution", ("common development and distribution licen[sc]e version? 1? 0?",), "cddl 1 0"),
-    ("cpl-1.0", "common", ("common public licen[sc]e version? 1? 0?",), "cpl 1 0"),
-    ("eupl-1.2", "eupl|european", ("european union public licen[sc]e version? v?1? 2?",), "eupl 1 2"),
-    ("artistic-2.0", "artistic", ("artistic licen[sc]e version? 2 0?",), "artistic 2 0"),
-    ("artistic-1.0", "artistic", ("artistic licen[sc]e version? 1 0?",), "artistic 1 0"),
-    ("isc", "isc", ("isc licen[sc]e", "internet systems consortium licen[sc]e"), "isc"),
-    ("zlib", "zlib", ("zlib licen[sc]e", "zlib libpng licen[sc]e"), "zlib"),
-    ("libpng", "libpng", ("libpng licen[sc]e version? 2?",), "libpng 2? 0?"),
-    ("bsl-1.0", "boost|bsl", ("boost software licen[sc]e version? 1? 0?",), "bsl 1 0"),
-    ("busl-1.1", "business|busl", ("business source licen[sc]e version? 1? 1?",), "busl 1 1"),
-    ("sspl-1.0", "sspl|server", ("server side public licen[sc]e version? v?1?",), "sspl 1 0"),
-    ("elastic-2.0", "elastic", ("elastic licen[sc]e version? v?2? 0?",), "elastic 2 0"),
-    ("unlicense", "unlicense", ("the unlicense", "unlicense org"), "unlicense"),
-    ("wtfpl", "wtfpl", ("wtfpl version? 2?",), "wtfpl"),
-    ("psf-2.0", "python|psf", ("python software foundation licen[sc]e version? 2?", "psf licen[sc]e version? 2?"), "psf 2 0"),
-    ("ruby", "ruby", ("ruby licen[sc]e", "same licen[sc]e as ruby"), "ruby"),
-    ("perl", "perl", ("same terms as perl itself?", "perl licen[sc]e"), ""),
-    ("php-3.01", "php", ("php licen[sc]e version? 3? 0?1?",), "php 3 01"),
-    ("openssl", "openssl", ("openssl licen[sc]e",), "openssl"),
-    ("postgresql", "postgresql", ("postgresql licen[sc]e",), "postgresql"),
-    ("curl", "curl", ("curl licen[sc]e",), "curl"),
-    ("ncsa", "ncsa", ("ncsa open? source? licen[sc]e", "university of illinois ncsa open source licen[sc]e"), "ncsa"),
-    ("ofl-1.1", "sil|ofl|font", ("sil? open font licen[sc]e version? 1? 1?",), "ofl 1 1"),
-    ("vim", "vim", ("vim licen[sc]e",), "vim"),
-    ("w3c", "w3c", ("w3c software? notice? and? licen[sc]e",), "w3c"),
-    ("ms-pl", "microsoft", ("microsoft public licen[sc]e",), "ms pl"),
-    ("ms-rl", "microsoft", ("microsoft reciprocal licen[sc]e",), "ms rl"),
-    ("odbl-1.0", "odbl|database", ("open database licen[sc]e version? v?1? 0?",), "odbl 1 0"),
-    ("odc-by-1.0", "odc|commons", ("open data commons attribution licen[sc]e version? v?1? 0?",), "odc by 1 0"),
-    ("pddl-1.0", "pddl|dedication", ("public domain dedication and licen[sc]e version? v?1? 0?",), "pddl 1 0"),
-    ("ogl-uk-3.0", "ogl|government", ("open government licen[sc]e version? v?3? 0?",), "ogl uk 3 0"),
-    ("cc0-1.0", "cc0|zero", ("cc0 1? 0? universal?", "creative commons zero version? v?1? 0?"), "cc0 1 0"),
-    ("cc-by-nc-nd-4.0", "nc", ("cc by nc nd 4 0", "creative commons attribution noncommercial noderivatives 4 0 international?"),
+    ("gfdl", ("gnu? free documentation licen[sc]e version? 1? [0-9]?",), "gfdl 1 [123]"),
+    ("mpl-2.0", ("mozilla public licen[sc]e version? v?2 0?", "mpl v?2 0?"), "mpl 2 0"),
+    ("mpl-1.1", ("mozilla public licen[sc]e version? v?1 1", "mpl 1 1"), "mpl 1 1"),
+    ("mpl", ("mozilla public licen[sc]e",), ""),
+    ("epl-2.0", ("eclipse public licen[sc]e version? v?2 0?",), "epl 2 0"),
+    ("epl-1.0", ("eclipse public licen[sc]e version? v?1 0?",), "epl 1 0"),
+    ("cddl-1.0", ("common development and distribution licen[sc]e version? 1? 0?",), "cddl 1 0"),
+    ("cpl-1.0", ("common public licen[sc]e version? 1? 0?",), "cpl 1 0"),
+    ("eupl-1.2", ("european union public licen[sc]e version? v?1? 2?",), "eupl 1 2"),
+    ("artistic-2.0", ("artistic licen[sc]e version? 2 0?",), "artistic 2 0"),
+    ("artistic-1.0", ("artistic licen[sc]e version? 1 0?",), "artistic 1 0"),
+    ("isc", ("isc licen[sc]e", "internet systems consortium licen[sc]e"), "isc"),
+    ("zlib", ("zlib licen[sc]e", "zlib libpng licen[sc]e"), "zlib"),
+    ("libpng", ("libpng licen[sc]e version? 2?",), "libpng 2? 0?"),
+    ("bsl-1.0", ("boost software licen[sc]e version? 1? 0?",), "bsl 1 0"),
+    ("busl-1.1", ("business source licen[sc]e version? 1? 1?",), "busl 1 1"),
+    ("sspl-1.0", ("server side public licen[sc]e version? v?1?",), "sspl 1 0"),
+    ("elastic-2.0", ("elastic licen[sc]e version? v?2? 0?",), "elastic 2 0"),
+    ("unlicense", ("the unlicense", "unlicense org"), "unlicense"),
+    ("wtfpl", ("wtfpl version? 2?",), "wtfpl"),
+    ("psf-2.0", ("python software foundation licen[sc]e version? 2?", "psf licen[sc]e version? 2?"), "psf 2 0"),
+    ("ruby", ("ruby licen[sc]e", "same licen[sc]e as ruby"), "ruby"),
+    ("perl", ("same terms as perl itself?", "perl licen[sc]e"), ""),
+    ("php-3.01", ("php licen[sc]e version? 3? 0?1?",), "php 3 01"),
+    ("openssl", ("openssl licen[sc]e",), "openssl"),
+    ("postgresql", ("postgresql licen[sc]e",), "postgresql"),
+    ("curl", ("curl licen[sc]e",), "curl"),
+    ("ncsa", ("ncsa open? source? licen[sc]e", "university of illinois ncsa open source licen[sc]e"), "ncsa"),
+    ("ofl-1.1", ("sil? open font licen[sc]e version? 1? 1?",), "ofl 1 1"),
+    ("vim", ("vim licen[sc]e",), "vim"),
+    ("w3c", ("w3c software? notice? and? licen[sc]e",), "w3c"),
+    ("ms-pl", ("microsoft public licen[sc]e",), "ms pl"),
+    ("ms-rl", ("microsoft reciprocal licen[sc]e",), "ms rl"),
+    ("odbl-1.0", ("open database licen[sc]e version? v?1? 0?",), "odbl 1 0"),
+    ("odc-by-1.0", ("open data commons attribution licen[sc]e version? v?1? 0?",), "odc by 1 0"),
+    ("pddl-1.0", ("public domain dedication and licen[sc]e version? v?1? 0?",), "pddl 1 0"),
+    ("ogl-uk-3.0", ("open government licen[sc]e version? v?3? 0?",), "ogl uk 3 0"),
+    ("cc0-1.0", ("cc0 1? 0? universal?", "creative commons zero version? v?1? 0?"), "cc0 1 0"),
+    ("cc-by-nc-nd-4.0", ("cc by nc nd 4 0", "creative commons attribution noncommercial noderivatives 4 0 international?"),
      "cc by nc nd 4 0"),
-    ("cc-by-nc-sa-4.0", "nc", ("cc by nc sa 4 0", "creative commons attribution noncommercial sharealike 4 0 international?"),
+    ("cc-by-nc-sa-4.0", ("cc by nc sa 4 0", "creative commons attribution noncommercial sharealike 4 0 international?"),
      "cc by nc sa 4 0"),
-    ("cc-by-nc-4.0", "nc|noncommercial", ("cc by nc 4 0", "creative commons attribution noncommercial 4 0 international?"),
+    ("cc-by-nc-4.0", ("cc by nc 4 0", "creative commons attribution noncommercial 4 0 international?"),
      "cc by nc 4 0"),
-    ("cc-by-nd-4.0", "nd|noderivatives", ("cc by nd 4 0", "creative commons attribution noderivatives 4 0 international?"),
+    ("cc-by-nd-4.0", ("cc by nd 4 0", "creative commons attribution noderivatives 4 0 international?"),
      "cc by nd 4 0"),
-    ("cc-by-sa-4.0", "sa|sharealike", ("cc by sa 4 0", "creative commons attribution sharealike 4 0 international?"),
+    ("cc-by-sa-4.0", ("cc by sa 4 0", "creative commons attribution sharealike 4 0 international?"),
      "cc by sa 4 0"),
-    ("cc-by-sa-3.0", "sa|sharealike", ("cc by sa 3 0", "creative commons attribution sharealike 3 0 unported?"),
+    ("cc-by-sa-3.0", ("cc by sa 3 0", "creative commons attribution sharealike 3 0 unported?"),
      "cc by sa 3 0"),
-    ("cc-by-4.0", "cc|creative", ("cc by 4 0", "creative commons attribution 4 0 international? licen[sc]e?"), "cc by 4 0"),
-    ("cc-by-3.0", "cc|creative", ("cc by 3 0", "creative commons attribution 3 0 unported? licen[sc]e?"), "cc by 3 0"),
-    ("cc", "creative", ("creative commons licen[sc]e", "creative commons attribution"), ""),
+    ("cc-by-4.0", ("cc by 4 0", "creative commons attribution 4 0 international? licen[sc]e?"), "cc by 4 0"),
+    ("cc-by-3.0", ("cc by 3 0", "creative commons attribution 3 0 unported? licen[sc]e?"), "cc by 3 0"),
+    ("cc", ("creative commons licen[sc]e", "creative commons attribution"), ""),
 )
 # Ways a notice names a license.
 NOTICES = ("licen[sc]ed under {2} ", "released under {2} ", "distributed under {3} ", "under the terms of {2} ",
            "available under {2} ", "governed by {2} ", "subject to {2} ")
+NOTICE_WORDS = ("under", "governed", "subject")   # of which every form has one
+# Words that tell no license apart.
+COMMON = frozenset("a and any as be by for held hereby in into is no of on open or the this to use user version will with "
+                   "software source public 0 1 2 3 4 v1 v2 v3".split())
 # Notices and hints without a license name.
 OTHER = (
-    ("mit", NOTICE, ("permission", "charge"), "permission is hereby granted free of charge to any person"),
-    ("isc", NOTICE, ("permission", "fee"), "permission to use copy modify and or distribute this software for any purpose"),
-    ("bsd", NOTICE, ("redistribution", "source"), "redistribution and use in source and binary forms"),
-    ("zlib", NOTICE, ("warranty", "held"), "in no event will the authors be held liable"),
-    ("unlicense", NOTICE, ("unencumbered", "domain"), "free and unencumbered software released into the public domain"),
-    ("public-domain", MENTION, ("public", "domain"), "(released|placed|dedicated) (in|into|to) the public domain"),
-    ("public-domain", MENTION, ("public", "domain"), "in the public domain"),
-    ("public-domain", HINT, ("public", "domain"), "public domain"),
-    ("reserved", MENTION, ("reserved",), "(all|some) rights? reserved"),
-    ("reserved", MENTION, ("reserved",), "alle rechte vorbehalten"),
-    ("proprietary", MENTION, ("proprietary", "confidential"), "proprietary and confidential"),
-    ("proprietary", HINT, ("licen[sc]e", "permission"), "without {2} prior written permission"),
-    ("copyright", HINT, ("copyright",), "copyright c? (19|20)[0-9][0-9]"),
-    ("copyright", HINT, ("copyright",), "copyright (holders?|owners?)"),
-    ("licensed", HINT, ("licensed|licenced",), "licen[sc]ed under"),
-    ("licensed", HINT, ("license|licence",), "see licen[sc]e (file|txt|md)"),
-    ("licensed", HINT, ("license|licence",), "end user licen[sc]e agreement"),
+    ("mit", NOTICE, "permission is hereby granted free of charge to any person"),
+    ("isc", NOTICE, "permission to use copy modify and or distribute this software for any purpose"),
+    ("bsd", NOTICE, "redistribution and use in source and binary forms"),
+    ("zlib", NOTICE, "in no event will the authors be held liable"),
+    ("unlicense", NOTICE, "free and unencumbered software released into the public domain"),
+    ("public-domain", MENTION, "(released|placed|dedicated) (in|into|to) the public domain"),
+    ("public-domain", MENTION, "in the public domain"),
+    ("public-domain", HINT, "public domain"),
+    ("reserved", MENTION, "(all|some) rights? reserved"),
+    ("reserved", MENTION, "alle rechte vorbehalten"),
+    ("proprietary", MENTION, "proprietary and confidential"),
+    ("proprietary", HINT, "without {2} prior written permission"),
+    ("copyright", HINT, "copyright c? (19|20)[0-9][0-9]"),
+    ("copyright", HINT, "copyright (holders?|owners?)"),
+    ("licensed", HINT, "licen[sc]ed under"),
+    ("licensed", HINT, "see licen[sc]e (file|txt|md)"),
+    ("licensed", HINT, "end user licen[sc]e agreement"),
 )
 
 
 def rules() -> list[Rule]:
     """The ordered rules, built from the tables above: notices first, then names, then hints."""
     out = []
-    for label, keys, names, ident in LICENSES:
+    for label, names, ident in LICENSES:
         if ident:
-            out.append(Rule(label, NOTICE, ("spdx", keys), f"spdx licen[sc]e identifier {ident}"))
+            out.append(rule(label, NOTICE, f"spdx licen[sc]e identifier {ident}"))
         for name in names:
             lead = "(" + "|".join("@" for _ in NOTICES) + ")"  # one alternative per notice form
-            out.append(Rule(label, NOTICE, ("under|terms|governed|subject", keys), f"{lead} {name}"))
-        out += [Rule(label, MENTION, (keys,), name) for name in names]
-    return out + [Rule(label, level, keys, sig) for label, level, keys, sig in OTHER]
+            out.append(rule(label, NOTICE, f"{lead} {name}"))
+        out += [rule(label, MENTION, name) for name in names]
+    return out + [rule(label, level, sig) for label, level, sig in OTHER]
+
+
+def rule(label: str, level: int, signature: str) -> Rule:
+    return Rule(label, level, demanded(signature), signature)
+
+
+def demanded(signature: str) -> tuple[str, ...]:
+    """Keywords of a signature: for each word that every match holds, its spellings; common words only if it has no other."""
+    out = []
+    for token in signature.split():
+        if token.startswith("(@"):
+            out.append("|".join(NOTICE_WORDS))
+        elif not token.startswith("{") and not token.endswith("?") and (words := spellings(token)):
+            out.append("|".join(words))
+    return tuple(k for k in out if COMMON.isdisjoint(k.split("|"))) or tuple(out)
+
+
+def spellings(token: str) -> list[str]:
+    """All words that a word pattern matches; none for a pattern with other signs than (a|b), [sc] and x?."""
+    out = []
+    for word in (token[1:-1] if token.startswith("(") and token.endswith(")") else token).split("|"):
+        forms = [""]
+        for char, optional in re.findall(r"(\[sc\]|[a-z0-9])(\??)", word):
+            forms = [f + c for f in forms for c in (("s", "c") if char == "[sc]" else (char, "") if optional else (char,))]
+        if re.fullmatch(r"(?:(?:\[sc\]|[a-z0-9])\??)+", word) is None:
+            return []
+        out += forms
+    return sorted(out)
 
 
 def _words(signature: str) -> str:
@@ -195,7 +228,7 @@ STEMS = (f"(?:^|[{SEPARATORS}])" r"(?i:unlicen|licen[sc]|public|rights|rechte|re
 
 
 def keyword_list(found: list[Rule]) -> list[str]:
-    return sorted({w.replace("[sc]", c) for r in found for k in r.keywords for w in k.split("|") for c in "sc"})
+    return sorted({w for r in found for k in r.keywords for w in k.split("|")})
 
 
 def _marked(text: Column, regex: Column) -> Column:
@@ -266,7 +299,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     table = F.array(*[F.struct(
         F.lit(r.label).alias("label"), F.lit(r.level).alias("level"), F.lit(i).alias("at"),
         F.lit(f"({pattern(r.signature)})").alias("regex"),
-        F.array(*[F.array(*[F.lit(w.replace("[sc]", c)) for w in k.split("|") for c in "sc"]) for k in r.keywords])
+        F.array(*[F.array(*[F.lit(w) for w in k.split("|")]) for k in r.keywords])
         .alias("needs")) for i, r in enumerate(ordered)])
     doc = doc.withColumn("keys", F.when(F.col("spaced").isNotNull(), keys))
     asked = F.filter(table, lambda r: F.forall(r["needs"], lambda any_of: F.arrays_overlap(any_of, F.col("keys"))))

@@ -1,5 +1,6 @@
 """License scan: base columns against a plain word search, suppression against all pairs of detections."""
 
+import itertools
 import re
 
 import pytest
@@ -83,3 +84,44 @@ def test_rules_are_regexes_of_both_engines(spark):
 def test_no_python_in_the_plan(docs_of, n):
     plan = L.scan_licenses(docs_of([(i, "mit license") for i in range(n)]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def forms(signature):
+    """The shortest texts of a signature, one for each of its alternatives."""
+    parts = []
+    for token in signature.split():
+        if token.startswith("{") or token.endswith("?"):
+            continue
+        if token.startswith("(@"):
+            parts.append([f for n in L.NOTICES for f in forms(n)])
+            continue
+        m = re.fullmatch(r"\(([^)]*)\)(.*)", token)
+        words = [w + m[2] for w in m[1].split("|")] if m else [token]
+        words = [w.replace("[0-9]", "1").replace("[123]", "1") for w in words]
+        words = [w.replace("[sc]", c) for w in words for c in ("s", "c")]
+        parts.append(sorted({f for w in words for f in (w.replace("?", ""), re.sub(r".\?", "", w))}))
+    return [" ".join(p) for p in itertools.product(*parts)]
+
+
+def test_every_alternative_of_every_rule_passes_both_gates():
+    stems, n = re.compile(L.STEMS), 0
+    for rule in L.rules():
+        for text in forms(rule.signature):
+            spaced = "".join(f" {w} " for w in text.split())
+            assert re.search(L.pattern(rule.signature), spaced), (rule, text)
+            assert stems.search(text), (rule, text)
+            assert all(set(k.split("|")) & set(text.split()) for k in rule.keywords), (rule, text)
+            n += 1
+        assert rule.keywords
+    assert n > 1000
+
+
+def test_signatures_fire_on_their_own_words(docs_of):
+    texts = ["Licensed under the GPLv3.", "GPLv2", "LGPLv3", "see AGPLv3", "FreeBSD License", "Expat License",
+             "Internet Systems Consortium License", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0",
+             "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0",
+             "Permission to use, copy, modify, and/or distribute this software for any purpose",
+             "In no event will the authors be held liable"]
+    got = {r.doc_id: (r.labels, r.score) for r in L.scan_licenses(docs_of(list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(len(texts))] == [plain_labels(t) for t in texts]
+    assert got[0] == ("gpl-3.0", 1.0) and got[4][0] == "bsd-2-clause" and got[9] == ("isc", 1.0)
