@@ -12,6 +12,11 @@ A document holds an item when some run of its words is within
   by a random bit that depends on the output position and the word, the same
   for all strings. Two strings within few edits fall into step again, so their
   outputs agree at many positions: edit distance becomes Hamming distance.
+* Pieces. An item of over ``PIECE_WORDS`` words is embedded in equal pieces of at
+  most so many, which together cover it. Its edits cannot all exceed the allowed
+  share in every piece, so some piece is a short item within its own limit, and
+  the window that is shifted by the edits before it passes the gate: a word too
+  many or too few before a piece costs one edit and at most three triples.
 * LSH. Each of ``repetitions`` independent walks samples ``bits`` output
   positions; windows meet the items of their length under the same sample.
   The defaults reach over 0.95 recall at the largest allowed distance.
@@ -40,9 +45,9 @@ from opslens.llm.common import col, scratch_table
 WORDS = re.compile(r"[^\W_]+")
 PAD, UNKNOWN, FIRST = 0, 1, 2
 CLASSES = 1 << 10           # of words, for the walk's random bits
-EMBED_WORDS = 256           # at most so many words of a window are embedded
+PIECE_WORDS = 256           # longer items and windows are embedded in equal pieces of at most so many words
 SLICE_CHARS = 1 << 23
-WALKS_AT_ONCE = 1 << 16
+WALKS_AT_ONCE = 1 << 16     # windows; of long items by as many fewer as they have pieces
 HITS = "item_id bigint, edit_distance int, item_words int, first_word int"
 
 
@@ -60,6 +65,13 @@ def needed_grams(words: int, similarity: float, n: int) -> int:
     return words - (n - 1) - n * allowed_edits(words, similarity)
 
 
+def pieces_of(words: int) -> list[tuple[int, int]]:
+    """(start, end) of the pieces that an item of so many words is embedded in."""
+    n = max(1, -(-words // PIECE_WORDS))
+    edge = [words * i // n for i in range(n + 1)]
+    return list(zip(edge[:-1], edge[1:], strict=True))
+
+
 class Index:
     """The items of a slice: vocabulary, known word pairs and triples, and their sampled embeddings."""
 
@@ -88,38 +100,54 @@ class Index:
                     if len(a) and self.gates[np.searchsorted(self.lengths, len(a))][0] == n]
             held = np.unique(np.concatenate(both), axis=0) if both else np.empty((0, 2), np.int64)
             self.holders[n] = np.searchsorted(held[:, 0], np.arange(count + 1)), held[:, 1]
-        # sampled output positions by repetition and length
-        self.at = np.stack([[np.sort(np.random.default_rng([seed, 1, rep, n]).integers(0, 3 * min(n, EMBED_WORDS), bits))
-                             for n in self.lengths] for rep in range(repetitions)]) if self.lengths else None
+        # the pieces of each length, in a row, and their sampled output positions by repetition
+        cut = [pieces_of(n) for n in self.lengths]
+        self.n_pieces = np.array([len(c) for c in cut], np.int64)
+        self.first_piece = np.cumsum(self.n_pieces) - self.n_pieces
+        self.pieces = np.array([p for c in cut for p in c], np.int64).reshape(-1, 2)
+        self.at = np.stack([[np.sort(np.random.default_rng([seed, 1, rep, b - a]).integers(0, 3 * (b - a), bits))
+                             for a, b in self.pieces.tolist()] for rep in range(repetitions)]) if self.lengths else None
         flat = np.concatenate(self.items or [none])
         lens = np.array([len(a) for a in self.items], np.int64)
         ends = np.cumsum(lens)
         some = np.nonzero(lens)[0]
         size = np.searchsorted(self.lengths, lens[some])
+        starts, stops, piece, own = self.cut(flat[:0], (ends - lens)[some], ends[some], size)
         self.tables: list[tuple[np.ndarray, np.ndarray]] = []
         for rep in range(repetitions if len(some) else 0):
-            keys = self.sample(flat, (ends - lens)[some], ends[some], size, rep)
+            keys = self.sample(flat, starts, stops, piece, rep)
             order = np.argsort(keys, kind="stable")
-            self.tables.append((keys[order], some[order]))
+            self.tables.append((keys[order], some[own[order]]))
+
+    def cut(self, none: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+            size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(starts, ends, pieces, string of each) of the pieces of strings; ``size`` is the place among the item lengths."""
+        if not len(starts):
+            return none, none, none, none
+        many = self.n_pieces[size]
+        own = np.repeat(np.arange(len(starts)), many)
+        piece = np.arange(len(own)) + np.repeat(self.first_piece[size] - (np.cumsum(many) - many), many)
+        begin, end = starts[own], ends[own]
+        return (np.minimum(begin + self.pieces[piece, 0], end), np.minimum(begin + self.pieces[piece, 1], end), piece, own)
 
     def coins(self, rep: int) -> np.ndarray:
         """Random bits of one walk by output position and word class; the same for all strings."""
         kept = self.__dict__.setdefault("_coins", {})
         if rep not in kept:
-            steps = 3 * min(max(self.lengths), EMBED_WORDS)
+            steps = 3 * int((self.pieces[:, 1] - self.pieces[:, 0]).max())
             kept[rep] = np.random.default_rng([self.seed, 2, rep]).integers(0, 2, (steps, CLASSES), dtype=np.int8)
         return kept[rep]
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "_coins"}
 
-    def sample(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: np.ndarray, rep: int) -> np.ndarray:
-        """Key of each string ids[start:end]: its length and the embedded words at the sampled positions.
+    def sample(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray, piece: np.ndarray, rep: int) -> np.ndarray:
+        """Key of each string ids[start:end]: its piece and the embedded words at the sampled positions.
 
-        ``size`` is the string's place among the item lengths (a window may be
+        ``piece`` names the item length and the part of it (a window may be
         cut short by the end of its text).
         """
-        at, coins = self.at[rep][size], self.coins(rep)
+        at, coins = self.at[rep][piece], self.coins(rep)
         where, words = starts.copy(), np.zeros((len(starts), self.bits), np.int64)
         last, wanted = len(ids) - 1, set(np.unique(self.at[rep]).tolist())
         for j in range(max(wanted) + 1):
@@ -129,7 +157,7 @@ class Index:
                     take = at[:, b] == j
                     words[take, b] = word[take]
             where += coins[j][word & (CLASSES - 1)]
-        key = size.astype(np.int64) + 1
+        key = piece.astype(np.int64) + 1
         for b in range(self.bits):
             key = (key * np.int64(1_000_003)) ^ (words[:, b] + 1) * np.int64(0x5851F42D4C957F2D)
         return key
@@ -226,15 +254,17 @@ def _find(texts: list[str | None], group: list[int], index: Index) -> list[tuple
     starts, sizes = _windows(ids, owner, bounds - lens, index)
     ends = np.minimum(starts + np.array(index.lengths)[sizes], end_of[starts])
     candidates: dict[tuple[int, int], list[int]] = {}
-    for a in range(0, len(starts), WALKS_AT_ONCE):
-        part, size, end = starts[a:a + WALKS_AT_ONCE], sizes[a:a + WALKS_AT_ONCE], ends[a:a + WALKS_AT_ONCE]
+    step = max(1, WALKS_AT_ONCE // int(index.n_pieces.max()))
+    for a in range(0, len(starts), step):
+        part, size, end = starts[a:a + step], sizes[a:a + step], ends[a:a + step]
         met = []
+        begin, stop, piece, window = index.cut(ids[:0], part, end, size)
         for rep, (keys, members) in enumerate(index.tables):
-            own = index.sample(ids, part, end, size, rep)
+            own = index.sample(ids, begin, stop, piece, rep)
             lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
             for d in range(int((hi - lo).max(initial=0))):   # items that share a key
                 at = np.nonzero(lo + d < hi)[0]
-                met.append(np.stack([part[at], members[lo[at] + d]], axis=1))
+                met.append(np.stack([part[window[at]], members[lo[at] + d]], axis=1))
         for p, item in np.unique(np.concatenate(met), axis=0).tolist() if met else []:
             candidates.setdefault((int(owner[p]), item), []).append(p)
     out = []

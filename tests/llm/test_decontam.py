@@ -93,3 +93,22 @@ def test_empty_tables(docs_of, bench):
     assert D.contaminated(docs_of([]), frame).count() == 0
     assert D.contaminated(docs_of([(1, "two words")]), frame.limit(0)).count() == 0
     assert D.drop_contaminated(docs_of([(1, "two words")]), frame.limit(0)).count() == 1
+
+
+@pytest.mark.parametrize("length", [300, 1000, 3000])
+def test_long_items_with_edits_at_one_end(length):
+    """Items of any length are compared as a whole: all allowed edits may lie at the head, at the tail or anywhere."""
+    rng = random.Random(length)
+    vocab = [f"v{i}" for i in range(3 * length)]
+    items = [(i, [rng.choice(vocab) for _ in range(length)]) for i in range(2)]
+    index = D.Index(items, 0.8, 48, 2, 42)
+    k = D.allowed_edits(length, 0.8)
+    assert sum(b - a for a, b in D.pieces_of(length)) == length and max(b - a for a, b in D.pieces_of(length)) <= D.PIECE_WORDS
+    noise = lambda n: [f"n{rng.randrange(9999)}" for _ in range(n)]
+    texts = []
+    for _, words in items:
+        texts += [noise(k) + words[k:], words[k:], words[:-k] + noise(k), words[:-k],
+                  [w for x in words[:k] for w in (x, "n")] + words[k:], edited(words, k, rng)]
+    got = D.find_items([" ".join(noise(50) + t + noise(50)) for t in texts], index)
+    assert {(t, i) for t, i, *_ in got} == {(t, t // 6) for t in range(len(texts))}
+    assert all(d <= k for _, _, d, _ in got)
