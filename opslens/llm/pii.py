@@ -43,9 +43,10 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+# A whole run is one span, however long.
 SECRET = re.compile(r"(?i:(?<![a-z0-9])(token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)"
-                    r"\x20{0,2}[=:]\x20{0,2}[\"']?)([A-Za-z0-9_./+=-]{8,128})")
-HEX = re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![A-Za-z0-9])")
+                    r"\x20{0,2}[=:]\x20{0,2}[\"']?)([A-Za-z0-9_./+=-]{8,}+)")
+HEX = re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![A-Za-z0-9])")
 HANDLE = re.compile(r"[A-Za-z0-9._-]{1,64}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{1,63}(?:\x20?[\[(]dot[\])]\x20?[A-Za-z0-9-]{1,63}){1,4}")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 LOCAL_PHONE = re.compile(r"(?<![0-9+(])\(?[0-9]{3,4}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
@@ -188,7 +189,8 @@ def _pattern(votes: list[int], text: str, start: int, end: int) -> int:
 def find_spans(text: str | None) -> list[Span]:
     """Base spans and candidates of one text (null: none), by start, then kind as listed.
 
-    A candidate that overlaps a base span or an earlier kept candidate is not one.
+    A candidate that overlaps a base span or an earlier kept candidate is not one,
+    but a secret may hold base spans (a long run holds card numbers by chance).
     """
     if not text:
         return []
@@ -220,7 +222,8 @@ def _free(more: list[tuple[str, int, int, bool]], taken: list[tuple[int, int]])
         e = -neg
         if is_more:
             nxt = np.searchsorted(starts, s)
-            if s < reach or nxt < len(taken) and starts[nxt] < e:
+            inside = taken[nxt:np.searchsorted(starts, e)]
+            if s < reach or inside and not (cand[0] == "secret" and (s, e) not in inside and max(b for _, b in inside) <= e):
                 continue
             kept.append(cand)
         reach = max(reach, e)

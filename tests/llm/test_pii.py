@@ -79,3 +79,27 @@ def test_find_and_redact(docs_of):
     assert by_id[3].text == "card [CARD] call [PHONE]" and by_id[0].text is None and by_id[1].text == ""
     assert "bob@" not in by_id[2].text and by_id[3].n_chars == len(by_id[3].text)
     assert P.find_pii(docs_of([])).count() == 0 and P.redact(docs_of([])).count() == 0
+
+
+def test_long_secrets_are_whole_spans():
+    """A secret of any length is one span and goes as a whole."""
+    rng = np.random.default_rng(7)
+    yes = P.Model(np.zeros(0), np.zeros(0), np.ones(P.features(np.zeros(1, int), np.zeros(1, int)).shape[1]))
+    kind = P.KIND_AT["secret"]
+    for n in (8, 64, 65, 128, 129, 300, 10_000):
+        named = "".join(rng.choice(list("abcdefghijkABCDEFGHIJK0123456789_-"), n))
+        text = f"x token={named} y"
+        assert [(s.start, s.end) for s in P.find_spans(text) if s.kind == kind] == [(8, 8 + n)], n
+        assert P.redacted(text, yes) == "x token=[SECRET] y"
+        for digits in ("0123456789abcdef", "0123456789ABCDEF"):
+            run = "a" if digits[-1] == "f" else "A"
+            run += "".join(rng.choice(list(digits), n - 1))
+            text = f"x {run} y"
+            if n >= 32:
+                assert [(s.start, s.end) for s in P.find_spans(text) if s.kind == kind] == [(2, 2 + n)], n
+                assert P.redacted(text, yes) == "x [SECRET] y"
+    text = "token=4111111111111111 z"
+    assert [P.KINDS[s.kind] for s in P.find_spans(text)] == ["card"]
+    text = f"{'ab' * 50}4111111111111111{'cd' * 50}"
+    assert sorted(P.KINDS[s.kind] for s in P.find_spans(text)) == ["card", "secret"]
+    assert len(P.find_spans("f" * 200_000 + " " + "token=" + "Z9" * 100_000)) == 2
