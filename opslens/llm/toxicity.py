@@ -8,16 +8,18 @@ texts, and their log-likelihoods are compared per character and per word:
   All lower orders are continuation counts of *all* texts, labelled or not,
   shared by both classes, so a rare expression of one class is smoothed by
   what is known about its spelling everywhere.
-* Words: absolute-discounted counts per class over a shared uniform backoff.
+* Words: absolute-discounted counts per class over a shared uniform backoff. A
+  word is its case-folded code points, in any script and with its digits.
 
 Counting is distributed: a batch emits its distinct 5-grams and words with
 class counts, which Spark adds up. Every counted word keeps its ratio. Those
 that make up at least ``1 / WORD_SHARE`` of a class (so at most WORD_SHARE per
 class) are broadcast; the others stay a Spark table, and the words of a
-document that the broadcast does not hold are joined to it by shuffle. The
-broadcast decides where a word is looked up, never what it counts. What reaches
-the driver is bounded: these words and at most 2**25 possible 5-grams. A
-logistic curve over the normalised
+document that the broadcast does not hold are joined to it by shuffle, unless a
+broadcast bit field of fixed size (a bit per hash, no false negatives) shows
+that the table lacks them. The broadcasts decide where a word is looked up, never
+what it counts. What reaches the driver is bounded: these words, the bit field
+and at most 2**25 possible 5-grams. A logistic curve over the normalised
 log-likelihood ratios is fitted on a fold of the labelled rows that is not
 counted, at most ``calibration_rows`` of them.
 """
@@ -39,6 +41,8 @@ ORDER, BITS = 5, 5
 SYMBOLS, GRAMS, CONTEXTS = 1 << BITS, 1 << (BITS * ORDER), 1 << (BITS * (ORDER - 1))
 SHARED_DISCOUNT = 0.75
 WORD_SHARE = 1 << 18
+FIELD_BITS = 26       # log2 of the bits that show which words may be in the table of rare words
+BLOCK_BITS = 18       # and of a block of them
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 SLICE_CHARS = 1 << 21
 BROADCAST_LABELS = 2_000_000
@@ -80,17 +84,19 @@ class Symbols(NamedTuple):
     s: np.ndarray       # symbols
     doc: np.ndarray     # text of each symbol
     scored: np.ndarray  # symbols that are predicted (not the leading boundaries)
+    units: np.ndarray   # case-folded UTF-16 unit of each symbol, 0 for boundaries
 
 
 def symbolise(texts: list[str | None]) -> Symbols:
     lead = np.zeros(ORDER - 1, np.uint16)
     units, lens, heads = [], [], []
     for t in texts:
-        u = np.frombuffer((t or "").encode("utf-16-le", "surrogatepass"), np.uint16)
+        u = np.frombuffer((t or "").casefold().encode("utf-16-le", "surrogatepass"), np.uint16)
         units += [lead, u, lead[:1]]
         lens.append(len(u) + ORDER)
     lens_a = np.array(lens, np.int64)
-    s = _lookup()[np.concatenate(units)]
+    folded = np.concatenate(units)
+    s = _lookup()[folded]
     starts = np.cumsum(lens_a) - lens_a
     heads = np.zeros(len(s), bool)
     for k in range(ORDER - 1):
@@ -100,7 +106,7 @@ def symbolise(texts: list[str | None]) -> Symbols:
     keep |= heads
     # the boundary behind an empty text or after a leading boundary is not needed twice
     doc = np.repeat(np.arange(len(texts)), lens_a)
-    return Symbols(s[keep], doc[keep], ~heads[keep])
+    return Symbols(s[keep], doc[keep], ~heads[keep], np.where(s[keep] != 0, folded[keep], 0))
 
 
 def gram_codes(s: np.ndarray) -> np.ndarray:
@@ -113,25 +119,30 @@ def gram_codes(s: np.ndarray) -> np.ndarray:
     return out
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out, out=out)
+
+
 def word_hashes(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, 64-bit hashes) of the runs of letters and digits."""
+    """(starts, ends, 64-bit hashes) of the runs of letters and digits, of symbols or units."""
     inside = s != 0
     before = np.concatenate(([False], inside[:-1]))
     after = np.concatenate((inside[1:], [False]))
     starts, ends = np.nonzero(inside & ~before)[0], np.nonzero(inside & ~after)[0] + 1
-    powers = np.full(len(s), HASH_BASE, np.uint64)
-    if len(powers):
-        powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    inverse = pow(HASH_BASE, -1, 1 << 64)
-    down = np.full(len(s), inverse, np.uint64)
-    if len(down):
-        down[0] = 1
-    down = np.multiply.accumulate(down)
-    mixed = (s.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+    # in place and freed early: each array is four times the text
+    mixed = s.astype(np.uint64)
+    mixed += np.uint64(1)
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
     mixed ^= mixed >> np.uint64(29)
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed * powers, dtype=np.uint64)))
-    h = (total[ends] - total[starts]) * down[starts]
+    mixed *= _powers(HASH_BASE, len(s))
+    total = np.zeros(len(s) + 1, np.uint64)
+    np.cumsum(mixed, out=total[1:])
+    del mixed
+    h = total[ends] - total[starts]
+    del total
+    h *= _powers(pow(HASH_BASE, -1, 1 << 64), len(s))[starts]
     h ^= (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xE7037ED1A0B428DB)
@@ -181,7 +192,7 @@ def gram_and_word_counts(texts: DataFrame) -> DataFrame:
                 codes = gram_codes(sym.s)
                 pick = sym.scored[ORDER - 1:]
                 key, tox, ordinary = _counted(codes[pick], lab[sym.doc[ORDER - 1:][pick]])
-                starts, _, h = word_hashes(sym.s)
+                starts, _, h = word_hashes(sym.units)
                 own = lab[sym.doc[starts]]
                 wkey, wtox, word = _counted(h[own >= 0], own[own >= 0])
                 yield pa.RecordBatch.from_arrays([
@@ -215,14 +226,14 @@ def shared_model(seen: np.ndarray) -> np.ndarray:
 class Model(NamedTuple):
     """Log ratios toxic / ordinary: of seen 5-grams, of unseen ones by context, and of the broadcast words.
 
-    ``more``: whether further words are in the Spark table beside it.
+    ``field``: bits of the words that the Spark table beside it may hold; empty without further words.
     """
     grams: np.ndarray
     ratio: np.ndarray
     unseen: np.ndarray
     words: np.ndarray
     word_ratio: np.ndarray
-    more: bool = False
+    field: np.ndarray = np.empty(0, np.int64)
 
 
 def word_weights(word_stats: list[tuple[float, float, float, float]]) -> list[tuple[float, float, float]]:
@@ -272,11 +283,41 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame]:
     kept = words.where(often).toPandas()
     p = [F.greatest(F.col(c) - F.lit(d), F.lit(0.0)) / F.lit(total) + F.lit(back)
          for c, (d, total, back) in zip(("toxic", "ordinary"), word_weights(word_stats), strict=True)]
-    rare = words.where(~often).select("key", F.log(p[0] / p[1]).cast("float").cast("double").alias("ratio"))
+    rare = words.where(~often).select("key", F.log(p[0] / p[1]).cast("float").alias("ratio"))
     model = build_model(g["key"].to_numpy(np.int64), g["toxic"].to_numpy(np.float64), g["ordinary"].to_numpy(np.float64),
                         kept["key"].to_numpy(np.int64), kept["toxic"].to_numpy(np.float64),
                         kept["ordinary"].to_numpy(np.float64), word_stats)
-    return model._replace(more=not rare.isEmpty()), rare
+    return model._replace(field=_field(rare)), rare
+
+
+def _field(rare: DataFrame) -> np.ndarray:
+    """2**FIELD_BITS bits in words of 64, set at the top bits of each key; empty for an empty table.
+
+    Tasks build it in blocks, of which at most 2**(FIELD_BITS - BLOCK_BITS) reach the driver.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = batch.column("at").to_numpy()
+            for block in np.unique(at >> BLOCK_BITS).tolist():
+                own = at[at >> BLOCK_BITS == block] & ((1 << BLOCK_BITS) - 1)
+                blocks.setdefault(block, np.zeros(1 << BLOCK_BITS, bool))[own] = True
+        if blocks:
+            yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int64()), pa.array(
+                [np.packbits(b, bitorder="little").tobytes() for b in blocks.values()], pa.binary())], names=["block", "bits"])
+
+    at = rare.select(F.shiftrightunsigned("key", 64 - FIELD_BITS).alias("at"))
+    rows = at.repartition(F.shiftright("at", BLOCK_BITS)).mapInArrow(run, "block bigint, bits binary").collect()
+    size = 1 << (BLOCK_BITS - 6)
+    out = np.zeros(1 << (FIELD_BITS - 6) if rows else 0, np.int64)
+    for r in rows:
+        out[r["block"] * size:(r["block"] + 1) * size] = np.frombuffer(r["bits"], "<i8")
+    return out
+
+
+def _may_hold(field: np.ndarray, key: np.ndarray) -> np.ndarray:
+    at = key.view(np.uint64) >> np.uint64(64 - FIELD_BITS)
+    return (field.view(np.uint64)[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 def _dense(model: Model) -> np.ndarray:
@@ -301,9 +342,10 @@ def _top(values: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
 
 class Words(NamedTuple):
     """Word evidence of texts: by text the number of words and the up to three largest known ratios; words to look up."""
-    n: np.ndarray                                              # words of each text
-    top: list[list[float]]                                     # largest ratios of broadcast words
-    asked: list[tuple[list[int], list[int]]]                   # (words that are not broadcast, how often each)
+    n: np.ndarray                              # words of each text
+    unknown: np.ndarray                        # words that are not broadcast
+    top: list[list[float]]                     # largest ratios of broadcast words
+    asked: list[tuple[list[int], list[int]]]   # (words that the table may hold, how often each)
 
 
 def text_features(texts: list[str | None], model: Model) -> np.ndarray:
@@ -314,14 +356,14 @@ def text_features(texts: list[str | None], model: Model) -> np.ndarray:
 def text_evidence(texts: list[str | None], model: Model) -> tuple[np.ndarray, Words]:
     """(rows of FEATURES, what the words outside the model need to be added by ``with_rare_words``)."""
     dense, out = _dense(model), np.zeros((len(texts), len(FEATURES)))
-    words = Words(np.zeros(len(texts)), [[] for _ in texts], [([], []) for _ in texts])
+    words = Words(np.zeros(len(texts)), np.zeros(len(texts), np.int64), [[] for _ in texts], [([], []) for _ in texts])
     for group in slices(texts):
         sym = symbolise([texts[i] for i in group])
         n = len(group)
         r = np.zeros(len(sym.s))
         r[ORDER - 1:] = dense[gram_codes(sym.s)]
         r[~sym.scored] = 0.0
-        starts, ends, h = word_hashes(sym.s)
+        starts, ends, h = word_hashes(sym.units)
         if not len(starts):
             continue
         total = np.concatenate(([0.0], np.cumsum(r)))
@@ -344,20 +386,24 @@ def text_evidence(texts: list[str | None], model: Model) -> tuple[np.ndarray, Wo
         rows[n_words == 0] = 0.0
         out[group] = rows
         words.n[group] = n_words
-        if model.more:
-            _ask(words, group, doc, h, word, known)
+        if len(model.field):
+            _ask(words, group, doc, h, word, known, model.field)
     return out, words
 
 
-def _ask(words: Words, group: list[int], doc: np.ndarray, h: np.ndarray, word: np.ndarray, known: np.ndarray) -> None:
-    """Enter the largest known ratios and the distinct unknown words of a group of texts."""
+def _ask(words: Words, group: list[int], doc: np.ndarray, h: np.ndarray, word: np.ndarray, known: np.ndarray,
+         field: np.ndarray) -> None:
+    """Enter the largest known ratios and the distinct words to look up of a group of texts."""
+    words.unknown[group] = np.bincount(doc[~known], minlength=len(group))
     d, v = doc[known], word[known]
     order = np.lexsort((-v, d))
     d, v = d[order], v[order]
     first = np.arange(len(d)) - np.searchsorted(d, d) < 3
     for i, value in zip(d[first].tolist(), v[first].tolist(), strict=True):
         words.top[group[i]].append(value)
-    d, key = doc[~known], h[~known]
+    rest = np.nonzero(~known)[0]
+    rest = rest[_may_hold(field, h[rest])]
+    d, key = doc[rest], h[rest]
     order = np.lexsort((key, d))
     d, key = d[order], key[order]
     new = np.nonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (key[1:] != key[:-1]))))[0] if len(d) else order
@@ -443,17 +489,17 @@ def features_of(known: DataFrame, model: Model, rare: DataFrame) -> DataFrame:
             x, words = text_evidence(batch.column("text").to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in own] + [pa.array(x[:, i]) for i in range(x.shape[1])]
-                + [pa.array(words.n), pa.array(words.top, pa.list_(pa.float64())),
+                + [pa.array(words.n), pa.array(words.unknown), pa.array(words.top, pa.list_(pa.float64())),
                    pa.array([k for k, _ in words.asked], pa.list_(pa.int64())),
-                   pa.array([n for _, n in words.asked], pa.list_(pa.int64()))],
-                names=[*own, *FEATURES, "n_words", "top", "asked", "times"])
+                   pa.array([n for _, n in words.asked], pa.list_(pa.int32()))],
+                names=[*own, *FEATURES, "n_words", "unknown", "top", "asked", "times"])
 
     src = known.withColumn("row", F.monotonically_increasing_id()).withColumn("digest", digest(F.col("text")))
     found = scratch_table(src.mapInArrow(run, f"row bigint, doc_id {kind}, fold int, label int, digest binary, "
                                          + ", ".join(f"{f} double" for f in FEATURES)
-                                         + ", n_words double, top array<double>, asked array<bigint>, times array<bigint>"),
+                                         + ", n_words double, unknown bigint, top array<double>, asked array<bigint>, times array<int>"),
                           "toxicity-evidence")
-    if model.more:
+    if len(model.field):
         found = with_rare_words(found, rare)
     return found.select("doc_id", "fold", "label", "digest", *FEATURES)
 
@@ -471,11 +517,11 @@ def with_rare_words(found: DataFrame, rare: DataFrame) -> DataFrame:
     """
     asked = (found.where(F.size("asked") > 0).select("row", F.explode(F.arrays_zip("asked", "times")).alias("a"))
              .select("row", F.col("a.asked").alias("key"), F.col("a.times").alias("times")))
-    met = asked.join(rare, "key").groupBy("row").agg(
-        F.sum(F.col("times") * F.col("ratio")).alias("rare_sum"), F.sum("times").alias("met"),
-        F.flatten(F.collect_list(F.array_repeat("ratio", F.least("times", F.lit(3)).cast("int")))).alias("ratios"))
-    unknown = F.aggregate("times", F.lit(0).cast("bigint"), lambda a, n: a + n)
-    rest = found.select(*[c for c in found.columns if c not in ("asked", "times")], unknown.alias("unknown")).join(met, "row", "left")
+    # dealt by row before they are gathered: single values are smaller than partial lists
+    met = asked.join(rare, "key").select("row", "times", "ratio").repartition("row").groupBy("row").agg(
+        F.sum(F.col("times") * F.col("ratio").cast("double")).alias("rare_sum"), F.sum("times").alias("met"),
+        F.flatten(F.collect_list(F.array_repeat(F.col("ratio").cast("double"), F.least("times", F.lit(3))))).alias("ratios"))
+    rest = found.drop("asked", "times").join(met, "row", "left")
     none = F.array().cast("array<double>")
     zeros = F.array_repeat(F.lit(0.0), F.least(F.lit(3), F.col("unknown") - F.coalesce("met", F.lit(0))).cast("int"))
     top = F.slice(F.sort_array(F.concat("top", F.coalesce("ratios", none), zeros), asc=False), 1, 3)

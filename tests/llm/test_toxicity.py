@@ -140,3 +140,22 @@ def test_rare_words_count_whatever_is_broadcast(corpus, monkeypatch):
     assert [(i, p) for i, _, p in few] == [(i, p) for i, _, p in whole]
     assert [s for _, s, _ in few] == pytest.approx([s for _, s, _ in whole], rel=1e-3, abs=1e-4)
     assert sorted(r.doc_id for r in T.keep_ordinary(docs, labels).collect()) == kept
+
+
+def test_words_are_their_real_characters():
+    """Scripts outside Latin, digits and accents tell words apart; case does not."""
+    words = ["слово", "клово", "слова", "λόγος", "λόγον", "كلمات", "מילים", "漢字文字列", "漢字文字表", "abc1", "abc2", "a1", "a2", "pêche",
+             "peche", "𝒜𝒷𝒸𝒹𝑒", "𝒜𝒷𝒸𝒹𝒻"]
+    _, _, h = T.word_hashes(T.symbolise([" ".join(words)]).units)
+    assert len(h) == len(set(h.tolist())) == len(words)
+    _, _, h = T.word_hashes(T.symbolise(["СЛОВО", "слово", "Straße", "STRASSE"]).units)
+    assert h[0] == h[1] and h[2] == h[3]
+
+
+def test_the_bit_field_holds_every_key(spark):
+    rng = np.random.default_rng(5)
+    keys = rng.integers(-2**63, 2**63 - 1, 3000)
+    field = T._field(spark.createDataFrame([(int(k),) for k in keys], "key bigint"))
+    assert T._may_hold(field, keys).all()
+    assert T._may_hold(field, rng.integers(-2**63, 2**63 - 1, 3000)).sum() < 10
+    assert not len(T._field(spark.createDataFrame([], "key bigint")))
