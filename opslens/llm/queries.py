@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opslens.llm import decontam, licenses, mixing, permindex, pii, simhash, suffixdedup, toxicity, urlfilter, warc
+from opslens.llm import (align, decontam, licenses, mixing, packing, periodic, permindex, pii, simhash, suffixdedup,
+                         toxicity, urlfilter, warc)
 from opslens.llm.common import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +73,18 @@ def op9_bucket_pointer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op6_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op11_interval_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents"))
+
+
+@register
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(table(spark, sf_dir, "documents"), planted=True)
+
+
+@register
+def op13_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_texts(table(spark, sf_dir, "documents"))

@@ -1,0 +1,143 @@
+"""Interval alignment against whole-text encoding and plain loops over all token pairs."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from conftest import SF_SMALL
+from opslens.llm import align, queries
+
+COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+BYTE_OF = {c: b for b, c in zip(
+    [*range(33, 127), *range(161, 173), *range(174, 256), *range(33), *range(127, 161), 173],
+    [*map(chr, range(33, 127)), *map(chr, range(161, 173)), *map(chr, range(174, 256)), *map(chr, range(256, 324))])}
+
+
+@pytest.fixture(scope="module")
+def encoders():
+    a = Tokenizer.from_file(align.tokenizer_path(align.BYTE_TOKENIZER))
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=align.tokenizer_path(align.PIECE_TOKENIZER))
+
+
+def spans(sizes):
+    ends = np.cumsum(sizes).tolist()
+    return list(zip([0, *ends[:-1]], ends))
+
+
+def brute(text, encoders):
+    """(a ids, b ids, groups, links) of one text, from the whole text at once."""
+    a, b = encoders
+    if not text:
+        return [], [], [], []
+    raw = (" " + text).encode()
+    ia, ib = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+    ta = [bytes(BYTE_OF[c] for c in a.id_to_token(i)) for i in ia]
+    tb = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in ib]
+    if b"".join(ta) != raw or b"".join(tb) != raw:
+        return [], [], [], []
+    sa, sb = spans(list(map(len, ta))), spans(list(map(len, tb)))
+    links = [(i, j) for i, (s, e) in enumerate(sa) for j, (t, f) in enumerate(sb) if s < f and t < e]
+    cuts = sorted({e for _, e in sa} & {e for _, e in sb})
+    groups, at = [], 0
+    for c in cuts:
+        groups.append(([i for (s, e), i in zip(sa, ia) if at <= s and e <= c], [i for (s, e), i in zip(sb, ib) if at <= s and e <= c]))
+        at = c
+    return ia, ib, groups, [(ia[i], ib[j]) for i, j in links]
+
+
+def brute_table(texts, encoders):
+    parts = [brute(t, encoders) for t in texts]
+    count = Counter(x for p in parts for x in p[3])
+    best = {}
+    for (_, b), n in count.items():
+        best[b] = max(best.get(b, 0), n)
+    out = []
+    for ia, ib, groups, links in parts:
+        shown = ";".join(",".join(map(str, g)) + "|" + ",".join(map(str, h)) for g, h in groups)
+        out.append((len(ia), len(ib), len(groups), len(links), sum(count[x] == best[x[1]] for x in links),
+                    sum(count[x] for x in links), hashlib.sha256(shown.encode()).hexdigest() if shown else ""))
+    return out
+
+
+ODD = ["", None, " ", "  two  blanks ", "tab\there\nand lines\r\n", "aaaaaaaaaaaaaaaaaaaaaaaaaaa aaaa", "don't we'll", "é é ñ",
+       "日本語のテキスト", "😀😀 emoji😀", "a▁b", "<|endoftext|> plain <s> </s> <unk>", "x y   z", "  \x1c \x85 a",
+       "1234567 89.0", "\x00nul", "ﬁ ligature", "  ", "a" * 300, "!?" * 40 + " ...", "Ünï cödé " * 5, "　wide blank"]
+
+
+def test_matches_brute_force(spark, docs_of, encoders):
+    rng = random.Random(2)
+    words = ["the", "The", "straße", "l'été", "x1", "http://a.b/c?d=e", "...", "naïve", "日本", "tokenization", "\t"]
+    texts = ODD + [rng.choice([" ", "  ", "\n"]).join(rng.choice(words) for _ in range(rng.randint(1, 40))) for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "a null id"), (3, texts[3])]
+    got = align.align(docs_of(rows)).collect()
+    want = brute_table([t for _, t in rows], encoders)
+    assert sorted((str(r.doc_id), *[r[c] for c in COLUMNS]) for r in got) == sorted(
+        (str(i), *w) for (i, _), w in zip(rows, want))
+    assert want[0] == want[1] == (0, 0, 0, 0, 0, 0, "")
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(max_size=12), max_size=6).map(" ".join))
+def test_cut_texts_encode_like_whole_texts(text):
+    pair = align.load_pair()
+    parts = align._pieces_of(text, pair.cuts)
+    whole = pair.a.encode(" " + text, add_special_tokens=False).ids if text else []
+    assert [i for p in parts for i in pair.a.encode(" " + p, add_special_tokens=False).ids] == whole
+    assert [i for p in parts for i in pair.b.encode(p)] == (pair.b.encode(text) if text else [])
+
+
+def test_rare_pairs_by_join_equal_hot_pairs_by_broadcast(spark, docs_of, encoders, monkeypatch):
+    texts = [" ".join(f"w{(i * k) % 17}" for k in range(30)) for i in range(12)]
+    monkeypatch.setattr(align, "HOT_SHARE", 16)   # at most 16 hot pairs
+    got = align.align(docs_of(list(enumerate(texts)))).orderBy("doc_id").collect()
+    assert [tuple(r[c] for c in COLUMNS) for r in got] == brute_table(texts, encoders)
+
+
+def test_tokens_that_never_meet_cost_links_and_not_pairs():
+    n = 20_000   # sizes 1, 4, 4, ... against 2, 4, 4, ...: one group
+    a, b = np.full(n, 4), np.full(n, 4)
+    a[0], b[0], a[-1] = 1, 2, 5
+    x = align.coalesce(a, b)
+    assert set(x.a_group) == set(x.b_group) == {0} and len(x.left) == 2 * n - 1
+    empty = align.coalesce(np.empty(0, np.int64), np.empty(0, np.int64))
+    assert len(empty.left) == len(empty.a_group) == 0
+
+
+def test_remembering_is_bounded_and_changes_nothing(spark, docs_of, monkeypatch):
+    rows = [(i, f"word{i} other{i % 3} last") for i in range(50)]
+    want = sorted(map(tuple, align.align(docs_of(rows), keep_groups=True).collect()))
+    monkeypatch.setattr("opslens.llm.tokens.SLICE_BYTES", 40)
+    monkeypatch.setattr(align, "MEMO_CHUNKS", 4)
+    memo = align.Chunks(align.load_pair())
+    for _ in range(3):
+        memo.bound()
+        memo.learn([f"c{k}" for k in range(9)])
+        assert len(memo.slot) == 9
+    assert sorted(map(tuple, align.align(docs_of(rows), keep_groups=True).collect())) == want
+    assert all(";" in r[-1] for r in want)
+
+
+def test_empty_table(docs_of):
+    assert align.align(docs_of([])).count() == 0
+
+
+def test_query_on_the_whole_table(spark, encoders):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").orderBy("doc_id").collect()
+    got = queries.op11_interval_alignment(spark, SF_SMALL).orderBy("doc_id").collect()
+    a, b = encoders
+    assert [r.doc_id for r in got] == [d.doc_id for d in docs]
+    assert [r.n_a for r in got] == [len(a.encode(" " + d.text, add_special_tokens=False).ids) for d in docs]
+    short = [i for i, d in enumerate(docs) if len(d.text) < 3000]
+    for i in short:
+        ia, ib, groups, links = brute(docs[i].text, encoders)
+        shown = ";".join(",".join(map(str, g)) + "|" + ",".join(map(str, h)) for g, h in groups)
+        assert (got[i].n_a, got[i].n_b, got[i].n_groups, got[i].n_links) == (len(ia), len(ib), len(groups), len(links))
+        assert got[i].groups_sha256 == hashlib.sha256(shown.encode()).hexdigest()
