@@ -24,8 +24,10 @@ unique, not dense: no count over all groups is needed.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
 
@@ -36,17 +38,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opslens.llm.common import col, scratch_table
-from opslens.llm.tokens import MEMO_CHUNKS, MEMO_VALUES, Ragged, byte_pair_tokenizer, by_text, slices
+from opslens.llm.tokens import Ragged, byte_pair_tokenizer, by_text, slices
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
 SEQUENCE_TOKENS, MAX_SEGMENTS = 2048, 256
 CUT_STEP = 64
 GROUP_PIECES = 2048
+MEMO_CHUNKS, MEMO_IDS = 600_000, 6_000_000
 PIECE_SCHEMA = ("doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, heads array<bigint>")
 
 
+PUNCTUATION = re.compile("(?<=[A-Za-z0-9])(?=[.,;:!?])")
+
+
 class TokenMemo:
-    """Ids of distinct blank-separated chunks; the tokenizer drops blanks and never joins across them."""
+    """Ids of distinct chunks, cut at blanks and before punctuation behind a letter or digit.
+
+    The tokenizer drops blanks, never joins across them, and takes letters,
+    digits and other characters apart, so the chunks' ids are the text's.
+    """
 
     def __init__(self, name: str) -> None:
         self.tokenizer = byte_pair_tokenizer(name)
@@ -58,9 +68,9 @@ class TokenMemo:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids of each text)."""
-        if len(self.slot) > MEMO_CHUNKS or self.ids.used > MEMO_VALUES:
+        if len(self.slot) > MEMO_CHUNKS or self.ids.used > MEMO_IDS:
             self.forget()
-        chunks = [(t or "").split(" ") for t in texts]
+        chunks = [PUNCTUATION.sub(" ", t or "").split(" ") for t in texts]
         new = list({c for own in chunks for c in own if c not in self.slot})
         if new:
             enc = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
@@ -73,6 +83,12 @@ class TokenMemo:
         return ids, by_text(sizes, counts)
 
 
+@lru_cache
+def token_memo(name: str) -> TokenMemo:
+    """One per Python worker, so that a task finds what the tasks before it learned."""
+    return TokenMemo(name)
+
+
 def head_checksums(data: memoryview) -> list[int]:
     """CRC-32 of the first CUT_STEP, 2 CUT_STEP, ... ids, as far as there are more behind."""
     out, crc, step = [], 0, 4 * CUT_STEP
@@ -96,7 +112,7 @@ def text_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     schema = PIECE_SCHEMA.format(kind=kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = TokenMemo(tokenizer)
+        memo = token_memo(tokenizer)
         for batch in batches:
             for part in slices(batch):
                 ids, sizes = memo.encode(part.column("text").to_pylist())
@@ -277,7 +293,7 @@ def conversation_examples(conversations: DataFrame, tokenizer: str = TOKENIZER,
     kind = src.schema["conv_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = TokenMemo(tokenizer)
+        memo = token_memo(tokenizer)
         for batch in batches:
             for part in slices(batch):
                 n = memo.encode(part.column("text").to_pylist())[1] + 1
