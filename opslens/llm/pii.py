@@ -47,7 +47,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SECRET = re.compile(r"(?i:(?<![a-z0-9])(token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)"
                     r"\x20{0,2}[=:]\x20{0,2}[\"']?)([A-Za-z0-9_./+=-]{8,}+)")
 HEX = re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![A-Za-z0-9])")
-HANDLE = re.compile(r"[A-Za-z0-9._-]{1,64}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{1,63}(?:\x20?[\[(]dot[\])]\x20?[A-Za-z0-9-]{1,63}){1,4}")
+HANDLE = re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]++\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]++"
+                    r"(?:\x20?[\[(]dot[\])]\x20?[A-Za-z0-9-]++)++")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 LOCAL_PHONE = re.compile(r"(?<![0-9+(])\(?[0-9]{3,4}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")

@@ -103,3 +103,33 @@ def test_long_secrets_are_whole_spans():
     text = f"{'ab' * 50}4111111111111111{'cd' * 50}"
     assert sorted(P.KINDS[s.kind] for s in P.find_spans(text)) == ["card", "secret"]
     assert len(P.find_spans("f" * 200_000 + " " + "token=" + "Z9" * 100_000)) == 2
+
+
+def test_long_handles_are_whole_spans():
+    yes = P.Model(np.zeros(0), np.zeros(0), np.ones(P.features(np.zeros(1, int), np.zeros(1, int)).shape[1]))
+    for n, labels in ((1, 2), (64, 2), (65, 5), (100, 6), (300, 12), (10_000, 40)):
+        handle = "b" * n + " (at) " + " (dot) ".join(["site" * 20] * labels)
+        text = f"mail {handle}, thanks"
+        assert [(s.start, s.end) for s in P.find_spans(text) if P.KINDS[s.kind] == "handle"] == [(5, 5 + len(handle))]
+        assert P.redacted(text, yes) == "mail [HANDLE], thanks"
+    assert P.find_spans("a." * 100_000 + " (at) x") == [] and P.find_spans("x (at) " * 20_000) == []
+
+
+def test_further_kinds_are_accepted_in_their_context_and_rejected_in_others(docs_of):
+    def iban(i):
+        body = f"3704004405320130{i:02d}"
+        return f"DE{98 - int(body + '131400') % 97:02d}{body}"
+
+    texts = []
+    for i in range(60):
+        texts += [f"contact: bob{i}x (at) site{i} (dot) com", f"bank transfer to iban {iban(i)} now",
+                  f"social security ssn {200 + i}-45-{1000 + i}", f"please call (487) 555-{1000 + i}"]
+    decoys = []
+    for i in range(60):
+        decoys += [f"order {900 + i % 90}-00-{1000 + i} total price", f"isbn 487 555 {1000 + i}9 page"]
+    rows = list(enumerate(texts + decoys))
+    got = {r.doc_id: r.spans for r in P.find_pii(docs_of(rows)).collect()}
+    for k, kind in enumerate(("handle", "iban", "ssn", "local_phone")):
+        mine = [got[i] for i in range(k, len(texts), 4)]
+        assert sum(f"{kind}:" in s for s in mine) >= 0.95 * len(mine), kind
+    assert sum("ssn:" in got[i] or "local_phone:" in got[i] for i in range(len(texts), len(rows))) <= 0.05 * len(decoys)
