@@ -22,10 +22,10 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslens.llm.common import col, scratch_table
+from opslens.llm.common import col, free_name, scratch_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -187,17 +187,23 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The mix itself: every document as often as the mix takes it, numbered from 1 in ``copy_col``.
 
     Rows equal in id, text and source are interchangeable: one of them stands
-    for the copies of all.
+    for the copies of all. Where ``docs`` has a column ``copy_col``, that one
+    stays and the number's name gets underscores until it is free.
     """
     chosen = mix(docs, id_col, text_col, source_col, **settings).groupBy("doc_id", "text_hash", "source").agg(
-        F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
-    chosen = scratch_table(chosen.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
-                                         F.col("source").alias("__source"), "__copies", "__rows"), "mix-copies")
-    marked = docs.withColumn("__text_hash", F.xxhash64(col(text_col)))
-    if not chosen.where("__rows > 1").isEmpty():
-        marked = marked.dropDuplicates([id_col, source_col, "__text_hash"])
-    taken = marked.join(chosen.where("__copies > 0"), col(id_col).cast("bigint").eqNullSafe(F.col("__id"))
-                        & (F.col("__text_hash") == F.col("__hash"))
-                        & col(source_col).cast("string").eqNullSafe(F.col("__source")))
-    numbered = taken.withColumn(copy_col, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))))
-    return numbered.select(*[col(c) for c in docs.columns], col(copy_col))
+        F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    chosen = scratch_table(chosen, "mix-copies")
+    text_hash, number = free_name(docs, "__text_hash"), free_name(docs, copy_col)
+    marked = docs.withColumn(text_hash, F.xxhash64(col(text_col)))
+    if not chosen.where("rows > 1").isEmpty():
+        marked = marked.dropDuplicates([id_col, source_col, text_hash])
+    marked, chosen = marked.alias("d"), chosen.where("copies > 0").alias("c")
+
+    def own(name: str) -> Column:
+        return F.col("d.`" + name.replace("`", "``") + "`")
+
+    taken = marked.join(chosen, own(id_col).cast("bigint").eqNullSafe(F.col("c.doc_id"))
+                        & (own(text_hash) == F.col("c.text_hash"))
+                        & own(source_col).cast("string").eqNullSafe(F.col("c.source")))
+    numbers = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("c.copies"))).alias(number)
+    return taken.select(*[own(c) for c in docs.columns], numbers)

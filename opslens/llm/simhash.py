@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslens.llm.common import col, connected_components, scratch_table
+from opslens.llm.common import col, connected_components, free_name, scratch_table
 
 SEED = 42
 BYTES = 8
@@ -247,9 +247,11 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
         fps.join(comps, "fp").where(order.eqNullSafe(F.col("rep"))).groupBy("__id", "__text_hash")
         .agg(F.count(F.lit(1)).alias("__rows")).select(F.col("__id").alias("__keep_id"), F.col("__text_hash").alias("__keep_hash"),
                                                        "__rows"), "simhash-keepers")
-    marked = docs.withColumns({"__text_hash": keys["__text_hash"]})
-    kept = marked.join(keepers, col(id_col).eqNullSafe(F.col("__keep_id")) &
-                       (F.col("__text_hash") == F.col("__keep_hash")), "left_semi")
+    text_hash = free_name(docs, "__text_hash")
+    marked = docs.withColumn(text_hash, keys["__text_hash"])
+    keepers = keepers.withColumnsRenamed({"__keep_id": (keep_id := free_name(marked, "__keep_id")),
+                                          "__keep_hash": (keep_hash := free_name(marked, "__keep_hash"))})
+    kept = marked.join(keepers, col(id_col).eqNullSafe(col(keep_id)) & (col(text_hash) == col(keep_hash)), "left_semi")
     if not keepers.where("__rows > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col, "__text_hash"])
-    return kept.drop("__text_hash")
+        kept = kept.dropDuplicates([id_col, text_hash])
+    return kept.drop(text_hash)

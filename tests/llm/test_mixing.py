@@ -78,6 +78,16 @@ def test_mixed_documents_repeat_rows(docs_of, rows):
     assert mixed.columns == [*docs_of(rows).columns, "copy"]
 
 
+def test_clashing_columns_stay(docs_of, rows):
+    docs = docs_of(rows).selectExpr("*", "'mine' AS copy", "'h' AS __text_hash", "1 AS rows")
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == [*docs.columns, "copy_"]
+    got = mixed.collect()
+    assert {(r.copy, r["__text_hash"], r.copies, r.rows) for r in got} == {("mine", "h", "v", 1)}
+    plain = mixing.mixed_documents(docs_of(rows)).collect()
+    assert sorted((str(r.doc_id), r["copy_"]) for r in got) == sorted((str(r.doc_id), r["copy"]) for r in plain)
+
+
 def test_edges(docs_of):
     assert mixing.mix(docs_of([])).count() == 0
     only_empty = mixing.mix(docs_of([(1, None, None), (2, "", "a")])).collect()

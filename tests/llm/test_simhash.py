@@ -105,6 +105,14 @@ def test_representatives_keep_one_of_each_component(docs_of):
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(2, same), (9, rows[3][1]), (11, None)]
 
 
+def test_clashing_columns_stay(docs_of):
+    same = " ".join(f"word{i}" for i in range(40))
+    docs = docs_of([(5, same), (2, same), (2, same), (9, None)]).selectExpr("*", "'h' AS __text_hash", "7 AS __keep_id", "8 AS __keep_hash")
+    kept = simhash.keep_representatives(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r["__text_hash"], r["__keep_id"], r["__keep_hash"]) for r in kept.collect()) == [(2, "h", 7, 8), (9, "h", 7, 8)]
+
+
 def test_empty_table(docs_of):
     assert simhash.near_duplicates(docs_of([])).count() == 0
     assert simhash.keep_representatives(docs_of([])).count() == 0
