@@ -77,7 +77,11 @@ class Index:
 
     def __init__(self, items: list[tuple[int, list[str]]], similarity: float, repetitions: int, bits: int, seed: int):
         self.similarity, self.repetitions, self.bits, self.seed = similarity, repetitions, bits, seed
-        self.item_ids = [i for i, _ in items]
+        same: dict[tuple[str, ...], list[int]] = {}   # equal items are indexed once
+        for i, words in items:
+            same.setdefault(tuple(words), []).append(i)
+        self.item_ids = list(same.values())
+        items = [(ids[0], list(words)) for words, ids in same.items()]
         vocabulary = sorted({w for _, words in items for w in words})
         self.ids = {w: n + FIRST for n, w in enumerate(vocabulary)}
         self.items = [np.array([self.ids[w] for w in words], np.int64) for _, words in items]
@@ -105,7 +109,7 @@ class Index:
         self.n_pieces = np.array([len(c) for c in cut], np.int64)
         self.first_piece = np.cumsum(self.n_pieces) - self.n_pieces
         self.pieces = np.array([p for c in cut for p in c], np.int64).reshape(-1, 2)
-        self.at = np.stack([[np.sort(np.random.default_rng([seed, 1, rep, b - a]).integers(0, 3 * (b - a), bits))
+        self.at = np.stack([[np.sort(np.random.default_rng([seed, 1, rep, b - a]).integers(0, 2 * (b - a), bits))
                              for a, b in self.pieces.tolist()] for rep in range(repetitions)]) if self.lengths else None
         flat = np.concatenate(self.items or [none])
         lens = np.array([len(a) for a in self.items], np.int64)
@@ -342,9 +346,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 index = shared.value
                 hits = find_items(batch.column("text").to_pylist(), index)
                 if hits:
-                    t, i, d, f = zip(*hits, strict=True)
+                    t, i, item, d, f = zip(*[(t, i, own, d, f) for t, i, d, f in hits for own in index.item_ids[i]], strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").take(pa.array(t)), pa.array([index.item_ids[n] for n in i], pa.int64()),
+                        [batch.column("doc_id").take(pa.array(t)), pa.array(item, pa.int64()),
                          pa.array(d, pa.int32()), pa.array([len(index.items[n]) for n in i], pa.int32()),
                          pa.array(f, pa.int32())],
                         names=["doc_id", "item_id", "edit_distance", "item_words", "first_word"])

@@ -30,6 +30,17 @@ def edited(words, k, rng):
     return words
 
 
+def plain_distance(item, text):
+    """Smallest edit distance between ``item`` and any run of ``text``, cell by cell."""
+    row = [0] * (len(text) + 1)
+    for i, w in enumerate(item):
+        new = [i + 1]
+        for j, v in enumerate(text):
+            new.append(min(row[j] + (w != v), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
 def exact(texts, items):
     out = {}
     for i, t in texts:
@@ -38,8 +49,7 @@ def exact(texts, items):
             want = D.words_of(item)
             if j is None or not want:
                 continue
-            vocab = {w: n for n, w in enumerate(sorted({*words, *want}))}
-            d, _ = D.edit_distance_in(np.array([vocab[w] for w in want]), np.array([vocab[w] for w in words], np.int64))
+            d = plain_distance(want, words)
             if d <= D.allowed_edits(len(want), 0.8):
                 out[i, j] = d
     return out
@@ -88,6 +98,16 @@ def test_slices_of_the_benchmark_find_the_same(docs_of, bench):
     assert whole == key(D.contaminated(docs_of(texts), frame, slice_words=100)) and len(whole) >= 62
 
 
+def test_equal_items_are_searched_once_and_listed_each(spark, docs_of):
+    words = " ".join(f"v{i * i % 59}" for i in range(43))
+    frame = spark.createDataFrame([(i, words if i < 300 else f"other {words} x{i}") for i in range(302)], "item_id bigint, text string")
+    got = D.contaminated(docs_of([(1, f"a b {words} c"), (2, "nothing of it here")]), frame).collect()
+    assert sorted(r.item_id for r in got) == [*range(302)] and {r.doc_id for r in got} == {1}
+    assert all(r.edit_distance == (0 if r.item_id < 300 else 2) for r in got)
+    index = D.Index([(i, D.words_of(words)) for i in range(300)], 0.8, 48, 2, 42)
+    assert len(index.items) == 1 and index.item_ids == [list(range(300))]
+
+
 def test_empty_tables(docs_of, bench):
     _, frame = bench
     assert D.contaminated(docs_of([]), frame).count() == 0
