@@ -20,14 +20,16 @@ broadcast bit field of fixed size (a bit per hash, no false negatives) shows
 that the table lacks them. The broadcasts decide where a word is looked up, never
 what it counts. What reaches the driver is bounded: these words, the bit field
 and at most 2**25 possible 5-grams. A logistic curve over the normalised
-log-likelihood ratios is fitted on a fold of the labelled rows that is not
-counted, at most ``calibration_rows`` of them.
+log-likelihood ratios is fitted on at most ``calibration_rows`` rows of one fold
+of the labelled ones, scored by a model without that fold's labels; the model
+that scores the documents counts all labels outside the held-out fold.
 """
 
 from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -36,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opslens.llm.common import col, scratch_table
+from opslens.llm.tokens import slices as text_slices
 
 ORDER, BITS = 5, 5
 SYMBOLS, GRAMS, CONTEXTS = 1 << BITS, 1 << (BITS * ORDER), 1 << (BITS * (ORDER - 1))
@@ -44,7 +47,7 @@ WORD_SHARE = 1 << 18
 FIELD_BITS = 26       # log2 of the bits that show which words may be in the table of rare words
 BLOCK_BITS = 18       # and of a block of them
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
-SLICE_CHARS = 1 << 21
+SLICE_CHARS = 1 << 19
 BROADCAST_LABELS = 2_000_000
 MARGIN = 3.0          # of a word's log ratio, beyond which it counts as an expression of a class
 FEATURES = ("mean_char", "max_char", "excess_char", "top_char", "log_words", "max_word", "top_word", "mean_word")
@@ -177,31 +180,43 @@ def _counted(keys: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return distinct, tox, ordinary
 
 
+COUNTS = ("toxic", "ordinary", "toxic_held", "ordinary_held")
+
+
 def gram_and_word_counts(texts: DataFrame) -> DataFrame:
-    """(kind, key, toxic, ordinary): kind 0 = 5-grams of all texts, kind 1 = words of counted labelled texts.
+    """(kind, key, COUNTS): kind 0 = 5-grams of all texts, kind 1 = words of labelled texts.
 
-    ``texts`` has text and y (1, 0, or -1 for texts whose label is not used).
+    ``texts`` has text, y (1, 0, or -1 for texts whose label is not used) and
+    held (their counts are also given apart, for the model that calibrates).
     """
+    def rows(kind: int, keys: np.ndarray, label: np.ndarray, held: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for apart in (False, True):
+            pick = held & (label >= 0) if apart else slice(None)
+            key, tox, ordinary = _counted(keys[pick], label[pick])
+            if len(key):
+                none = np.zeros(len(key), np.int64)
+                counts = (none, none, tox, ordinary) if apart else (tox, ordinary, none, none)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(key), kind, np.int32)), pa.array(key.astype(np.int64)), *map(pa.array, counts)],
+                    names=["kind", "key", *COUNTS])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(text_slices, batches)):
             text = batch.column("text").to_pylist()
-            y = batch.column("y").to_numpy(zero_copy_only=False).astype(np.int64)
+            y = batch.column("y").to_numpy(zero_copy_only=False).astype(np.int8)
+            held = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
             for group in slices(text):
                 sym = symbolise([text[i] for i in group])
-                lab = y[group]
-                codes = gram_codes(sym.s)
                 pick = sym.scored[ORDER - 1:]
-                key, tox, ordinary = _counted(codes[pick], lab[sym.doc[ORDER - 1:][pick]])
+                doc = sym.doc[ORDER - 1:][pick]
+                yield from rows(0, gram_codes(sym.s)[pick], y[group][doc], held[group][doc])
                 starts, _, h = word_hashes(sym.units)
-                own = lab[sym.doc[starts]]
-                wkey, wtox, word = _counted(h[own >= 0], own[own >= 0])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(np.array([0, 1], np.int32), [len(key), len(wkey)])),
-                    pa.array(np.concatenate((key.astype(np.int64), wkey))), pa.array(np.concatenate((tox, wtox))),
-                    pa.array(np.concatenate((ordinary, word)))], names=["kind", "key", "toxic", "ordinary"])
+                doc = sym.doc[starts]
+                own = y[group][doc] >= 0
+                yield from rows(1, h[own], y[group][doc[own]], held[group][doc[own]])
 
-    return (texts.mapInArrow(run, "kind int, key bigint, toxic bigint, ordinary bigint")
-            .groupBy("kind", "key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
+    return (texts.mapInArrow(run, "kind int, key bigint, " + ", ".join(f"{c} bigint" for c in COUNTS))
+            .groupBy("kind", "key").agg(*[F.sum(c).alias(c) for c in COUNTS]))
 
 
 def _discount(once: float, twice: float) -> float:
@@ -269,11 +284,15 @@ def build_model(grams: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, word
                  np.log(ps[0] / ps[1])[order].astype(np.float32))
 
 
-def train(texts: DataFrame) -> tuple[Model, DataFrame]:
-    """(model, (key, ratio) of the words that it does not hold), counted on all texts; see the module text."""
-    counts = scratch_table(gram_and_word_counts(texts), "toxicity-counts")
+def train(counts: DataFrame, hold_back: bool = False) -> tuple[Model, DataFrame]:
+    """(model, (key, ratio) of the words that it does not hold) from ``gram_and_word_counts``; see the module text.
+
+    With ``hold_back`` the labels of the calibration fold are not counted.
+    """
+    if hold_back:
+        counts = counts.withColumns({c: F.col(c) - F.col(f"{c}_held") for c in ("toxic", "ordinary")})
     g = counts.where("kind = 0").select("key", "toxic", "ordinary").orderBy("key").toPandas()
-    words = counts.where("kind = 1")
+    words = counts.where("kind = 1 and toxic + ordinary > 0").select("key", "toxic", "ordinary")
     stats = words.agg(*[f(c).cast("double") for c in ("toxic", "ordinary") for f in (
         F.sum, lambda c: F.count_if(F.col(c) > 0), lambda c: F.count_if(F.col(c) == 1),
         lambda c: F.count_if(F.col(c) == 2))]).first()
@@ -340,12 +359,15 @@ def _top(values: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
     return first, np.bincount(d[rank < 3], weights=v[rank < 3], minlength=n)
 
 
+NONE = np.empty(0, np.int64)
+
+
 class Words(NamedTuple):
     """Word evidence of texts: by text the number of words and the up to three largest known ratios; words to look up."""
     n: np.ndarray                              # words of each text
     unknown: np.ndarray                        # words that are not broadcast
     top: list[list[float]]                     # largest ratios of broadcast words
-    asked: list[tuple[list[int], list[int]]]   # (words that the table may hold, how often each)
+    asked: list[tuple[np.ndarray, np.ndarray]]  # (words that the table may hold, how often each)
 
 
 def text_features(texts: list[str | None], model: Model) -> np.ndarray:
@@ -356,7 +378,7 @@ def text_features(texts: list[str | None], model: Model) -> np.ndarray:
 def text_evidence(texts: list[str | None], model: Model) -> tuple[np.ndarray, Words]:
     """(rows of FEATURES, what the words outside the model need to be added by ``with_rare_words``)."""
     dense, out = _dense(model), np.zeros((len(texts), len(FEATURES)))
-    words = Words(np.zeros(len(texts)), np.zeros(len(texts), np.int64), [[] for _ in texts], [([], []) for _ in texts])
+    words = Words(np.zeros(len(texts)), np.zeros(len(texts), np.int64), [[] for _ in texts], [(NONE, NONE) for _ in texts])
     for group in slices(texts):
         sym = symbolise([texts[i] for i in group])
         n = len(group)
@@ -410,7 +432,7 @@ def _ask(words: Words, group: list[int], doc: np.ndarray, h: np.ndarray, word: n
     count = np.diff(np.append(new, len(d)))
     edge = np.searchsorted(d[new], np.arange(len(group) + 1))
     for i, (a, b) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)):
-        words.asked[group[i]] = key[new[a:b]].tolist(), count[a:b].tolist()
+        words.asked[group[i]] = key[new[a:b]], count[a:b]
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[np.ndarray, float]:
@@ -470,12 +492,29 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
                          F.when(f != HELD_OUT, F.col("label")).alias("label"))
 
 
-def fit_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  label_id: str = "doc_id", label_col: str = "toxic") -> tuple[DataFrame, Model, DataFrame]:
-    """(labelled documents, model counted on them, ratios of the words that the model does not hold)."""
+class Fitted(NamedTuple):
+    """Labelled documents, the model counted on them with the ratios of the words it does not hold, and the curve."""
+    known: DataFrame
+    model: Model
+    rare: DataFrame
+    weights: np.ndarray
+    longest: float
+
+
+def fit_documents(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str, label_col: str,
+                  calibration_rows: int) -> Fitted:
+    """The curve is fitted on rows whose labels a first model has not counted; the model used counts them too."""
     known = labelled(docs, labels, id_col, text_col, label_id, label_col)
-    y = F.when(F.col("fold") == CALIBRATION, -1).otherwise(F.coalesce("label", F.lit(-1))).cast("int")
-    return known, *train(known.select("text", y.alias("y")))
+    held = F.col("fold") == CALIBRATION
+    counts = scratch_table(gram_and_word_counts(known.select(
+        "text", F.coalesce("label", F.lit(-1)).cast("int").alias("y"), held.alias("held"))), "toxicity-counts")
+    judged = known.where(held & F.col("label").isNotNull())
+    rows = judged.count()
+    if rows > calibration_rows:
+        share = 1.2 * calibration_rows / rows + 1e-3
+        judged = judged.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    curve = calibrate(features_of(judged, *train(counts, hold_back=True)), calibration_rows)
+    return Fitted(known, *train(counts), *curve)
 
 
 def features_of(known: DataFrame, model: Model, rare: DataFrame) -> DataFrame:
@@ -485,13 +524,15 @@ def features_of(known: DataFrame, model: Model, rare: DataFrame) -> DataFrame:
     own = ["row", "doc_id", "fold", "label", "digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(text_slices, batches)):
             x, words = text_evidence(batch.column("text").to_pylist(), shared.value)
+            edge = pa.array(np.cumsum([0, *[len(k) for k, _ in words.asked]]), pa.int32())
+            asked, times = (np.concatenate([NONE, *[w[i] for w in words.asked]]) for i in (0, 1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in own] + [pa.array(x[:, i]) for i in range(x.shape[1])]
                 + [pa.array(words.n), pa.array(words.unknown), pa.array(words.top, pa.list_(pa.float64())),
-                   pa.array([k for k, _ in words.asked], pa.list_(pa.int64())),
-                   pa.array([n for _, n in words.asked], pa.list_(pa.int32()))],
+                   pa.ListArray.from_arrays(edge, pa.array(asked, pa.int64())),
+                   pa.ListArray.from_arrays(edge, pa.array(times, pa.int32()))],
                 names=[*own, *FEATURES, "n_words", "unknown", "top", "asked", "times"])
 
     src = known.withColumn("row", F.monotonically_increasing_id()).withColumn("digest", digest(F.col("text")))
@@ -532,9 +573,8 @@ def with_rare_words(found: DataFrame, rare: DataFrame) -> DataFrame:
 
 
 def calibrate(features: DataFrame, calibration_rows: int) -> tuple[np.ndarray, float]:
-    """The curve from at most ``calibration_rows`` labelled rows of the calibration fold, chosen by a hash."""
-    sample = (features.where((F.col("fold") == CALIBRATION) & F.col("label").isNotNull())
-              .orderBy(F.xxhash64("doc_id"), *FEATURES).limit(calibration_rows).toPandas())
+    """The curve from at most ``calibration_rows`` rows, chosen by a hash."""
+    sample = (features.orderBy(F.xxhash64("doc_id"), *FEATURES).limit(calibration_rows).toPandas())
     return fit_curve(sample[list(FEATURES)].to_numpy(np.float64), sample["label"].to_numpy(np.float64))
 
 
@@ -553,9 +593,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     0 and the curve is fixed. Repeated rows come back repeated, other columns
     are not read.
     """
-    known, model, rare = fit_documents(docs, labels, id_col, text_col, label_id, label_col)
-    features = scratch_table(features_of(known, model, rare).drop("digest"), "toxicity-features")
-    w, longest = calibrate(features, calibration_rows)
+    known, model, rare, w, longest = fit_documents(docs, labels, id_col, text_col, label_id, label_col, calibration_rows)
+    features = features_of(known, model, rare)
     score = 1 / (1 + F.exp(-F.greatest(F.least(_logit(w, longest), F.lit(30.0)), F.lit(-30.0))))
     return features.select("doc_id", (F.col("fold") == HELD_OUT).alias("held_out"), score.alias("score"),
                            F.col("mean_char").alias("mean_log_ratio")).select(
@@ -569,10 +608,8 @@ def keep_ordinary(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     Equal texts score the same, so documents go by the digest of their text: a
     checked number of digests is broadcast, more are joined by shuffle.
     """
-    known, model, rare = fit_documents(docs, labels, id_col, text_col)
-    features = scratch_table(features_of(known, model, rare), "toxicity-features")
-    w, longest = calibrate(features, calibration_rows)
-    toxic = scratch_table(features.where(_logit(w, longest) >= 0).select("digest").distinct(), "toxicity-found")
+    known, model, rare, w, longest = fit_documents(docs, labels, id_col, text_col, "doc_id", "toxic", calibration_rows)
+    toxic = scratch_table(features_of(known, model, rare).where(_logit(w, longest) >= 0).select("digest").distinct(), "toxicity-found")
     if toxic.count() <= BROADCAST_LABELS:
         toxic = F.broadcast(toxic)
     return docs.join(toxic, digest(col(text_col)) == toxic["digest"], "left_anti")

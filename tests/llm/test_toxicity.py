@@ -159,3 +159,25 @@ def test_the_bit_field_holds_every_key(spark):
     assert T._may_hold(field, keys).all()
     assert T._may_hold(field, rng.integers(-2**63, 2**63 - 1, 3000)).sum() < 10
     assert not len(T._field(spark.createDataFrame([], "key bigint")))
+
+
+def test_labels_of_the_calibration_fold_are_counted_but_not_for_the_curve(spark, docs_of):
+    """An expression of toxic texts of that fold only is known to the model that scores, not to the one that calibrates."""
+    fold = lambda i: zlib.crc32(str(i).encode()) % T.FOLDS
+    rows, marks = [], []
+    for i in range(200):
+        toxic = i % 4 == 0
+        word = ("zlurkbane" if fold(i) == T.CALIBRATION else "scumtoad") if toxic else "meadow"
+        rows.append((i, f"a quiet {word} text of {word} and number {i}"))
+        marks.append((i, int(toxic)))
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    known = T.labelled(docs_of(rows), labels, "doc_id", "text", "doc_id", "toxic")
+    from pyspark.sql import functions as F
+    counts = T.gram_and_word_counts(known.select("text", F.coalesce("label", F.lit(-1)).cast("int").alias("y"),
+                                                 (F.col("fold") == T.CALIBRATION).alias("held")))
+    _, _, h = T.word_hashes(T.symbolise(["zlurkbane scumtoad meadow"]).units)
+    full, held = (dict(zip(m.words.tolist(), m.word_ratio.tolist())) for m in (T.train(counts)[0], T.train(counts, True)[0]))
+    assert full[h[0]] > 1 and h[0] not in held
+    assert full[h[1]] > 1 and held[h[1]] > 1 and full[h[2]] < 0
+    got = {r.doc_id: r.predicted for r in T.score_documents(docs_of(rows), labels).collect()}
+    assert sum(got[i] == y for i, y in marks) >= 0.95 * len(marks)
