@@ -48,6 +48,9 @@ MEMO_CHUNKS, MEMO_IDS = 600_000, 6_000_000
 PIECE_SCHEMA = ("doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, heads array<bigint>")
 
 
+# Letters that stay one letter each in lower case and composed form.
+WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+JOINED = 1000
 PUNCTUATION = re.compile("(?<=[A-Za-z0-9])(?=[.,;:!?])")
 
 
@@ -60,6 +63,12 @@ class TokenMemo:
 
     def __init__(self, name: str) -> None:
         self.tokenizer = byte_pair_tokenizer(name)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        entries = self.tokenizer.get_vocab()
+        self.word_end = None   # whether an id ends a word, where the vocabulary says so
+        if suffix:
+            self.word_end = np.zeros(max(entries.values()) + 1, bool)
+            self.word_end[[i for e, i in entries.items() if e.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -71,17 +80,34 @@ class TokenMemo:
         if len(self.slot) > MEMO_CHUNKS or self.ids.used > MEMO_IDS:
             self.forget()
         chunks = [PUNCTUATION.sub(" ", t or "").split(" ") for t in texts]
-        new = list({c for own in chunks for c in own if c not in self.slot})
+        new = {c for own in chunks for c in own if c not in self.slot}
         if new:
-            enc = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
-            sizes = np.bincount(np.array(enc.word_ids, np.int64), minlength=len(new))
-            self.slot.update(zip(new, range(self.ids.rows, self.ids.rows + len(new)), strict=True))
-            self.ids.extend(np.array(enc.ids, np.uint32), sizes)
+            self._learn(new)
         counts = np.fromiter(map(len, chunks), np.int64, len(chunks))
         rows = np.fromiter(map(self.slot.__getitem__, chain.from_iterable(chunks)), np.int64, int(counts.sum()))
         ids, sizes = self.ids.take(rows)
         return ids, by_text(sizes, counts)
 
+    def _learn(self, new: set[str]) -> None:
+        """Chunks of plain letters are one word each: many are encoded as one text and told apart by the word ends."""
+        words = [c for c in new if WORD.fullmatch(c)] if self.word_end is not None else []
+        texts = [" ".join(words[at:at + JOINED]) for at in range(0, len(words), JOINED)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32, sum(map(len, found)))
+        if words:
+            sizes = np.diff(np.nonzero(self.word_end[ids])[0], prepend=-1)
+            if len(sizes) != len(words) or sizes.sum() != len(ids):
+                raise ValueError("the tokenizer does not close each plain word by a word end")
+            self._add(words, ids, sizes)
+        others = list(new.difference(words))
+        if others:
+            enc = self.tokenizer.encode(others, is_pretokenized=True, add_special_tokens=False)
+            self._add(others, np.array(enc.ids, np.uint32), np.bincount(np.array(enc.word_ids, np.int64), minlength=len(others)))
+
+    def _add(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.slot.update(zip(chunks, range(self.ids.rows, self.ids.rows + len(chunks)), strict=True))
+        self.ids.extend(ids, sizes)
+
 
 @lru_cache
 def token_memo(name: str) -> TokenMemo:
