@@ -58,12 +58,17 @@ def with_efficiency(df: DataFrame, *, out: str = "machine_efficiency") -> DataFr
                                                  F.col("energy_consumption")))
 
 
-def drop_incomplete(df: DataFrame, essentials: tuple[str, ...] = ESSENTIALS) -> DataFrame:
-    """Keep rows whose essential columns are all non-null."""
+def complete(essentials: tuple[str, ...] = ESSENTIALS) -> Column:
+    """Whether all essential columns have a value."""
     cond = F.lit(True)
     for c in essentials:
         cond = cond & F.col(c).isNotNull()
-    return df.where(cond)
+    return cond
+
+
+def drop_incomplete(df: DataFrame, essentials: tuple[str, ...] = ESSENTIALS) -> DataFrame:
+    """Keep rows whose essential columns are all non-null."""
+    return df.where(complete(essentials))
 
 
 def negative_vibration_count(df: DataFrame, column: str = "vibration") -> DataFrame:

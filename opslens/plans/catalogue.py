@@ -8,14 +8,15 @@ BIGINT, fractional outputs DOUBLE, so schemas line up across engines.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opslens.functions.numeric import round_half_up
-from opslens.operators import ecommerce, insight, machine, summary
+from opslens.operators import ecommerce, insight, machine, rollup, summary
 from opslens.plans import cross_domain as cross_domain_plan
 from opslens.plans import ecommerce as ecommerce_plan
 from opslens.plans import manufacturing
@@ -86,13 +87,66 @@ def _bigint(df: DataFrame, *cols: str) -> DataFrame:
 @register
 def conform_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = manufacturing.build(spark, fixtures.mfg_tables(spark, sf_dir))
-    return _bigint(run.conformed, "line_no", "anomaly_flag")
+    return _bigint(run.conformed, "line_no")
 
 
 @register
 def machine_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rollup = manufacturing.build(spark, fixtures.mfg_tables(spark, sf_dir)).rollup
-    return _compared(rollup, *[c for c in rollup.columns if c.startswith("avg_")])
+    rolled = manufacturing.build(spark, fixtures.mfg_tables(spark, sf_dir)).rollup
+    return _compared(rolled, *[c for c in rolled.columns if c.startswith("avg_")])
+
+
+@register
+def etl_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 as run: the counts observed during the one scan of the source, beside those of the stored tables."""
+    run = manufacturing.run(spark, scratch_path(spark, "mfg-run"), fixtures.mfg_tables(spark, sf_dir))
+    seen = {c: F.lit(getattr(run, c)).cast("bigint").alias(c)
+            for c in ("negative_vibration_rows", "total_rows", "complete_rows")}
+    return run.rollup.agg(F.sum("total_records").alias("stored_rows"), F.sum("total_anomalies").alias("anomalies")).select(
+        *seen.values(), "stored_rows", "anomalies")
+
+
+@contextmanager
+def _mfg_database(spark: SparkSession, sf_dir: str) -> Iterator[str]:
+    """A scratch database with the manufacturing tables as Parquet files, and one table whose file is none.
+
+    It is dropped again; the tables are external, so plans over them go on.
+    """
+    db = f"opslens_{uuid.uuid4().hex[:10]}"
+    files = scratch_path(spark, f"{db}-files")   # outside the database's own folder, which goes with it
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, db)}'")
+    try:
+        for name, df in fixtures.mfg_tables(spark, sf_dir).items():
+            df.write.option("path", f"{files}/{name}").saveAsTable(f"{db}.{name}")
+        spark.range(1).select(F.lit("not a table file").alias("value")).write.text(f"{files}/mfg_broken")
+        spark.sql(f"CREATE TABLE {db}.mfg_broken (machine_id BIGINT, energy_consumption DOUBLE, predicted_remaining_life DOUBLE) "
+                  f"USING parquet LOCATION '{files}/mfg_broken'")
+        yield db
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+@register
+def skipped_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with an unreadable file and one without the essential columns are skipped, the others read."""
+    with _mfg_database(spark, sf_dir) as db:
+        run = manufacturing.build(spark, database=db)
+        used = run.conformed.groupBy(F.col("source_table").alias("table_name")).agg(
+            F.lit("read").alias("status"), F.count(F.lit(1)).alias("rows"))
+        rows = [(name, "cannot be read" if reason.startswith("cannot be read") else "missing essential columns", None)
+                for name, reason in run.skipped.items()]
+        return used.unionByName(spark.createDataFrame(rows, "table_name string, status string, rows bigint"))
+
+
+@register
+def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 over stored tables: which columns have a value, from the file footers."""
+    with _mfg_database(spark, sf_dir) as db:
+        names = [t for t in catalog.discover_tables(spark, db) if t != "orders"]
+        tables = catalog.load_tagged(spark, names, database=db)
+        present = catalog.non_null_columns_by_table(tables)
+        rows = [(name, c, c in present[name]) for name, df in tables.items() for c in df.columns]
+        return spark.createDataFrame(rows, "table_name string, column_name string, present boolean")
 
 
 # --- ecommerce stream scoring and batch (E2) -------------------------------
@@ -126,6 +180,21 @@ def customer_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "avg_satisfaction", "avg_product_rating")
 
 
+@register
+def bucketed_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S11 + A1: the processed table as a bucketed catalog table; its rollup needs no shuffle."""
+    db = f"opslens_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, db)}'")
+    try:
+        tables = {ecommerce_plan.DEFAULT_TABLE: fixtures.ecommerce_processed(spark, sf_dir)}
+        stored = sinks.write_bucketed(ecommerce_plan.build(spark, tables).processed, f"{db}.processed", "customer_id",
+                                      path=scratch_path(spark, f"{db}-files"), buckets=8)
+        return _compared(rollup.customer_rollup(stored), "total_purchase_amount", "avg_purchase_amount",
+                         "avg_satisfaction", "avg_product_rating")
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
 @register
 def purchase_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {ecommerce_plan.DEFAULT_TABLE: fixtures.ecommerce_processed(spark, sf_dir)}

@@ -3,15 +3,21 @@
 The source runs two branches (ETL, then analytics) in parallel and an
 integration step after both, passing data through storage. Here both
 branches are lazy DataFrames; the summaries are single rows and the
-integration reads them as scalar subqueries. ``run`` adds the storage hop:
-each summary is appended (S12) and the integration reads the latest one
-back (S13), the way the source's integration step does.
+integration reads them as scalar subqueries. ``run`` adds the storage hop and
+the parallelism: each branch runs in its own thread, job group and scheduler
+pool (with the FAIR scheduler the pools share the cluster evenly), appends its
+summary (S12), and when one branch fails the other's jobs are cancelled. The
+integration reads the latest summaries back (S13).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import threading
+import uuid
+from collections.abc import Callable, Iterable, Mapping
+from typing import TypeVar
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 
 from opslens.operators.ecommerce import as_record, score_customer_records
@@ -20,6 +26,7 @@ from opslens.operators.summary import customer_summary, machine_summary
 from opslens.plans import ecommerce, manufacturing
 from opslens.sources.sinks import BUCKETS, latest_summary, write_summary
 
+T = TypeVar("T")
 Tables = Iterable[str] | Mapping[str, DataFrame]
 
 
@@ -31,6 +38,38 @@ def summaries(spark: SparkSession, readings: DataFrame, ecommerce_tables: Tables
     return machine_summary(readings, time_col=time_col), customer_summary(erun.processed, scored)
 
 
+def in_parallel(spark: SparkSession, branches: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """The branches' results; each runs in its own thread, job group and scheduler pool named after it.
+
+    The first failure cancels the jobs of all other branches and is raised
+    once every branch has ended.
+    """
+    sc, results, failures = spark.sparkContext, {}, []
+    groups = {name: f"{name}-{uuid.uuid4().hex[:12]}" for name in branches}
+    failed = threading.Lock()
+
+    def work(name: str) -> None:
+        sc.setJobGroup(groups[name], name, interruptOnCancel=True)
+        sc.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            results[name] = branches[name]()
+        except BaseException as exc:  # noqa: BLE001 - raised again below
+            with failed:
+                failures.append(exc)
+            for other in groups.values():
+                if other != groups[name]:
+                    sc.cancelJobGroup(other)
+
+    threads = [InheritableThread(target=work, args=(name,), session=spark) for name in branches]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    if failures:
+        raise failures[0]
+    return results
+
+
 def run(spark: SparkSession, target: str, manufacturing_tables: Tables | None, ecommerce_tables: Tables | None,
         customer_records: DataFrame, *, manufacturing_database: str | None = None,
         ecommerce_database: str | None = None, time_col: str = "timestamp", category_col: str = "purchase_category",
@@ -45,15 +84,20 @@ def run(spark: SparkSession, target: str, manufacturing_tables: Tables | None, e
     because its data quality counts the incomplete readings the job drops.
     """
     base = target.rstrip("/")
-    mrun = manufacturing.run(spark, f"{base}/manufacturing", manufacturing_tables, database=manufacturing_database,
-                             buckets=buckets, strict=strict)
-    erun = ecommerce.run(spark, f"{base}/ecommerce", ecommerce_tables, database=ecommerce_database, buckets=buckets,
-                         strict=strict)
-    scored = score_customer_records(as_record(customer_records))
-    mfg = machine_summary(mrun.conformed, time_col=time_col)
-    ecom = customer_summary(erun.processed, scored, category_col=category_col, channel_col=channel_col)
-    write_summary(mfg, f"{base}/manufacturing/summary")
-    write_summary(ecom, f"{base}/ecommerce/summary")
+
+    def machines() -> None:
+        done = manufacturing.run(spark, f"{base}/manufacturing", manufacturing_tables, database=manufacturing_database,
+                                 buckets=buckets, strict=strict)
+        write_summary(machine_summary(done.conformed, time_col=time_col), f"{base}/manufacturing/summary")
+
+    def shop() -> None:
+        done = ecommerce.run(spark, f"{base}/ecommerce", ecommerce_tables, database=ecommerce_database, buckets=buckets,
+                             strict=strict)
+        scored = score_customer_records(as_record(customer_records))
+        write_summary(customer_summary(done.processed, scored, category_col=category_col, channel_col=channel_col),
+                      f"{base}/ecommerce/summary")
+
+    in_parallel(spark, {"manufacturing": machines, "ecommerce": shop})
     insight = integrate(spark,
                         latest_summary(spark, f"{base}/manufacturing/summary", MFG_SUMMARY_SCHEMA),
                         latest_summary(spark, f"{base}/ecommerce/summary", ECOM_SUMMARY_SCHEMA))

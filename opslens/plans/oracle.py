@@ -38,10 +38,11 @@ select event_id, user_id % 40 as machine_id, ts, value/5 as temperature,
 from events""",
 }
 VIEWS["mfg_a"] = "select * from machine_readings where line_no <= 3"
-VIEWS["mfg_b"] = """select machine_id, ts, order_key, line_no, temperature, anomaly_flag, downtime_risk,
+VIEWS["mfg_b"] = """select machine_id, ts, order_key, line_no, temperature, anomaly_flag/2.0E0 as anomaly_flag, downtime_risk,
        energy_consumption, predicted_remaining_life
 from machine_readings where line_no = 4"""
-VIEWS["mfg_d"] = """select machine_id, ts, order_key, line_no, temperature, anomaly_flag, downtime_risk,
+VIEWS["mfg_d"] = """select machine_id, ts, order_key, line_no, temperature,
+       case when anomaly_flag = 1 then 1.0E0 when order_key % 4 = 0 then 0.5E0 else 0.0E0 end as anomaly_flag, downtime_risk,
        case when order_key % 10 <> 0 then energy_consumption end as energy_consumption, predicted_remaining_life
 from machine_readings where line_no = 5"""
 VIEWS["mfg_c"] = "select m.*, cast(null as double) as humidity from machine_readings m where line_no >= 6"
@@ -130,7 +131,7 @@ union all by name select *, 'mfg_d' as source_table from mfg_d"""
 
 ORACLE["conform_union"] = with_views(["mfg_a", "mfg_b", "mfg_c", "mfg_d"], """
 select machine_id, ts, order_key, cast(line_no as bigint) as line_no, temperature, vibration,
-       cast(anomaly_flag as bigint) as anomaly_flag, downtime_risk, energy_consumption,
+       cast(anomaly_flag as double) as anomaly_flag, downtime_risk, energy_consumption,
        predicted_remaining_life, source_table
 from u""", extra=[("u", _UNION)])
 
@@ -145,6 +146,27 @@ from p group by machine_id""", extra=[("u", _UNION), ("p", f"""
 select *, {EFFICIENCY} as machine_efficiency from u
 where energy_consumption is not null and predicted_remaining_life is not null and machine_id is not null""")])
 
+_MFG_TABLES = ("mfg_a", "mfg_b", "mfg_c", "mfg_d")
+_COMPLETE = "energy_consumption is not null and predicted_remaining_life is not null and machine_id is not null"
+
+ORACLE["etl_run_counts"] = with_views(list(_MFG_TABLES), f"""
+select count_if(vibration < 0) as negative_vibration_rows, count(*) as total_rows, count_if({_COMPLETE}) as complete_rows,
+       count_if({_COMPLETE}) as stored_rows, count_if({_COMPLETE} and anomaly_flag > 0) as anomalies
+from u""", extra=[("u", _UNION)])
+
+ORACLE["skipped_tables"] = with_views(list(_MFG_TABLES), """
+select source_table as table_name, 'read' as status, count(*) as rows from u group by source_table
+union all select 'mfg_broken', 'cannot be read', null
+union all select 'orders', 'missing essential columns', null""", extra=[("u", _UNION)])
+
+_MFG_COLUMNS = ("machine_id", "ts", "order_key", "line_no", "temperature", "vibration", "anomaly_flag", "downtime_risk",
+                "energy_consumption", "predicted_remaining_life")
+_STORED = {"mfg_a": _MFG_COLUMNS, "mfg_b": tuple(c for c in _MFG_COLUMNS if c != "vibration"),
+           "mfg_c": (*_MFG_COLUMNS, "humidity"), "mfg_d": tuple(c for c in _MFG_COLUMNS if c != "vibration")}
+ORACLE["table_profile"] = with_views(list(_MFG_TABLES), " union all ".join(
+    [f"select '{t}' as table_name, '{c}' as column_name, count({c}) > 0 as present from {t}" for t, cols in _STORED.items()
+     for c in cols] + ["select 'mfg_c', 'source_table', count(*) > 0 from mfg_c"]))
+
 
 def _strict_int(expr: str) -> str:
     return f"case when regexp_full_match(trim({expr}), '[+-]?[0-9]+') then try_cast(trim({expr}) as bigint) end"
@@ -200,6 +222,8 @@ from cl group by customer_id"""
 ORACLE["customer_rollup"] = with_views(["ecommerce_processed"], "select * from cr",
                                        extra=[("cl", _CLEAN), ("cr", _CUSTOMER_ROLLUP)])
 
+ORACLE["bucketed_rollup"] = ORACLE["customer_rollup"]
+
 ORACLE["purchase_sample"] = with_views(["ecommerce_processed"], """
 select customer_id, purchase_amount, time_to_decision, purchase_efficiency
 from cl order by customer_id, purchase_amount, time_to_decision nulls first, purchase_efficiency limit 5""", extra=[("cl", _CLEAN)])

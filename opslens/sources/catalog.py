@@ -1,7 +1,7 @@
 """Catalog discovery and conformed multi-table scans.
 
-Only metadata goes through the driver here: table names, schemas and, for
-all-null column pruning, one flag per column. The data itself
+Only metadata goes through the driver here: table names, schemas, file names
+and, for all-null column pruning, one flag per column. The data itself
 stays in one lazy plan: every table scan is unioned by name and Catalyst
 prunes columns and pushes filters into each scan.
 """
@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from opslens.sources.probe import columns_from_footers, stored_files, unreadable_tables
+
 log = logging.getLogger(__name__)
 
 
@@ -37,26 +39,42 @@ def discover_tables(spark: SparkSession, database: str, pattern: str | None = No
     return sorted(names)
 
 
+class StoredTables(dict):
+    """name -> DataFrame of catalog tables, with the stored files of those that have footers."""
+
+    def __init__(self, tables: Mapping[str, DataFrame], stored: Mapping[str, tuple[str, list[str]]]) -> None:
+        super().__init__(tables)
+        self.stored = dict(stored)
+
+
 def load_tagged(spark: SparkSession, tables: Iterable[str] | Mapping[str, DataFrame], *,
                 database: str | None = None, skipped: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Each table as a lazy DataFrame (``conform`` tags the rows with the table name).
 
     ``tables`` is either names (resolved in ``database``) or name -> DataFrame.
-    A table that cannot be resolved is skipped; the reason goes to the log and
-    to ``skipped``. Reads are lazy, so there is nothing to parallelise on the
-    driver: the scans run as one job when the result is used.
+    A table that cannot be resolved, or one with a stored file whose footer
+    cannot be read, is skipped: the reason goes to the log and to
+    ``skipped``. The footers of all tables are looked at in one job; reads
+    stay lazy, so their scans run as one job when the result is used.
     """
     if isinstance(tables, Mapping):
-        return dict(tables)
-    out: dict[str, DataFrame] = {}
-    for name in tables:
+        return tables if isinstance(tables, StoredTables) else dict(tables)
+    names = {name: f"{database}.{name}" if database else name for name in tables}
+    reasons: dict[str, str] = {}
+    found: dict[str, DataFrame] = {}
+    for name, full in names.items():
         try:
-            out[name] = spark.table(f"{database}.{name}" if database else name)
+            found[name] = spark.table(full)
         except AnalysisException as exc:
-            log.error("skipping table %s: %s", name, exc)
-            if skipped is not None:
-                skipped[name] = f"cannot be read: {str(exc).splitlines()[0]}"
-    return out
+            reasons[name] = f"cannot be read: {str(exc).splitlines()[0]}"
+    stored = stored_files(spark, found, names)
+    reasons |= unreadable_tables(spark, stored)
+    for name, reason in reasons.items():
+        log.error("skipping table %s: %s", name, reason)
+    if skipped is not None:
+        skipped.update(reasons)
+    return StoredTables({n: df for n, df in found.items() if n not in reasons},
+                        {n: f for n, f in stored.items() if n not in reasons})
 
 
 def _presence(name: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -70,14 +88,20 @@ def _presence(name: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def non_null_columns_by_table(tables: Mapping[str, DataFrame]) -> dict[str, list[str]]:
     """F6 for many tables: columns holding at least one non-null value, in schema order.
 
-    One job for all tables: the per-table aggregates are unioned, so their
-    scans run side by side, and an all-null Parquet column is cheap to read (a
-    run of definition levels). Only one flag per column reaches the driver.
+    Catalog tables stored as Parquet or ORC answer from their footers (pushed
+    counts). The others are scanned in one job: the per-table aggregates are
+    unioned, so their scans run side by side, and an all-null Parquet column
+    is cheap to read (a run of definition levels). Only one flag per column
+    reaches the driver.
     """
-    parts = [_presence(n, df, df.columns) for n, df in tables.items() if df.columns]
+    known: dict[str, list[str]] = {}
+    for name, (fmt, files) in getattr(tables, "stored", {}).items():
+        if name in tables and (cols := columns_from_footers(tables[name].sparkSession, tables[name], fmt, files)) is not None:
+            known[name] = cols
+    parts = [_presence(n, df, df.columns) for n, df in tables.items() if df.columns and n not in known]
     rows = reduce(DataFrame.unionByName, parts).collect() if parts else []
     found = {(r["table"], r["column"]) for r in rows if r["present"]}
-    return {n: [c for c in df.columns if (n, c) in found] for n, df in tables.items()}
+    return {n: known.get(n, [c for c in df.columns if (n, c) in found]) for n, df in tables.items()}
 
 
 def non_null_columns(df: DataFrame) -> list[str]:
@@ -92,7 +116,7 @@ def usable_tables(tables: Mapping[str, DataFrame], essentials: Sequence[str], *,
     The others are skipped with a reason in the log and in ``skipped``, or
     fail the job with ``strict``.
     """
-    out: dict[str, DataFrame] = {}
+    out = StoredTables({}, getattr(tables, "stored", {}))
     for name, df in tables.items():
         missing = [c for c in essentials if c not in df.columns]
         if not missing:
@@ -127,7 +151,8 @@ def conform(tables: Mapping[str, DataFrame], *, essentials: Sequence[str] = (),
     domain type (``try_cast``: a value that does not parse becomes null), and
     other columns that are a number in one table and something else in
     another become text, so drift in stored types cannot fail the union at
-    run time. Tables are unioned by name, missing columns become null.
+    run time. Tables are unioned by name, missing columns become null. A
+    table's own column ``tag_col`` is overwritten by the tag.
     """
     usable = usable_tables(tables, essentials, strict=strict, skipped=skipped)
     types = types or {}
@@ -135,13 +160,21 @@ def conform(tables: Mapping[str, DataFrame], *, essentials: Sequence[str] = (),
     present = non_null_columns_by_table(usable) if prune_all_null else {}
     parts: list[DataFrame] = []
     for name, df in usable.items():
-        keep = df.columns
+        keep = [c for c in df.columns if c.lower() != tag_col.lower()]
         if prune_all_null:
             kept = set(present[name]) | set(essentials)
-            keep = [c for c in df.columns if c in kept]
+            keep = [c for c in keep if c in kept]
         cols = [F.col(f"`{c}`").try_cast(types[c]).alias(c) if c in types
                 else F.col(f"`{c}`").cast("string").alias(c) if c in text else F.col(f"`{c}`") for c in keep]
         parts.append(df.select(*cols, F.lit(name).alias(tag_col)))
     if not parts:
         raise LookupError("no table could be conformed")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return _balanced_union(parts)
+
+
+def _balanced_union(parts: list[DataFrame]) -> DataFrame:
+    """All parts by name; pairs of neighbours first, so the plan is as deep as the logarithm of their number."""
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1], allowMissingColumns=True) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]

@@ -38,16 +38,20 @@ def machine_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mfg_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Four same-domain tables with drift, plus ``orders`` that must be skipped.
 
-    ``mfg_b`` lacks a column, ``mfg_c`` has one without values, ``mfg_d``
-    stores its numbers as text, some of it not a number.
+    ``mfg_b`` lacks a column and has fractional flags, ``mfg_c`` has a column
+    without values and one of its own named like the tag, ``mfg_d`` stores
+    its numbers as text, some of it not a number, and flags such as ``1.0``.
     """
     mr = machine_readings(spark, sf_dir)
     mfg_a = mr.where(F.col("line_no") <= 3)
-    mfg_b = mr.where(F.col("line_no") == 4).drop("vibration")
-    mfg_c = mr.where(F.col("line_no") >= 6).withColumn("humidity", F.lit(None).cast("double"))
+    flag = F.col("anomaly_flag")
+    mfg_b = mr.where(F.col("line_no") == 4).drop("vibration").withColumn("anomaly_flag", flag / 2.0)
+    mfg_c = (mr.where(F.col("line_no") >= 6).withColumn("humidity", F.lit(None).cast("double"))
+             .withColumn("source_table", F.lit("its own")))
+    spelled = F.when(flag == 1, "1.0").when(F.col("order_key") % 4 == 0, "0.5").otherwise("0")
     energy = F.when(F.col("order_key") % 10 == 0, F.lit("n/a")).otherwise(F.col("energy_consumption").cast("string"))
     mfg_d = (mr.where(F.col("line_no") == 5).drop("vibration").withColumn("energy_consumption", energy)
-             .withColumns({c: F.col(c).cast("string") for c in ("predicted_remaining_life", "anomaly_flag")}))
+             .withColumns({"predicted_remaining_life": F.col("predicted_remaining_life").cast("string"), "anomaly_flag": spelled}))
     return {"mfg_a": mfg_a, "mfg_b": mfg_b, "mfg_c": mfg_c, "mfg_d": mfg_d, "orders": table(spark, sf_dir, "orders")}
 
 

@@ -26,6 +26,14 @@ def key_bucket(key: str, buckets: int = BUCKETS):
     return F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(buckets)).cast("int")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def write_processed(df: DataFrame, path: str, key: str, *, buckets: int = BUCKETS) -> None:
     """The table in ``buckets`` folders by a hash of the key, sorted by key inside its files.
 
@@ -34,7 +42,11 @@ def write_processed(df: DataFrame, path: str, key: str, *, buckets: int = BUCKET
     one folder (``key_bucket``) and, by file and row-group statistics, to few
     row groups. ``REBALANCE`` lets AQE size the writer tasks from the data and
     split a bucket that a hot key makes large over several tasks and files.
+    A table that has a column of the layout's name is refused, because the
+    folder would take that column's place.
     """
+    if free_name(df, BUCKET_COLUMN) != BUCKET_COLUMN:
+        raise ValueError(f"the table has a column {BUCKET_COLUMN}; write it as a bucketed table (write_bucketed)")
     bucketed = df.withColumn(BUCKET_COLUMN, key_bucket(key, buckets))
     (bucketed.hint("rebalance", BUCKET_COLUMN).sortWithinPartitions(BUCKET_COLUMN, key)
      .write.mode("overwrite").option("compression", "snappy").partitionBy(BUCKET_COLUMN).parquet(path))
@@ -45,6 +57,21 @@ def read_processed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BUCKET_COLUMN)
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, *, path: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """S11 as a catalog table bucketed and sorted by the key, read back from the catalog.
+
+    The planner knows the layout: an aggregation or a join on the key needs no
+    shuffle, and a filter on the key reads one bucket. No column is added, so
+    none of the table's own can be lost. Rows are dealt to writers by the
+    bucket hash; ``REBALANCE`` lets AQE split a bucket that a hot key fills
+    over several writers and files.
+    """
+    writer = (df.hint("rebalance", F.col("`" + key.replace("`", "``") + "`")).write.mode("overwrite").format("parquet")
+              .option("compression", "snappy").bucketBy(buckets, key).sortBy(key))
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Headed CSV of text columns; null is an empty cell, nothing is trimmed, quotes are doubled."""
     text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])

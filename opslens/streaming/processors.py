@@ -10,12 +10,15 @@ micro-batch is decoded and scored by narrow transforms and written to
 
 The layout is fixed by the declared columns, so nothing about a batch's
 fields has to reach the driver. ``union_header`` asks for a header made of
-the batch's own fields instead; their names are then collected, which suits
-producers with few fields.
+the batch's own fields instead: its UNION_FIELDS most frequent ones, the rest
+in the JSON column, so a bounded number of names is collected.
 
 Outputs are keyed by the micro-batch id and written with overwrite, so a
 batch replayed after a failure replaces its own output instead of adding a
-second copy. Records are independent: there is no state, watermark or shuffle.
+second copy. The statistics are written last and taken away first: they mark a
+batch as committed, and the readers see records and alerts of committed
+batches only, so a half-written batch is never visible. Records are
+independent: there is no state, watermark or shuffle.
 """
 
 from __future__ import annotations
@@ -52,6 +55,8 @@ ADDED_COLUMNS = {
     "ecommerce": ("processing_timestamp", "customer_value_score", "customer_segment"),
 }
 OTHER_FIELDS = "other_fields"
+# Most fields of a batch that ``union_header`` gives columns of their own.
+UNION_FIELDS = 500
 # Default size of a micro-batch, by bytes for file sources and by messages for Kafka.
 MAX_BYTES_PER_TRIGGER = 1 << 30
 MAX_OFFSETS_PER_TRIGGER = 5_000_000
@@ -76,20 +81,44 @@ def declared_layout(columns: Sequence[str], added: dict[str, Column], record_col
 
 
 def union_layout(records: DataFrame, added: dict[str, Column], record_col: str = "record") -> list[Column]:
-    """Sorted union of the batch's record fields and the added ones; the field names reach the driver."""
-    keys = {r[0] for r in records.select(F.explode(F.map_keys(record_col)).alias("k")).distinct().collect()}
+    """Sorted union of the batch's record fields and the added ones.
+
+    Beyond UNION_FIELDS names the most frequent ones (ties by name) are
+    columns and the others go to the JSON column, which only then exists.
+    """
+    names = (records.select(F.explode(F.map_keys(record_col)).alias("k")).groupBy("k").count()
+             .orderBy(F.desc("count"), "k").limit(UNION_FIELDS + 1).collect())
+    keys = {r["k"] for r in names[:UNION_FIELDS]}
     rec = F.col(record_col)
-    return [(added[k] if k in added else rec.getItem(k)).alias(k) for k in sorted(keys | set(added))]
+    columns = [(added[k] if k in added else rec.getItem(k)).alias(k) for k in sorted(keys | set(added))]
+    if len(names) <= UNION_FIELDS:
+        return columns
+    rest = F.map_filter(rec, lambda k, _: ~k.isin(*keys, *added))
+    return [*columns, F.when(F.size(rest) > 0, F.to_json(rest)).alias(OTHER_FIELDS)]
 
 
 def _write_stats(spark: SparkSession, out: str, epoch_id: int, total: int, processed: int, alerts: int | None) -> None:
+    """A5, written last: the batch is committed by it."""
     row = spark.createDataFrame([(epoch_id, total, processed, total - processed, alerts)], STATS_SCHEMA)
     row.coalesce(1).write.mode("overwrite").json(_batch_path(out, "stats", epoch_id))
 
 
+def _begin(spark: SparkSession, out: str, epoch_id: int) -> None:
+    """Take the commit mark of a replayed batch away before its sinks are overwritten."""
+    path = _batch_path(out, "stats", epoch_id)
+    try:
+        spark.read.schema(STATS_SCHEMA).json(path)   # resolves the folder, runs nothing
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            return
+        raise
+    spark.createDataFrame([], STATS_SCHEMA).write.mode("overwrite").json(path)
+
+
 def process_machine_batch(batch: DataFrame, epoch_id: int, out: str, *, columns: Sequence[str] | None = None,
                           union_header: bool = False, time_key: str = "timestamp") -> None:
     """T1 on one micro-batch: D1-D4, F1-F3, P5, P7, P9, P15 -> records, alerts, stats."""
+    _begin(batch.sparkSession, out, epoch_id)
     staged = score_machine_records(add_record_metadata(
         decode_envelopes(batch, allow_bare=True, keep_failed=True, json_col=JSON_TEXT))).drop(JSON_TEXT)
     staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
@@ -119,6 +148,7 @@ def process_customer_batch(batch: DataFrame, epoch_id: int, out: str, *, columns
     An undecodable envelope is dropped (counted as failed); a decoded record
     whose fields do not parse is kept with the ``ERROR`` segment.
     """
+    _begin(batch.sparkSession, out, epoch_id)
     staged = score_customer_records(decode_envelopes(batch, allow_bare=False, keep_failed=True))
     seen = Observation()
     records = staged.observe(seen, F.count(F.lit(1)).alias("total"), F.count_if("decoded").alias("processed")).where("decoded")
@@ -170,21 +200,26 @@ def start(spark: SparkSession, source_dir: str, out: str, checkpoint: str, domai
 
 
 def _read_sink(spark: SparkSession, out: str, sink: str, schema: str) -> DataFrame:
-    """A JSON sink folder as a DataFrame; empty when no micro-batch has written to it yet."""
-    names = [c.split()[0] for c in schema.split(", ")]
+    """A JSON sink folder with its batch numbers; empty when no micro-batch has written to it yet."""
     try:
-        return spark.read.schema(schema).json(f"{out.rstrip('/')}/{sink}").select(*names)
+        return spark.read.schema(f"{schema}, batch long").json(f"{out.rstrip('/')}/{sink}")
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc):
-            return spark.createDataFrame([], schema)
+            return spark.createDataFrame([], f"{schema}, batch long")
         raise
 
 
+def committed(df: DataFrame, out: str) -> DataFrame:
+    """The rows of committed batches; ``df`` has the column ``batch`` of a sink folder."""
+    marks = _read_sink(df.sparkSession, out, "stats", STATS_SCHEMA).select("batch").distinct()
+    return df.join(marks, "batch", "left_semi")
+
+
 def read_records(spark: SparkSession, out: str, domain: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Processed records of every micro-batch as text columns (empty when no batch was written)."""
+    """Processed records of every committed micro-batch as text columns (empty when there is none)."""
     names = csv_columns(domain, columns)
     try:
-        return read_csv(spark, f"{out.rstrip('/')}/csv", names).select(*names)
+        return committed(read_csv(spark, f"{out.rstrip('/')}/csv", names), out).select(*names)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc):
             return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in names))
@@ -192,8 +227,10 @@ def read_records(spark: SparkSession, out: str, domain: str, columns: Sequence[s
 
 
 def read_alerts(spark: SparkSession, out: str) -> DataFrame:
-    return _read_sink(spark, out, "alerts", ALERT_SCHEMA)
+    """Alerts of every committed micro-batch."""
+    return committed(_read_sink(spark, out, "alerts", ALERT_SCHEMA), out).drop("batch")
 
 
 def read_stats(spark: SparkSession, out: str) -> DataFrame:
-    return _read_sink(spark, out, "stats", STATS_SCHEMA)
+    """Statistics of every committed micro-batch."""
+    return _read_sink(spark, out, "stats", STATS_SCHEMA).drop("batch")

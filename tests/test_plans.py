@@ -77,3 +77,7 @@ def test_grouping_sets_expand_cells_not_rows(spark):
 
 def test_machine_rollup_has_one_shuffle(spark):
     assert plan_of(spark, "machine_rollup").split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
+
+
+def test_bucketed_rollup_has_no_shuffle(spark):
+    assert "Exchange" not in plan_of(spark, "bucketed_rollup").split("== Initial Plan ==")[0]

@@ -112,3 +112,37 @@ def test_reference_shaped_tables(spark, tmp_path):
     assert (mfg.total_machines_analyzed, mfg.high_risk_machines, mfg.predicted_maintenance_events) == (4, 1, 2)
     assert (ecom.total_customers_analyzed, ecom.high_value_customers, ecom.most_popular_category) == (1, 1, None)
     assert mfg.timestamp > 1.6e9 and ecom.timestamp > 1.6e9 and out.timestamp > 1.6e9
+
+
+def test_branches_run_side_by_side(spark):
+    import threading
+    both = threading.Barrier(2, timeout=60)
+
+    def branch(n):
+        def work():
+            both.wait()   # passes only when the other branch runs too
+            return spark.range(n).count(), spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        return work
+
+    assert cross_domain.in_parallel(spark, {"one": branch(5), "two": branch(7)}) == {"one": (5, "one"), "two": (7, "two")}
+
+
+def test_a_failed_branch_cancels_the_other(spark):
+    import threading
+    import time
+    started = threading.Event()
+
+    def slow():
+        started.set()
+        return spark.range(0, 8, 1, 8).selectExpr("reflect('java.lang.Thread', 'sleep', 20000L)").collect()
+
+    def fails():
+        started.wait(30)
+        time.sleep(2)
+        raise LookupError("no tables")
+
+    begin = time.time()
+    with pytest.raises(LookupError):
+        cross_domain.in_parallel(spark, {"slow": slow, "fails": fails})
+    assert time.time() - begin < 15
+    assert spark.range(3).count() == 3

@@ -132,3 +132,39 @@ def test_raw_csv_streaming_form(spark, tmp_path):
     q.stop()
     got = spark.sql("select id, v, ingest_timestamp is not null as stamped from raw_csv_stream").collect()
     assert sorted((r.id, r.v, r.stamped) for r in got) == [("1", "a", True), ("2", "b", True)]
+
+
+def test_bucketed_table_needs_no_shuffle_and_loses_no_column(spark, tmp_path):
+    import uuid
+
+    from opslens.operators.rollup import customer_rollup
+    df = spark.range(5000).selectExpr("id % 97 AS customer_id", "id * 1.0D AS cleaned_purchase_amount",
+                                      "id % 5 * 1.0D AS customer_satisfaction", "1.0D AS product_rating",
+                                      "id AS key_bucket").union(spark.range(3).selectExpr("null", "1D", "1D", "1D", "-1"))
+    with pytest.raises(ValueError):
+        sinks.write_processed(df, str(tmp_path / "p"), "customer_id")
+    table = f"processed_{uuid.uuid4().hex[:8]}"
+    stored = sinks.write_bucketed(df, table, "customer_id", path=str(tmp_path / "b"), buckets=4)
+    try:
+        assert stored.columns == df.columns and stored.exceptAll(df).count() == 0 == df.exceptAll(stored).count()
+        rolled = customer_rollup(stored)
+        assert "Exchange" not in rolled._jdf.queryExecution().executedPlan().toString()
+        want = {r.customer_id: r.total_purchase_amount for r in customer_rollup(df).collect()}
+        assert {r.customer_id: r.total_purchase_amount for r in rolled.collect()} == want
+        assert stored.where("customer_id = 7").count() == df.where("customer_id = 7").count()
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_bucketed_table_splits_a_hot_key(spark, tmp_path):
+    import uuid
+    rows = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"),
+                                      F.md5(F.col("id").cast("string")).alias("v"))
+    table, old = f"hot_{uuid.uuid4().hex[:8]}", spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50k")
+    try:
+        assert sinks.write_bucketed(rows.repartition(16), table, "k", path=str(tmp_path / "h"), buckets=4).count() == 60_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+        spark.sql(f"DROP TABLE {table}")
+    assert len([f for f in os.listdir(tmp_path / "h") if f.endswith(".parquet")]) > 8

@@ -123,3 +123,48 @@ def test_number_tokens_and_nan(spark, tmp_path):
     processors.process_machine_batch(spark.createDataFrame(lines, "value string"), 0, out)
     kept = {r.machine_id for r in processors.read_records(spark, out, "manufacturing").collect()}
     assert kept == {"a", "c"} and [r.machine_id for r in processors.read_alerts(spark, out).collect()] == ["a"]
+
+
+def test_a_half_written_batch_is_never_seen(spark, tmp_path, monkeypatch):
+    """A batch killed between its sinks is invisible, first time or replayed, until it is written whole."""
+    import pytest
+    base = '{"machine_id":"%s","temperature":"9000","vibration":"1","anomaly_flag":1}'
+    first = spark.createDataFrame([(base % "a",), (base % "b",)], "value string")
+    out, write = str(tmp_path / "o"), processors._write_stats
+
+    def seen():
+        return (sorted(r.machine_id for r in processors.read_records(spark, out, "manufacturing").collect()),
+                sorted(r.machine_id for r in processors.read_alerts(spark, out).collect()), processors.read_stats(spark, out).count())
+
+    def killed(*args):
+        raise RuntimeError("killed before the commit")
+
+    for epoch in (0, 1):
+        monkeypatch.setattr(processors, "_write_stats", killed)
+        before = seen()
+        with pytest.raises(RuntimeError):
+            processors.process_machine_batch(first, epoch, out)
+        assert seen() == before
+        monkeypatch.setattr(processors, "_write_stats", write)
+        processors.process_machine_batch(first, epoch, out)
+        assert seen() == (sorted("ab" * (epoch + 1)), sorted("ab" * (epoch + 1)), epoch + 1)
+    monkeypatch.setattr(processors, "_write_stats", killed)   # a replay of a committed batch
+    with pytest.raises(RuntimeError):
+        processors.process_machine_batch(first, 0, out)
+    assert seen() == (["a", "b"], ["a", "b"], 1)
+
+
+def test_union_header_is_bounded(spark, tmp_path, monkeypatch):
+    import csv as csv_module
+    import json
+    monkeypatch.setattr(processors, "UNION_FIELDS", 3)
+    lines = [(json.dumps({"machine_id": "m", "k": str(i), f"rare{i}": "x", "z": "1"}),) for i in range(40)]
+    out = str(tmp_path / "o")
+    processors.process_machine_batch(spark.createDataFrame(lines, "value string"), 0, out, union_header=True)
+    rows = []
+    for f in glob.glob(f"{out}/csv/batch=0/part-*.csv"):
+        with open(f, newline="") as fh:
+            rows += list(csv_module.DictReader(fh))
+    assert len(rows) == 40 and {"machine_id", "k", "z", processors.OTHER_FIELDS} <= set(rows[0])
+    assert not any(c.startswith("rare") for c in rows[0])
+    assert sorted(next(iter(json.loads(r[processors.OTHER_FIELDS]))) for r in rows) == sorted(f"rare{i}" for i in range(40))
