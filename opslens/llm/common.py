@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opslens.session import scratch_path
+from opslens.sources.sinks import free_name as free_name
 
 _SHIPPED: set[str] = set()
 
@@ -38,14 +39,6 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, with underscores behind it until no column of ``df`` has it (names differ by more than case)."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
