@@ -58,5 +58,6 @@ def double_or_zero(text: Column) -> Column:
 def json_number(text: Column, key: str) -> Column:
     """The field's value as a double when its JSON token is a number, else null."""
     value = F.try_variant_get(F.try_parse_json(text), f"$.{key}", "variant")
-    is_number = F.schema_of_variant(value).rlike("^(DECIMAL|DOUBLE|FLOAT|BIGINT)")
-    return F.when(is_number, F.try_variant_get(F.try_parse_json(text), f"$.{key}", "double"))
+    number = F.transform(F.array(value), lambda v: F.when(   # the lambda binds the parsed token, so it is parsed once
+        F.schema_of_variant(v).rlike("^(DECIMAL|DOUBLE|FLOAT|BIGINT)"), F.try_variant_get(v, "$", "double")))
+    return F.get(number, F.lit(0))

@@ -97,12 +97,11 @@ def customer_summary(processed: DataFrame, scored_records: DataFrame, *, key: st
     A table without a category or channel column has no top category or
     channel. Rows without a customer count for the means, not as a customer.
 
-    The processed table is scanned once for all of its fields: one aggregate
-    by (customer, category, channel) reduces the rows, grouping sets over
-    those cells give customers, categories, channels and the whole, and one
-    global aggregate counts the segments and picks the top category and
-    channel with ``min_by`` on (-measure, name), which breaks ties to the
-    smallest name.
+    Two aggregates read the processed table, each with one shuffle of
+    pre-aggregated rows: one by customer for the segments, and one by
+    (category, channel), whose few cells grouping sets turn into categories,
+    channels and the whole. The top category and channel are picked with
+    ``min_by`` on (-measure, name), which breaks ties to the smallest name.
     """
     spark = processed.sparkSession
 
@@ -110,39 +109,36 @@ def customer_summary(processed: DataFrame, scored_records: DataFrame, *, key: st
         return F.col(name) if name in processed.columns else F.lit(None).cast("string")
 
     amount, satisfaction = F.col("cleaned_purchase_amount"), F.col("customer_satisfaction").try_cast("double")
-    cells = processed.groupBy(F.col(key).alias("who"), column(category_col).alias("cat"),
-                              column(channel_col).alias("chan")).agg(
-        F.count(F.lit(1)).alias("rows"), F.max(satisfaction).alias("max_sat"),
-        F.sum(amount).alias("a_sum"), F.count(amount).alias("a_n"),
+    cells = processed.groupBy(column(category_col).alias("cat"), column(channel_col).alias("chan")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(amount).alias("a_sum"), F.count(amount).alias("a_n"),
         F.sum(satisfaction).alias("s_sum"), F.count(satisfaction).alias("s_n"))
-    sets = (cells.groupingSets([["cat"], ["chan"], [], ["who"]], "cat", "chan", "who")
-            .agg(F.grouping_id().alias("gid"), *[F.sum(c).alias(c) for c in ("rows", "a_sum", "a_n", "s_sum", "s_n")],
-                 F.max("max_sat").alias("max_sat")))
-    # grouping_id bits, in column order: category 4, channel 2, customer 1 (set when rolled up)
+    sets = (cells.groupingSets([["cat"], ["chan"], []], "cat", "chan")
+            .agg(F.grouping_id().alias("gid"), *[F.sum(c).alias(c) for c in ("rows", "a_sum", "a_n", "s_sum", "s_n")]))
+    # grouping_id bits, in column order: category 2, channel 1 (set when rolled up)
     gid, cat, chan = F.col("gid"), F.col("cat"), F.col("chan")
-    by_category, by_channel, overall = (gid == 3) & cat.isNotNull(), (gid == 5) & chan.isNotNull(), gid == 7
-    by_customer = (gid == 6) & F.col("who").isNotNull()
-    segment = etl_segment(F.col("max_sat"))
+    by_category, by_channel, overall = (gid == 1) & cat.isNotNull(), (gid == 2) & chan.isNotNull(), gid == 3
     channel_avg = safe_ratio(F.col("a_sum"), F.col("a_n"))
 
     def overall_mean(prefix: str) -> F.Column:
         return safe_ratio(F.sum(F.when(overall, F.col(f"{prefix}_sum"))), F.sum(F.when(overall, F.col(f"{prefix}_n"))))
 
     means = sets.agg(
-        F.count_if(by_customer).alias("total_customers_analyzed"),
-        F.count_if(by_customer & (segment == "HIGH_VALUE")).alias("high_value_customers"),
-        F.count_if(by_customer & (segment == "MEDIUM_VALUE")).alias("medium_value_customers"),
-        F.count_if(by_customer & (segment == "STANDARD")).alias("standard_customers"),
         overall_mean("a").alias("average_purchase_amount"),
         F.min_by(cat, F.when(by_category, F.struct(-F.col("rows"), cat))).alias("most_popular_category"),
         F.min_by(chan, F.when(by_channel, F.struct(channel_avg.isNull(), -channel_avg, chan)))
         .alias("highest_roi_marketing_channel"),
         overall_mean("s").alias("customer_satisfaction_index"))
+    segment = etl_segment(F.col("max_sat"))
+    customers = (processed.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(satisfaction).alias("max_sat"))
+                 .agg(F.count(F.lit(1)).alias("total_customers_analyzed"),
+                      F.count_if(segment == "HIGH_VALUE").alias("high_value_customers"),
+                      F.count_if(segment == "MEDIUM_VALUE").alias("medium_value_customers"),
+                      F.count_if(segment == "STANDARD").alias("standard_customers")))
     quality = scored_records.agg(
         safe_ratio(F.count_if(F.col("customer_segment") != ERROR_SEGMENT), F.count(F.lit(1)))
         .alias("data_quality_score"))
-    row = _one_row(spark, m=means, q=quality)
-    return row.select("m.*", "q.data_quality_score")
+    row = _one_row(spark, c=customers, m=means, q=quality)
+    return row.select("c.*", "m.*", "q.data_quality_score")
 
 
 __all__ = ["customer_summary", "machine_summary"]

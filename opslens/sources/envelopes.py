@@ -80,20 +80,21 @@ def decode_envelopes(df: DataFrame, *, value_col: str = "value", allow_bare: boo
     outer, inner = F.col("_outer"), F.col("_inner")
     is_envelope = has_key(outer, ENVELOPE_KEY) & has_key(inner, DATA_KEY)
     data = F.regexp_replace(inner.getItem(DATA_KEY), r"[\r\n]", "")
-    payload = F.try_validate_utf8(F.try_to_binary(data, F.lit("base64")).cast("string"))
+    payload = F.when(is_envelope, F.try_validate_utf8(F.try_to_binary(data, F.lit("base64")).cast("string")))
+    if json_col:  # the record's own JSON text, for rules that depend on a token's type; decoded once for both
+        staged = staged.withColumn("_payload", payload)
+        payload = F.col("_payload")
+        staged = staged.withColumn(json_col, F.when(is_envelope, payload).otherwise(F.col(value_col)) if allow_bare else payload)
     record = F.when(is_envelope, F.from_json(payload, RECORD_TYPE))
-    own = F.when(is_envelope, payload)
     if allow_bare:
-        record, own = record.otherwise(outer), own.otherwise(F.col(value_col))
-    if json_col:  # the record's own JSON text, for rules that depend on a token's type
-        staged = staged.withColumn(json_col, own)
+        record = record.otherwise(outer)
     if keep_failed:
         out = staged.withColumn(record_col, record).withColumn("decoded", F.col(record_col).isNotNull())
     else:
         out = (staged.select(*[F.col(f"`{c}`") for c in [*df.columns, *([json_col] if json_col else [])]],
                              F.explode(F.array_compact(F.array(record))).alias(record_col))
                .withColumn("decoded", F.lit(True)))
-    return out.drop("_outer", "_inner")
+    return out.drop("_outer", "_inner", "_payload")
 
 
 def add_record_metadata(df: DataFrame, *, with_batch_id: bool = True) -> DataFrame:
