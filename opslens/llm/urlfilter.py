@@ -23,13 +23,26 @@ WORD_CHARS = frozenset(LOWER + "0123456789")
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
 
-# Our vocabulary.
-STRICT = ("porn", "porno", "xxx", "hentai", "milf", "camgirls", "escorts", "viagra", "cialis", "casino", "casinos",
-          "warez", "keygen", "phishing", "malware", "onlinecasino", "sexcam", "nudes", "bestiality", "payday-loans")
-SOFT = ("adult", "adults", "sex", "sexy", "nude", "erotic", "escort", "dating", "hookup", "webcam", "fetish",
-        "bet", "bets", "betting", "poker", "slots", "jackpot", "gambling", "lottery", "roulette", "bonus", "pills",
-        "pharmacy", "steroids", "weightloss", "loan", "loans", "payday", "crypto", "forex", "torrent", "torrents",
-        "crack", "cracked", "serial", "nulled", "proxy", "clickbait", "freebies", "replica", "rolex", "popunder")
+# Our vocabulary, by language (the languages of the rules' paths and of the documents).
+STRICT_BY_LANGUAGE = {
+    "en": ("porn", "porno", "xxx", "hentai", "milf", "camgirls", "escorts", "viagra", "cialis", "casino", "casinos",
+           "warez", "keygen", "phishing", "malware", "onlinecasino", "sexcam", "nudes", "bestiality", "payday-loans"),
+    "es": ("putas", "prostitutas", "pornografia", "tragaperras", "casino-en-linea", "sexo-gratis"),
+    "fr": ("putes", "prostituees", "pornographie", "machines-a-sous", "casino-en-ligne", "sexe-gratuit"),
+    "de": ("nutten", "huren", "pornofilme", "sexfilme", "spielautomaten", "onlinekasino", "spielhalle")}
+SOFT_BY_LANGUAGE = {
+    "en": ("adult", "adults", "sex", "sexy", "nude", "erotic", "escort", "dating", "hookup", "webcam", "fetish",
+           "bet", "bets", "betting", "poker", "slots", "jackpot", "gambling", "lottery", "roulette", "bonus", "pills",
+           "pharmacy", "steroids", "weightloss", "loan", "loans", "payday", "crypto", "forex", "torrent", "torrents",
+           "crack", "cracked", "serial", "nulled", "proxy", "clickbait", "freebies", "replica", "rolex", "popunder"),
+    "es": ("adultos", "sexo", "desnuda", "desnudas", "erotico", "citas", "ligar", "apuesta", "apuestas", "ruleta", "loteria",
+           "premios", "farmacia", "pastillas", "adelgazar", "prestamo", "prestamos", "descargar-gratis", "replicas"),
+    "fr": ("adultes", "sexe", "nue", "nues", "erotique", "rencontres", "pari", "paris-sportifs", "loterie", "gros-lot",
+           "pharmacie", "pilules", "maigrir", "pret-rapide", "credit-facile", "telecharger-gratuit", "contrefacon"),
+    "de": ("erwachsene", "nackt", "nackte", "erotik", "seitensprung", "wette", "wetten", "sportwetten", "lotterie", "gewinnspiel",
+           "apotheke", "pillen", "abnehmen", "kredit", "sofortkredit", "gratis-download", "faelschung")}
+STRICT = tuple(t for terms in STRICT_BY_LANGUAGE.values() for t in terms)
+SOFT = tuple(t for terms in SOFT_BY_LANGUAGE.values() for t in terms)
 
 
 def url_host(url: Column) -> Column:

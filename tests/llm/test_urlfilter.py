@@ -9,7 +9,8 @@ URLS = [None, "", "no scheme", "http://Example.COM/en/a?x#y", "https://www.examp
         "http://x.org/porn/1", "http://x.org/pornography", "http://x.org/poker-bet", "http://x.org/poker/poker",
         "http://x.org/?q=casino", "//casino", "http://a.b?c=/d", "http://a#/b", "http://u.com://net/fr/", "HTTP://X.ORG/XXX",
         "http://x.org/payday-loans", "http://x.org/payday-loan", "http://é.org/sexé-bet", "a://" + "x" * 50_000 + "/bet/loan",
-        "http://x.com/porn"]
+        "http://x.com/porn", "http://x.org/apuestas/ruleta", "http://x.org/apuestas/", "http://x.fr/paris-sportifs?nues",
+        "http://x.fr/paris-sportif", "http://x.de/Sportwetten-Gewinnspiel", "http://x.de/spielautomaten", "http://x.de/kreditkarte"]
 
 
 def plain(url):
@@ -44,3 +45,8 @@ def test_terms_need_boundaries_and_soft_terms_count_once():
     assert U.count_terms("bad bad abad bad2 very-bad", a) == (4, 0)
     assert U.count_terms("meh,meh mehr xmeh", a) == (0, 2)
     assert U.count_terms("anything", U.build_automaton((), ())) == (0, 0)
+
+
+def test_vocabularies_of_the_languages_do_not_overlap():
+    assert len(set(U.STRICT)) == len(U.STRICT) and len(set(U.SOFT)) == len(U.SOFT) and not set(U.STRICT) & set(U.SOFT)
+    assert set(U.STRICT_BY_LANGUAGE) == set(U.SOFT_BY_LANGUAGE) == {"en", "es", "fr", "de"}
