@@ -43,7 +43,7 @@ from opslens.llm.tokens import slices as text_slices
 ORDER, BITS = 5, 5
 SYMBOLS, GRAMS, CONTEXTS = 1 << BITS, 1 << (BITS * ORDER), 1 << (BITS * (ORDER - 1))
 SHARED_DISCOUNT = 0.75
-WORD_SHARE = 1 << 18
+WORD_SHARE = 1 << 20
 FIELD_BITS = 26       # log2 of the bits that show which words may be in the table of rare words
 BLOCK_BITS = 18       # and of a block of them
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
