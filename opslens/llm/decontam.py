@@ -23,14 +23,21 @@ A document holds an item when some run of its words is within
 * Check. Each candidate pair is verified by the exact edit distance between
   the item and the best run of words around its windows.
 
-Scale: documents are read once per slice of the benchmark and never shuffled;
-a slice holds at most ``slice_words`` words (or one item), which bounds the
-broadcast index and the driver, however large the benchmark is.
+Scale: documents are read once, whatever the benchmark's size, and never
+shuffled. That pass asks the gate only, against one bitmap of all the
+benchmark's word triples (``2**GATE_BITS`` bits, 16 MB, a collision lets a
+document pass for nothing), and writes the few documents that pass. Items are
+split into words, made distinct and embedded in tasks, one slice of about
+``slice_words`` words (or one item) a task. The slices' indexes are then
+broadcast one after the other over the passing documents alone, so driver and
+workers hold one slice at a time. Equal items are one item until the result.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+import zlib
 from collections.abc import Iterator
 from itertools import chain, repeat
 
@@ -39,6 +46,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from opslens.llm.common import col, scratch_table
 
@@ -48,6 +56,7 @@ CLASSES = 1 << 10           # of words, for the walk's random bits
 PIECE_WORDS = 256           # longer items and windows are embedded in equal pieces of at most so many words
 SLICE_CHARS = 1 << 23
 WALKS_AT_ONCE = 1 << 16     # windows; of long items by as many fewer as they have pieces
+GATE_BITS = 27
 HITS = "item_id bigint, edit_distance int, item_words int, first_word int"
 
 
@@ -65,6 +74,11 @@ def needed_grams(words: int, similarity: float, n: int) -> int:
     return words - (n - 1) - n * allowed_edits(words, similarity)
 
 
+def gate_of(words: int, similarity: float) -> tuple[int, int]:
+    """(n, need): the longest runs (3, 2 or 1 words) of which some must survive in a match, and how many."""
+    return next((n, need) for n in (3, 2, 1) if (need := needed_grams(words, similarity, n)) > 0)
+
+
 def pieces_of(words: int) -> list[tuple[int, int]]:
     """(start, end) of the pieces that an item of so many words is embedded in."""
     n = max(1, -(-words // PIECE_WORDS))
@@ -92,9 +106,7 @@ class Index:
         threes = [a[:-1] * len(self.pairs) + a[1:] for a in numbered]
         self.triples = np.unique(np.concatenate(threes or [none]))
         self.lengths = sorted({len(a) for a in self.items} - {0})
-        # the gate of each length: the longest runs (3, 2 or 1 words) of which some must survive, and how many
-        self.gates = [next((n, need) for n in (3, 2, 1) if (need := needed_grams(length, similarity, n)) > 0)
-                      for length in self.lengths]
+        self.gates = [gate_of(length, similarity) for length in self.lengths]
         # for each run length: which item lengths hold a known run, as (offsets by run, lengths)
         self.holders = {}
         for n, runs, count in ((1, self.items, self.base), (2, numbered, len(self.pairs)),
@@ -149,7 +161,7 @@ class Index:
         """Key of each string ids[start:end]: its piece and the embedded words at the sampled positions.
 
         ``piece`` names the item length and the part of it (a window may be
-        cut short by the end of its text).
+        cut short by an end of its text).
         """
         at, coins = self.at[rep][piece], self.coins(rep)
         where, words = starts.copy(), np.zeros((len(starts), self.bits), np.int64)
@@ -215,10 +227,15 @@ def _known(ids: np.ndarray, owner: np.ndarray, index: Index) -> dict[int, tuple[
     return out
 
 
-def _windows(ids: np.ndarray, owner: np.ndarray, text_start: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, places among the item lengths) of all windows that pass the gate of their length."""
+def _windows(ids: np.ndarray, owner: np.ndarray, text_start: np.ndarray,
+             index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, places among the item lengths, texts) of all windows that pass the gate of their length.
+
+    A window may begin before its text by as many words as an item may lose,
+    so that an item whose head is missing still lies in step with it.
+    """
     known = _known(ids, owner, index)
-    all_starts, all_sizes = [ids[:0]], [ids[:0]]
+    all_starts, all_sizes, all_texts = [ids[:0]], [ids[:0]], [ids[:0]]
     for n, (places, numbers) in known.items():
         offsets, holders = index.holders[n]
         many = offsets[numbers + 1] - offsets[numbers]
@@ -236,12 +253,19 @@ def _windows(ids: np.ndarray, owner: np.ndarray, text_start: np.ndarray, index:
             lo, hi = p[need - 1:], p[:len(p) - need + 1]
             fits = (lo - hi <= index.lengths[k] - n) & (owner[lo] == owner[hi])
             lo, hi = lo[fits] - (index.lengths[k] - n), hi[fits]
-            lo = np.maximum(lo, text_start[owner[hi]])
+            # the texts are set apart, so that the places before one are not those of another
+            early = allowed_edits(index.lengths[k], index.similarity)
+            text = owner[hi]
+            apart = text * (early + 1) + early
+            lo, hi = np.maximum(lo, text_start[text] - early) + apart, hi + apart
             span = hi - lo + 1
-            starts = np.unique(np.repeat(lo - (np.cumsum(span) - span), span) + np.arange(int(span.sum())))
-            all_starts.append(starts)
+            places = np.repeat(lo - (np.cumsum(span) - span), span) + np.arange(int(span.sum()))
+            starts, first = np.unique(places, return_index=True)
+            text = np.repeat(text, span)[first]
+            all_starts.append(starts - text * (early + 1) - early)
             all_sizes.append(np.full(len(starts), k))
-    return np.concatenate(all_starts), np.concatenate(all_sizes)
+            all_texts.append(text)
+    return np.concatenate(all_starts), np.concatenate(all_sizes), np.concatenate(all_texts)
 
 
 def _find(texts: list[str | None], group: list[int], index: Index) -> list[tuple[int, int, int, int]]:
@@ -254,23 +278,24 @@ def _find(texts: list[str | None], group: list[int], index: Index) -> list[tuple
     del per_text
     bounds = np.cumsum(lens)
     owner = np.repeat(np.arange(len(lens)), lens)
-    end_of = bounds[owner]
-    starts, sizes = _windows(ids, owner, bounds - lens, index)
-    ends = np.minimum(starts + np.array(index.lengths)[sizes], end_of[starts])
+    starts, sizes, text_of = _windows(ids, owner, bounds - lens, index)
+    ends = np.minimum(starts + np.array(index.lengths)[sizes], bounds[text_of])
     candidates: dict[tuple[int, int], list[int]] = {}
     step = max(1, WALKS_AT_ONCE // int(index.n_pieces.max()))
     for a in range(0, len(starts), step):
-        part, size, end = starts[a:a + step], sizes[a:a + step], ends[a:a + step]
+        part, size, end, text = starts[a:a + step], sizes[a:a + step], ends[a:a + step], text_of[a:a + step]
+        head = (bounds - lens)[text]
         met = []
         begin, stop, piece, window = index.cut(ids[:0], part, end, size)
+        begin, stop = np.maximum(begin, head[window]), np.maximum(stop, head[window])
         for rep, (keys, members) in enumerate(index.tables):
             own = index.sample(ids, begin, stop, piece, rep)
             lo, hi = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
             for d in range(int((hi - lo).max(initial=0))):   # items that share a key
                 at = np.nonzero(lo + d < hi)[0]
-                met.append(np.stack([part[window[at]], members[lo[at] + d]], axis=1))
-        for p, item in np.unique(np.concatenate(met), axis=0).tolist() if met else []:
-            candidates.setdefault((int(owner[p]), item), []).append(p)
+                met.append(np.stack([text[window[at]], part[window[at]], members[lo[at] + d]], axis=1))
+        for t, p, item in np.unique(np.concatenate(met), axis=0).tolist() if met else []:
+            candidates.setdefault((t, item), []).append(p)
     out = []
     for (text, item), starts in candidates.items():
         words = index.items[item]
@@ -283,7 +308,7 @@ def _find(texts: list[str | None], group: list[int], index: Index) -> list[tuple
                 continue
             distance, _ = edit_distance_in(words, ids[a:b])
             if distance <= k:
-                out.append((group[text], item, distance, lo - int(bounds[text] - lens[text])))
+                out.append((group[text], item, distance, max(0, lo - int(bounds[text] - lens[text]))))
     best: dict[tuple[int, int], tuple[int, int]] = {}
     for text, item, distance, first in out:
         best[text, item] = min(best.get((text, item), (distance, first)), (distance, first))
@@ -302,32 +327,98 @@ def _regions(starts: list[int], gap: int) -> Iterator[tuple[int, int]]:
     yield lo, hi
 
 
-def slices(benchmark: DataFrame, id_col: str, text_col: str, slice_words: int) -> Iterator[list[tuple[int, list[str]]]]:
-    """Items as word lists in slices of at most ``slice_words`` words (or one item), read one partition at a time."""
-    held: list[tuple[int, list[str]]] = []
-    size = 0
-    for r in benchmark.select(col(id_col).alias("item"), col(text_col).cast("string").alias("text")).toLocalIterator():
-        words = words_of(r["text"])
-        if r["item"] is None or not words:
-            continue
-        if held and size + len(words) > slice_words:
-            yield held
-            held, size = [], 0
-        held.append((int(r["item"]), words))
-        size += len(words)
-    if held:
-        yield held
+def gram_slots(words: list[str], n: int) -> np.ndarray:
+    """Place in the gate's bitmap of each run of ``n`` words."""
+    codes = np.fromiter(map(zlib.crc32, map(str.encode, words)), np.uint64, len(words))
+    return _slots(codes, n)
 
 
-def indexes(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", *, similarity: float = 0.8,
-            repetitions: int = 48, bits: int = 2, seed: int = 42, slice_words: int = 200_000) -> list:
-    """A broadcast index per slice of the benchmark."""
-    sc = benchmark.sparkSession.sparkContext
-    return [sc.broadcast(Index(items, similarity, repetitions, bits, seed))
-            for items in slices(benchmark, id_col, text_col, slice_words)]
+def _slots(codes: np.ndarray, n: int) -> np.ndarray:
+    m = max(0, len(codes) - n + 1)
+    h = codes[:m] + np.uint64(n)
+    for j in range(1, n):
+        h = (h * np.uint64(0x9E3779B97F4A7C15)) ^ (h >> np.uint64(29))
+        h += codes[j:m + j]
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (h >> np.uint64(64 - GATE_BITS)).astype(np.int64)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+class Gate:
+    """Which documents can hold any item: enough known runs close together, for some item length.
+
+    ``ranges`` are ranges of item lengths; the lengths of a range share one
+    rule, the widest window and the smallest need among them.
+    """
+
+    def __init__(self, packed: np.ndarray, ranges: list[tuple[int, int]], similarity: float):
+        self.packed = packed
+        rules: dict[tuple[int, int], tuple[int, int]] = {}
+        for low, high in ranges:
+            for length in range(low, high + 1):
+                n, need = gate_of(length, similarity)
+                span, least = rules.get((n, low), (length, need))
+                rules[n, low] = max(span, length), min(least, need)
+        self.rules = sorted((n, span, need) for (n, _), (span, need) in rules.items())
+
+    def passing(self, texts: list[str | None]) -> np.ndarray:
+        """Whether each text passes; texts are taken in groups of bounded size."""
+        out = np.zeros(len(texts), bool)
+        group: list[int] = []
+        chars = 0
+        for i, t in enumerate(texts):
+            if group and chars + len(t or "") > SLICE_CHARS:
+                self._mark(texts, group, out)
+                group, chars = [], 0
+            group.append(i)
+            chars += len(t or "")
+        if group:
+            self._mark(texts, group, out)
+        return out
+
+    def _mark(self, texts: list[str | None], group: list[int], out: np.ndarray) -> None:
+        parts = []
+        for i in group:
+            words = words_of(texts[i])
+            parts.append(np.fromiter(map(zlib.crc32, map(str.encode, words)), np.uint64, len(words)))
+        owner = np.repeat(np.array(group), [len(p) for p in parts])
+        codes = np.concatenate(parts)
+        for n in sorted({n for n, *_ in self.rules}):
+            slot = _slots(codes, n)
+            known = (self.packed[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+            place = np.nonzero(known & (owner[:len(slot)] == owner[n - 1:len(slot) + n - 1]))[0]
+            for _, span, need in (r for r in self.rules if r[0] == n):
+                last, first = place[need - 1:], place[:max(0, len(place) - need + 1)]
+                fits = (last - first <= span - n) & (owner[last] == owner[first])
+                out[owner[first[fits]]] = True
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _words(texts: pd.Series) -> pd.Series:
+    return texts.map(words_of)
+
+
+def _gate(items: DataFrame, similarity: float) -> Gate:
+    """The gate of all items (columns item, words); the driver takes its bitmap and at most a few hundred length ranges."""
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words in batch.column("words").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(gram_slots(words, gate_of(len(words), similarity)[0])) + 1)],
+                                                 names=["slot"])
+
+    bits = (items.select("words").mapInArrow(slots, "slot bigint").groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect())
+    packed = np.zeros(1 << (GATE_BITS - 3), np.uint8)
+    for r in bits:
+        packed[(r["bucket"] - 1) * 4096:r["bucket"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    n = F.size("words")
+    ranges = (items.groupBy(F.floor(F.log2(n) * 8).alias("level")).agg(F.min(n).alias("low"), F.max(n).alias("high"))
+              .select("low", "high").collect())
+    return Gate(packed, [(r["low"], r["high"]) for r in ranges], similarity)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
+                 item_col: str = "item_id", item_text_col: str = "text", similarity: float = 0.8, repetitions: int = 48,
+                 bits: int = 2, seed: int = 42, slice_words: int = 200_000) -> DataFrame:
     """One row per document and item it holds: doc_id, item_id, edit_distance, item_words, first_word.
 
     Only documents that hold an item appear. ``edit_distance`` counts words,
@@ -336,40 +427,69 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     document. Repeated document rows give repeated rows, repeated items give
     one row each. Empty tables give no rows; other columns are not read.
     """
+    spark = docs.sparkSession
+    sc = spark.sparkContext
     src = docs.select(col(id_col).alias("doc_id"), col(text_col).cast("string").alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, {HITS}"
-    out = docs.sparkSession.createDataFrame([], schema)
-    for shared in indexes(benchmark, **settings):
+    given = scratch_table(benchmark.select(col(item_col).cast("bigint").alias("item_id"),
+                                           _words(col(item_text_col).cast("string")).alias("words"))
+                          .where(F.col("item_id").isNotNull() & (F.size("words") > 0)), "decontam-items")
+    items = scratch_table(given.groupBy("words").agg(F.min("item_id").alias("item")), "decontam-distinct")
+    total = items.agg(F.sum(F.size("words").cast("bigint"))).first()[0]
+    if total is None:
+        return spark.createDataFrame([], schema)
+
+    gate = sc.broadcast(_gate(items, similarity))
+
+    def pass_gate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(gate.value.passing(batch.column("text").to_pylist())))
+
+    passed = scratch_table(src.mapInArrow(pass_gate, src.schema), "decontam-passed")
+
+    def embed(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = sorted(zip(pdf["item"].tolist(), pdf["words"], strict=True), key=lambda r: r[0])
+        index = Index([(i, list(words)) for i, words in rows], similarity, repetitions, bits, seed)
+        return pd.DataFrame({"slice": pdf["slice"].iloc[:1].to_numpy(), "index": [pickle.dumps(index)]})
+
+    n_slices = -(-total // slice_words)
+    embedded = scratch_table(items.withColumn("slice", F.pmod(F.xxhash64("words"), F.lit(n_slices)).cast("int"))
+                             .groupBy("slice").applyInPandas(embed, "slice int, index binary"), "decontam-indexes")
+    hits = None
+    for number in range(n_slices):
+        blob = embedded.where(F.col("slice") == number).select("index").first()
+        if blob is None:
+            continue
+        shared = sc.broadcast(pickle.loads(blob[0]))
+
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 index = shared.value
-                hits = find_items(batch.column("text").to_pylist(), index)
-                if hits:
-                    t, i, item, d, f = zip(*[(t, i, own, d, f) for t, i, d, f in hits for own in index.item_ids[i]], strict=True)
+                found = find_items(batch.column("text").to_pylist(), index)
+                if found:
+                    t, i, d, f = zip(*found, strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").take(pa.array(t)), pa.array(item, pa.int64()),
+                        [batch.column("doc_id").take(pa.array(t)), pa.array([index.item_ids[n][0] for n in i], pa.int64()),
                          pa.array(d, pa.int32()), pa.array([len(index.items[n]) for n in i], pa.int32()),
                          pa.array(f, pa.int32())],
                         names=["doc_id", "item_id", "edit_distance", "item_words", "first_word"])
 
-        out = out.unionByName(src.mapInArrow(run, schema))
-    return scratch_table(out, "decontam-hits")
-
-
-def _holds(shared):
-    """Whether a text holds an item of one broadcast index."""
-    @F.pandas_udf("boolean")
-    def holds(texts: pd.Series) -> pd.Series:
-        found = np.zeros(len(texts), bool)
-        found[[t for t, *_ in find_items(texts.tolist(), shared.value)]] = True
-        return pd.Series(found)
-
-    return holds
+        part = scratch_table(passed.mapInArrow(run, schema), "decontam-hits")
+        shared.destroy()
+        hits = part if hits is None else hits.unionByName(part)
+    alike = given.join(items, "words").select(F.col("item").alias("same"), F.col("item_id").alias("each"))
+    return (hits.join(alike, F.col("item_id") == F.col("same"))
+            .select("doc_id", F.col("each").alias("item_id"), "edit_distance", "item_words", "first_word"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **settings) -> DataFrame:
-    """``docs`` without the documents that hold an item; all columns stay."""
-    for shared in indexes(benchmark, **settings):
-        docs = docs.where(~_holds(shared)(col(text_col)))
-    return docs
+    """``docs`` without the documents that hold an item; all columns and rows of the others stay.
+
+    A text decides, so the rows are told by the digest of their text, whatever
+    ids they have.
+    """
+    digest = F.sha2(col(text_col).cast("string"), 256)
+    texts = docs.select(digest.alias("doc_id"), col(text_col).alias("text"))
+    held = scratch_table(contaminated(texts, benchmark, **settings).select("doc_id").distinct(), "decontam-held")
+    return docs.join(held.select(F.col("doc_id").alias("__held")), digest == F.col("__held"), "left_anti")

@@ -132,3 +132,28 @@ def test_long_items_with_edits_at_one_end(length):
     got = D.find_items([" ".join(noise(50) + t + noise(50)) for t in texts], index)
     assert {(t, i) for t, i, *_ in got} == {(t, t // 6) for t in range(len(texts))}
     assert all(d <= k for _, _, d, _ in got)
+
+
+def test_the_gate_holds_the_known_runs_and_loses_no_match(spark):
+    """Bits by Spark equal bits by hand; all allowed edits pass for every item length; other texts do not."""
+    rng = random.Random(4)
+    vocab = [f"v{i}" for i in range(5000)]
+    items = [[rng.choice(vocab) for _ in range(n)] for n in [1, 2, 3, 4, 5, 6, 7, 9, 10, 14, 20, 43, 100, 300]]
+    gate = D._gate(spark.createDataFrame([(i, w) for i, w in enumerate(items)], "item bigint, words array<string>"), 0.8)
+    want = {int(x) for w in items for x in D.gram_slots(w, D.gate_of(len(w), 0.8)[0])}
+    assert set(np.nonzero(np.unpackbits(gate.packed, bitorder="little"))[0].tolist()) == want
+    noise = lambda n: [f"n{rng.randrange(9999)}" for _ in range(n)]
+    texts = [" ".join(noise(30) + edited(w, D.allowed_edits(len(w), 0.8), rng) + noise(30)) for w in items for _ in range(20)]
+    assert gate.passing(texts).all()
+    other = [" ".join(noise(300)) for _ in range(50)] + [None, "", " .. "]
+    assert not gate.passing(other).any()
+
+
+def test_dropping_goes_by_text_and_keeps_every_other_row(spark, bench):
+    items, frame = bench
+    held, clean = items[3][1], "nothing of the kind"
+    rows = [(1, held, 7), (1, clean, 7), (None, held, 8), (2, clean, None), (2, clean, None), (3, None, 9), (4, "", 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, __held int")
+    kept = D.drop_contaminated(docs, frame, slice_words=100)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(str(r) for r in rows if r[1] != held)
