@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from opslens.llm.common import col, scratch_table
+from opslens.llm.common import col, free_name, scratch_table
 
 WORDS = re.compile(r"[^\W_]+")
 PAD, UNKNOWN, FIRST = 0, 1, 2
@@ -492,4 +492,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     digest = F.sha2(col(text_col).cast("string"), 256)
     texts = docs.select(digest.alias("doc_id"), col(text_col).alias("text"))
     held = scratch_table(contaminated(texts, benchmark, **settings).select("doc_id").distinct(), "decontam-held")
-    return docs.join(held.select(F.col("doc_id").alias("__held")), digest == F.col("__held"), "left_anti")
+    name = free_name(docs, "held")
+    return docs.join(held.select(F.col("doc_id").alias(name)), digest == F.col(name), "left_anti")

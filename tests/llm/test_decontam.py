@@ -153,7 +153,7 @@ def test_dropping_goes_by_text_and_keeps_every_other_row(spark, bench):
     items, frame = bench
     held, clean = items[3][1], "nothing of the kind"
     rows = [(1, held, 7), (1, clean, 7), (None, held, 8), (2, clean, None), (2, clean, None), (3, None, 9), (4, "", 9)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, __held int")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, held int")
     kept = D.drop_contaminated(docs, frame, slice_words=100)
     assert kept.columns == docs.columns
     assert sorted(map(str, map(tuple, kept.collect()))) == sorted(str(r) for r in rows if r[1] != held)
