@@ -3,11 +3,11 @@
 A string of ``min_length`` = L bytes that starts at two places is removed at
 both. Strings are told apart by bucket identifiers refined recursively, as in
 bucket-pointer suffix sorting: the first bucket of a position is its q-gram
-(q = L / 4), the bucket of 2q bytes is the pair of the q-gram buckets at
-offsets 0 and q, and the bucket of L bytes is the pair of the 2q buckets at
-offsets 0 and L - 2q. An identifier is a 64-bit hash, so no global rank table
-is needed, and what Spark sorts and shuffles is kept small by dropping
-singletons before each refinement:
+(q = L / 4). A pass sorts the positions by their own bucket and the bucket one
+width later, renumbers them, and drops those that stand alone; the next pass
+sorts by these updated numbers, until a bucket stands for L bytes. Positions
+that can be equal at all are brought together by Spark first, so no rank table
+of the corpus is needed:
 
 1. Every L-byte string contains L - q + 1 q-grams. The smallest of their
    identifiers names the string's initial bucket, and neighbouring strings
@@ -21,9 +21,12 @@ singletons before each refinement:
 3. The repeated starts return to their texts as intervals, which are cut.
 
 Equal texts are one text from the beginning (they meet by a 128-bit key, one
-per task), so groups of copies cost what one copy costs. A name with more
-than ``hot_stretches`` stretches is not gathered: its starts are dealt out
-singly by their L-byte bucket and pre-aggregated.
+per task), so groups of copies cost what one copy costs. A stretch is handed on
+in pieces of at most PIECE_STARTS starts, whatever the text's length. A name
+with more than ``hot_stretches`` pieces or ``hot_bytes`` bytes is not gathered:
+its starts are dealt out singly by their L-byte bucket and pre-aggregated.
+There identifiers must agree between tasks, so they are 64-bit hashes of the
+two buckets of each refinement instead of numbers.
 """
 
 from __future__ import annotations
@@ -40,6 +43,7 @@ from opslens.llm.common import col, scratch_table
 
 SLICE_BYTES = 2 << 20
 STARTS_AT_ONCE = 2 << 20
+PIECE_STARTS = 1 << 19
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 LOW, HIGH = np.uint64(0), np.uint64((1 << 64) - 1)
@@ -84,8 +88,38 @@ def refine(bucket: np.ndarray, offset: int) -> np.ndarray:
     return _mix(bucket[:-offset] * np.uint64(0xA0761D6478BD642F) + bucket[offset:])
 
 
+def numbered(keys: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Bucket of each of ``n`` positions: the rank of its key among those at ``at``, -1 elsewhere and for a key met once."""
+    out = np.full(n, -1, np.int64)
+    if len(keys) < 2:
+        return out
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.concatenate(([True], keys[1:] != keys[:-1]))
+    alone = new & np.concatenate((new[1:], [True]))
+    out[at[order[~alone]]] = (np.cumsum(new) - 1)[~alone]
+    return out
+
+
+def refine_by_sort(bucket: np.ndarray, room: np.ndarray, width: int, length: int) -> np.ndarray:
+    """Buckets of ``length`` bytes from those of ``width`` bytes (-1: alone), sorting by later buckets until they are.
+
+    ``room`` is the number of bytes from each position to the end of its piece.
+    A position is dropped as soon as it or the position it points to is alone:
+    whatever contains a string that occurs once occurs once.
+    """
+    while width < length:
+        offset = min(width, length - width)
+        at = np.nonzero((bucket >= 0) & (room >= width + offset))[0]
+        later = bucket[at + offset]
+        at, later = at[later >= 0], later[later >= 0]
+        bucket = numbered(bucket[at] * (len(bucket) + 1) + later, at, len(bucket))
+        width += offset
+    return bucket
+
+
 def full_buckets(data: np.ndarray, length: int) -> np.ndarray:
-    """Bucket of the ``length`` bytes at each position."""
+    """Bucket of the ``length`` bytes at each position, as a hash that is the same in every task."""
     q = -(-length // 4)
     double = refine(qgrams(data, q), q)
     return refine(double, length - 2 * q)
@@ -214,8 +248,14 @@ def one_per_task(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, texts.schema)
 
 
+def pieces(first: int, last: int) -> Iterator[tuple[int, int]]:
+    """(first, last) of consecutive ranges of at most PIECE_STARTS starts."""
+    for at in range(first, last + 1, PIECE_STARTS):
+        yield at, min(at + PIECE_STARTS - 1, last)
+
+
 def stretch_table(texts: DataFrame, length: int) -> DataFrame:
-    """(name, k1, k2, at, data): the stretches of wanted names, each with the bytes of its strings."""
+    """(name, k1, k2, at, data): the stretches of wanted names in pieces, each with the bytes of its strings."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("name", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("at", pa.int64()),
                             ("data", pa.binary())])
@@ -223,11 +263,12 @@ def stretch_table(texts: DataFrame, length: int) -> DataFrame:
             text, names = batch.column("text").to_pylist(), batch.column("names").to_pylist()
             k1, k2 = batch.column("k1").to_pylist(), batch.column("k2").to_pylist()
             for part in _groups([len(t) for t in text]):
-                rows = [(v, k1[part.start + t], k2[part.start + t], a, text[part.start + t][a:b + length])
-                        for t, v, a, b in Names(text[part], length).stretches([set(n) for n in names[part]])]
-                if rows:
+                rows = [(v, k1[part.start + t], k2[part.start + t], i, text[part.start + t][i:j + length])
+                        for t, v, a, b in Names(text[part], length).stretches([set(n) for n in names[part]])
+                        for i, j in pieces(a, b)]
+                for few in _groups([len(r[4]) for r in rows]):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                        [pa.array(c, f.type) for c, f in zip(zip(*rows[few], strict=True), schema, strict=True)], schema=schema)
 
     return texts.select("k1", "k2", "text", "names").mapInArrow(
         run, "name bigint, k1 bigint, k2 bigint, at bigint, data binary")
@@ -244,37 +285,54 @@ def _starts(rows: list[tuple], length: int) -> tuple[np.ndarray, np.ndarray, np.
     return bucket[np.repeat(np.cumsum(lens) - lens, n) + offset], own, offset
 
 
+def repeated_starts(data: np.ndarray, lens: np.ndarray, length: int) -> np.ndarray:
+    """Positions whose ``length`` bytes start at another position too; ``data`` is pieces of ``lens`` bytes end to end.
+
+    The starts are taken in shares of their initial buckets, so that what is
+    sorted at once stays bounded; equal strings begin with the same bucket.
+    """
+    q = -(-length // 4)
+    n = len(data)
+    grams = np.concatenate([qgrams(data[i:i + SLICE_BYTES + q - 1], q) for i in range(0, max(n - q + 1, 0), SLICE_BYTES)]
+                           or [np.empty(0, np.uint64)])
+    room = np.repeat(np.cumsum(lens), lens) - np.arange(n)
+    starts = np.nonzero(room >= length)[0]
+    # every position that a start leads to by the offsets of the passes
+    offsets, width = [0], q
+    widths = []
+    while width < length:
+        widths.append(min(width, length - width))
+        width += widths[-1]
+    for step in reversed(widths):
+        offsets += [o + step for o in offsets]
+    shares = -(-len(starts) // STARTS_AT_ONCE)
+    out = []
+    for share in range(shares):
+        own = starts if shares == 1 else starts[_mix(grams[starts]) % np.uint64(shares) == share]
+        used = np.zeros(n, bool)
+        for o in sorted(set(offsets)):
+            used[own + o] = True
+        at = np.nonzero(used)[0]
+        bucket = refine_by_sort(numbered(grams[at], at, n), room, q, length)
+        out.append(own[bucket[own] >= 0])
+    return np.sort(np.concatenate(out)) if out else starts
+
+
 def repeated_spans(rows: list[tuple], length: int) -> list[tuple[int, int, int, int]]:
     """(k1, k2, start, end) of the bytes covered by strings that occur at two places; whole names only.
 
-    The starts are sorted by (name, bucket), in passes over shares of the
-    buckets so that a long list of stretches stays bounded in memory.
+    Strings of different names differ, so several names can share the passes.
     """
     rows = list({(r[0], r[1], r[2], r[3]): r for r in rows}.values())  # a place counts once
-    total = sum(len(r[4]) - length + 1 for r in rows)
-    shares = -(-total // STARTS_AT_ONCE)
-    name = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-    flagged_own, flagged_at = [], []
-    for share in range(shares):
-        parts = []
-        for part in _groups([len(r[4]) for r in rows]):
-            bucket, own, offset = _starts(rows[part], length)
-            bucket = _mix(bucket ^ name[own + part.start])
-            pick = bucket % np.uint64(shares) == share if shares > 1 else slice(None)
-            parts.append((bucket[pick], own[pick] + part.start, offset[pick]))
-        bucket, own, offset = (np.concatenate(c) for c in zip(*parts, strict=True))
-        order = np.argsort(bucket, kind="stable")
-        same = bucket[order][1:] == bucket[order][:-1]
-        several = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-        flagged_own.append(own[order][several])
-        flagged_at.append(offset[order][several])
-    if not flagged_own:
+    if not rows:
         return []
-    own, at = np.concatenate(flagged_own), np.concatenate(flagged_at)
-    order = np.lexsort((at, own))
-    own, at = own[order], at[order]
-    if not len(own):
+    lens = np.array([len(r[4]) for r in rows], np.int64)
+    at = repeated_starts(np.frombuffer(b"".join(r[4] for r in rows), np.uint8), lens, length)
+    if not len(at):
         return []
+    ends = np.cumsum(lens)
+    own = np.searchsorted(ends, at, side="right")
+    at = at - (ends - lens)[own]
     head = np.nonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (at[1:] != at[:-1] + 1))))[0]
     tail = np.concatenate((head[1:], [len(own)])) - 1
     out = []
@@ -352,7 +410,7 @@ def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_length: int = 400,
-                   hot_stretches: int = 50_000, keep_text: bool = False) -> DataFrame:
+                   hot_stretches: int = 50_000, hot_bytes: int = 8 << 20, keep_text: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept_text if asked).
 
     Texts are UTF-8 bytes, null counts as empty. Every byte covered by a
@@ -381,7 +439,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = one_per_task(src.where(F.octet_length("text") >= min_length).select("k1", "k2", "text"))
     texts = scratch_table(texts.join(wanted, keys), "repeat-texts")
     stretches = scratch_table(stretch_table(texts, min_length), "repeat-stretches")
-    hot = stretches.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_stretches).select("name")
+    hot = (stretches.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("data")).alias("size"))
+           .where((F.col("n") > hot_stretches) | (F.col("size") > hot_bytes)).select("name"))
     hot = scratch_table(hot, "repeat-hot")
     if hot.isEmpty():
         spans = spans_by_name(stretches, min_length)

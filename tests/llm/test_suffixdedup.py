@@ -38,9 +38,9 @@ def rows():
     return list(enumerate(texts)) + [(3, texts[3]), (None, texts[5])]
 
 
-@pytest.mark.parametrize("hot", [50_000, 3])
+@pytest.mark.parametrize("hot", [{}, {"hot_stretches": 3}, {"hot_bytes": 100}, {"hot_bytes": 0}])
 def test_matches_brute_force(docs_of, rows, hot):
-    got = S.remove_repeats(docs_of(rows).repartition(5), min_length=L, hot_stretches=hot, keep_text=True).collect()
+    got = S.remove_repeats(docs_of(rows).repartition(5), min_length=L, keep_text=True, **hot).collect()
     data = [(t or "").encode() for _, t in rows]
     want = sorted((str(i), *w) for (i, _), w in zip(rows, brute(data, L), strict=True))
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept_text)) for r in got) == want
@@ -85,6 +85,40 @@ def test_names_of_equal_strings_agree():
                           S.full_buckets(np.frombuffer(shared + shared, np.uint8), L)[60:70])
 
 
+@pytest.mark.parametrize("length", [4, 5, 24, 25, 27])
+def test_refined_starts_match_brute_force(monkeypatch, length):
+    """Random and periodic pieces, in one share, in many shares, and with q-grams taken in chunks."""
+    rng = random.Random(length)
+    for _ in range(40):
+        parts = [bytes(rng.choice(b"ab") for _ in range(rng.randint(length, 4 * length))) for _ in range(rng.randint(1, 5))]
+        parts += [b"abc" * length, parts[0][:length], b"z" * (length + rng.randint(0, 9))]
+        where = Counter(p[i:i + length] for p in parts for i in range(len(p) - length + 1))
+        ends = np.cumsum([len(p) for p in parts])
+        want = [int(e) - len(p) + i for e, p in zip(ends, parts, strict=True) for i in range(len(p) - length + 1)
+                if where[p[i:i + length]] > 1]
+        for at_once, chunk in ((2 << 20, 2 << 20), (5, 2 << 20), (2 << 20, 50)):
+            monkeypatch.setattr(S, "STARTS_AT_ONCE", at_once)
+            monkeypatch.setattr(S, "SLICE_BYTES", chunk)
+            got = S.repeated_starts(np.frombuffer(b"".join(parts), np.uint8), np.array([len(p) for p in parts]), length)
+            assert got.tolist() == want
+
+
+def test_a_position_alone_drops_what_leads_to_it():
+    data = np.frombuffer(b"abcdefgh" + b"abcdefgX", np.uint8)
+    room = np.repeat([8, 16], 8) - np.arange(16)
+    first = S.numbered(S.qgrams(data, 2), np.arange(15), 16)
+    assert first[0] == first[8] >= 0 and first[6] == first[14] == first[7] == -1
+    four = S.refine_by_sort(first, room, 2, 4)
+    assert np.nonzero(four >= 0)[0].tolist() == [0, 1, 2, 3, 8, 9, 10, 11]
+    assert np.nonzero(S.refine_by_sort(four, room, 4, 7) >= 0)[0].tolist() == [0, 8]
+    assert not (S.refine_by_sort(four, room, 4, 8) >= 0).any()
+
+
+def test_pieces_of_a_long_stretch(monkeypatch):
+    monkeypatch.setattr(S, "PIECE_STARTS", 4)
+    assert list(S.pieces(3, 12)) == [(3, 6), (7, 10), (11, 12)] and list(S.pieces(5, 5)) == [(5, 5)]
+
+
 def test_empty_table_and_bad_length(docs_of):
     assert S.remove_repeats(docs_of([])).count() == 0
     with pytest.raises(ValueError):
