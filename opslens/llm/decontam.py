@@ -48,13 +48,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from opslens.llm.common import col, free_name, scratch_table
+from opslens.llm.common import col, free_name, scratch_table, tidy
+from opslens.llm.tokens import slices as text_slices
 
 WORDS = re.compile(r"[^\W_]+")
 PAD, UNKNOWN, FIRST = 0, 1, 2
 CLASSES = 1 << 10           # of words, for the walk's random bits
 PIECE_WORDS = 256           # longer items and windows are embedded in equal pieces of at most so many words
-SLICE_CHARS = 1 << 23
+SLICE_CHARS = 1 << 21
 WALKS_AT_ONCE = 1 << 16     # windows; of long items by as many fewer as they have pieces
 GATE_BITS = 27
 HITS = "item_id bigint, edit_distance int, item_words int, first_word int"
@@ -443,10 +444,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     gate = sc.broadcast(_gate(items, similarity))
 
     def pass_gate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(text_slices, batches)):
             yield batch.filter(pa.array(gate.value.passing(batch.column("text").to_pylist())))
 
-    passed = scratch_table(src.mapInArrow(pass_gate, src.schema), "decontam-passed")
+    passed = scratch_table(src.mapInArrow(tidy(pass_gate), src.schema), "decontam-passed")
+    gate.destroy()
 
     def embed(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = sorted(zip(pdf["item"].tolist(), pdf["words"], strict=True), key=lambda r: r[0])
@@ -464,7 +466,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         shared = sc.broadcast(pickle.loads(blob[0]))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in chain.from_iterable(map(text_slices, batches)):
                 index = shared.value
                 found = find_items(batch.column("text").to_pylist(), index)
                 if found:
@@ -475,7 +477,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                          pa.array(f, pa.int32())],
                         names=["doc_id", "item_id", "edit_distance", "item_words", "first_word"])
 
-        part = scratch_table(passed.mapInArrow(run, schema), "decontam-hits")
+        part = scratch_table(passed.mapInArrow(tidy(run), schema), "decontam-hits")
         shared.destroy()
         hits = part if hits is None else hits.unionByName(part)
     alike = given.join(items, "words").select(F.col("item").alias("same"), F.col("item_id").alias("each"))

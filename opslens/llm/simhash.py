@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslens.llm.common import col, connected_components, free_name, scratch_table
+from opslens.llm.common import col, connected_components, free_name, scratch_table, tidy
 
 SEED = 42
 BYTES = 8
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, keys: dict[str, Column], text_col: str = "text
             yield pa.RecordBatch.from_arrays(cols, names=[*names, "fp"])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema[:-1]] + ["fp bigint"])
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(tidy(run), schema)
 
 
 def triple_family() -> list[tuple[int, int, int]]:
@@ -203,7 +203,7 @@ def links(distinct_fps: DataFrame, max_bits: int = 4, list_block: int = 4096) ->
             yield out
 
     return (runs.repartition("key", "cell").sortWithinPartitions("key", "cell")
-            .select("key", "cell", "side", "fp").mapInArrow(run, "a bigint, b bigint"))
+            .select("key", "cell", "side", "fp").mapInArrow(tidy(run), "a bigint, b bigint"))
 
 
 def fingerprint_components(fps: DataFrame, rep: Column, max_bits: int = 4) -> DataFrame:

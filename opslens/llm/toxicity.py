@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslens.llm.common import col, scratch_table
+from opslens.llm.common import col, scratch_table, tidy
 from opslens.llm.tokens import slices as text_slices
 
 ORDER, BITS = 5, 5
@@ -215,7 +215,7 @@ def gram_and_word_counts(texts: DataFrame) -> DataFrame:
                 own = y[group][doc] >= 0
                 yield from rows(1, h[own], y[group][doc[own]], held[group][doc[own]])
 
-    return (texts.mapInArrow(run, "kind int, key bigint, " + ", ".join(f"{c} bigint" for c in COUNTS))
+    return (texts.mapInArrow(tidy(run), "kind int, key bigint, " + ", ".join(f"{c} bigint" for c in COUNTS))
             .groupBy("kind", "key").agg(*[F.sum(c).alias(c) for c in COUNTS]))
 
 
@@ -267,19 +267,22 @@ def build_model(grams: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, word
     """``word_stats`` per class (toxic, ordinary): words, types, types seen once, types seen twice."""
     shared = shared_model(grams)[grams & (CONTEXTS - 1)]
     context = grams >> BITS
-    logs, unseen = [], []
+    ratio, unseen = None, []
     for n in (toxic, ordinary):
         d = _discount(float((n == 1).sum()), float((n == 2).sum()))
         total = np.bincount(context, weights=n, minlength=CONTEXTS)
         types = np.bincount(context, weights=n > 0, minlength=CONTEXTS)
         back = np.where(total > 0, d * types / np.maximum(total, 1), 1.0)
-        p = np.maximum(n - d, 0) / np.maximum(total[context], 1) + back[context] * shared
-        logs.append(np.log(p))
+        p = np.maximum(n - d, 0)
+        p /= np.maximum(total, 1)[context]
+        p += back[context] * shared
+        np.log(p, out=p)
+        ratio = p if ratio is None else np.subtract(ratio, p, out=ratio)
         unseen.append(np.log(back))
     ps = [np.maximum(n - d, 0) / total + back
           for n, (d, total, back) in zip((word_toxic, word_ordinary), word_weights(word_stats), strict=True)]
     order = np.argsort(words)
-    return Model(grams.astype(np.int32), (logs[0] - logs[1]).astype(np.float32),
+    return Model(grams.astype(np.int32), ratio.astype(np.float32),
                  (unseen[0] - unseen[1]).astype(np.float32), words[order],
                  np.log(ps[0] / ps[1])[order].astype(np.float32))
 
@@ -303,8 +306,9 @@ def train(counts: DataFrame, hold_back: bool = False) -> tuple[Model, DataFrame]
     p = [F.greatest(F.col(c) - F.lit(d), F.lit(0.0)) / F.lit(total) + F.lit(back)
          for c, (d, total, back) in zip(("toxic", "ordinary"), word_weights(word_stats), strict=True)]
     rare = words.where(~often).select("key", F.log(p[0] / p[1]).cast("float").alias("ratio"))
-    model = build_model(g["key"].to_numpy(np.int64), g["toxic"].to_numpy(np.float64), g["ordinary"].to_numpy(np.float64),
-                        kept["key"].to_numpy(np.int64), kept["toxic"].to_numpy(np.float64),
+    grams = [g.pop(c).to_numpy(t) for c, t in (("key", np.int64), ("toxic", np.float64), ("ordinary", np.float64))]
+    del g
+    model = build_model(*grams, kept["key"].to_numpy(np.int64), kept["toxic"].to_numpy(np.float64),
                         kept["ordinary"].to_numpy(np.float64), word_stats)
     return model._replace(field=_field(rare)), rare
 
@@ -340,7 +344,7 @@ def _may_hold(field: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 def _dense(model: Model) -> np.ndarray:
-    """Log ratio of every possible 5-gram (64 MB), built once per Python worker."""
+    """Log ratio of every possible 5-gram (64 MB), built once per task."""
     key = (len(model.grams), float(model.ratio[:64].sum()), float(model.unseen.sum()), len(model.words))
     if _CACHE.get("dense_of") != key:
         table = np.repeat(model.unseen.astype(np.float16), SYMBOLS)
@@ -349,6 +353,12 @@ def _dense(model: Model) -> np.ndarray:
     return _CACHE["dense"]
 
 
+def _forget() -> None:
+    """Drop the table of 5-grams; later stages use the same Python worker."""
+    _CACHE.pop("dense", None)
+    _CACHE.pop("dense_of", None)
+
+
 def _top(values: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Largest value and sum of the three largest per document (0 without any)."""
     order = np.lexsort((-values, doc))
@@ -536,10 +546,11 @@ def features_of(known: DataFrame, model: Model, rare: DataFrame) -> DataFrame:
                 names=[*own, *FEATURES, "n_words", "unknown", "top", "asked", "times"])
 
     src = known.withColumn("row", F.monotonically_increasing_id()).withColumn("digest", digest(F.col("text")))
-    found = scratch_table(src.mapInArrow(run, f"row bigint, doc_id {kind}, fold int, label int, digest binary, "
+    found = scratch_table(src.mapInArrow(tidy(run, _forget), f"row bigint, doc_id {kind}, fold int, label int, digest binary, "
                                          + ", ".join(f"{f} double" for f in FEATURES)
                                          + ", n_words double, unknown bigint, top array<double>, asked array<bigint>, times array<int>"),
                           "toxicity-evidence")
+    shared.destroy()   # the evidence is written; executors need not hold the model beside later stages
     if len(model.field):
         found = with_rare_words(found, rare)
     return found.select("doc_id", "fold", "label", "digest", *FEATURES)
