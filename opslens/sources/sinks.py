@@ -72,11 +72,11 @@ def write_bucketed(df: DataFrame, table: str, key: str, *, path: str | None = No
     return df.sparkSession.table(table)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
     """Headed CSV of text columns; null is an empty cell, nothing is trimmed, quotes are doubled."""
     text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
     (text.write.mode("overwrite").options(**CSV_OPTIONS, emptyValue="", nullValue="",
-                                          ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path))
+                                          ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path, compression=compression))
 
 
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str], *, multi_line: bool = True,

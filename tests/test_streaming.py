@@ -6,7 +6,8 @@ import glob
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from opslens.operators import machine
+from opslens.operators import ecommerce, machine
+from opslens.plans import catalogue
 from opslens.sources import envelopes, fixtures
 from opslens.streaming import processors
 
@@ -168,3 +169,42 @@ def test_union_header_is_bounded(spark, tmp_path, monkeypatch):
     assert len(rows) == 40 and {"machine_id", "k", "z", processors.OTHER_FIELDS} <= set(rows[0])
     assert not any(c.startswith("rare") for c in rows[0])
     assert sorted(next(iter(json.loads(r[processors.OTHER_FIELDS]))) for r in rows) == sorted(f"rare{i}" for i in range(40))
+
+
+def test_stream_query_runs_only_its_own_stream(spark, tmp_path):
+    """A table set without events serves the customer stream, which stores compressed files only."""
+    rows = [(k, 1 + k % 7, 1000.5 * k) for k in range(1, 200)]
+    spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_totalprice double").write.parquet(
+        str(tmp_path / "orders.parquet"))
+    got = catalogue.QUERIES["stream_customers"](spark, str(tmp_path))
+    scored = ecommerce.score_customer_records(ecommerce.as_record(fixtures.ecommerce_records(spark, str(tmp_path))))
+    want = scored.where(~fixtures.spoiled(F.col("order_key"))).select(*got.columns)
+    assert sorted(got.collect()) == sorted(want.collect())
+    [base] = catalogue.stream_run(spark, str(tmp_path), "ecommerce")
+    files = [f for s in ("source", "out/csv/batch=*") for f in glob.glob(f"{base.removeprefix('file:')}/{s}/part-*")]
+    assert files and all(f.endswith(".gz") for f in files)
+    assert glob.glob(f"{base.removeprefix('file:').rsplit('/', 1)[0]}/*") == [base.removeprefix("file:")]
+
+
+def test_compressed_sink_reads_as_plain(spark, tmp_path):
+    lines = fixtures.customer_envelopes(spark, SF_SMALL).select("value")
+    keep = {"columns": COLUMNS["ecommerce"]}
+    for name, more in (("plain", {}), ("packed", {"compression": "gzip"})):
+        processors.process_customer_batch(lines, 0, str(tmp_path / name), **keep, **more)
+    plain, packed = (processors.read_records(spark, str(tmp_path / n), "ecommerce", **keep).drop("processing_timestamp")
+                     for n in ("plain", "packed"))
+    assert sorted(plain.collect(), key=str) == sorted(packed.collect(), key=str) != []
+    assert glob.glob(f"{tmp_path}/packed/csv/batch=0/part-*.csv.gz") and not glob.glob(f"{tmp_path}/plain/csv/batch=0/*.gz")
+
+
+def test_committed_records_are_not_shuffled(spark, tmp_path):
+    """The marks are broadcast whatever the session's limit for broadcasts."""
+    out = str(tmp_path / "out")
+    processors.process_customer_batch(fixtures.customer_envelopes(spark, SF_SMALL).select("value"), 0, out)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = processors.read_records(spark, out, "ecommerce")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
