@@ -137,7 +137,7 @@ def customer_summary(processed: DataFrame, scored_records: DataFrame, *, key: st
     quality = scored_records.agg(
         safe_ratio(F.count_if(F.col("customer_segment") != ERROR_SEGMENT), F.count(F.lit(1)))
         .alias("data_quality_score"))
-    row = _one_row(spark, c=customers, m=means, q=quality)
+    row = _one_row(spark, m=means, c=customers, q=quality)
     return row.select("c.*", "m.*", "q.data_quality_score")
 
 
